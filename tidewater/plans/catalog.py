@@ -216,3 +216,322 @@ FROM p LEFT JOIN s ON p.VehicleMake = s.VehicleMake""")
 def _k13(w: Warehouse) -> DataFrame:
     """K13 corrected: per-make totals aggregated apart."""
     return kpis.loss_ratio_by_make(w.fact_claims, w.fact_policy, w.dim_vehicle)
+
+
+# ==================================================================== silver
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import protect, text  # noqa: E402
+from ..functions.parse import parse_date, parse_int, rejected  # noqa: E402
+from ..operators import quality, scd2  # noqa: E402
+from . import silver  # noqa: E402
+
+# Test-only AES key (a real run passes the key from a secret store).
+DEMO_KEY = "0123456789abcdef"
+CUSTOMER_PII = ("FirstName", "LastName", "Email", "Phone")
+CUSTOMER_ATTRS = ("City", "State", "Country")
+
+
+@register("silver_customers", """
+SELECT CustomerID, FirstName, LastName, lower(Email) AS Email,
+       regexp_replace(Phone, '\\D', '', 'g') AS Phone,
+       TRY_CAST(DOB AS DATE) AS DOB, TRY_CAST(Age AS INTEGER) AS Age,
+       City, State, Country, _src_country, SnapshotDate, FileName
+FROM bronze_customers""")
+def _silver_customers(w: Warehouse) -> DataFrame:
+    """L1 (P7, P8, P12, P15): every snapshot row, typed and standardised."""
+    return silver.clean_customers(w.bronze_customers)
+
+
+@register("silver_policies_dedup", """
+SELECT PolicyNumber, CustomerID, PolicyType, PaymentFrequency, AgentID, AgentName,
+       CAST(CoverageAmount_INR AS DOUBLE) AS CoverageAmount_INR,
+       CAST(AnnualPremium_INR AS DOUBLE) AS AnnualPremium_INR,
+       PolicyStartDate, PolicyEndDate, _src_country, SnapshotDate, FileName
+FROM silver_policies""")
+def _silver_policies(w: Warehouse) -> DataFrame:
+    """L2 (W1, P3, P12, P16, P21): latest snapshot per policy, typed, filled."""
+    return gold.money_as_double(w.silver_policies)
+
+
+@register("silver_claims", """
+SELECT ClaimID, CustomerID, PolicyNumber, ClaimDate, SettlementDate,
+       CAST(ClaimAmount_INR AS DOUBLE) AS ClaimAmount_INR,
+       CAST(SettledAmount_INR AS DOUBLE) AS SettledAmount_INR
+FROM claims""")
+def _silver_claims(w: Warehouse) -> DataFrame:
+    """L3: claims landed as text, typed back."""
+    from ..sources import views
+    return gold.money_as_double(silver.clean_claims(views.bronze_claims(w.t)))
+
+
+@register("payments_late_flag", """
+SELECT TransactionID, CustomerID, ScheduledDate, PaidDate,
+       CAST(Amount_INR AS DOUBLE) AS Amount_INR,
+       CASE WHEN PaidDate > ScheduledDate THEN 1 ELSE 0 END AS IsLate
+FROM payments""")
+def _payments_late(w: Warehouse) -> DataFrame:
+    """L4 (P18): typed payments with the late flag; unpaid counts as not late."""
+    return gold.money_as_double(w.payments)
+
+
+@register("payments_overdue_summary", """
+SELECT IsLate, PaidDate IS NULL AS Unpaid, COUNT(*) AS Instalments,
+       CAST(SUM(Amount_INR) AS DOUBLE) AS Amount
+FROM (SELECT *, CASE WHEN PaidDate > ScheduledDate THEN 1 ELSE 0 END AS IsLate FROM payments)
+GROUP BY IsLate, PaidDate IS NULL""")
+def _payments_overdue(w: Warehouse) -> DataFrame:
+    """Late / on-time / unpaid instalment counts and amounts."""
+    return (w.payments.groupBy("IsLate", F.col("PaidDate").isNull().alias("Unpaid"))
+            .agg(F.count(F.lit(1)).alias("Instalments"),
+                 F.sum("Amount_INR").cast("double").alias("Amount")))
+
+
+@register("text_standardize", """
+SELECT CustomerID, SnapshotDate,
+       upper(substr(_src_country, 1, 1)) || lower(substr(_src_country, 2)) AS CountryName,
+       regexp_extract(FileName, '([^/]+)$', 1) AS BaseName,
+       lower(regexp_extract(FileName, '\\.([A-Za-z0-9]+)$', 1)) AS Extension,
+       lower(Email) AS Email, regexp_replace(Phone, '\\D', '', 'g') AS PhoneDigits
+FROM bronze_customers""")
+def _text_standardize(w: Warehouse) -> DataFrame:
+    """The reference's driver-side string handling as Columns."""
+    b = w.bronze_customers
+    return b.select(
+        "CustomerID", "SnapshotDate",
+        text.country_name("_src_country").alias("CountryName"),
+        text.file_name_of("FileName").alias("BaseName"),
+        text.file_extension("FileName").alias("Extension"),
+        text.normalize_email("Email").alias("Email"),
+        text.normalize_phone("Phone").alias("PhoneDigits"))
+
+
+@register("dq_quarantine", """
+SELECT CustomerID, SnapshotDate, reason FROM (
+  SELECT CustomerID, SnapshotDate, 'bad_dob' AS reason FROM bronze_customers
+  WHERE DOB IS NOT NULL AND TRY_CAST(DOB AS DATE) IS NULL
+  UNION ALL
+  SELECT CustomerID, SnapshotDate, 'bad_age' FROM bronze_customers
+  WHERE Age IS NOT NULL AND TRY_CAST(Age AS INTEGER) IS NULL)""")
+def _dq_quarantine(w: Warehouse) -> DataFrame:
+    """Q4 (D8): rows whose DOB or Age text does not parse, with the reason."""
+    b = w.bronze_customers
+    return quality.quarantine(b, {
+        "bad_dob": rejected("DOB", parse_date("DOB")),
+        "bad_age": rejected("Age", parse_int("Age")),
+    }, ["CustomerID", "SnapshotDate"])
+
+
+@register("dq_duplicates", """
+SELECT PolicyNumber, COUNT(*) AS row_count, COUNT(DISTINCT SnapshotDate) AS snapshots
+FROM bronze_policies GROUP BY PolicyNumber HAVING COUNT(*) > 1""")
+def _dq_duplicates(w: Warehouse) -> DataFrame:
+    """Q2: policy numbers delivered more than once across snapshots."""
+    return quality.duplicate_keys(w.bronze_policies, ["PolicyNumber"],
+                                  F.count_distinct("SnapshotDate").alias("snapshots"))
+
+
+@register("dq_orphans", """
+SELECT p.PolicyNumber, p.CustomerID FROM policies p
+WHERE NOT EXISTS (SELECT 1 FROM dim_vehicle v
+                  WHERE v.PolicyNumber = p.PolicyNumber AND v.IsCurrent)""")
+def _dq_orphans(w: Warehouse) -> DataFrame:
+    """Q3: policies with no current vehicle row (left anti join)."""
+    dv = w.dim_vehicle.where("IsCurrent").select("PolicyNumber")
+    return quality.orphans(w.policies.select("PolicyNumber", "CustomerID"), dv, ["PolicyNumber"])
+
+
+@register("dq_profile", """
+WITH bp AS (SELECT CAST(PolicyNumber AS VARCHAR) AS PolicyNumber,
+                   CAST(CustomerID AS VARCHAR) AS CustomerID, PolicyType, PaymentFrequency,
+                   CAST(AgentID AS VARCHAR) AS AgentID, AgentName, CoverageAmount_INR,
+                   AnnualPremium_INR, PolicyStartDate, PolicyEndDate, _src_country,
+                   SnapshotDate, FileName FROM bronze_policies)
+SELECT column_name, COUNT(*) AS row_count, COUNT(*) - COUNT(value) AS null_count,
+       COUNT(DISTINCT value) AS distinct_count
+FROM bp UNPIVOT INCLUDE NULLS (value FOR column_name IN (
+  PolicyNumber, CustomerID, PolicyType, PaymentFrequency, AgentID, AgentName,
+  CoverageAmount_INR, AnnualPremium_INR, PolicyStartDate, PolicyEndDate, _src_country,
+  SnapshotDate, FileName))
+GROUP BY column_name""")
+def _dq_profile(w: Warehouse) -> DataFrame:
+    """Q1: null and distinct counts of every bronze policy column."""
+    return quality.profile(w.bronze_policies)
+
+
+@register("audit_layer_counts", """
+SELECT 'bronze_policies' AS layer, COUNT(*) AS row_count,
+       CAST(SUM(TRY_CAST(AnnualPremium_INR AS DECIMAL(18,2))) AS DOUBLE) AS amount_total
+FROM bronze_policies
+UNION ALL
+SELECT 'silver_policies', COUNT(*), CAST(SUM(AnnualPremium_INR) AS DOUBLE) FROM silver_policies
+UNION ALL
+SELECT 'fact_policy', COUNT(*), CAST(SUM(AnnualPremium_INR) AS DOUBLE) FROM fact_policy
+UNION ALL
+SELECT 'fact_claims', COUNT(*), CAST(SUM(SettledAmount_INR) AS DOUBLE) FROM fact_claims
+UNION ALL
+SELECT 'fact_payments', COUNT(*), CAST(SUM(Amount_INR) AS DOUBLE) FROM fact_payments""")
+def _audit(w: Warehouse) -> DataFrame:
+    """Q5: rows and amounts per layer, stacked."""
+    bronze = w.bronze_policies.withColumn(
+        "AnnualPremium_INR", F.col("AnnualPremium_INR").try_cast("decimal(18,2)"))
+    return quality.audit([
+        ("bronze_policies", bronze, "AnnualPremium_INR"),
+        ("silver_policies", w.silver_policies, "AnnualPremium_INR"),
+        ("fact_policy", w.fact_policy, "AnnualPremium_INR"),
+        ("fact_claims", w.fact_claims, "SettledAmount_INR"),
+        ("fact_payments", w.fact_payments, "Amount_INR"),
+    ])
+
+
+# Fixed alias map: snake_case feed names -> the common PascalCase schema
+POLICY_ALIASES = {
+    "policy_number": "PolicyNumber", "customer_id": "CustomerID",
+    "policy_type": "PolicyType", "payment_frequency": "PaymentFrequency",
+    "annual_premium": "AnnualPremium_INR", "coverage_amount": "CoverageAmount_INR",
+    "start_date": "PolicyStartDate",
+}
+POLICY_COMMON = ("PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency",
+                 "AnnualPremium_INR", "CoverageAmount_INR", "PolicyStartDate", "PolicyEndDate")
+
+
+@register("harmonize_schemas", """
+SELECT PolicyNumber, CustomerID, PolicyType, PaymentFrequency,
+       CAST(AnnualPremium_INR AS DOUBLE) AS AnnualPremium_INR,
+       CAST(CoverageAmount_INR AS DOUBLE) AS CoverageAmount_INR, PolicyStartDate,
+       CASE WHEN PaymentFrequency = 'F' THEN NULL ELSE PolicyEndDate END AS PolicyEndDate
+FROM policies""")
+def _harmonize(w: Warehouse) -> DataFrame:
+    """Q6: two country feeds with different naming styles -> one schema.
+
+    Finished ('F') policies arrive from a feed with snake_case names and no
+    end date; the rest in the common names."""
+    p = w.policies
+    common = p.where(F.col("PaymentFrequency") != "F")
+    snake = p.where(F.col("PaymentFrequency") == "F").select(
+        *[F.col(v).alias(k) for k, v in POLICY_ALIASES.items()])
+    return gold.money_as_double(quality.union_feeds([
+        quality.harmonize(common, {}, POLICY_COMMON),
+        quality.harmonize(snake, POLICY_ALIASES, POLICY_COMMON)]))
+
+
+@register("mask_pii_text", r"""
+SELECT doc_id,
+       len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS n_emails,
+       len(regexp_extract_all(text, '\+?[0-9][0-9() .-]{7,}[0-9]')) AS n_phones,
+       regexp_replace(
+         regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<EMAIL>', 'g'),
+         '\+?[0-9][0-9() .-]{7,}[0-9]', '<PHONE>', 'g') AS masked_text
+FROM documents""")
+def _mask_pii(w: Warehouse) -> DataFrame:
+    """Q7: count and mask e-mails and phone numbers in free text (whole texts)."""
+    d = w.t.documents.select("doc_id", "text")
+    return d.select("doc_id", text.count_emails("text").alias("n_emails"),
+                    text.count_phones("text").alias("n_phones"),
+                    text.mask_pii("text").alias("masked_text"))
+
+
+# ================================================================ protection
+
+@register("encrypt_roundtrip", """
+SELECT CustomerID, SnapshotDate, FirstName, LastName, Email, Phone FROM bronze_customers""")
+def _encrypt_roundtrip(w: Warehouse) -> DataFrame:
+    """C1 + C3 (RT): decrypt(encrypt(x)) = x for the PII columns, ECB."""
+    b = w.bronze_customers.select("CustomerID", "SnapshotDate", *CUSTOMER_PII)
+    enc = protect.protect_columns(b, CUSTOMER_PII, DEMO_KEY, "ECB")
+    return protect.unprotect_columns(enc, CUSTOMER_PII, DEMO_KEY, "ECB", strict=True)
+
+
+@register("encrypt_selected_gcm", """
+SELECT CustomerID, SnapshotDate, FirstName, LastName, lower(Email) AS Email,
+       regexp_replace(Phone, '\\D', '', 'g') AS Phone, City
+FROM bronze_customers""")
+def _encrypt_gcm(w: Warehouse) -> DataFrame:
+    """C2 + C4 (RT) with D1: standardise first, encrypt the listed columns
+    (GCM, random IV), leave the rest alone; decrypt restores them."""
+    b = silver.clean_customers(w.bronze_customers).select(
+        "CustomerID", "SnapshotDate", *CUSTOMER_PII, "City")
+    enc = protect.protect_columns(b, CUSTOMER_PII + ("NotAColumn",), DEMO_KEY, "GCM")
+    return protect.unprotect_columns(enc, CUSTOMER_PII, DEMO_KEY, "GCM")
+
+
+@register("encrypted_key_join", """
+SELECT a.Email, COUNT(*) AS matches
+FROM bronze_customers a JOIN bronze_customers b
+  ON a.Email = b.Email AND a.SnapshotDate = '2024-01-01' AND b.SnapshotDate = '2024-03-01'
+GROUP BY a.Email""")
+def _encrypted_join(w: Warehouse) -> DataFrame:
+    """ECB is deterministic, so equi-joins on ciphertext give the
+    plaintext answer.  First vs third snapshot, joined on encrypted e-mail."""
+    b = w.bronze_customers.select(
+        "SnapshotDate", protect.encrypt("Email", DEMO_KEY).alias("EmailEnc"))
+    a = b.where(F.col("SnapshotDate") == "2024-01-01").select("EmailEnc")
+    c = b.where(F.col("SnapshotDate") == "2024-03-01").select("EmailEnc")
+    return (a.join(c, "EmailEnc").groupBy("EmailEnc").agg(F.count(F.lit(1)).alias("matches"))
+            .select(protect.decrypt("EmailEnc", DEMO_KEY).alias("Email"), "matches"))
+
+
+@register("keyed_token_groups", f"""
+SELECT sha256('{DEMO_KEY}' || Email) AS EmailToken, COUNT(*) AS rows_per_token
+FROM bronze_customers GROUP BY Email""")
+def _token_groups(w: Warehouse) -> DataFrame:
+    """D3: keyed sha-256 token as the joinable stand-in for a GCM column."""
+    return (w.bronze_customers.select(protect.token("Email", DEMO_KEY).alias("EmailToken"))
+            .groupBy("EmailToken").agg(F.count(F.lit(1)).alias("rows_per_token")))
+
+
+# ================================================================ dimensions
+
+def _customer_snapshots(w: Warehouse) -> DataFrame:
+    return w.bronze_customers.withColumn("SnapshotDate", parse_date("SnapshotDate"))
+
+
+def _build_customer_dim(rows: DataFrame) -> DataFrame:
+    return scd2.build(rows, "CustomerID", CUSTOMER_ATTRS, "SnapshotDate", "CustomerKey",
+                      order=[F.col("FileName").desc()])
+
+
+SCD2_COLUMNS = ("CustomerKey", "CustomerID", "City", "State", "Country",
+                "EffectiveFrom", "EffectiveTo", "IsCurrent")
+
+
+@register("dim_customer_scd2", "SELECT * FROM dim_customer_scd2")
+def _dim_scd2(w: Warehouse) -> DataFrame:
+    """M1 + M2: customer dimension rebuilt from all snapshots."""
+    return _build_customer_dim(_customer_snapshots(w)).select(*SCD2_COLUMNS)
+
+
+@register("dim_customer_increment", "SELECT * FROM dim_customer_scd2")
+def _dim_increment(w: Warehouse) -> DataFrame:
+    """M4: build from the first snapshot, then merge the later ones one by
+    one; must equal the full rebuild."""
+    rows = _customer_snapshots(w)
+    dates = sorted(v for v in views_snapshot_dates())
+    dim = _build_customer_dim(rows.where(F.col("SnapshotDate") == F.lit(dates[0]).cast("date")))
+    for d in dates[1:]:
+        dim = scd2.apply_snapshot(dim, rows.where(F.col("SnapshotDate") == F.lit(d).cast("date")),
+                                  "CustomerID", CUSTOMER_ATTRS, "SnapshotDate", "CustomerKey",
+                                  order=[F.col("FileName").desc()])
+    return dim.select(*SCD2_COLUMNS)
+
+
+def views_snapshot_dates():
+    from ..sources.views import SNAPSHOT_DATES
+    return SNAPSHOT_DATES
+
+
+@register("fact_events_point_in_time", """
+SELECT e.event_id, e.user_id AS CustomerID, CAST(e.ts AS DATE) + 30 AS LookupDate,
+       d.CustomerKey, d.City, d.IsCurrent
+FROM events e LEFT JOIN dim_customer_scd2 d
+  ON d.CustomerID = e.user_id AND d.EffectiveFrom <= CAST(e.ts AS DATE) + 30
+ AND (d.EffectiveTo IS NULL OR CAST(e.ts AS DATE) + 30 < d.EffectiveTo)""")
+def _point_in_time(w: Warehouse) -> DataFrame:
+    """M3: each event gets the customer version valid 30 days after it."""
+    dim = _build_customer_dim(_customer_snapshots(w))
+    ev = w.t.events.select("event_id", F.col("user_id").alias("CustomerID"),
+                           F.date_add(F.to_date("ts"), 30).alias("LookupDate"))
+    j = scd2.as_of_join(ev, dim, "CustomerID", "CustomerID", "LookupDate")
+    return j.select("_f.event_id", "_f.CustomerID", "_f.LookupDate",
+                    "_d.CustomerKey", "_d.City", "_d.IsCurrent")

@@ -77,7 +77,7 @@ VIEWS = {
          CAST(AnnualPremium_INR AS VARCHAR) AS AnnualPremium_INR,
          CAST(PolicyStartDate AS VARCHAR) AS PolicyStartDate,
          CAST(PolicyEndDate AS VARCHAR) AS PolicyEndDate,
-         'India' AS country, '2024-01-01' AS SnapshotDate,
+         'India' AS _src_country, '2024-01-01' AS SnapshotDate,
          'policies_master_2024-01-01.csv' AS FileName
   FROM policies
   UNION ALL
@@ -105,7 +105,7 @@ VIEWS = {
          c_mktsegment AS City, n_name AS State, r_name AS Country
   FROM customer_geo""",
     "bronze_customers": """
-  SELECT *, 'India' AS country, '2024-01-01' AS SnapshotDate,
+  SELECT *, 'India' AS _src_country, '2024-01-01' AS SnapshotDate,
          'insurance_customer_2024-01-01.csv' AS FileName FROM customer_base
   UNION ALL
   SELECT CustomerID, FirstName, LastName, Email, Phone, DOB, Age,
@@ -123,7 +123,7 @@ VIEWS = {
          COALESCE(TRY_CAST(AnnualPremium_INR AS DECIMAL(18,2)), 0) AS AnnualPremium_INR,
          TRY_CAST(PolicyStartDate AS DATE) AS PolicyStartDate,
          TRY_CAST(PolicyEndDate AS DATE) AS PolicyEndDate,
-         country, TRY_CAST(SnapshotDate AS DATE) AS SnapshotDate, FileName
+         _src_country, TRY_CAST(SnapshotDate AS DATE) AS SnapshotDate, FileName
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY PolicyNumber
                    ORDER BY TRY_CAST(SnapshotDate AS DATE) DESC NULLS LAST,
                             FileName DESC NULLS LAST) AS rn

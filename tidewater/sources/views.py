@@ -157,7 +157,7 @@ def dim_vehicle(t: Tables) -> DataFrame:
 
 def _snapshot_meta(df: DataFrame, snapshot: str, feed: str) -> DataFrame:
     return df.withColumns({
-        "country": F.lit(SOURCE_COUNTRY),
+        "_src_country": F.lit(SOURCE_COUNTRY),
         "SnapshotDate": F.lit(snapshot),
         "FileName": F.lit(f"{feed}_{snapshot}.csv"),
     })
