@@ -535,3 +535,178 @@ def _point_in_time(w: Warehouse) -> DataFrame:
     j = scd2.as_of_join(ev, dim, "CustomerID", "CustomerID", "LookupDate")
     return j.select("_f.event_id", "_f.CustomerID", "_f.LookupDate",
                     "_d.CustomerKey", "_d.City", "_d.IsCurrent")
+
+
+# ================================================================= ingestion
+
+from ..operators import provenance, routing  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources.views import SNAPSHOT_DATES  # noqa: E402
+from . import bronze  # noqa: E402
+
+CUSTOMER_FIXTURE_COLS = ("CustomerID", "FirstName", "LastName", "Email", "Phone", "DOB",
+                         "Age", "City", "State", "Country", "_src_country", "SnapshotDate",
+                         "FileName")
+POLICY_FIXTURE_COLS = ("PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency",
+                       "AgentID", "AgentName", "CoverageAmount_INR", "AnnualPremium_INR",
+                       "PolicyStartDate", "PolicyEndDate", "_src_country", "SnapshotDate",
+                       "FileName")
+
+
+def _land(df: DataFrame, snapshot: str) -> DataFrame:
+    return df.where(F.col("SnapshotDate") == snapshot).drop(*provenance.META_COLS)
+
+
+def _history(spark, path: str) -> DataFrame:
+    h = provenance.read_history(spark, path)
+    return h.withColumn("SnapshotDate", F.col("SnapshotDate").cast("string"))
+
+
+@register("bronze_ingest", """
+SELECT * FROM bronze_customers""")
+def _bronze_ingest(w: Warehouse) -> DataFrame:
+    """I7 end to end (A1, A5, A8, I1-I6, C1-C2, C6, B1): the three customer
+    extracts land as CSV deliveries; the job routes, reads with the declared
+    schema, encrypts the configured PII, stamps provenance and appends by
+    snapshot.  Read back and decrypted, bronze must equal what landed."""
+    spark = w.spark
+    root = scratch_path(spark, "bronze-ingest")
+    for d in SNAPSHOT_DATES:
+        (_land(w.bronze_customers, d).write.option("header", True)
+         .csv(f"{root}/landing/insurance_customer_{d}.csv"))
+    bronze.ingest(spark, f"{root}/landing", f"{root}/bronze", bronze.config_frame(spark),
+                  DEMO_KEY, "india")
+    hist = _history(spark, f"{root}/bronze/insurance_customer")
+    plain = protect.unprotect_columns(hist, CUSTOMER_PII, DEMO_KEY, strict=True)
+    return plain.select(*CUSTOMER_FIXTURE_COLS)
+
+
+@register("scan_mixed_formats", """
+SELECT * REPLACE (CASE SnapshotDate
+                    WHEN '2024-01-01' THEN 'policies_master_2024-01-01.parquet'
+                    WHEN '2024-02-01' THEN 'policies_master_2024-02-01.json'
+                    ELSE FileName END AS FileName)
+FROM bronze_policies""")
+def _scan_mixed(w: Warehouse) -> DataFrame:
+    """A3, A4, A5: the policy extracts land as parquet, multi-line JSON
+    arrays and CSV; one ingest reads each format and unions by name."""
+    spark = w.spark
+    root = scratch_path(spark, "mixed-formats")
+    d1, d2, d3 = SNAPSHOT_DATES
+    _land(w.bronze_policies, d1).write.parquet(f"{root}/landing/policies_master_{d1}.parquet")
+    bronze.write_json_arrays(_land(w.bronze_policies, d2),
+                             f"{root}/landing/policies_master_{d2}.json")
+    (_land(w.bronze_policies, d3).write.option("header", True)
+     .csv(f"{root}/landing/policies_master_{d3}.csv"))
+    bronze.ingest(spark, f"{root}/landing", f"{root}/bronze", bronze.config_frame(spark),
+                  DEMO_KEY, "india")
+    return _history(spark, f"{root}/bronze/policies_master").select(*POLICY_FIXTURE_COLS)
+
+
+@register("bronze_append_evolve", """
+SELECT PolicyNumber, CustomerID, PolicyType, PaymentFrequency, AgentID,
+       CASE WHEN SnapshotDate = '2024-01-01' THEN NULL ELSE AgentName END AS AgentName,
+       CoverageAmount_INR, AnnualPremium_INR, PolicyStartDate, PolicyEndDate,
+       _src_country, SnapshotDate, FileName
+FROM bronze_policies""")
+def _append_evolve(w: Warehouse) -> DataFrame:
+    """B1 + W4: the first extract lacks AgentName; later ones add it.
+    Appending by snapshot and reading with mergeSchema gives NULL for the
+    column in older rows.  Re-running a snapshot replaces it (idempotent)."""
+    spark = w.spark
+    path = scratch_path(spark, "evolve") + "/policies_master"
+    b = w.bronze_policies
+    provenance.append_partitioned(
+        b.where(F.col("SnapshotDate") == SNAPSHOT_DATES[0]).drop("AgentName"), path)
+    later = b.where(F.col("SnapshotDate") != SNAPSHOT_DATES[0])
+    provenance.append_partitioned(later, path)
+    provenance.append_partitioned(later, path)  # same snapshots again: no duplicates
+    return _history(spark, path).select(*POLICY_FIXTURE_COLS)
+
+
+# Fixed routing rows for the routing check: the standard ones, an inactive
+# row and a shorter overlapping pattern
+ROUTING_CHECK_ROWS = bronze.CONFIG_ROWS + [
+    ("policies", "policies_legacy", "", "N"),
+    ("policy", "policy_misc", " PolicyNumber , ,", "Y"),
+]
+FEEDS = ("insurance_customer", "policies_master", "policy_claims", "policy_payments",
+         "unknown_feed", "INSURANCE_CUSTOMER")
+EXTS = ("csv", "json", "parquet", "XLSX")
+
+
+def _pages_files(w: Warehouse) -> DataFrame:
+    p = w.t.pages.select("page_id", "url")
+    feed = F.element_at(F.array(*[F.lit(x) for x in FEEDS]),
+                        (F.col("page_id") % len(FEEDS) + 1).cast("int"))
+    ext = F.element_at(F.array(*[F.lit(x) for x in EXTS]),
+                       (F.col("page_id") % len(EXTS) + 1).cast("int"))
+    host = F.regexp_extract("url", r"//([^/]+)", 1)
+    name = F.concat(feed, F.lit("_"), host, F.lit("."), ext)
+    return p.select(F.col("page_id").alias("path"), name.alias("file_name"))
+
+
+@register("route_files_theta_join", """
+WITH files AS (
+  SELECT page_id AS path,
+         (['insurance_customer','policies_master','policy_claims','policy_payments',
+           'unknown_feed','INSURANCE_CUSTOMER'])[page_id % 6 + 1] || '_' ||
+         regexp_extract(url, '//([^/]+)', 1) || '.' ||
+         (['csv','json','parquet','XLSX'])[page_id % 4 + 1] AS file_name
+  FROM pages),
+cfg(file_pattern, table_name, sensitive_cols, active_flag) AS (VALUES
+  ('insurance_customer', 'insurance_customer', 'FirstName,LastName,Email,Phone', 'Y'),
+  ('policies_master', 'policies_master', '', 'Y'),
+  ('policy_claims', 'policy_claims', '', 'Y'),
+  ('policy_payments', 'policy_payments', '', 'Y'),
+  ('policies', 'policies_legacy', '', 'N'),
+  ('policy', 'policy_misc', ' PolicyNumber , ,', 'Y')),
+hits AS (
+  SELECT f.path, c.table_name, c.sensitive_cols,
+         ROW_NUMBER() OVER (PARTITION BY f.path ORDER BY length(c.file_pattern) DESC,
+                            c.table_name) AS rk
+  FROM files f JOIN cfg c ON c.active_flag = 'Y' AND contains(f.file_name, c.file_pattern))
+SELECT f.path, f.file_name, h.table_name,
+       CASE WHEN h.table_name IS NOT NULL THEN array_to_string(list_filter(
+         list_transform(string_split(coalesce(h.sensitive_cols, ''), ','), lambda x: trim(x)),
+         lambda x: x <> ''), ',') END AS sensitive_norm
+FROM files f LEFT JOIN hits h ON h.path = f.path AND h.rk = 1""")
+def _route(w: Warehouse) -> DataFrame:
+    """Route file names (built from page URLs) to tables."""
+    cfg = bronze.config_frame(w.spark, ROUTING_CHECK_ROWS)
+    r = routing.route_files(_pages_files(w), cfg)
+    return r.select("path", "file_name", "table_name",
+                    F.array_join("sensitive_list", ",").alias("sensitive_norm"))
+
+
+@register("route_files_equi_fallback", """
+WITH files AS (
+  SELECT page_id AS path,
+         (['insurance_customer','policies_master','policy_claims','policy_payments',
+           'unknown_feed','INSURANCE_CUSTOMER'])[page_id % 6 + 1] || '_' ||
+         regexp_extract(url, '//([^/]+)', 1) || '.' ||
+         (['csv','json','parquet','XLSX'])[page_id % 4 + 1] AS file_name
+  FROM pages),
+cfg(file_pattern, table_name, sensitive_cols, active_flag) AS (VALUES
+  ('insurance_customer', 'insurance_customer', 'FirstName,LastName,Email,Phone', 'Y'),
+  ('policies_master', 'policies_master', '', 'Y'),
+  ('policy_claims', 'policy_claims', '', 'Y'),
+  ('policy_payments', 'policy_payments', '', 'Y'),
+  ('policies', 'policies_legacy', '', 'N'),
+  ('policy', 'policy_misc', ' PolicyNumber , ,', 'Y')),
+hits AS (
+  SELECT f.path, c.table_name,
+         ROW_NUMBER() OVER (PARTITION BY f.path ORDER BY length(c.file_pattern) DESC,
+                            c.table_name) AS rk
+  FROM files f JOIN cfg c ON c.active_flag = 'Y' AND contains(f.file_name, c.file_pattern))
+SELECT f.path, h.table_name FROM files f LEFT JOIN hits h ON h.path = f.path AND h.rk = 1""")
+def _route_equi(w: Warehouse) -> DataFrame:
+    """J8 for configs too large to broadcast: substring equi-join, same answer."""
+    cfg = bronze.config_frame(w.spark, ROUTING_CHECK_ROWS)
+    old = routing.MAX_BROADCAST_ROUTES
+    routing.MAX_BROADCAST_ROUTES = -1
+    try:
+        r = routing.route_files(_pages_files(w), cfg)
+    finally:
+        routing.MAX_BROADCAST_ROUTES = old
+    return r.select("path", "table_name")
