@@ -710,3 +710,85 @@ def _route_equi(w: Warehouse) -> DataFrame:
     finally:
         routing.MAX_BROADCAST_ROUTES = old
     return r.select("path", "table_name")
+
+
+# ================================================================= streaming
+
+from ..streaming import jobs as stream_jobs  # noqa: E402
+
+EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                "value double, props string")
+NTZ_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _land_events_by_day(w: Warehouse, landing: str) -> None:
+    ev = w.t.events.withColumn("day", F.to_date("ts").cast("string"))
+    (ev.repartition("day").write.partitionBy("day").option("header", True)
+     .option("timestampNTZFormat", NTZ_MICROS).csv(landing))
+
+
+@register("stream_ingest_archive", """
+SELECT event_id, ts, user_id, event_type, value, props, 'Unitedkingdom' AS _src_country,
+       strftime(ts, '%Y-%m-%d') AS SnapshotDate
+FROM events""")
+def _stream_ingest(w: Warehouse) -> DataFrame:
+    """ST1 + B7: events land as one folder per day; the file stream ingests
+    each file exactly once (run twice: the second run adds nothing and
+    archives the files the first run committed)."""
+    spark = w.spark
+    root = scratch_path(spark, "stream-ingest")
+    _land_events_by_day(w, f"{root}/landing")
+    spark_ntz = spark.conf.get("spark.sql.csv.timestampNTZFormat", None)
+    for _ in range(2):
+        stream_jobs.ingest_stream(spark, f"{root}/landing", f"{root}/bronze",
+                                  f"{root}/checkpoint", EVENT_SCHEMA + ", day string",
+                                  "unitedkingdom", archive_dir=f"{root}/archive")
+    del spark_ntz
+    out = spark.read.parquet(f"{root}/bronze")
+    return out.select("event_id", "ts", "user_id", "event_type", "value", "props",
+                      "_src_country", F.col("SnapshotDate").cast("string").alias("SnapshotDate"))
+
+
+@register("stream_latest_per_key", """
+SELECT * EXCLUDE (FileName) FROM silver_policies""")
+def _stream_latest(w: Warehouse) -> DataFrame:
+    """ST2: the three policy extracts arrive one per micro-batch; the
+    streaming state keeps the latest row per policy; after the casts and
+    fills the result equals the batch silver job."""
+    spark = w.spark
+    root = scratch_path(spark, "stream-latest")
+    for d in SNAPSHOT_DATES:
+        (_land(w.bronze_policies, d).write.option("header", True)
+         .csv(f"{root}/landing/policies_master_{d}.csv"))
+
+    def enrich(src: DataFrame) -> DataFrame:
+        return src.withColumns({
+            "_src_country": F.lit("India"),
+            "SnapshotDate": provenance.snapshot_from_name(F.col("_metadata.file_path")),
+        })
+
+    stream_jobs.latest_state_stream(
+        spark, f"{root}/landing", f"{root}/changelog", f"{root}/checkpoint",
+        bronze.TABLE_SCHEMAS["policies_master"], "PolicyNumber",
+        [parse_date("SnapshotDate")], max_files=1, enrich=enrich)
+    latest = stream_jobs.read_latest(spark, f"{root}/changelog", "PolicyNumber")
+    typed = silver.fill_policy_defaults(silver.type_policies(latest))
+    return gold.money_as_double(typed).select(*[c for c in POLICY_FIXTURE_COLS if c != "FileName"])
+
+
+@register("stream_windowed_totals", """
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type,
+       COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, value FROM events)
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+GROUP BY window_start, event_type""")
+def _stream_windows(w: Warehouse) -> DataFrame:
+    """ST3: hourly event counts and value totals per type, watermark 10
+    minutes, append mode: every window the watermark has closed."""
+    spark = w.spark
+    root = scratch_path(spark, "stream-windows")
+    _land_events_by_day(w, f"{root}/landing")
+    stream_jobs.windowed_totals_stream(
+        spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint",
+        EVENT_SCHEMA + ", day string", "ts", "event_type", "value")
+    return spark.read.parquet(f"{root}/sink")
