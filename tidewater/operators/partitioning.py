@@ -1,0 +1,20 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields
+    fewer partitions than cores (a few large row groups), before CPU-heavy
+    per-row work such as regular expressions over whole texts.
+
+    At scale the scan already has far more partitions than cores and this
+    is a no-op, so it never adds a shuffle to a big job.  Spark sorts
+    before a round-robin exchange, so a retried task gets the same rows.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
     """Register a query; ``sql=None`` marks it rows-only (no SQL form)."""
     def deco(fn: Callable[[Warehouse], DataFrame]):
         def build(spark: SparkSession, root: str) -> DataFrame:
-            return fn(Warehouse(spark, root))
+            return fn(Warehouse.of(spark, root))
         build.__name__ = name
         build.__doc__ = fn.__doc__
         QUERIES[name] = build
@@ -73,7 +73,7 @@ SELECT COUNT(DISTINCT PolicyNumber) AS TotalPolicies,
        CAST(SUM(CoverageAmount_INR) AS DOUBLE) AS TotalCoverage
 FROM fact_policy""")
 def _k1(w: Warehouse) -> DataFrame:
-    return kpis.portfolio_overview(w.fact_policy)
+    return kpis.portfolio_overview(w.gold.fact_policy)
 
 
 @register("kpi_premium_by_policy_type", """
@@ -81,7 +81,7 @@ SELECT PolicyType, COUNT(*) AS PolicyCount,
        CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
 FROM fact_policy GROUP BY PolicyType""")
 def _k2(w: Warehouse) -> DataFrame:
-    return kpis.premium_by_policy_type(w.fact_policy)
+    return kpis.premium_by_policy_type(w.gold.fact_policy)
 
 
 @register("kpi_claims_summary", """
@@ -90,7 +90,7 @@ SELECT COUNT(ClaimID) AS TotalClaims,
        CAST(SUM(SettledAmount_INR) AS DOUBLE) AS SettledAmount
 FROM fact_claims""")
 def _k3(w: Warehouse) -> DataFrame:
-    return kpis.claims_summary(w.fact_claims)
+    return kpis.claims_summary(w.gold.fact_claims)
 
 
 @register("kpi_loss_ratio_overall_as_written", """
@@ -99,7 +99,7 @@ SELECT CAST(SUM(fc.SettledAmount_INR) AS DOUBLE)
 FROM fact_claims fc JOIN fact_policy fp ON fc.CustomerKey = fp.CustomerKey""")
 def _k4w(w: Warehouse) -> DataFrame:
     """K4 as written (M:N join semantics), computed from per-key aggregates."""
-    return kpis.loss_ratio_overall_as_written(w.fact_claims, w.fact_policy)
+    return kpis.loss_ratio_overall_as_written(w.gold.fact_claims, w.gold.fact_policy)
 
 
 @register("kpi_loss_ratio_overall", """
@@ -108,7 +108,7 @@ SELECT CAST((SELECT SUM(SettledAmount_INR) FROM fact_claims) AS DOUBLE)
        AS LossRatio""")
 def _k4(w: Warehouse) -> DataFrame:
     """K4 corrected: independently aggregated totals."""
-    return kpis.loss_ratio_overall(w.fact_claims, w.fact_policy)
+    return kpis.loss_ratio_overall(w.gold.fact_claims, w.gold.fact_policy)
 
 
 @register("kpi_claim_frequency", """
@@ -118,14 +118,14 @@ SELECT fp.PolicyType,
 FROM fact_policy fp LEFT JOIN fact_claims fc ON fp.VehicleKey = fc.VehicleKey
 GROUP BY fp.PolicyType""")
 def _k5(w: Warehouse) -> DataFrame:
-    return kpis.claim_frequency(w.fact_policy, w.fact_claims)
+    return kpis.claim_frequency(w.gold.fact_policy, w.gold.fact_claims)
 
 
 @register("kpi_customer_distribution", """
 SELECT City, State, Country, COUNT(DISTINCT CustomerKey) AS CustomerCount
 FROM dim_customer WHERE IsCurrent = true GROUP BY City, State, Country""")
 def _k6(w: Warehouse) -> DataFrame:
-    return kpis.customer_distribution(w.dim_customer)
+    return kpis.customer_distribution(w.gold.dim_customer)
 
 
 @register("kpi_customer_distribution_rollup", """
@@ -133,7 +133,7 @@ SELECT Country, State, COUNT(DISTINCT CustomerKey) AS CustomerCount
 FROM dim_customer WHERE IsCurrent = true GROUP BY ROLLUP (Country, State)""")
 def _k6r(w: Warehouse) -> DataFrame:
     """Extra (not in the reference): K6 with ROLLUP subtotals."""
-    return kpis.customer_distribution_rollup(w.dim_customer)
+    return kpis.customer_distribution_rollup(w.gold.dim_customer)
 
 
 @register("kpi_customer_claim_behavior", """
@@ -142,7 +142,7 @@ SELECT dc.CustomerKey, COUNT(fc.ClaimID) AS ClaimCount,
 FROM fact_claims fc JOIN dim_customer dc ON fc.CustomerKey = dc.CustomerKey
 GROUP BY dc.CustomerKey""")
 def _k7(w: Warehouse) -> DataFrame:
-    return kpis.customer_claim_behavior(w.fact_claims, w.dim_customer)
+    return kpis.customer_claim_behavior(w.gold.fact_claims, w.gold.dim_customer)
 
 
 @register("kpi_payment_frequency_mix", """
@@ -155,14 +155,14 @@ def _k8(w: Warehouse) -> DataFrame:
 SELECT CAST(year(PolicyStartDate) AS INTEGER) AS Year, COUNT(*) AS NewPolicies
 FROM fact_policy GROUP BY year(PolicyStartDate)""")
 def _k9(w: Warehouse) -> DataFrame:
-    return kpis.policy_lifecycle(w.fact_policy)
+    return kpis.policy_lifecycle(w.gold.fact_policy)
 
 
 @register("kpi_policy_expiring", """
 SELECT CAST(year(PolicyEndDate) AS INTEGER) AS Year, COUNT(*) AS ExpiringPolicies
 FROM fact_policy GROUP BY year(PolicyEndDate)""")
 def _k9e(w: Warehouse) -> DataFrame:
-    return kpis.policy_expiring(w.fact_policy)
+    return kpis.policy_expiring(w.gold.fact_policy)
 
 
 @register("kpi_agent_performance", """
@@ -180,7 +180,7 @@ SELECT dc.CustomerKey,
 FROM fact_policy fp JOIN dim_customer dc ON fp.CustomerKey = dc.CustomerKey
 GROUP BY dc.CustomerKey""")
 def _k11(w: Warehouse) -> DataFrame:
-    return kpis.avg_premium_per_customer(w.fact_policy, w.dim_customer)
+    return kpis.avg_premium_per_customer(w.gold.fact_policy, w.gold.dim_customer)
 
 
 @register("kpi_payment_collection", """
@@ -189,7 +189,7 @@ SELECT COUNT(TransactionID) AS TotalPayments,
        CAST(SUM(Amount_INR) AS DOUBLE) / NULLIF(COUNT(Amount_INR), 0) AS AvgPayment
 FROM fact_payments""")
 def _k12(w: Warehouse) -> DataFrame:
-    return kpis.payment_collection(w.fact_payments)
+    return kpis.payment_collection(w.gold.fact_payments)
 
 
 @register("kpi_loss_ratio_as_written", """
@@ -202,7 +202,7 @@ JOIN dim_vehicle dv ON fp.VehicleKey = dv.VehicleKey
 GROUP BY dv.VehicleMake""")
 def _k13w(w: Warehouse) -> DataFrame:
     """K13 as written (M:N), from per-key aggregates."""
-    return kpis.loss_ratio_by_make_as_written(w.fact_claims, w.fact_policy, w.dim_vehicle)
+    return kpis.loss_ratio_by_make_as_written(w.gold.fact_claims, w.gold.fact_policy, w.gold.dim_vehicle)
 
 
 @register("kpi_loss_ratio", """
@@ -215,7 +215,7 @@ SELECT p.VehicleMake, CAST(s.S AS DOUBLE) / NULLIF(CAST(p.P AS DOUBLE), 0) AS Lo
 FROM p LEFT JOIN s ON p.VehicleMake = s.VehicleMake""")
 def _k13(w: Warehouse) -> DataFrame:
     """K13 corrected: per-make totals aggregated apart."""
-    return kpis.loss_ratio_by_make(w.fact_claims, w.fact_policy, w.dim_vehicle)
+    return kpis.loss_ratio_by_make(w.gold.fact_claims, w.gold.fact_policy, w.gold.dim_vehicle)
 
 
 # ==================================================================== silver
@@ -225,6 +225,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ..functions import protect, text  # noqa: E402
 from ..functions.parse import parse_date, parse_int, rejected  # noqa: E402
 from ..operators import quality, scd2  # noqa: E402
+from ..operators.partitioning import spread  # noqa: E402
 from . import silver  # noqa: E402
 
 # Test-only AES key (a real run passes the key from a secret store).
@@ -379,9 +380,9 @@ def _audit(w: Warehouse) -> DataFrame:
     return quality.audit([
         ("bronze_policies", bronze, "AnnualPremium_INR"),
         ("silver_policies", w.silver_policies, "AnnualPremium_INR"),
-        ("fact_policy", w.fact_policy, "AnnualPremium_INR"),
-        ("fact_claims", w.fact_claims, "SettledAmount_INR"),
-        ("fact_payments", w.fact_payments, "Amount_INR"),
+        ("fact_policy", w.gold.fact_policy, "AnnualPremium_INR"),
+        ("fact_claims", w.gold.fact_claims, "SettledAmount_INR"),
+        ("fact_payments", w.gold.fact_payments, "Amount_INR"),
     ])
 
 
@@ -426,7 +427,7 @@ SELECT doc_id,
 FROM documents""")
 def _mask_pii(w: Warehouse) -> DataFrame:
     """Q7: count and mask e-mails and phone numbers in free text (whole texts)."""
-    d = w.t.documents.select("doc_id", "text")
+    d = spread(w.t.documents.select("doc_id", "text"))
     return d.select("doc_id", text.count_emails("text").alias("n_emails"),
                     text.count_phones("text").alias("n_phones"),
                     text.mask_pii("text").alias("masked_text"))

@@ -19,12 +19,26 @@ from ..sources.tables import Tables
 from . import gold, silver
 
 
+_SHARED: dict[tuple[int, str], "Warehouse"] = {}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
         self.t = Tables(spark, root)
 
+    @classmethod
+    def of(cls, spark: SparkSession, root: str) -> "Warehouse":
+        """The shared (lazy, never materialised) warehouse of a session and
+        data folder: its DataFrames are analysed once and reused by every
+        query, like variables in a notebook."""
+        key = (id(spark), root.rstrip("/"))
+        w = _SHARED.get(key)
+        if w is None or w.spark is not spark:
+            w = _SHARED[key] = cls(spark, root)
+        return w
+
     # silver-level entities (typed views over the test tables)
     @cached_property
     def policies(self) -> DataFrame:
@@ -81,6 +95,16 @@ class Warehouse:
     def fact_payments(self) -> DataFrame:
         return gold.fact_payments(self.payments_typed, self.dim_customer)
 
+    @cached_property
+    def gold(self) -> "Warehouse":
+        """A warehouse whose dimensions and facts are read from tables
+        written once (first use) to the shared work folder -- what the KPIs
+        read, like the reference's KPI cells read the gold fact tables."""
+        g = Warehouse(self.spark, self.root)
+        g.t = self.t
+        g.materialize_facts()
+        return g
+
     def materialize_facts(self, folder: str | None = None) -> str:
         """Write the facts (and the dimensions the KPIs read) as parquet
         under the shared work folder and point this warehouse at them."""
