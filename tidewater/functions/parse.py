@@ -20,7 +20,7 @@ def _c(c: Column | str) -> Column:
 
 def parse_date(c: Column | str, fmt: str | None = None) -> Column:
     """ISO text (``2020-1-5`` and timestamps too) or ``fmt`` -> date; NULL if bad."""
-    return F.try_to_date(_c(c), F.lit(fmt)) if fmt else F.try_to_date(_c(c))
+    return F.try_to_date(_c(c), fmt) if fmt else F.try_to_date(_c(c))
 
 
 def parse_int(c: Column | str) -> Column:
