@@ -96,3 +96,20 @@ def test_ingest_unrouted_and_twice(spark, tmp):
     assert r["FirstName"] != "Ann" and r["_src_country"] == "India"
     assert r["FileName"] == "insurance_customer_2024-05-01.csv"
     assert str(r["SnapshotDate"]) == "2024-05-01"
+
+
+def test_workbook_roundtrip(spark, tmp):
+    import pandas as pd
+
+    from tidewater.sources import workbooks
+
+    pdf = pd.DataFrame({"id": [1, 2, 3], "name": ["a", "b & <c>", None], "when": ["2020-01-05", "43831", "x"]})
+    with open(f"{tmp}/book.xlsx", "wb") as fh:
+        fh.write(workbooks.workbook_bytes(pdf))
+    df = workbooks.read_xlsx(spark, f"{tmp}/book.xlsx", "id bigint, name string, when date, missing int")
+    rows = sorted(tuple(r)[:4] for r in df.collect())
+    import datetime as dt
+    assert rows == [(1, "a", dt.date(2020, 1, 5), None), (2, "b & <c>", dt.date(2020, 1, 1), None),
+                    (3, None, None, None)]
+    with pytest.raises(ValueError):
+        workbooks.read_xlsx(spark, f"{tmp}/book.xlsx", None)

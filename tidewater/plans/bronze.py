@@ -94,7 +94,9 @@ def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFram
             if fmt not in READERS:
                 raise ValueError(f"Unknown file type: {paths[0]}")
             df = READERS[fmt](spark, paths, schemas.get(table))
-            frames.append(df.withColumn("_path", F.col("_metadata.file_path")))
+            src = F.col("_source_path") if "_source_path" in df.columns \
+                else F.col("_metadata.file_path")
+            frames.append(df.withColumn("_path", src))
         df = frames[0]
         for f in frames[1:]:
             df = df.unionByName(f, allowMissingColumns=True)
@@ -103,7 +105,8 @@ def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFram
         df = protect_columns(df, sensitive.get(table, []), key, mode)
         df = stamp(df, country_name(F.lit(country)),
                    snapshot_from_name("_delivery", run_date), F.col("_delivery"))
-        append_partitioned(df.drop("_path", "_delivery"), f"{bronze_root}/{table}")
+        append_partitioned(df.drop("_path", "_delivery", "_source_path"),
+                           f"{bronze_root}/{table}")
     return routed
 
 

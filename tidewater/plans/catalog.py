@@ -793,3 +793,38 @@ def _stream_windows(w: Warehouse) -> DataFrame:
         spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint",
         EVENT_SCHEMA + ", day string", "ts", "event_type", "value")
     return spark.read.parquet(f"{root}/sink")
+
+
+# ============================================================ more sources
+
+from ..sources import workbooks  # noqa: E402
+
+
+@register("scan_workbooks", """
+SELECT * REPLACE (replace(FileName, '.csv', '.xlsx') AS FileName) FROM bronze_customers""")
+def _scan_workbooks(w: Warehouse) -> DataFrame:
+    """A2: the customer extracts land as folders of .xlsx workbooks; the
+    ingest reads them (binaryFile + per-task unzip/XML), encrypts, stamps."""
+    spark = w.spark
+    root = scratch_path(spark, "workbooks")
+    for d in SNAPSHOT_DATES:
+        workbooks.write_xlsx(_land(w.bronze_customers, d),
+                             f"{root}/landing/insurance_customer_{d}.xlsx")
+    bronze.ingest(spark, f"{root}/landing", f"{root}/bronze", bronze.config_frame(spark),
+                  DEMO_KEY, "india")
+    hist = _history(spark, f"{root}/bronze/insurance_customer")
+    plain = protect.unprotect_columns(hist, CUSTOMER_PII, DEMO_KEY, strict=True)
+    return plain.select(*CUSTOMER_FIXTURE_COLS)
+
+
+@register("json_flatten_struct", """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       CAST(value AS DECIMAL(18,2)) * 0 + CAST(json_extract(props, '$.k') AS BIGINT) AS k_plus_zero
+FROM events""")
+def _json_flatten(w: Warehouse) -> DataFrame:
+    """A JSON text column parsed to a struct and flattened to columns."""
+    ev = w.t.events.select("event_id", "event_type", "value",
+                           F.from_json("props", "k bigint").alias("props"))
+    flat = ev.select("event_id", "event_type", "value", "props.*")
+    return flat.select("event_id", "event_type", "k",
+                       (F.col("value").cast("decimal(18,2)") * 0 + F.col("k")).alias("k_plus_zero"))

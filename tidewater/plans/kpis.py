@@ -113,17 +113,26 @@ def customer_claim_behavior(fact_claims: DataFrame, dim_customer: DataFrame) ->
         _dbl(F.col("_s") * F.col("_m")).alias("TotalClaims"))
 
 
-def _side(df: DataFrame, key: str, amount: str, s: str, n: str) -> DataFrame:
-    return (df.where(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.sum(amount).alias(s), F.count(F.lit(1)).alias(n)))
+def _pair_sums(claims: DataFrame, policies: DataFrame, key: str) -> DataFrame:
+    """Per key: settled sum/rows of the claims and premium sum/rows of the
+    policies, from ONE shuffle (the two sides stacked, then aggregated).
+    Keys present on one side only are dropped, like the inner join."""
+    c = claims.select(F.col(key), F.col("SettledAmount_INR").alias("_s"),
+                      F.lit(1).alias("_c"), F.lit(None).cast("decimal(18,2)").alias("_p_sum"),
+                      F.lit(0).alias("_p"))
+    p = policies.select(F.col(key), F.lit(None).cast("decimal(24,4)").alias("_s"),
+                        F.lit(0).alias("_c"), F.col("AnnualPremium_INR").alias("_p_sum"),
+                        F.lit(1).alias("_p"))
+    return (c.unionByName(p).where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.sum("_s").alias("_sum_s"), F.sum("_c").alias("_cnt_c"),
+                 F.sum("_p_sum").alias("_sum_p"), F.sum("_p").alias("_cnt_p"))
+            .where((F.col("_cnt_c") > 0) & (F.col("_cnt_p") > 0)))
 
 
 def loss_ratio_overall_as_written(fact_claims: DataFrame, fact_policy: DataFrame) -> DataFrame:
     """K4 as the reference defines it: SUM(settled)/SUM(premium) over the
     claims x policies join on CustomerKey -- computed without the join."""
-    c = _side(fact_claims, "CustomerKey", "SettledAmount_INR", "_sum_s", "_cnt_c")
-    p = _side(fact_policy, "CustomerKey", "AnnualPremium_INR", "_sum_p", "_cnt_p")
-    j = c.join(p, "CustomerKey")
+    j = _pair_sums(fact_claims, fact_policy, "CustomerKey")
     return j.agg(_ratio(F.sum(F.col("_sum_s") * F.col("_cnt_p")),
                         F.sum(F.col("_sum_p") * F.col("_cnt_c"))).alias("LossRatio"))
 
@@ -157,15 +166,15 @@ def claim_frequency(fact_policy: DataFrame, fact_claims: DataFrame) -> DataFrame
 def loss_ratio_by_make_as_written(fact_claims: DataFrame, fact_policy: DataFrame,
                                   dim_vehicle: DataFrame) -> DataFrame:
     """K13 as written: claims JOIN policies ON VehicleKey JOIN vehicles,
-    grouped by make; pair sums recovered from per-key aggregates."""
-    c = _side(fact_claims, "VehicleKey", "SettledAmount_INR", "_sum_s", "_cnt_c")
-    p = _side(fact_policy, "VehicleKey", "AnnualPremium_INR", "_sum_p", "_cnt_p")
-    v = (dim_vehicle.where(F.col("VehicleKey").isNotNull())
-         .groupBy("VehicleKey", "VehicleMake").agg(F.count(F.lit(1)).alias("_m")))
-    j = c.join(p, "VehicleKey").join(v, "VehicleKey")
+    grouped by make; pair sums recovered from per-key aggregates.  Each
+    vehicle row repeats its key's pairs once, so joining the per-key sums
+    to the raw vehicle rows reproduces the three-way join's multiplicity."""
+    per_key = _pair_sums(fact_claims, fact_policy, "VehicleKey")
+    v = dim_vehicle.select("VehicleKey", "VehicleMake")
+    j = per_key.join(v, "VehicleKey")
     return j.groupBy("VehicleMake").agg(
-        _ratio(F.sum(F.col("_sum_s") * F.col("_cnt_p") * F.col("_m")),
-               F.sum(F.col("_sum_p") * F.col("_cnt_c") * F.col("_m"))).alias("LossRatio"))
+        _ratio(F.sum(F.col("_sum_s") * F.col("_cnt_p")),
+               F.sum(F.col("_sum_p") * F.col("_cnt_c"))).alias("LossRatio"))
 
 
 def loss_ratio_by_make(fact_claims: DataFrame, fact_policy: DataFrame,

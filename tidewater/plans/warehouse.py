@@ -106,11 +106,16 @@ class Warehouse:
         return g
 
     def materialize_facts(self, folder: str | None = None) -> str:
-        """Write the facts (and the dimensions the KPIs read) as parquet
-        under the shared work folder and point this warehouse at them."""
+        """Write the dimensions, then the facts built on the *written*
+        dimensions, under the shared work folder; point this warehouse at
+        the files."""
         folder = folder or scratch_path(self.spark, "gold")
-        for name in ("dim_customer", "dim_vehicle", "fact_policy", "fact_claims", "fact_payments"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-        for name in ("dim_customer", "dim_vehicle", "fact_policy", "fact_claims", "fact_payments"):
-            self.__dict__[name] = self.spark.read.parquet(f"{folder}/{name}")
+        facts = ("fact_policy", "fact_claims", "fact_payments")
+        for name in facts:  # rebuild facts over the written dimensions
+            self.__dict__.pop(name, None)
+        for group in (("dim_customer", "dim_vehicle"), facts):
+            for name in group:
+                getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+            for name in group:
+                self.__dict__[name] = self.spark.read.parquet(f"{folder}/{name}")
         return folder
