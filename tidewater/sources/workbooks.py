@@ -104,9 +104,11 @@ def read_xlsx(spark: SparkSession, paths: Sequence[str] | str,
     for f in target.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DateType):
+            # a bare number is an Excel day serial (Spark would read it as a year)
             serial = F.date_add(F.lit(EXCEL_EPOCH).cast("date"),
                                 c.try_cast("double").cast("int"))
-            cols.append(F.coalesce(F.try_to_date(c), serial).alias(f.name))
+            cols.append(F.when(c.rlike(r"^[0-9]+(\.[0-9]+)?$"), serial)
+                         .otherwise(F.try_to_date(c)).alias(f.name))
         else:
             cols.append(c.try_cast(f.dataType).alias(f.name))
     return text.select(*cols, "_source_path")
