@@ -358,7 +358,7 @@ FROM bp UNPIVOT INCLUDE NULLS (value FOR column_name IN (
 GROUP BY column_name""")
 def _dq_profile(w: Warehouse) -> DataFrame:
     """Q1: null and distinct counts of every bronze policy column."""
-    return quality.profile(w.bronze_policies)
+    return quality.profile(spread(w.bronze_policies))
 
 
 @register("audit_layer_counts", """
@@ -439,7 +439,7 @@ def _mask_pii(w: Warehouse) -> DataFrame:
 SELECT CustomerID, SnapshotDate, FirstName, LastName, Email, Phone FROM bronze_customers""")
 def _encrypt_roundtrip(w: Warehouse) -> DataFrame:
     """C1 + C3 (RT): decrypt(encrypt(x)) = x for the PII columns, ECB."""
-    b = w.bronze_customers.select("CustomerID", "SnapshotDate", *CUSTOMER_PII)
+    b = spread(w.bronze_customers.select("CustomerID", "SnapshotDate", *CUSTOMER_PII))
     enc = protect.protect_columns(b, CUSTOMER_PII, DEMO_KEY, "ECB")
     return protect.unprotect_columns(enc, CUSTOMER_PII, DEMO_KEY, "ECB", strict=True)
 
@@ -451,8 +451,8 @@ FROM bronze_customers""")
 def _encrypt_gcm(w: Warehouse) -> DataFrame:
     """C2 + C4 (RT) with D1: standardise first, encrypt the listed columns
     (GCM, random IV), leave the rest alone; decrypt restores them."""
-    b = silver.clean_customers(w.bronze_customers).select(
-        "CustomerID", "SnapshotDate", *CUSTOMER_PII, "City")
+    b = spread(silver.clean_customers(w.bronze_customers).select(
+        "CustomerID", "SnapshotDate", *CUSTOMER_PII, "City"))
     enc = protect.protect_columns(b, CUSTOMER_PII + ("NotAColumn",), DEMO_KEY, "GCM")
     return protect.unprotect_columns(enc, CUSTOMER_PII, DEMO_KEY, "GCM")
 
@@ -465,7 +465,7 @@ GROUP BY a.Email""")
 def _encrypted_join(w: Warehouse) -> DataFrame:
     """ECB is deterministic, so equi-joins on ciphertext give the
     plaintext answer.  First vs third snapshot, joined on encrypted e-mail."""
-    b = w.bronze_customers.select(
+    b = spread(w.bronze_customers.select("SnapshotDate", "Email")).select(
         "SnapshotDate", protect.encrypt("Email", DEMO_KEY).alias("EmailEnc"))
     a = b.where(F.col("SnapshotDate") == "2024-01-01").select("EmailEnc")
     c = b.where(F.col("SnapshotDate") == "2024-03-01").select("EmailEnc")

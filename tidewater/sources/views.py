@@ -155,12 +155,17 @@ def dim_vehicle(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------- bronze snapshots
 
-def _snapshot_meta(df: DataFrame, snapshot: str, feed: str) -> DataFrame:
-    return df.withColumns({
+def _snapshot_rows(base: DataFrame, feed: str, versions: list[Column],
+                   fields: list[str]) -> DataFrame:
+    """One scan of ``base``; each row emits one row per non-NULL struct in
+    ``versions`` (a snapshot it appears in), stamped like a landed file."""
+    keep = [c for c in base.columns if c not in fields]
+    out = base.select(*keep, F.inline(F.array_compact(F.array(*versions))))
+    out = out.withColumns({
         "_src_country": F.lit(SOURCE_COUNTRY),
-        "SnapshotDate": F.lit(snapshot),
-        "FileName": F.lit(f"{feed}_{snapshot}.csv"),
+        "FileName": F.concat(F.lit(f"{feed}_"), F.col("SnapshotDate"), F.lit(".csv")),
     })
+    return out
 
 
 def bronze_policies(t: Tables) -> DataFrame:
@@ -175,22 +180,28 @@ def bronze_policies(t: Tables) -> DataFrame:
         "PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency",
         "AgentID", "AgentName",
         as_text("CoverageAmount_INR").alias("CoverageAmount_INR"),
-        as_text("AnnualPremium_INR").alias("AnnualPremium_INR"),
+        F.col("AnnualPremium_INR").alias("_premium"),
         as_text("PolicyStartDate").alias("PolicyStartDate"),
         as_text("PolicyEndDate").alias("PolicyEndDate"),
     )
-    s1 = _snapshot_meta(base, SNAPSHOT_DATES[0], "policies_master")
-    s2 = _snapshot_meta(
-        base.where(F.col("PolicyNumber") % 3 == 0).withColumn(
-            "AnnualPremium_INR",
-            (F.col("AnnualPremium_INR").cast(MONEY) * 2).cast("string")),
-        SNAPSHOT_DATES[1], "policies_master")
-    s3 = _snapshot_meta(
-        base.where(F.col("PolicyNumber") % 7 == 0).withColumns({
-            "PolicyType": F.lit(None).cast("string"),
-            "AnnualPremium_INR": F.lit(None).cast("string")}),
-        SNAPSHOT_DATES[2], "policies_master")
-    return s1.unionByName(s2).unionByName(s3)
+    key = F.col("PolicyNumber")
+
+    def version(snapshot: str, ptype: Column, premium: Column) -> Column:
+        return F.struct(ptype.alias("PolicyType"), premium.alias("AnnualPremium_INR"),
+                        F.lit(snapshot).alias("SnapshotDate"))
+
+    versions = [
+        version(SNAPSHOT_DATES[0], F.col("PolicyType"), F.col("_premium").cast("string")),
+        F.when(key % 3 == 0, version(SNAPSHOT_DATES[1], F.col("PolicyType"),
+                                     (F.col("_premium") * 2).cast(MONEY).cast("string"))),
+        F.when(key % 7 == 0, version(SNAPSHOT_DATES[2], F.lit(None).cast("string"),
+                                     F.lit(None).cast("string"))),
+    ]
+    out = _snapshot_rows(base, "policies_master", versions, ["PolicyType", "_premium"])
+    return out.select("PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency",
+                      "AgentID", "AgentName", "CoverageAmount_INR", "AnnualPremium_INR",
+                      "PolicyStartDate", "PolicyEndDate", "_src_country", "SnapshotDate",
+                      "FileName")
 
 
 def bronze_customers(t: Tables) -> DataFrame:
@@ -212,21 +223,24 @@ def bronze_customers(t: Tables) -> DataFrame:
         F.when(key % 97 == 0, F.lit("31/12/2020")).otherwise(dob).alias("DOB"),
         F.when(key % 89 == 0, F.lit("n/a"))
          .otherwise((key % 60 + 18).cast("string")).alias("Age"),
-        F.col("c_mktsegment").alias("City"),
+        F.col("c_mktsegment").alias("_segment"),
         F.col("n_name").alias("State"),
         F.col("r_name").alias("Country"),
     )
-    s1 = _snapshot_meta(base, SNAPSHOT_DATES[0], "insurance_customer")
-    s2 = _snapshot_meta(
-        base.withColumn("City", F.when(F.col("CustomerID") % 5 == 0, F.lit("MOVED"))
-                                 .otherwise(F.col("City"))),
-        SNAPSHOT_DATES[1], "insurance_customer")
-    s3 = _snapshot_meta(
-        base.where(F.col("CustomerID") % 2 == 0)
-            .withColumn("City", F.when(F.col("CustomerID") % 5 == 0, F.lit("MOVED"))
-                                 .otherwise(F.col("City"))),
-        SNAPSHOT_DATES[2], "insurance_customer")
-    return s1.unionByName(s2).unionByName(s3)
+    cid = F.col("CustomerID")
+    moved = F.when(cid % 5 == 0, F.lit("MOVED")).otherwise(F.col("_segment"))
+
+    def version(snapshot: str, city: Column) -> Column:
+        return F.struct(city.alias("City"), F.lit(snapshot).alias("SnapshotDate"))
+
+    versions = [
+        version(SNAPSHOT_DATES[0], F.col("_segment")),
+        version(SNAPSHOT_DATES[1], moved),
+        F.when(cid % 2 == 0, version(SNAPSHOT_DATES[2], moved)),
+    ]
+    out = _snapshot_rows(base, "insurance_customer", versions, ["_segment"])
+    return out.select("CustomerID", "FirstName", "LastName", "Email", "Phone", "DOB", "Age",
+                      "City", "State", "Country", "_src_country", "SnapshotDate", "FileName")
 
 
 def bronze_claims(t: Tables) -> DataFrame:
