@@ -111,17 +111,32 @@ def apply_snapshot(dim: DataFrame, rows: DataFrame, key: str, attrs: Sequence[st
     return hist.unionByName(merged)
 
 
+def _month(c: Column) -> Column:
+    return F.year(c) * 12 + F.month(c)
+
+
 def as_of_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                at: str, how: str = "left") -> DataFrame:
     """M3: attach the dimension version valid at ``facts[at]``.
 
-    Equi-join on the business key plus the interval test.  Per key the
-    dimension holds only its versions, so a hot key is a wide-but-short
-    join that AQE's skew split handles by slicing the fact side."""
-    d = dim.alias("_d")
+    A range join done as an equi-join on (key, month): every version is
+    replicated into each calendar month its interval ``[EffectiveFrom,
+    EffectiveTo)`` touches (an open interval ends at the latest fact date),
+    each fact joins the versions of its key and month, and the interval
+    test keeps the one valid version.  A fact meets only the one or two
+    versions overlapping its month -- never all versions of its key -- and
+    a hot key is spread over its months (AQE's skew split does the rest).
+    """
+    last = facts.select(F.max(F.col(at))).scalar()
+    start = _month(F.col("EffectiveFrom"))
+    end = _month(F.coalesce(F.date_sub(F.col("EffectiveTo"), 1), F.greatest(last, F.col("EffectiveFrom"))))
+    d = (dim.withColumn("_m", F.explode(F.sequence(start, F.greatest(start, end))))
+            .alias("_d"))
+    f = facts.withColumn("_m", _month(F.col(at))).alias("_f")
     cond = [
         F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}"),
+        F.col("_f._m") == F.col("_d._m"),
         F.col("_d.EffectiveFrom") <= F.col(f"_f.{at}"),
         F.col("_d.EffectiveTo").isNull() | (F.col(f"_f.{at}") < F.col("_d.EffectiveTo")),
     ]
-    return facts.alias("_f").join(d, cond, how)
+    return f.join(d, cond, how)

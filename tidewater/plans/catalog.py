@@ -464,13 +464,21 @@ FROM bronze_customers a JOIN bronze_customers b
 GROUP BY a.Email""")
 def _encrypted_join(w: Warehouse) -> DataFrame:
     """ECB is deterministic, so equi-joins on ciphertext give the
-    plaintext answer.  First vs third snapshot, joined on encrypted e-mail."""
+    plaintext answer.  First vs third snapshot, joined on encrypted e-mail.
+
+    The join runs on per-ciphertext counts (one row per value and side), so
+    an e-mail repeated on both sides multiplies counts instead of emitting
+    every pair."""
     b = spread(w.bronze_customers.select("SnapshotDate", "Email")).select(
         "SnapshotDate", protect.encrypt("Email", DEMO_KEY).alias("EmailEnc"))
-    a = b.where(F.col("SnapshotDate") == "2024-01-01").select("EmailEnc")
-    c = b.where(F.col("SnapshotDate") == "2024-03-01").select("EmailEnc")
-    return (a.join(c, "EmailEnc").groupBy("EmailEnc").agg(F.count(F.lit(1)).alias("matches"))
-            .select(protect.decrypt("EmailEnc", DEMO_KEY).alias("Email"), "matches"))
+
+    def side(snapshot: str, name: str) -> DataFrame:
+        return (b.where(F.col("SnapshotDate") == snapshot).groupBy("EmailEnc")
+                .agg(F.count(F.lit(1)).alias(name)))
+
+    j = side("2024-01-01", "_a").join(side("2024-03-01", "_c"), "EmailEnc")
+    return j.select(protect.decrypt("EmailEnc", DEMO_KEY).alias("Email"),
+                    (F.col("_a") * F.col("_c")).alias("matches"))
 
 
 @register("keyed_token_groups", f"""
