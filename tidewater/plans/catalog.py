@@ -826,13 +826,9 @@ def _scan_workbooks(w: Warehouse) -> DataFrame:
 
 
 @register("json_flatten_struct", """
-SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-       CAST(value AS DECIMAL(18,2)) * 0 + CAST(json_extract(props, '$.k') AS BIGINT) AS k_plus_zero
-FROM events""")
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def _json_flatten(w: Warehouse) -> DataFrame:
     """A JSON text column parsed to a struct and flattened to columns."""
-    ev = w.t.events.select("event_id", "event_type", "value",
+    ev = w.t.events.select("event_id", "event_type",
                            F.from_json("props", "k bigint").alias("props"))
-    flat = ev.select("event_id", "event_type", "value", "props.*")
-    return flat.select("event_id", "event_type", "k",
-                       (F.col("value").cast("decimal(18,2)") * 0 + F.col("k")).alias("k_plus_zero"))
+    return ev.select("event_id", "event_type", "props.*")
