@@ -165,6 +165,19 @@ def _k9e(w: Warehouse) -> DataFrame:
     return kpis.policy_expiring(w.gold.fact_policy)
 
 
+@register("kpi_policy_fused", """
+SELECT CASE GROUPING(PolicyType, StartYear, EndYear) WHEN 3 THEN 'by_policy_type'
+            WHEN 5 THEN 'new_by_year' ELSE 'expiring_by_year' END AS "Grouping",
+       PolicyType, StartYear, EndYear, COUNT(*) AS Policies,
+       CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
+FROM (SELECT PolicyType, CAST(year(PolicyStartDate) AS INTEGER) AS StartYear,
+             CAST(year(PolicyEndDate) AS INTEGER) AS EndYear, AnnualPremium_INR FROM fact_policy)
+GROUP BY GROUPING SETS ((PolicyType), (StartYear), (EndYear))""")
+def _k_fused(w: Warehouse) -> DataFrame:
+    """K2 + K9 (new and expiring) in one scan of the fact."""
+    return kpis.policy_kpis_fused(w.gold.fact_policy)
+
+
 @register("kpi_agent_performance", """
 SELECT AgentID, AgentName, COUNT(*) AS PoliciesSold,
        CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium

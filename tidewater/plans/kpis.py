@@ -72,6 +72,25 @@ def policy_expiring(fact_policy: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("ExpiringPolicies"))
 
 
+def policy_kpis_fused(fact_policy: DataFrame) -> DataFrame:
+    """SURVEY O4: K2, K9 and the expiring half of K9 from ONE scan of the
+    policy fact, as GROUPING SETS; ``Grouping`` names the KPI of each row.
+    (K1's exact distinct count stays separate: inside grouping sets it
+    would replicate the rows once per set before the distinct shuffle.)"""
+    fp = fact_policy.select(
+        "PolicyType", F.year("PolicyStartDate").alias("StartYear"),
+        F.year("PolicyEndDate").alias("EndYear"), "AnnualPremium_INR")
+    g = fp.groupingSets([["PolicyType"], ["StartYear"], ["EndYear"]],
+                        "PolicyType", "StartYear", "EndYear")
+    out = g.agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("Policies"),
+                _dbl(F.sum("AnnualPremium_INR")).alias("TotalPremium"))
+    label = (F.when(F.col("_gid") == 3, "by_policy_type")
+              .when(F.col("_gid") == 5, "new_by_year")
+              .otherwise("expiring_by_year"))
+    return out.select(label.alias("Grouping"), "PolicyType", "StartYear", "EndYear",
+                      "Policies", "TotalPremium")
+
+
 def agent_performance(policies: DataFrame) -> DataFrame:
     """K10 (reads silver policies)."""
     return policies.groupBy("AgentID", "AgentName").agg(
