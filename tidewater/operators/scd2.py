@@ -42,13 +42,17 @@ def hash_key(*cols: str) -> Column:
 
 def _one_per_snapshot(rows: DataFrame, key: str, snapshot: str,
                       order: Sequence[Column] = ()) -> DataFrame:
-    """Latest row per (key, snapshot), hash-partitioned by the key alone.
-
-    ``hash(key)`` also clusters (key, snapshot), so this one exchange serves
-    the dedup window and every per-key window after it.  A key has one row
-    per snapshot, so its partition share is bounded by the snapshot count."""
-    keyed = rows.where(F.col(key).isNotNull()).repartition(key)
-    return latest_per_key(keyed, [key, snapshot], list(order) or [F.lit(0)])
+    """Latest row per (key, snapshot).
+
+    Its own exchange on (key, snapshot), with the partial WindowGroupLimit
+    in front of it: re-delivered copies of a file collapse map-side before
+    anything moves.  (One exchange on the key alone would serve this and
+    the later per-key windows, but would send every copy of a hot
+    (key, snapshot) to one task.)  After it a key has one row per
+    snapshot, so the per-key windows see groups bounded by the snapshot
+    count."""
+    return latest_per_key(rows.where(F.col(key).isNotNull()), [key, snapshot],
+                          list(order) or [F.lit(0)])
 
 
 def build(rows: DataFrame, key: str, attrs: Sequence[str], snapshot: str,
