@@ -101,11 +101,14 @@ def agent_performance(policies: DataFrame) -> DataFrame:
 def avg_premium_per_customer(fact_policy: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """K11.  The reference joins the dimension only to group by its key;
     duplicating a policy row k times leaves its average unchanged, so a
-    semi join (existence of the key) is exact and adds no rows."""
+    semi join (existence of the key) is exact.  Policies are summed per key
+    first (partial aggregation map-side), then the per-key rows meet the
+    dimension keys."""
+    per_key = fact_policy.groupBy("CustomerKey").agg(
+        F.sum("AnnualPremium_INR").alias("_s"), F.count("AnnualPremium_INR").alias("_n"))
     keys = dim_customer.select("CustomerKey")
-    return (fact_policy.join(keys, "CustomerKey", "left_semi")
-            .groupBy("CustomerKey")
-            .agg(_mean("AnnualPremium_INR").alias("AvgPremium")))
+    return (per_key.join(keys, "CustomerKey", "left_semi")
+            .select("CustomerKey", F.try_divide(_dbl(F.col("_s")), F.col("_n")).alias("AvgPremium")))
 
 
 # ------------------------------------------------------------------ claims
@@ -199,13 +202,15 @@ def loss_ratio_by_make_as_written(fact_claims: DataFrame, fact_policy: DataFrame
 def loss_ratio_by_make(fact_claims: DataFrame, fact_policy: DataFrame,
                        dim_vehicle: DataFrame) -> DataFrame:
     """K13 corrected: settled claims per make over premium per make, each
-    summed once (claims and policies attach to a make through their vehicle)."""
+    summed once (claims and policies attach to a make through their vehicle).
+    Both facts are summed per vehicle first, so only one row per vehicle and
+    side reaches the join with the dimension."""
     v = dim_vehicle.where(F.col("IsCurrent")).select("VehicleKey", "VehicleMake")
-    s = (fact_claims.join(v, "VehicleKey").groupBy("VehicleMake")
-         .agg(F.sum("SettledAmount_INR").alias("_S")))
-    p = (fact_policy.join(v, "VehicleKey").groupBy("VehicleMake")
-         .agg(F.sum("AnnualPremium_INR").alias("_P")))
-    return p.join(s, "VehicleMake", "left").select(
+    s = fact_claims.groupBy("VehicleKey").agg(F.sum("SettledAmount_INR").alias("_S"))
+    p = fact_policy.groupBy("VehicleKey").agg(F.sum("AnnualPremium_INR").alias("_P"))
+    s_make = s.join(v, "VehicleKey").groupBy("VehicleMake").agg(F.sum("_S").alias("_S"))
+    p_make = p.join(v, "VehicleKey").groupBy("VehicleMake").agg(F.sum("_P").alias("_P"))
+    return p_make.join(s_make, "VehicleMake", "left").select(
         "VehicleMake", _ratio(F.col("_S"), F.col("_P")).alias("LossRatio"))
 
 
