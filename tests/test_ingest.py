@@ -113,3 +113,14 @@ def test_workbook_roundtrip(spark, tmp):
                     (3, None, None, None)]
     with pytest.raises(ValueError):
         workbooks.read_xlsx(spark, f"{tmp}/book.xlsx", None)
+
+
+def test_evolve_conflicting_type_fails_loudly(spark, tmp):
+    """A column whose type changes between snapshots is not silently merged."""
+    path = f"{tmp}/bronze"
+    provenance.append_partitioned(
+        spark.createDataFrame([(1, "2024-01-01")], "x int, SnapshotDate string"), path)
+    provenance.append_partitioned(
+        spark.createDataFrame([("a", "2024-02-01")], "x string, SnapshotDate string"), path)
+    with pytest.raises(Exception):
+        provenance.read_history(spark, path).collect()

@@ -79,3 +79,19 @@ def test_sensitive_list(spark):
     df = spark.createDataFrame(rows, "s string")
     got = [r[0] for r in df.select(split_list("s")).collect()]
     assert got == [[], [], [], ["A", "B"], ["A", "A"]]
+
+
+def test_overdue_variant(spark):
+    rows = [("2024-01-05", None), ("2024-03-05", None), ("2024-01-05", "2024-01-04")]
+    df = spark.createDataFrame(rows, "ScheduledDate string, PaidDate string").select(
+        F.to_date("ScheduledDate").alias("ScheduledDate"), F.to_date("PaidDate").alias("PaidDate"))
+    got = [r[0] for r in df.select(silver.overdue_flag("2024-02-01")).collect()]
+    assert got == [1, 0, 0]   # unpaid and past due / not yet due / paid early
+
+
+def test_pii_masking(spark):
+    from tidewater.functions import text
+    df = spark.createDataFrame([("mail a.b@x.org or +91 (020) 555-1234, not 12-34",)], "t string")
+    r = df.select(text.count_emails("t"), text.count_phones("t"), text.mask_pii("t")).first()
+    assert r[0] == 1 and r[1] == 1
+    assert r[2] == "mail <EMAIL> or <PHONE>, not 12-34"

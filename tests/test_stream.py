@@ -29,3 +29,20 @@ def test_late_event_dropped(spark, tmp):
                                 "ts timestamp_ntz, k string, v double", "ts", "k", "v")
     rows = sorted((str(r["window_start"]), r["total_value"]) for r in spark.read.parquet(f"{tmp}/sink").collect())
     assert rows == [("2024-01-01 05:00:00", 1.0), ("2024-01-01 06:00:00", 2.0)]
+
+
+def test_latest_state_stream_replays_nothing_twice(spark, tmp):
+    from pyspark.sql import functions as F
+    land = f"{tmp}/land"
+    os.makedirs(f"{land}/d1")
+    os.makedirs(f"{land}/d2")
+    with open(f"{land}/d1/a.csv", "w") as f:
+        f.write("k,v,s\n1,old,2024-01-01\n2,x,2024-01-01\n")
+    with open(f"{land}/d2/b.csv", "w") as f:
+        f.write("k,v,s\n1,new,2024-02-01\n1,older,2023-12-01\n")
+    for _ in range(2):   # second run: no new files, no new batch
+        jobs.latest_state_stream(spark, land, f"{tmp}/log", f"{tmp}/ckpt", "k int, v string, s string",
+                                 "k", [F.to_date("s")], max_files=1)
+    got = sorted((r["k"], r["v"]) for r in jobs.read_latest(spark, f"{tmp}/log", "k").collect())
+    assert got == [(1, "new"), (2, "x")]
+    assert spark.read.parquet(f"{tmp}/log").select("batch_id").distinct().count() == 2
