@@ -845,3 +845,47 @@ def _json_flatten(w: Warehouse) -> DataFrame:
     ev = w.t.events.select("event_id", "event_type",
                            F.from_json("props", "k bigint").alias("props"))
     return ev.select("event_id", "event_type", "props.*")
+
+
+# ============================================================ SQL on tables
+
+@register("sql_kpi_claims_summary", """
+SELECT COUNT(ClaimID) AS TotalClaims,
+       CAST(SUM(ClaimAmount_INR) AS DOUBLE) AS ClaimedAmount,
+       CAST(SUM(SettledAmount_INR) AS DOUBLE) AS SettledAmount
+FROM fact_claims""")
+def _sql_claims_summary(w: Warehouse) -> DataFrame:
+    """A6 + B3/B4: the layers published as catalog tables; the claims
+    summary written as SQL against ``gold.fact_claims``."""
+    w.published  # noqa: B018 -- write and register the layers once
+    return w.spark.sql("""
+        SELECT COUNT(ClaimID) AS TotalClaims,
+               CAST(SUM(ClaimAmount_INR) AS DOUBLE) AS ClaimedAmount,
+               CAST(SUM(SettledAmount_INR) AS DOUBLE) AS SettledAmount
+        FROM gold.fact_claims""")
+
+
+@register("sql_kpi_agent_performance", """
+SELECT AgentID, AgentName, COUNT(*) AS PoliciesSold,
+       CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
+FROM policies GROUP BY AgentID, AgentName""")
+def _sql_agent_performance(w: Warehouse) -> DataFrame:
+    """Agent performance as SQL against ``silver.policies``."""
+    w.published  # noqa: B018
+    return w.spark.sql("""
+        SELECT AgentID, AgentName, COUNT(*) AS PoliciesSold,
+               CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
+        FROM silver.policies GROUP BY AgentID, AgentName""")
+
+
+@register("sql_fact_payments_star", """
+SELECT p.TransactionID, dc.CustomerKey, CAST(p.Amount_INR AS DOUBLE) AS Amount_INR, p.PaidDate
+FROM payments p JOIN dim_customer dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent = true""")
+def _sql_fact_payments(w: Warehouse) -> DataFrame:
+    """F3 as a SQL star join over the catalog tables (J1: current row in ON)."""
+    w.published  # noqa: B018
+    return w.spark.sql("""
+        SELECT p.TransactionID, dc.CustomerKey, CAST(p.Amount_INR AS DOUBLE) AS Amount_INR,
+               p.PaidDate
+        FROM silver.payments p
+        JOIN gold.dim_customer dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent = true""")

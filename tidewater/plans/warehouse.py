@@ -105,6 +105,32 @@ class Warehouse:
         g.materialize_facts()
         return g
 
+    def publish(self, folder: str | None = None, silver_db: str = "silver",
+                gold_db: str = "gold") -> str:
+        """Write the silver entities, dimensions and facts once and register
+        them as catalog tables (``silver.policies`` ... ``gold.fact_policy``)
+        so SQL written against the layer names runs unchanged."""
+        from ..operators.catalog_tables import create_or_replace_table, ensure_database, register_table
+        folder = folder or scratch_path(self.spark, "catalog")
+        ensure_database(self.spark, silver_db, f"{folder}/{silver_db}.db")
+        ensure_database(self.spark, gold_db, f"{folder}/{gold_db}.db")
+        for table, df in (("policies", self.policies_with_agent), ("claims", self.claims),
+                          ("payments", self.payments)):
+            create_or_replace_table(self.spark, df, silver_db, table, f"{folder}/{silver_db}/{table}")
+        gold_folder = f"{folder}/{gold_db}"
+        self.materialize_facts(gold_folder)
+        for name in ("dim_customer", "dim_vehicle", "fact_policy", "fact_claims", "fact_payments"):
+            register_table(self.spark, gold_db, name, f"{gold_folder}/{name}")
+        return folder
+
+    @cached_property
+    def published(self) -> "Warehouse":
+        """A warehouse whose layers are published as catalog tables (once)."""
+        g = Warehouse(self.spark, self.root)
+        g.t = self.t
+        g.publish()
+        return g
+
     def materialize_facts(self, folder: str | None = None) -> str:
         """Write the dimensions, then the facts built on the *written*
         dimensions, under the shared work folder; point this warehouse at
