@@ -124,3 +124,25 @@ def test_evolve_conflicting_type_fails_loudly(spark, tmp):
         spark.createDataFrame([("a", "2024-02-01")], "x string, SnapshotDate string"), path)
     with pytest.raises(Exception):
         provenance.read_history(spark, path).collect()
+
+
+def test_catalog_tables_follow_the_warehouse(spark):
+    """Two data folders in one session: SQL binds to the caller's tables."""
+    from tidewater.plans.catalog import QUERIES
+    a = QUERIES["sql_kpi_claims_summary"](spark, "/root/testdata/sf0.001").first()["TotalClaims"]
+    b = QUERIES["sql_kpi_claims_summary"](spark, "/root/testdata/sf0.01").first()["TotalClaims"]
+    a2 = QUERIES["sql_kpi_claims_summary"](spark, "/root/testdata/sf0.001").first()["TotalClaims"]
+    assert a == a2 and b == 20046 and a < b
+
+
+def test_create_or_replace_table(spark, tmp):
+    from tidewater.operators.catalog_tables import create_or_replace_table, ensure_database
+    ensure_database(spark, "tw_test", f"{tmp}/tw_test.db")
+    a = spark.createDataFrame([(1,), (2,)], "x int")
+    create_or_replace_table(spark, a, "tw_test", "t", f"{tmp}/t")
+    assert spark.sql("SELECT SUM(x) AS s FROM tw_test.t").first()["s"] == 3
+    b = spark.createDataFrame([(10,)], "x int")
+    create_or_replace_table(spark, b, "tw_test", "t", f"{tmp}/t")   # replace
+    assert spark.sql("SELECT SUM(x) AS s FROM tw_test.t").first()["s"] == 10
+    with pytest.raises(ValueError):
+        create_or_replace_table(spark, b, "tw_test", "t; DROP", f"{tmp}/t")

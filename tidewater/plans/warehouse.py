@@ -105,37 +105,39 @@ class Warehouse:
         g.materialize_facts()
         return g
 
-    def publish(self, folder: str | None = None, silver_db: str = "silver",
-                gold_db: str = "gold") -> str:
-        """Write the silver entities, dimensions and facts once and register
-        them as catalog tables (``silver.policies`` ... ``gold.fact_policy``)
-        so SQL written against the layer names runs unchanged."""
-        from ..operators.catalog_tables import create_or_replace_table, ensure_database, register_table
-        folder = folder or scratch_path(self.spark, "catalog")
-        ensure_database(self.spark, silver_db, f"{folder}/{silver_db}.db")
-        ensure_database(self.spark, gold_db, f"{folder}/{gold_db}.db")
-        for table, df in (("policies", self.policies_with_agent), ("claims", self.claims),
-                          ("payments", self.payments)):
-            create_or_replace_table(self.spark, df, silver_db, table, f"{folder}/{silver_db}/{table}")
-        gold_folder = f"{folder}/{gold_db}"
-        self.materialize_facts(gold_folder)
-        for name in ("dim_customer", "dim_vehicle", "fact_policy", "fact_claims", "fact_payments"):
-            register_table(self.spark, gold_db, name, f"{gold_folder}/{name}")
-        return folder
-
     @cached_property
     def published(self) -> "Warehouse":
-        """A warehouse whose layers are published as catalog tables (once)."""
-        g = Warehouse(self.spark, self.root)
-        g.t = self.t
-        g.publish()
+        """This warehouse's layers written once: the gold tables of
+        ``gold`` plus the silver entities (``policies``, ``claims``,
+        ``payments``).  ``register_catalog`` names them in the catalog."""
+        g = self.gold
+        folder = g.folder.rsplit("/", 1)[0] + "/silver"
+        for table, df in (("policies", self.policies_with_agent), ("claims", self.claims),
+                          ("payments", self.payments)):
+            df.write.mode("overwrite").parquet(f"{folder}/{table}")
+        g.silver_folder = folder
         return g
 
+    def register_catalog(self, silver_db: str = "silver", gold_db: str = "gold") -> None:
+        """Point ``silver.*`` and ``gold.*`` catalog tables at this
+        (published) warehouse's folders.  Table names are session-wide, so
+        call this right before SQL that should read *these* folders; a
+        DataFrame binds to the files when ``spark.sql`` analyses it."""
+        from ..operators.catalog_tables import ensure_database, register_table
+        base = self.folder.rsplit("/", 1)[0]
+        ensure_database(self.spark, silver_db, f"{base}/{silver_db}.db")
+        ensure_database(self.spark, gold_db, f"{base}/{gold_db}.db")
+        for table in ("policies", "claims", "payments"):
+            register_table(self.spark, silver_db, table, f"{self.silver_folder}/{table}")
+        for name in ("dim_customer", "dim_vehicle", "fact_policy", "fact_claims", "fact_payments"):
+            register_table(self.spark, gold_db, name, f"{self.folder}/{name}")
+
     def materialize_facts(self, folder: str | None = None) -> str:
         """Write the dimensions, then the facts built on the *written*
         dimensions, under the shared work folder; point this warehouse at
         the files."""
-        folder = folder or scratch_path(self.spark, "gold")
+        folder = folder or scratch_path(self.spark, "warehouse") + "/gold"
+        self.folder = folder
         facts = ("fact_policy", "fact_claims", "fact_payments")
         for name in facts:  # rebuild facts over the written dimensions
             self.__dict__.pop(name, None)
