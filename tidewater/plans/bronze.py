@@ -79,7 +79,7 @@ def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFram
     Returns the routing report (one row per file; ``table_name`` NULL for
     files no active pattern matches -- they are reported, not fatal)."""
     schemas = schemas or TABLE_SCHEMAS
-    routed = route_files(landed(spark, landing), config, name_col="delivery").cache()
+    routed = route_files(landed(spark, landing), config, name_col="delivery")
     plan = routed.where(F.col("table_name").isNotNull()).select(
         "path", "format", "table_name", "sensitive_list").collect()
     by_table: dict[str, dict[str, list[str]]] = {}

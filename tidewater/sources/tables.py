@@ -40,6 +40,11 @@ class Tables:
             _RESOLVED[key] = df
         return df
 
+    @staticmethod
+    def refresh() -> None:
+        """Forget resolved tables (call after new files land in a table)."""
+        _RESOLVED.clear()
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
             return self.read(name)

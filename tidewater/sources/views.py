@@ -18,7 +18,10 @@ from .tables import Tables
 
 MONEY = "decimal(18,2)"
 
-# Fixed values of the test mapping (FIXTURES.md section 3)
+# Fixed values of the test mapping (FIXTURES.md section 3).  The modulo
+# rules below define the fixture's *content* -- which policies insure a
+# vehicle, which customers moved, which snapshot re-delivers a policy --
+# they never sample: every row of the source tables is read and used.
 COVERAGE_MULTIPLE = 20          # CoverageAmount = 20 x premium
 POLICY_TERM_DAYS = 365          # PolicyEndDate = start + 365 days
 CLAIM_SETTLE_DAYS = 30          # SettlementDate = ClaimDate + 30 days
