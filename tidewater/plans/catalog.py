@@ -889,3 +889,70 @@ def _sql_fact_payments(w: Warehouse) -> DataFrame:
                p.PaidDate
         FROM silver.payments p
         JOIN gold.dim_customer dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent = true""")
+
+
+# ============================================================ layer run
+
+from . import layers  # noqa: E402
+from ..sources import views as _views  # noqa: E402
+
+
+def _layer_run(w: Warehouse) -> layers.Gold:
+    """Land every entity extract as CSV, then bronze -> silver -> gold over
+    files, exactly as a daily run would (once per warehouse)."""
+    run = w.__dict__.get("_layer_run")
+    if run is not None:
+        return run
+    spark = w.spark
+    root = scratch_path(spark, "layers")
+    land = f"{root}/landing"
+    for d in SNAPSHOT_DATES:
+        (_land(w.bronze_customers, d).write.option("header", True)
+         .csv(f"{land}/insurance_customer_{d}.csv"))
+        (_land(w.bronze_policies, d).write.option("header", True)
+         .csv(f"{land}/policies_master_{d}.csv"))
+    last = SNAPSHOT_DATES[-1]
+    _views.bronze_claims(w.t).write.option("header", True).csv(f"{land}/policy_claims_{last}.csv")
+    _views.bronze_payments(w.t).write.option("header", True).csv(f"{land}/policy_payments_{last}.csv")
+    bronze.ingest(spark, land, f"{root}/bronze", bronze.config_frame(spark), DEMO_KEY, "india")
+    layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", DEMO_KEY)
+    run = layers.run_gold(spark, f"{root}/silver", f"{root}/gold", w.dim_vehicle)
+    w.__dict__["_layer_run"] = run
+    return run
+
+
+@register("layers_dim_customer", "SELECT * FROM dim_customer_scd2")
+def _layers_dim(w: Warehouse) -> DataFrame:
+    """Landed files -> bronze -> silver -> gold: the customer dimension
+    (SCD2 over the silver customer snapshots) equals the direct build."""
+    return _layer_run(w).dim_customer.select(*SCD2_COLUMNS)
+
+
+@register("layers_kpi_premium_by_policy_type", """
+SELECT PolicyType, COUNT(*) AS PolicyCount,
+       CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
+FROM layer_fact_policy GROUP BY PolicyType""")
+def _layers_k2(w: Warehouse) -> DataFrame:
+    """K2 on the layer run's policy fact (deduplicated, filled silver
+    policies on the SCD2 customer dimension)."""
+    return kpis.premium_by_policy_type(_layer_run(w).fact_policy)
+
+
+@register("layers_kpi_loss_ratio_overall_as_written", """
+SELECT CAST(SUM(fc.SettledAmount_INR) AS DOUBLE)
+       / NULLIF(CAST(SUM(fp.AnnualPremium_INR) AS DOUBLE), 0) AS LossRatio
+FROM layer_fact_claims fc JOIN layer_fact_policy fp ON fc.CustomerKey = fp.CustomerKey""")
+def _layers_k4(w: Warehouse) -> DataFrame:
+    """K4 as written on the layer run's facts."""
+    g = _layer_run(w)
+    return kpis.loss_ratio_overall_as_written(g.fact_claims, g.fact_policy)
+
+
+@register("layers_payments_collection", """
+SELECT COUNT(p.TransactionID) AS TotalPayments,
+       CAST(SUM(p.Amount_INR) AS DOUBLE) AS TotalCollected,
+       CAST(SUM(p.Amount_INR) AS DOUBLE) / NULLIF(COUNT(p.Amount_INR), 0) AS AvgPayment
+FROM payments p JOIN dim_customer_scd2 dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent""")
+def _layers_k12(w: Warehouse) -> DataFrame:
+    """K12 on the layer run's payment fact."""
+    return kpis.payment_collection(_layer_run(w).fact_payments)

@@ -145,6 +145,17 @@ VIEWS = {
           FROM bronze_customers WHERE CustomerID IS NOT NULL)
     WINDOW w AS (PARTITION BY CustomerID ORDER BY SnapshotDate)
   ) WHERE changed""",
+    # facts of the layer run: silver policies / claims on the SCD2 dimension
+    "layer_fact_policy": """
+  SELECT dc.CustomerKey, dv.VehicleKey, sp.PolicyNumber, sp.PolicyType, sp.AnnualPremium_INR
+  FROM silver_policies sp
+  JOIN dim_customer_scd2 dc ON sp.CustomerID = dc.CustomerID AND dc.IsCurrent
+  LEFT JOIN dim_vehicle dv ON sp.PolicyNumber = dv.PolicyNumber AND dv.IsCurrent""",
+    "layer_fact_claims": """
+  SELECT c.ClaimID, dc.CustomerKey, dv.VehicleKey, c.SettledAmount_INR
+  FROM claims c
+  JOIN dim_customer_scd2 dc ON c.CustomerID = dc.CustomerID AND dc.IsCurrent
+  LEFT JOIN dim_vehicle dv ON c.PolicyNumber = dv.PolicyNumber AND dv.IsCurrent""",
 }
 
 _VIEW_ORDER = list(VIEWS)
