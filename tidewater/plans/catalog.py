@@ -9,8 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from . import gold, kpis
+from pyspark.sql import functions as F
+
+from ..functions import protect, text
+from ..functions.parse import parse_date, parse_int, rejected
+from ..operators import provenance, quality, routing, scd2
+from ..operators.partitioning import spread
+from ..session import scratch_path
+from ..sources import views as _views
+from ..sources import workbooks
+from ..sources.views import SNAPSHOT_DATES
+from ..streaming import jobs as stream_jobs
+from . import bronze, gold, kpis, layers, silver
 from .oracle import with_views
 from .warehouse import Warehouse
 
@@ -233,13 +243,7 @@ def _k13(w: Warehouse) -> DataFrame:
 
 # ==================================================================== silver
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from ..functions import protect, text  # noqa: E402
-from ..functions.parse import parse_date, parse_int, rejected  # noqa: E402
-from ..operators import quality, scd2  # noqa: E402
-from ..operators.partitioning import spread  # noqa: E402
-from . import silver  # noqa: E402
 
 # Test-only AES key (a real run passes the key from a secret store).
 DEMO_KEY = "0123456789abcdef"
@@ -276,8 +280,7 @@ SELECT ClaimID, CustomerID, PolicyNumber, ClaimDate, SettlementDate,
 FROM claims""")
 def _silver_claims(w: Warehouse) -> DataFrame:
     """L3: claims landed as text, typed back."""
-    from ..sources import views
-    return gold.money_as_double(silver.clean_claims(views.bronze_claims(w.t)))
+    return gold.money_as_double(silver.clean_claims(_views.bronze_claims(w.t)))
 
 
 @register("payments_late_flag", """
@@ -529,7 +532,7 @@ def _dim_increment(w: Warehouse) -> DataFrame:
     """M4: build from the first snapshot, then merge the later ones one by
     one; must equal the full rebuild."""
     rows = _customer_snapshots(w)
-    dates = sorted(v for v in views_snapshot_dates())
+    dates = sorted(SNAPSHOT_DATES)
     dim = _build_customer_dim(rows.where(F.col("SnapshotDate") == F.lit(dates[0]).cast("date")))
     for d in dates[1:]:
         dim = scd2.apply_snapshot(dim, rows.where(F.col("SnapshotDate") == F.lit(d).cast("date")),
@@ -538,11 +541,6 @@ def _dim_increment(w: Warehouse) -> DataFrame:
     return dim.select(*SCD2_COLUMNS)
 
 
-def views_snapshot_dates():
-    from ..sources.views import SNAPSHOT_DATES
-    return SNAPSHOT_DATES
-
-
 @register("fact_events_point_in_time", """
 SELECT e.event_id, e.user_id AS CustomerID, CAST(e.ts AS DATE) + 30 AS LookupDate,
        d.CustomerKey, d.City, d.IsCurrent
@@ -561,10 +559,6 @@ def _point_in_time(w: Warehouse) -> DataFrame:
 
 # ================================================================= ingestion
 
-from ..operators import provenance, routing  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources.views import SNAPSHOT_DATES  # noqa: E402
-from . import bronze  # noqa: E402
 
 CUSTOMER_FIXTURE_COLS = ("CustomerID", "FirstName", "LastName", "Email", "Phone", "DOB",
                          "Age", "City", "State", "Country", "_src_country", "SnapshotDate",
@@ -736,7 +730,6 @@ def _route_equi(w: Warehouse) -> DataFrame:
 
 # ================================================================= streaming
 
-from ..streaming import jobs as stream_jobs  # noqa: E402
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                 "value double, props string")
@@ -760,12 +753,10 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
     spark = w.spark
     root = scratch_path(spark, "stream-ingest")
     _land_events_by_day(w, f"{root}/landing")
-    spark_ntz = spark.conf.get("spark.sql.csv.timestampNTZFormat", None)
     for _ in range(2):
         stream_jobs.ingest_stream(spark, f"{root}/landing", f"{root}/bronze",
                                   f"{root}/checkpoint", EVENT_SCHEMA + ", day string",
                                   "unitedkingdom", archive_dir=f"{root}/archive")
-    del spark_ntz
     out = spark.read.parquet(f"{root}/bronze")
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props",
                       "_src_country", F.col("SnapshotDate").cast("string").alias("SnapshotDate"))
@@ -818,7 +809,6 @@ def _stream_windows(w: Warehouse) -> DataFrame:
 
 # ============================================================ more sources
 
-from ..sources import workbooks  # noqa: E402
 
 
 @register("scan_workbooks", """
@@ -893,8 +883,6 @@ def _sql_fact_payments(w: Warehouse) -> DataFrame:
 
 # ============================================================ layer run
 
-from . import layers  # noqa: E402
-from ..sources import views as _views  # noqa: E402
 
 
 def _layer_run(w: Warehouse) -> layers.Gold:
