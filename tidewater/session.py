@@ -67,6 +67,9 @@ def work_dir(spark: SparkSession) -> str:
         return current.rstrip("/").rsplit("/", 1)[0]
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a temp folder on the driver is invisible to executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
