@@ -24,6 +24,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # streaming state (the latest row of every key in ST2) lives off-heap in
+    # RocksDB, checkpointed with the query, instead of in executor memory
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
