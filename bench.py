@@ -23,7 +23,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tidewater.plans import kpis  # noqa: E402
+from tidewater.plans import kpis, layers  # noqa: E402
 from tidewater.plans.catalog import QUERIES  # noqa: E402
 from tidewater.plans.warehouse import Warehouse  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
@@ -47,25 +47,13 @@ def run_noop(df) -> None:
 
 
 def gold_run(spark, root: str) -> None:
-    """End to end: write dims + facts once, then every KPI from the files."""
+    """End to end: write dims + facts once, then every KPI table from the
+    files (independent KPI jobs submitted a few at a time)."""
     w = Warehouse(spark, root)
-    w.materialize_facts()
-    for df in (
-        kpis.portfolio_overview(w.fact_policy), kpis.premium_by_policy_type(w.fact_policy),
-        kpis.claims_summary(w.fact_claims),
-        kpis.loss_ratio_overall_as_written(w.fact_claims, w.fact_policy),
-        kpis.loss_ratio_overall(w.fact_claims, w.fact_policy),
-        kpis.claim_frequency(w.fact_policy, w.fact_claims),
-        kpis.customer_distribution(w.dim_customer),
-        kpis.customer_claim_behavior(w.fact_claims, w.dim_customer),
-        kpis.payment_frequency_mix(w.policies), kpis.policy_lifecycle(w.fact_policy),
-        kpis.agent_performance(w.policies_with_agent),
-        kpis.avg_premium_per_customer(w.fact_policy, w.dim_customer),
-        kpis.payment_collection(w.fact_payments),
-        kpis.loss_ratio_by_make_as_written(w.fact_claims, w.fact_policy, w.dim_vehicle),
-        kpis.loss_ratio_by_make(w.fact_claims, w.fact_policy, w.dim_vehicle),
-    ):
-        run_noop(df)
+    folder = w.materialize_facts()
+    tables = layers.kpi_tables(w.fact_policy, w.fact_claims, w.fact_payments,
+                               w.dim_customer, w.dim_vehicle, w.policies_with_agent)
+    layers.run_kpis(tables, folder.rsplit("/", 1)[0] + "/kpi", max_parallel=4)
 
 
 def loss_ratio_from_views(spark, root: str):

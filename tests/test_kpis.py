@@ -63,3 +63,16 @@ def test_no_cartesian_product_in_kpis(spark):
     for df in (kpis.loss_ratio_overall(fc, fp), kpis.loss_ratio_overall_as_written(fc, fp)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_run_kpis_writes_every_table(spark, tmp):
+    from tidewater.plans import layers
+    from tidewater.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    w.materialize_facts(f"{tmp}/gold")
+    tables = layers.kpi_tables(w.fact_policy, w.fact_claims, w.fact_payments,
+                               w.dim_customer, w.dim_vehicle, w.policies_with_agent)
+    written = layers.run_kpis(tables, f"{tmp}/kpi", max_parallel=4)
+    assert set(written) == set(tables)
+    for name, df in tables.items():
+        assert sorted(spark.read.parquet(written[name]).collect()) == sorted(df.collect()), name

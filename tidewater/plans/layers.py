@@ -12,6 +12,7 @@ failed step is simply re-run; nothing is held on the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from ..functions.parse import parse_date
 from ..functions.protect import protect_columns, unprotect_columns
 from ..operators import scd2
 from ..operators.provenance import read_history
-from . import gold, silver
+from . import gold, kpis, silver
 
 CUSTOMER_PII = ("FirstName", "LastName", "Email", "Phone")
 CUSTOMER_ATTRS = ("City", "State", "Country")
@@ -90,3 +91,44 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
         df.write.mode("overwrite").parquet(f"{gold_root}/{name}")
     read = lambda n: spark.read.parquet(f"{gold_root}/{n}")
     return Gold(dc, dv, read("fact_policy"), read("fact_claims"), read("fact_payments"))
+
+
+def kpi_tables(fact_policy: DataFrame, fact_claims: DataFrame, fact_payments: DataFrame,
+               dim_customer: DataFrame, dim_vehicle: DataFrame,
+               policies: DataFrame) -> dict[str, DataFrame]:
+    """The gold KPI tables (K1-K13, both loss-ratio forms), lazily."""
+    return {
+        "kpi_portfolio_overview": kpis.portfolio_overview(fact_policy),
+        "kpi_premium_by_policy_type": kpis.premium_by_policy_type(fact_policy),
+        "kpi_claims_summary": kpis.claims_summary(fact_claims),
+        "kpi_loss_ratio_overall_as_written": kpis.loss_ratio_overall_as_written(fact_claims, fact_policy),
+        "kpi_loss_ratio_overall": kpis.loss_ratio_overall(fact_claims, fact_policy),
+        "kpi_claim_frequency": kpis.claim_frequency(fact_policy, fact_claims),
+        "kpi_customer_distribution": kpis.customer_distribution(dim_customer),
+        "kpi_customer_claim_behavior": kpis.customer_claim_behavior(fact_claims, dim_customer),
+        "kpi_payment_frequency_mix": kpis.payment_frequency_mix(policies),
+        "kpi_policy_lifecycle": kpis.policy_lifecycle(fact_policy),
+        "kpi_policy_expiring": kpis.policy_expiring(fact_policy),
+        "kpi_agent_performance": kpis.agent_performance(policies),
+        "kpi_avg_premium_per_customer": kpis.avg_premium_per_customer(fact_policy, dim_customer),
+        "kpi_payment_collection": kpis.payment_collection(fact_payments),
+        "kpi_loss_ratio_as_written": kpis.loss_ratio_by_make_as_written(fact_claims, fact_policy, dim_vehicle),
+        "kpi_loss_ratio": kpis.loss_ratio_by_make(fact_claims, fact_policy, dim_vehicle),
+    }
+
+
+def run_kpis(tables: dict[str, DataFrame], out_root: str, max_parallel: int = 4) -> dict[str, str]:
+    """Write every KPI table (overwrite) under ``out_root``.
+
+    The KPIs are independent Spark jobs over the same written facts; up to
+    ``max_parallel`` of them are submitted at once from driver threads, so
+    small KPI jobs share the cluster instead of queueing behind each other.
+    Each write is an overwrite of its own folder: a failed run is re-run."""
+    def write(item):
+        name, df = item
+        path = f"{out_root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        return dict(pool.map(write, sorted(tables.items())))
