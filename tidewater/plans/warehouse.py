@@ -9,6 +9,7 @@ executor recomputes from the files, not from the raw tables.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -142,8 +143,11 @@ class Warehouse:
         for name in facts:  # rebuild facts over the written dimensions
             self.__dict__.pop(name, None)
         for group in (("dim_customer", "dim_vehicle"), facts):
-            for name in group:
-                getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+            # tables of a group are independent jobs: submit them together
+            frames = {name: getattr(self, name) for name in group}
+            with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+                list(pool.map(lambda item: item[1].write.mode("overwrite")
+                              .parquet(f"{folder}/{item[0]}"), frames.items()))
             for name in group:
                 self.__dict__[name] = self.spark.read.parquet(f"{folder}/{name}")
         return folder
