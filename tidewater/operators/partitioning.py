@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields
+def spread(df: DataFrame, source: DataFrame | None = None,
+           min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its input scan has
     fewer partitions than cores (a few large row groups), before CPU-heavy
-    per-row work such as regular expressions over whole texts.
+    per-row work such as AES or regular expressions over whole texts.
 
-    At scale the scan already has far more partitions than cores and this
-    is a no-op, so it never adds a shuffle to a big job.  Spark sorts
-    before a round-robin exchange, so a retried task gets the same rows.
+    The decision looks at ``source`` -- the table scan ``df`` is derived
+    from (``df`` itself when it is a scan): a scan's partition count is
+    known at planning time, while asking a derived plan would run its
+    broadcasts and subqueries early.  At scale the scan has far more
+    partitions than cores and this is a no-op, so it never adds a shuffle
+    to a big job.  Spark sorts before a round-robin exchange, so a retried
+    task gets the same rows.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    probe = df if source is None else source
+    if probe.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

@@ -374,7 +374,7 @@ FROM bp UNPIVOT INCLUDE NULLS (value FOR column_name IN (
 GROUP BY column_name""")
 def _dq_profile(w: Warehouse) -> DataFrame:
     """Q1: null and distinct counts of every bronze policy column."""
-    return quality.profile(spread(w.bronze_policies))
+    return quality.profile(spread(w.bronze_policies, source=w.t.orders))
 
 
 @register("audit_layer_counts", """
@@ -455,7 +455,8 @@ def _mask_pii(w: Warehouse) -> DataFrame:
 SELECT CustomerID, SnapshotDate, FirstName, LastName, Email, Phone FROM bronze_customers""")
 def _encrypt_roundtrip(w: Warehouse) -> DataFrame:
     """C1 + C3 (RT): decrypt(encrypt(x)) = x for the PII columns, ECB."""
-    b = spread(w.bronze_customers.select("CustomerID", "SnapshotDate", *CUSTOMER_PII))
+    b = spread(w.bronze_customers.select("CustomerID", "SnapshotDate", *CUSTOMER_PII),
+               source=w.t.customer)
     enc = protect.protect_columns(b, CUSTOMER_PII, DEMO_KEY, "ECB")
     return protect.unprotect_columns(enc, CUSTOMER_PII, DEMO_KEY, "ECB", strict=True)
 
@@ -468,7 +469,7 @@ def _encrypt_gcm(w: Warehouse) -> DataFrame:
     """C2 + C4 (RT) with D1: standardise first, encrypt the listed columns
     (GCM, random IV), leave the rest alone; decrypt restores them."""
     b = spread(silver.clean_customers(w.bronze_customers).select(
-        "CustomerID", "SnapshotDate", *CUSTOMER_PII, "City"))
+        "CustomerID", "SnapshotDate", *CUSTOMER_PII, "City"), source=w.t.customer)
     enc = protect.protect_columns(b, CUSTOMER_PII + ("NotAColumn",), DEMO_KEY, "GCM")
     return protect.unprotect_columns(enc, CUSTOMER_PII, DEMO_KEY, "GCM")
 
@@ -485,7 +486,7 @@ def _encrypted_join(w: Warehouse) -> DataFrame:
     The join runs on per-ciphertext counts (one row per value and side), so
     an e-mail repeated on both sides multiplies counts instead of emitting
     every pair."""
-    b = spread(w.bronze_customers.select("SnapshotDate", "Email")).select(
+    b = spread(w.bronze_customers.select("SnapshotDate", "Email"), source=w.t.customer).select(
         "SnapshotDate", protect.encrypt("Email", DEMO_KEY).alias("EmailEnc"))
 
     def side(snapshot: str, name: str) -> DataFrame:
