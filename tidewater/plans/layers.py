@@ -87,8 +87,9 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
         "fact_claims": gold.fact_claims(spark.read.parquet(f"{silver_root}/claims"), dc, dv),
         "fact_payments": gold.fact_payments(spark.read.parquet(f"{silver_root}/payments"), dc),
     }
-    for name, df in facts.items():
-        df.write.mode("overwrite").parquet(f"{gold_root}/{name}")
+    with ThreadPoolExecutor(max_workers=len(facts)) as pool:  # independent jobs
+        list(pool.map(lambda item: item[1].write.mode("overwrite")
+                      .parquet(f"{gold_root}/{item[0]}"), facts.items()))
     read = lambda n: spark.read.parquet(f"{gold_root}/{n}")
     return Gold(dc, dv, read("fact_policy"), read("fact_claims"), read("fact_payments"))
 
