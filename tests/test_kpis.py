@@ -76,3 +76,12 @@ def test_run_kpis_writes_every_table(spark, tmp):
     assert set(written) == set(tables)
     for name, df in tables.items():
         assert sorted(spark.read.parquet(written[name]).collect()) == sorted(df.collect()), name
+
+
+def test_cluster_conf_scales_with_input():
+    from tidewater.session import cluster_conf
+    small = cluster_conf(10 << 30, 64)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192          # 3 waves over 64 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)

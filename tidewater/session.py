@@ -31,6 +31,33 @@ RUNTIME_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data, for a cluster run (pass as ``extra``).
+
+    * scan splits of ~256 MB keep a task's input well inside executor
+      memory and give ``input_bytes / 256 MB`` scan tasks (100 TB -> ~400k);
+    * the first shuffle gets as many partitions as the input has splits
+      (at least 3 waves over the cores), so a partition holds ~256 MB before
+      compression and spills only on real skew; AQE then coalesces small
+      ones back to the advisory size and splits skewed ones (> 5x median
+      and > 1 GB) for joins;
+    * the broadcast threshold stays small and fixed: a dimension is
+      broadcast only when AQE *measures* it under 64 MB at run time.
+    """
+    splits = max(1, input_bytes // target_partition_bytes)
+    shuffle = max(3 * total_cores, splits)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(16 << 20),
+    }
+
+
 def build_session(master: str | None = None, app: str = "tidewater",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
