@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
 from .tables import Tables
 
 MONEY = "decimal(18,2)"
@@ -177,7 +178,8 @@ def bronze_policies(t: Tables) -> DataFrame:
     1st: every policy.  2nd: policy number divisible by 3, premium doubled.
     3rd: divisible by 7, PolicyType and premium missing.
     """
-    p = policies(t)
+    # the snapshot expansion and text casts are per-row CPU work
+    p = spread(policies(t), source=t.orders)
     as_text = lambda c: F.col(c).cast("string")
     base = p.select(
         "PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency",
@@ -213,7 +215,7 @@ def bronze_customers(t: Tables) -> DataFrame:
     1st: all customers.  2nd: all, City 'MOVED' for every fifth customer.
     3rd: even customer ids, unchanged since the 2nd.
     """
-    g = customer_geo(t)
+    g = spread(customer_geo(t), source=t.customer)
     key = F.col("c_custkey")
     dob = F.date_add(F.lit("1950-01-01").cast("date"),
                      ((key * 37) % 18000).cast("int")).cast("string")
