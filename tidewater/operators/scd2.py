@@ -130,18 +130,24 @@ def as_of_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     A range join done as an equi-join on (key, month): every version is
     replicated into each calendar month its interval ``[EffectiveFrom,
-    EffectiveTo)`` touches (an open interval ends at the latest fact date),
-    each fact joins the versions of its key and month, and the interval
-    test keeps the one valid version.  A fact meets only the one or two
-    versions overlapping its month -- never all versions of its key -- and
-    a hot key is spread over its months (AQE's skew split does the rest).
+    EffectiveTo)`` touches, each fact joins the versions of its key and
+    month, and the interval test keeps the one valid version.  A fact meets
+    only the one or two versions overlapping its month -- never all
+    versions of its key -- and a hot key is spread over its months (AQE's
+    skew split does the rest).
+
+    Open intervals end at ``cap``, the last month any version boundary
+    touches (a scalar over the dimension, not a scan of the facts); a fact
+    after it is looked up in the cap month, where only open versions
+    remain, and the interval test on the real date decides.
     """
-    last = facts.select(F.max(F.col(at))).scalar()
+    bounds = F.greatest(_month(F.col("EffectiveFrom")), _month(F.col("EffectiveTo")))
+    cap = dim.select(F.max(bounds)).scalar()
     start = _month(F.col("EffectiveFrom"))
-    end = _month(F.coalesce(F.date_sub(F.col("EffectiveTo"), 1), F.greatest(last, F.col("EffectiveFrom"))))
+    end = F.coalesce(_month(F.date_sub(F.col("EffectiveTo"), 1)), cap)
     d = (dim.withColumn("_m", F.explode(F.sequence(start, F.greatest(start, end))))
             .alias("_d"))
-    f = facts.withColumn("_m", _month(F.col(at))).alias("_f")
+    f = facts.withColumn("_m", F.least(_month(F.col(at)), cap)).alias("_f")
     cond = [
         F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}"),
         F.col("_f._m") == F.col("_d._m"),
