@@ -98,7 +98,12 @@ def latest_state_stream(spark: SparkSession, landing: str, changelog: str, check
 
 def read_latest(spark: SparkSession, changelog: str, key: str) -> DataFrame:
     """Merge-on-read of the ST2 change log: a key's row from its latest
-    batch is its current state (one row per key per batch)."""
+    batch is its current state (one row per key per batch).
+
+    The log grows by the keys each batch changed.  Compaction is this same
+    read written to a new folder (readers switch to it); old ``batch_id``
+    partitions then expire by the storage's lifecycle rules -- no job
+    deletes files here."""
     from ..operators.dedup import latest_per_key
     log = spark.read.parquet(changelog)
     return latest_per_key(log, [key], [F.col("batch_id").desc()], tiebreak=False).drop("batch_id")
