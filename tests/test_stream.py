@@ -46,3 +46,25 @@ def test_latest_state_stream_replays_nothing_twice(spark, tmp):
     got = sorted((r["k"], r["v"]) for r in jobs.read_latest(spark, f"{tmp}/log", "k").collect())
     assert got == [(1, "new"), (2, "x")]
     assert spark.read.parquet(f"{tmp}/log").select("batch_id").distinct().count() == 2
+
+
+def test_change_log_compaction(spark, tmp):
+    from pyspark.sql import functions as F
+    land = f"{tmp}/land"
+    schema = "k int, v string, s string"
+    os.makedirs(f"{land}/d1")
+    with open(f"{land}/d1/a.csv", "w") as f:
+        f.write("k,v,s\n1,a,2024-01-01\n2,b,2024-01-01\n")
+    run = lambda: jobs.latest_state_stream(spark, land, f"{tmp}/log", f"{tmp}/ckpt", schema,
+                                           "k", [F.to_date("s")], max_files=1)
+    run()
+    jobs.compact(spark, f"{tmp}/log", "k", f"{tmp}/base1")
+    os.makedirs(f"{land}/d2")
+    with open(f"{land}/d2/b.csv", "w") as f:
+        f.write("k,v,s\n2,c,2024-02-01\n3,d,2024-02-01\n")
+    run()
+    want = [(1, "a"), (2, "c"), (3, "d")]
+    got = sorted((r["k"], r["v"]) for r in jobs.read_latest(spark, f"{tmp}/log", "k", base=f"{tmp}/base1").collect())
+    assert got == want
+    jobs.compact(spark, f"{tmp}/log", "k", f"{tmp}/base2", previous_base=f"{tmp}/base1")
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(f"{tmp}/base2").collect()) == want

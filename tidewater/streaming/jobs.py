@@ -96,19 +96,39 @@ def latest_state_stream(spark: SparkSession, landing: str, changelog: str, check
     q.awaitTermination()
 
 
-def read_latest(spark: SparkSession, changelog: str, key: str) -> DataFrame:
+def read_latest(spark: SparkSession, changelog: str, key: str,
+                base: str | None = None) -> DataFrame:
     """Merge-on-read of the ST2 change log: a key's row from its latest
     batch is its current state (one row per key per batch).
 
-    The log grows by the keys each batch changed.  Compaction is this same
-    read written to a new folder (readers switch to it); old ``batch_id``
-    partitions then expire by the storage's lifecycle rules -- no job
-    deletes files here."""
+    With ``base`` (written by ``compact``) only batches newer than the base
+    are read from the log, so reads stop growing with the log's history.
+    Old ``batch_id`` partitions then expire by the storage's lifecycle
+    rules -- no job deletes files here."""
     from ..operators.dedup import latest_per_key
     log = spark.read.parquet(changelog)
+    if base is not None:
+        b = spark.read.parquet(base)
+        newer = log.where(F.col("batch_id") > b.select(F.max("batch_id")).scalar())
+        log = b.unionByName(newer)
     return latest_per_key(log, [key], [F.col("batch_id").desc()], tiebreak=False).drop("batch_id")
 
 
+def compact(spark: SparkSession, changelog: str, key: str, base: str,
+            previous_base: str | None = None) -> None:
+    """Fold the change log (and an earlier base) into a new base folder:
+    one row per key, stamped with the newest batch it covers.  Write each
+    compaction to a fresh folder and switch readers to it."""
+    from ..operators.dedup import latest_per_key
+    log = spark.read.parquet(changelog)
+    if previous_base is not None:
+        prev = spark.read.parquet(previous_base)
+        log = prev.unionByName(
+            log.where(F.col("batch_id") > prev.select(F.max("batch_id")).scalar()))
+    merged = latest_per_key(log, [key], [F.col("batch_id").desc()], tiebreak=False)
+    merged.write.mode("overwrite").parquet(base)
+
+
 def windowed_totals_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                            schema: str, time_col: str, group: str, amount: str,
                            window: str = "1 hour", delay: str = "10 minutes",
