@@ -113,6 +113,8 @@ def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFram
 def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 5000) -> None:
     """Land rows as multi-line JSON: each file holds one array of at most
     ``rows_per_file`` records (bounded, so a reader task stays small)."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("j"))
 
     def pack(batches):

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -109,3 +111,26 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared work dir for one run."""
     return f"{work_dir(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewater`` importable in executor Python workers.
+
+    Code that runs inside tasks (``mapInPandas`` functions) refers to this
+    package by module path.  ``spark-submit --py-files`` is the usual way to
+    ship it; this does the same at run time, once per SparkContext: the
+    package's sources are zipped on the driver and registered with
+    ``addPyFile``, which Spark distributes to every executor."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidewater-pyfiles-")) / "tidewater.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(pkg.rglob("*.py")):
+            z.write(f, f.relative_to(pkg.parent).as_posix())
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(id(sc))

@@ -80,6 +80,8 @@ def read_xlsx(spark: SparkSession, paths: Sequence[str] | str,
               schema: StructType | str | None) -> DataFrame:
     if schema is None:
         raise ValueError("workbooks are read with a declared schema")
+    from ..session import ship_package
+    ship_package(spark)
     target = _as_struct(schema)
     names = [f.name for f in target.fields]
     text_schema = ", ".join(f"`{n}` string" for n in names) + ", _source_path string"
@@ -189,6 +191,8 @@ def write_xlsx(df: DataFrame, folder: str, rows_per_book: int = 50_000) -> None:
 
     from pyspark import TaskContext
 
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     cols = df.columns
     folder = local_path(folder)
 
