@@ -146,3 +146,14 @@ def test_create_or_replace_table(spark, tmp):
     assert spark.sql("SELECT SUM(x) AS s FROM tw_test.t").first()["s"] == 10
     with pytest.raises(ValueError):
         create_or_replace_table(spark, b, "tw_test", "t; DROP", f"{tmp}/t")
+
+
+def test_ship_package_once(spark):
+    import zipfile
+
+    from tidewater import session
+    names = zipfile.ZipFile(session.package_archive()).namelist()
+    assert "tidewater/__init__.py" in names and "tidewater/operators/scd2.py" in names
+    session.ship_package(spark)
+    session.ship_package(spark)          # second call is a no-op, no duplicate registration
+    assert id(spark.sparkContext) in session._SHIPPED

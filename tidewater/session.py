@@ -127,10 +127,15 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if id(sc) in _SHIPPED:
         return
+    sc.addPyFile(str(package_archive()))
+    _SHIPPED.add(id(sc))
+
+
+def package_archive() -> Path:
+    """Zip of the package's sources, laid out for ``sys.path`` import."""
     pkg = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="tidewater-pyfiles-")) / "tidewater.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for f in sorted(pkg.rglob("*.py")):
             z.write(f, f.relative_to(pkg.parent).as_posix())
-    sc.addPyFile(str(archive))
-    _SHIPPED.add(id(sc))
+    return archive
