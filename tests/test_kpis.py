@@ -85,3 +85,11 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 192          # 3 waves over 64 cores
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_warehouse_refresh(spark):
+    from tidewater.plans.warehouse import Warehouse
+    a = Warehouse.of(spark, "/root/testdata/sf0.001")
+    assert Warehouse.of(spark, "/root/testdata/sf0.001") is a
+    Warehouse.refresh()
+    assert Warehouse.of(spark, "/root/testdata/sf0.001") is not a

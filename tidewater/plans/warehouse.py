@@ -40,6 +40,13 @@ class Warehouse:
             w = _SHARED[key] = cls(spark, root)
         return w
 
+    @staticmethod
+    def refresh() -> None:
+        """Forget shared warehouses and resolved tables (after new data
+        lands, so the next ``of`` re-reads the folders)."""
+        _SHARED.clear()
+        Tables.refresh()
+
     # silver-level entities (typed views over the test tables)
     @cached_property
     def policies(self) -> DataFrame:
