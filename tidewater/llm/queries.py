@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination
+from . import decontamination, quality, toxicity
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,18 @@ def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontamination.find_contained(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.classify(read(spark, root, "documents"), read(spark, root, "labels"))
+
+
+@query
+def op10_quality(spark: SparkSession, root: str) -> DataFrame:
+    """Quality of every document."""
+    return quality.classify(read(spark, root, "documents"), read(spark, root, "labels"))
+
+
 #: Words and 5-word shingles as the operators define them, in DuckDB SQL.
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')")
@@ -33,9 +45,9 @@ WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
      iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
      items AS (SELECT item_id, least(5, len(w)) AS k, w FROM iw WHERE len(w) > 0),
      i AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2),
-                  p -> array_to_string(w[p:p + k - 1], ' '))) AS s FROM items),
+                  lambda p: array_to_string(w[p:p + k - 1], ' '))) AS s FROM items),
      d AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2),
-                  p -> array_to_string(w[p:p + k - 1], ' '))) AS s
+                  lambda p: array_to_string(w[p:p + k - 1], ' '))) AS s
            FROM dw, (SELECT DISTINCT k FROM items) WHERE len(w) >= k),
      n AS (SELECT item_id, count(*) AS n FROM i GROUP BY 1),
      m AS (SELECT d.doc_id, i.item_id, count(*) AS shared FROM d JOIN i USING (k, s) GROUP BY 1, 2)
