@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, quality, toxicity
+from . import decontamination, packing, quality, toxicity
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontamination.find_contained(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+@query
+def op5_packing(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's pieces, placed in sequences of 2048 tokens."""
+    return packing.pack(read(spark, root, "documents"))
+
+
 @query
 def op7_toxicity(spark: SparkSession, root: str) -> DataFrame:
     """Toxicity of every document."""
