@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, packing, quality, toxicity
+from . import decontamination, packing, quality, token_files, toxicity
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(read(spark, root, "documents"))
 
 
+@query
+def op6_token_files(spark: SparkSession, root: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    return token_files.round_trip(read(spark, root, "documents"))
+
+
 @query
 def op7_toxicity(spark: SparkSession, root: str) -> DataFrame:
     """Toxicity of every document."""
