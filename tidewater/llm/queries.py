@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, packing, quality, token_files, toxicity
+from . import decontamination, extraction, packing, quality, token_files, toxicity
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op7_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.classify(read(spark, root, "documents"), read(spark, root, "labels"))
 
 
+@query
+def op8_extraction(spark: SparkSession, root: str) -> DataFrame:
+    """Main text of every page."""
+    return extraction.extract(read(spark, root, "pages"))
+
+
 @query
 def op10_quality(spark: SparkSession, root: str) -> DataFrame:
     """Quality of every document."""
