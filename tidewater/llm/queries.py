@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, packing, quality, token_files, toxicity
+from . import decontamination, extraction, packing, quality, token_files, toxicity, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontamination.find_contained(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+@query
+def op2_warc(spark: SparkSession, root: str) -> DataFrame:
+    """Every page, archived and read back through the capture index."""
+    return warc.round_trip(read(spark, root, "pages")).drop("url")
+
+
 @query
 def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     """Every document's pieces, placed in sequences of 2048 tokens."""
@@ -72,3 +78,15 @@ WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 SELECT m.doc_id, m.item_id, n.n AS n_item_shingles, m.shared AS n_shared,
        CAST(m.shared AS DOUBLE) / n.n AS containment
 FROM m JOIN n USING (item_id) WHERE m.shared >= 0.8 * n.n - 1e-9"""
+
+
+ORACLE["op2_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS f FROM pages),
+     h AS (SELECT *, sha1(b) AS s FROM p)
+SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(s, 1 + 5 * (i // 4), 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to
+FROM h"""
