@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, packing, quality, token_files, toxicity, warc
+from . import decontamination, extraction, nearest, packing, quality, token_files, toxicity, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op2_warc(spark: SparkSession, root: str) -> DataFrame:
     return warc.round_trip(read(spark, root, "pages")).drop("url")
 
 
+@query
+def op4_nearest(spark: SparkSession, root: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return nearest.search(read(spark, root, "embeddings"))
+
+
 @query
 def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     """Every document's pieces, placed in sequences of 2048 tokens."""
