@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, nearest, packing, quality, token_files, toxicity, warc
+from . import decontamination, extraction, jaccard_join, nearest, packing, quality, token_files, toxicity, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op2_warc(spark: SparkSession, root: str) -> DataFrame:
     return warc.round_trip(read(spark, root, "pages")).drop("url")
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    """Shingle-set sizes and near-duplicate components of all documents."""
+    return jaccard_join.components(read(spark, root, "documents"))
+
+
 @query
 def op4_nearest(spark: SparkSession, root: str) -> DataFrame:
     """The 20 nearest of every twentieth vector."""
@@ -96,3 +102,18 @@ SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to
 FROM h"""
+
+
+ORACLE["op3_jaccard_join"] = f"""
+WITH RECURSIVE dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     k AS (SELECT doc_id, w, least(5, len(w)) AS k FROM dw WHERE len(w) > 0),
+     s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2),
+                  lambda p: array_to_string(w[p:p + k - 1], ' '))) AS s FROM k),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+     o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+           GROUP BY 1, 2),
+     e AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+     r AS (SELECT doc_id, doc_id AS to_id FROM documents
+           UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.to_id)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.to_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id"""
