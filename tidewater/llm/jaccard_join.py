@@ -447,9 +447,13 @@ def _join_large(members: DataFrame, percent: int, region_shingles: int) -> DataF
 
 # ----------------------------------------------------------------- the join
 
-def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-               region_shingles: int = REGION_SHINGLES) -> DataFrame:
+def components(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    return _labelled(docs, **options).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _labelled(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+              region_shingles: int = REGION_SHINGLES) -> DataFrame:
     prepare(docs)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = written(d.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -479,14 +483,22 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     label = (of_class.join(moved, ["n", "a", "b"], "left")
              .select("n", "a", "b", F.coalesce("component_id", "least").alias("component_id")))
     return (sets.join(label, ["n", "a", "b"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+            .select("doc_id", "text_hash", "n",
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component: that with the smallest id; of rows
-    with the same id one is kept, and rows with null ids only where they are
-    in no component with an id."""
-    c = components(docs, **options)
-    first = c.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["__keep"]), "left_semi")
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One document of each component: that with the smallest id (once, where
+    the row repeats).  Documents without shingles all stay, and so do those of
+    a component that has null ids only; other null ids yield to an id."""
+    c = _labelled(docs, id_col=id_col, text_col=text_col, **options)
+    first = (c.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .groupBy(F.col("doc_id").alias("__keep"), F.col("text_hash").alias("__hash"))
+             .agg((F.count(F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), 1)) > 1).alias("__again")))
+    first = written(first, "kept")
+    kept = docs.join(first, docs[id_col].cast("long").eqNullSafe(first["__keep"])
+                     & F.xxhash64(docs[text_col]).eqNullSafe(first["__hash"]))
+    if first.filter("__again").isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.filter("__again").dropDuplicates([id_col, text_col])
+    return kept.filter("NOT __again").unionByName(once).select(*docs.columns)

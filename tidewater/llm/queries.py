@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, jaccard_join, nearest, packing, quality, token_files, toxicity, warc
+from . import decontamination, extraction, jaccard_join, nearest, packing, passages, quality, token_files, toxicity, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontamination.find_contained(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """Passages of 50 words or more that a document has from an earlier one."""
+    return passages.repeats(read(spark, root, "documents"))
+
+
 @query
 def op2_warc(spark: SparkSession, root: str) -> DataFrame:
     """Every page, archived and read back through the capture index."""
