@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -133,14 +134,14 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     state: dict = {}
 
     @F.pandas_udf("double")
-    def probability(texts):
+    def probability(texts: pd.Series) -> pd.Series:
         m = sent.value
         if "sizes" not in state:
             state["sizes"] = Sizes(*m["dictionaries"], m["level"])
         w, mean, scale = m["fit"]
         x = np.array([state["sizes"].features((t or "").encode("utf-8", "surrogatepass")) for t in texts])
         z = np.clip((x.reshape(len(texts), -1) - mean) / scale @ w, -30, 30) if len(texts) else np.zeros(0)
-        return texts.__class__(1 / (1 + np.exp(-z)), index=texts.index, dtype="float64")
+        return pd.Series(1 / (1 + np.exp(-z)), index=texts.index, dtype="float64")
 
     return docs.withColumn("quality_score", probability(F.col("text")))
 
