@@ -125,11 +125,11 @@ def train(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS, dic
                     "fit": _fit_logistic(x[order], y[order], weight[order])}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with one further column ``quality_score``: probability of label 1."""
+def score(docs: DataFrame, model: dict, name: str = "quality_score") -> DataFrame:
+    """``docs`` with one further column ``name``: probability of label 1."""
     spark = prepare(docs)
     if "fit" not in model:
-        return docs.withColumn("quality_score", F.lit(model["prior"]))
+        return docs.withColumn(name, F.lit(model["prior"]))
     sent = spark.sparkContext.broadcast(model)
     state: dict = {}
 
@@ -143,7 +143,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         z = np.clip((x.reshape(len(texts), -1) - mean) / scale @ w, -30, 30) if len(texts) else np.zeros(0)
         return pd.Series(1 / (1 + np.exp(-z)), index=texts.index, dtype="float64")
 
-    return docs.withColumn("quality_score", probability(F.col("text")))
+    return docs.withColumn(name, probability(F.col("text")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
@@ -157,4 +157,4 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
     model = train(docs, labels, **options)
-    return score(docs, model).filter(F.col("quality_score") >= threshold).drop("quality_score")
+    return score(docs, model, "__quality").filter(F.col("__quality") >= threshold).drop("__quality")

@@ -104,7 +104,8 @@ def ngrams(h: np.ndarray, k: int) -> np.ndarray:
     mul = np.uint64(_BASE)
     for j in range(k):
         out *= mul
-        out[:n - j] += h[j:]
+        if j < n:
+            out[:n - j] += h[j:]
     return mix64(out)
 
 
@@ -125,9 +126,10 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = SHINGLE_WORDS) ->
     return out
 
 
-def rows_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def rows_of(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_BYTES
+            ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``text_slices`` of one column of a record batch."""
-    return text_slices(batch.column(batch.schema.get_field_index(column)))
+    return text_slices(batch.column(batch.schema.get_field_index(column)), max_bytes)
 
 
 def as_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
