@@ -1,8 +1,8 @@
 """Token ids of whole texts, by the tokenizers library, in Arrow batches.
 
 Byte-level BPE splits a text before every white-space run that follows a
-non-space character, whatever comes around it, so such pieces can be encoded
-on their own.  Most pieces repeat: each batch is cut into pieces, the
+non-space character, and before a mark that follows a letter, whatever comes
+around them, so such pieces can be encoded on their own.  Most pieces repeat: each batch is cut into pieces, the
 distinct ones are found by Arrow's dictionary encoding, new ones are encoded
 once, and the ids of the whole texts are gathered with numpy.
 """
@@ -19,7 +19,16 @@ import pyarrow as pa
 from .textkit import concat_ranges, rows_of
 
 #: Distinct pieces remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+REMEMBERED_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[*b".,;:!?)*#%&$"]] = True
+_LATIN = np.zeros(256, bool)          # last bytes of the letters after lead byte C3
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False          # the signs x and division
 
 
 def default_path() -> str:
@@ -36,19 +45,24 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.bytes = 0
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.start = [0]
+        self.start = np.zeros(1 << 16, np.int64)     # first id of each known piece, and the end
 
     def _learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        for p, e in zip(pieces, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            ids = e.ids
-            at = self.start[-1]
-            while at + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[at:at + len(ids)] = ids
-            self.known[p] = len(self.start) - 1
-            self.start.append(at + len(ids))
+        """Encode new pieces in one call; each is split and merged on its own."""
+        e = self.tokenizer.encode([p.decode("utf-8", "replace") for p in pieces], is_pretokenized=True,
+                                  add_special_tokens=False)
+        n = len(self.known)
+        ends = self.start[n] + np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(pieces)))
+        while n + len(pieces) >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        while ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.start[n]:ends[-1]] = e.ids
+        self.start[n + 1:n + 1 + len(pieces)] = ends
+        self.bytes += sum(map(len, pieces))
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets of the texts)."""
@@ -60,9 +74,9 @@ class Encoder:
         before = data[:-1]
         # the byte before ends a character that is surely not white space: an
         # ASCII mark or letter, or a Latin-1 letter (lead byte C3)
-        sure = (before > 0x20) & (before < 0x7F)
-        sure[1:] |= (before[1:] >= 0x80) & (before[:-1] == 0xC3)
-        cut[1:] = white & sure
+        letter = _LETTER[before]
+        letter[1:] |= _LATIN[before[1:]] & (before[:-1] == 0xC3)
+        cut[1:] = (white & (letter | (before > 0x20) & (before < 0x7F))) | (_MARK[data[1:]] & letter)
         cut[offs[:-1][offs[:-1] < len(data)]] = True
         at = np.flatnonzero(cut)
         pieces = pa.LargeBinaryArray.from_buffers(
@@ -70,18 +84,16 @@ class Encoder:
             [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.forget()
         fresh = [p for p in distinct if p not in self.known]
         if fresh:
             self._learn(fresh)
-        known = self.known
-        which = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
-        start = np.array(self.start, np.int64)
-        lens = np.diff(start)[which]
+        which = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        start = self.start[which]
         code = coded.indices.to_numpy()
-        sizes = lens[code]
-        ids = self.flat[concat_ranges(start[which][code], sizes)]
+        sizes = (self.start[which + 1] - start)[code]
+        ids = self.flat[concat_ranges(start[code], sizes)]
         total = np.concatenate([[0], np.cumsum(sizes)])
         return ids, total[np.searchsorted(at, offs)]
 
@@ -97,7 +109,7 @@ def encoded(batch: pa.RecordBatch, path: str, column: str = "text", end_id: int
     """(first row, row after the last, ids, offsets) of successive slices of
     a batch; ``end_id`` is appended to every text."""
     enc = encoder(path)
-    for lo, hi, data, offs in rows_of(batch, column):
+    for lo, hi, data, offs in rows_of(batch, column, SLICE_BYTES):
         ids, at = enc.encode(data, offs)
         if end_id is not None:
             ids = np.insert(ids, at[1:], end_id)
