@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -70,3 +71,26 @@ def test_point_in_time(spark):
     j = scd2.as_of_join(facts, dim, "CustomerID", "CustomerID", "At")
     got = {r[0]: r[1] for r in j.select("_f.fid", "_d.City").collect()}
     assert got == {10: "A", 11: "B", 12: None, 13: None}
+
+
+def test_late_snapshots(spark):
+    rows = [(1, "A", D[0]), (1, "B", D[1]), (1, "A", D[2]), (2, "X", D[1])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    day = lambda d: df.where(F.col("SnapshotDate") == d)
+    cols = ["CustomerKey", "CustomerID", "City", "EffectiveFrom", "EffectiveTo", "IsCurrent"]
+    args = ("CustomerID", ["City"], "SnapshotDate", "CustomerKey")
+    first = scd2.build(day(D[2]), *args)
+    with pytest.raises(Exception):
+        scd2.apply_snapshot(first, day(D[0]), *args).collect()
+    dim, seen = first, day(D[2])
+    for d in (D[0], D[1]):
+        dim = scd2.apply_snapshot(dim, day(d), *args, history=seen)
+        seen = seen.unionByName(day(d))
+    assert sorted(dim.select(*cols).collect()) == sorted(_build(spark, rows).select(*cols).collect())
+
+
+def test_text_keys_and_distant_dates(spark):
+    rows = [("C-1", "A", dt.date(1900, 1, 1)), ("1", "A", dt.date(2243, 10, 18)), ("2", "A", dt.date(1970, 1, 2))]
+    df = spark.createDataFrame(rows, "CustomerID string, City string, SnapshotDate date")
+    keys = [r["CustomerKey"] for r in scd2.build(df, "CustomerID", ["City"], "SnapshotDate", "CustomerKey").collect()]
+    assert len(set(keys)) == 3 and None not in keys

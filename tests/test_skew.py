@@ -64,6 +64,20 @@ def test_point_in_time_hot_key(spark):
     assert j.count() == facts.count()   # every fact exactly once
 
 
-def test_adaptive_skew_handling_is_on(spark):
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+def test_hot_join_key_is_split(spark):
+    """The settings make adaptive execution split a hot key's partition."""
+    names = ("spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name, value in zip(names, ("1.5", "10k", "5k", "-1", "-1")):
+        spark.conf.set(name, value)
+    try:
+        left = _hot(spark).repartition(8, F.rand(1))
+        right = spark.range(2000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+        joined = left.join(right, "k")
+        assert joined.count() == N
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in names:
+            spark.conf.unset(name)

@@ -27,8 +27,8 @@ def test_late_event_dropped(spark, tmp):
         f.write("ts,k,v\n2024-01-01T01:00:00,a,100\n2024-01-01T09:00:00,a,3\n")
     jobs.windowed_totals_stream(spark, land, f"{tmp}/sink", f"{tmp}/ckpt",
                                 "ts timestamp_ntz, k string, v double", "ts", "k", "v")
-    rows = sorted((str(r["window_start"]), r["total_value"]) for r in spark.read.parquet(f"{tmp}/sink").collect())
-    assert rows == [("2024-01-01 05:00:00", 1.0), ("2024-01-01 06:00:00", 2.0)]
+    rows = sorted((str(r["window_start"]), r["total_value"]) for r in jobs.read_windows(spark, f"{tmp}/sink", "k").collect())
+    assert rows == [("2024-01-01 05:00:00", 1.0), ("2024-01-01 06:00:00", 2.0), ("2024-01-01 09:00:00", 3.0)]
 
 
 def test_latest_state_stream_replays_nothing_twice(spark, tmp):

@@ -32,6 +32,22 @@ def parse_money(c: Column | str) -> Column:
     return _c(c).try_cast(MONEY)
 
 
+EXCEL_EPOCH = "1899-12-30"     # fixed: day zero of workbook date serials
+
+
+def typed(c: Column | str, kind: str) -> Column:
+    """Landed text as type ``kind``; NULL if it is none.  Whole numbers may be
+    written as decimals (``12345.0``), dates as workbook day serials."""
+    c = _c(c)
+    if kind in ("bigint", "int", "smallint", "tinyint"):
+        exact = c.try_cast("decimal(38,9)")
+        return F.when(exact == F.floor(exact), exact.try_cast(kind))
+    if kind == "date":
+        serial = F.date_add(F.lit(EXCEL_EPOCH).cast("date"), c.try_cast("double").cast("int"))
+        return F.when(c.rlike(r"^[0-9]+(\.[0-9]+)?$"), serial).otherwise(F.try_to_date(c))
+    return c if kind == "string" else c.try_cast(kind)
+
+
 def rejected(raw: Column | str, parsed: Column) -> Column:
     """True when a present raw value failed to parse."""
     return _c(raw).isNotNull() & parsed.isNull()

@@ -7,13 +7,15 @@ Modes:
 * ``ECB``  deterministic: equal plaintext gives equal ciphertext, so joins
   and GROUP BY on ciphertext work (C5).  Leaks equality; kept for parity.
 * ``GCM``  random IV per value: the storage mode.
-* ``token`` (sha-256 of key + value) is the join key to use with GCM.
+* ``token`` (HMAC with SHA-256) is the join key to use with GCM.
 
 The key is always an explicit argument (D2); it must be 16, 24 or 32 bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,9 +50,15 @@ def decrypt(col: str | Column, key: str, mode: str = "ECB", strict: bool = False
 
 
 def token(col: str | Column, key: str) -> Column:
-    """Keyed, deterministic join token: hex sha-256 of key || value."""
+    """Keyed, deterministic join token: HMAC with SHA-256, in hex.  The inner
+    and outer key pads are those of the standard, so a token can be neither
+    extended nor made without the key."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sha2(F.concat(F.lit(key), c.cast("string")), 256)
+    raw = key.encode("utf-8")
+    raw = (hashlib.sha256(raw).digest() if len(raw) > 64 else raw).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in raw)) for pad in (0x36, 0x5C))
+    within = F.unhex(F.sha2(F.concat(inner, c.cast("string").cast("binary")), 256))
+    return F.sha2(F.concat(outer, within), 256)
 
 
 def _apply(df: DataFrame, names: Iterable[str], fn) -> DataFrame:
@@ -74,7 +82,3 @@ def unprotect_columns(df: DataFrame, sensitive: Sequence[str], key: str,
     types = types or {}
     return _apply(df, sensitive, lambda c: decrypt(F.col(f"`{c}`"), key, mode, strict,
                                                    types.get(c, "string")))
-
-
-def tokenize_columns(df: DataFrame, sensitive: Sequence[str], key: str) -> DataFrame:
-    return _apply(df, sensitive, lambda c: token(F.col(f"`{c}`"), key))

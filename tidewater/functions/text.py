@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 # Fixed patterns (Java regex; the same text is valid RE2 for the oracle)
 NON_DIGIT = r"\D"
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE_PATTERN = r"\+?[0-9][0-9() .-]{7,}[0-9]"
+# a phone: a country code with + or 00, or an area code in brackets, or three
+# groups; never dates (2024-01-01), addresses (192.168.100.10) or bare numbers
+PHONE_PATTERN = (r"(?:\+|\b00)[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)|[0-9]{1,5})(?:[ .-]?[0-9]{2,6}){1,4}\b"
+                 r"|\([0-9]{2,5}\)[ .-]?[0-9]{2,6}(?:[ .-]?[0-9]{2,6}){0,3}\b"
+                 r"|\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b")
 EMAIL_MASK = "<EMAIL>"
 PHONE_MASK = "<PHONE>"
 
@@ -30,11 +34,28 @@ def normalize_phone(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), NON_DIGIT, "")
 
 
+# Declared spelling of countries that capitalising would get wrong
+COUNTRY_NAMES = {
+    "unitedkingdom": "UnitedKingdom",
+    "uk": "UnitedKingdom",
+    "unitedstates": "UnitedStates",
+    "usa": "UnitedStates",
+    "newzealand": "NewZealand",
+    "southafrica": "SouthAfrica",
+    "saudiarabia": "SaudiArabia",
+    "hongkong": "HongKong",
+    "uae": "UAE",
+}
+
+
 def country_name(c: Column | str) -> Column:
-    """Driver-side ``str.capitalize`` of the country widget, as a Column:
-    first letter upper, the rest lower (P22)."""
+    """Country by lookup of its declared spelling (P22, D13), whatever the
+    case, spaces or separators; a country without an entry is one word and
+    is capitalised."""
     c = _c(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    table = F.create_map(*[F.lit(x) for kv in COUNTRY_NAMES.items() for x in kv])
+    known = F.try_element_at(table, F.regexp_replace(F.lower(c), r"[^a-z]", ""))
+    return F.coalesce(known, F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30))))
 
 
 def file_name_of(path: Column | str) -> Column:
@@ -52,7 +73,9 @@ def count_emails(c: Column | str) -> Column:
 
 
 def count_phones(c: Column | str) -> Column:
-    return F.regexp_count(_c(c), F.lit(PHONE_PATTERN))
+    """Phones outside e-mail addresses."""
+    rest = F.regexp_replace(_c(c), EMAIL_PATTERN, EMAIL_MASK)
+    return F.regexp_count(rest, F.lit(PHONE_PATTERN))
 
 
 def mask_pii(c: Column | str) -> Column:

@@ -12,6 +12,7 @@ folder, never the machine-local default warehouse directory.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +30,25 @@ def ensure_database(spark: SparkSession, database: str, location: str) -> None:
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str) -> None:
-    """(Re)point ``database.table`` at the parquet folder ``path``."""
+    """(Re)point ``database.table`` at the parquet folder ``path``; a table
+    of the same columns is repointed in place."""
     full = f"{_ident(database)}.{_ident(table)}"
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    if spark.catalog.tableExists(f"{database}.{table}"):
+        old, new = spark.table(full).schema, spark.read.parquet(path).schema
+        if [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in new]:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(f"{database}.{table}")
+            return
+        spark.sql(f"DROP TABLE {full}")
     spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
 
 
 def create_or_replace_table(spark: SparkSession, df: DataFrame, database: str,
                             table: str, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` (overwrite) and register it."""
-    df.write.mode("overwrite").parquet(path)
-    register_table(spark, database, table, path)
+    """Write ``df`` to a new folder below ``path`` and point the table
+    at it.  The earlier folder stays, so readers of it, and a ``df`` that
+    reads this very table, are not disturbed."""
+    fresh = f"{path}/version-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(fresh)
+    register_table(spark, database, table, fresh)
     return spark.table(f"{_ident(database)}.{_ident(table)}")

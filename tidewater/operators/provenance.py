@@ -14,15 +14,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 META_COLS = ("_src_country", "SnapshotDate", "FileName")
+DELIVERY = META_COLS          # a delivery is one file name of one country and day
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
 def snapshot_from_name(name: Column | str, default: str | None = None) -> Column:
     """Snapshot date taken from a ``yyyy-MM-dd`` in the file name, else
-    ``default`` (the run date parameter, D12)."""
+    ``default`` (the run date parameter, D12).  A name without a date and no
+    run date is an error: such rows could never be ordered or re-run."""
     c = F.col(name) if isinstance(name, str) else name
     found = F.regexp_extract(c, DATE_IN_NAME, 1)
-    return F.when(found != "", found).otherwise(F.lit(default))
+    undated = F.lit(default) if default is not None else F.raise_error(
+        F.concat(F.lit("no date in the name and no run date: "), c)).cast("string")
+    return F.when(found != "", found).otherwise(undated)
 
 
 def stamp(df: DataFrame, country: Column | str, snapshot: Column | str,
@@ -39,18 +43,20 @@ def stamp(df: DataFrame, country: Column | str, snapshot: Column | str,
 
 
 def append_partitioned(df: DataFrame, path: str,
-                       partition_by: Sequence[str] = ("SnapshotDate",)) -> None:
-    """B1: write the rows under ``path`` partitioned by snapshot.
+                       partition_by: Sequence[str] = DELIVERY) -> None:
+    """B1: write the rows under ``path`` partitioned by delivery.
 
-    Dynamic partition overwrite replaces only the snapshots present in
-    ``df``: re-running a day replaces that day instead of appending a
-    duplicate (idempotent), other days stay.  Files written with a newer
+    Dynamic partition overwrite replaces only the deliveries present in
+    ``df``: re-running one replaces it instead of appending a duplicate
+    (idempotent); other countries, days and deliveries stay.  Files written with a newer
     schema sit next to older ones; ``read_history`` merges them."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """B1 read side / W4: all snapshots, schemas merged (new columns NULL
-    in older files)."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """B1 read side / W4: all deliveries, schemas merged (new columns NULL
+    in older files).  The stamps come back as text, whatever their partition
+    folders look like."""
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    return df.withColumns({c: F.col(c).cast("string") for c in META_COLS if c in df.columns})

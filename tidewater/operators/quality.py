@@ -10,24 +10,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parse import rejected, typed
+
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Q1: per column -- rows, NULLs, distinct non-NULL values.
 
-    Values are unpivoted to (column, value-as-text) rows with ``stack``;
-    a first aggregate on (column, value) collapses repeats map-side (a
-    value held by a third of all rows costs one row per task), the second
-    counts per column.  Exact, and no driver-side loop over columns.
-    """
+    Rows and NULLs come from one aggregate without a shuffle of values.  For
+    the distinct counts only non-NULL values are unpivoted, as 128-bit
+    digests of their text (one width for all columns); a first aggregate on
+    (column, digest) collapses repeats map-side, the second counts."""
     columns = list(columns or df.columns)
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
-    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, value)")
-    per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    return per_value.groupBy("column_name").agg(
-        F.sum("_n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0))
-         .alias("null_count"),
-        F.count("value").alias("distinct_count"))
+    plain = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_n{i}")
+                                                      for i, c in enumerate(columns)])
+    pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(columns))
+    counts = plain.selectExpr("_rows", f"stack({len(columns)}, {pairs}) AS (column_name, _present)")
+    values = ", ".join(f"'{c}', CASE WHEN `{c}` IS NOT NULL THEN unhex(md5(CAST(`{c}` AS STRING))) END" for c in columns)
+    long = df.selectExpr(f"stack({len(columns)}, {values}) AS (column_name, value)").where("value IS NOT NULL")
+    distinct = (long.groupBy("column_name", "value").agg(F.lit(1).alias("_one"))
+                .groupBy("column_name").agg(F.count(F.lit(1)).alias("_distinct")))
+    return counts.join(distinct, "column_name", "left").select(
+        "column_name", F.col("_rows").alias("row_count"), (F.col("_rows") - F.col("_present")).alias("null_count"),
+        F.coalesce("_distinct", F.lit(0)).alias("distinct_count"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
@@ -75,13 +79,43 @@ def audit(layers: Sequence[tuple[str, DataFrame, str | None]]) -> DataFrame:
     return out.withColumn("amount_total", F.col("amount_total").cast("double"))
 
 
-def harmonize(df: DataFrame, aliases: Mapping[str, str], target: Sequence[str]) -> DataFrame:
-    """Q6: rename a feed's columns through ``aliases`` (source -> common)
-    and project the common schema; columns the feed lacks become NULL."""
-    lower = {k.lower(): v for k, v in aliases.items()}
-    renamed = df.select(*[F.col(f"`{c}`").alias(lower.get(c.lower(), c)) for c in df.columns])
-    have = set(renamed.columns)
-    return renamed.select(*[F.col(c) if c in have else F.lit(None).alias(c) for c in target])
+def harmonize(df: DataFrame, aliases: Mapping[str, str], target: Mapping[str, str] | Sequence[str],
+              keep_unknown: bool = False) -> DataFrame:
+    """Q6: a feed's columns, found by name (whatever the case, or through
+    ``aliases``, source -> common), as the common schema.
+
+    With ``target`` as name -> type, text is parsed to that type and missing
+    columns are NULL of it, so a column's type doesn't depend on the feeds it
+    meets; what fails to parse is NULL and listed in ``_rejected`` (column,
+    value).  ``keep_unknown`` passes columns of no common name on."""
+    kinds = dict(target) if isinstance(target, Mapping) else dict.fromkeys(target)
+    lower = {k.lower(): v for k, v in aliases.items()} | {t.lower(): t for t in kinds}
+    source: dict[str, str] = {}
+    unknown = []
+    for c in df.columns:
+        name = lower.get(c.lower(), c)
+        if name in kinds and name not in source:
+            source[name] = c
+        else:
+            unknown.append(c)
+    out, bad = [], []
+    for name, kind in kinds.items():
+        if name not in source:
+            out.append(F.lit(None).cast(kind or "string").alias(name))
+            continue
+        raw = F.col(f"`{source[name]}`")
+        value = raw if kind is None or df.schema[source[name]].dataType.simpleString() == kind \
+            else typed(raw.cast("string"), kind)
+        out.append(value.alias(name))
+        if value is not raw:
+            bad.append(F.when(rejected(raw, value), F.struct(F.lit(name).alias("column"),
+                                                             raw.cast("string").alias("value"))))
+    if isinstance(target, Mapping):
+        empty = F.array().cast("array<struct<column:string,value:string>>")
+        out.append((F.array_compact(F.array(*bad)) if bad else empty).alias("_rejected"))
+    if keep_unknown:
+        out += [F.col(f"`{c}`") for c in unknown]
+    return df.select(*out)
 
 
 def union_feeds(frames: Sequence[DataFrame]) -> DataFrame:

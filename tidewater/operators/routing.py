@@ -10,12 +10,10 @@ landed file is routed in one join:
 * among matches the longest pattern wins, ties by table name (D10);
 * a file without a match keeps NULL routing columns (D11, never a crash).
 
-The config is a human-maintained list, so it is normally tiny and is
-broadcast into a nested-loop join -- but only after counting it.  Above
-``MAX_BROADCAST_ROUTES`` rows the match becomes an exact equi-join instead:
-every substring of each file name whose length equals some pattern length
-is generated (bounded by the name length, not by the data) and joined on
-equality.
+The match is one equi-join whatever the size of the config: every substring
+of a name whose length equals some pattern's length (bounded by the name, not
+by the data) is joined with the patterns on equality.  Nothing is counted or
+collected while the plan is made.
 """
 
 from __future__ import annotations
@@ -25,33 +23,19 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import split_list
 
-MAX_BROADCAST_ROUTES = 10_000
-
 
 def active_routes(config: DataFrame) -> DataFrame:
     """I1."""
     return config.where(F.col("active_flag") == "Y")
 
 
-def _matches_broadcast(files: DataFrame, routes: DataFrame, name_col: str) -> DataFrame:
-    return files.join(F.broadcast(routes),
-                      F.col(name_col).contains(F.col("file_pattern")), "inner")
-
-
-def _matches_equi(files: DataFrame, routes: DataFrame, name_col: str) -> DataFrame:
-    # distinct pattern lengths: at most the longest pattern, a handful of ints
-    lengths = sorted(r[0] for r in routes.select(F.length("file_pattern").alias("n"))
-                     .distinct().collect())
-    name = F.col(name_col)
-
-    def windows(n: int):
-        # all substrings of length n (F.transform passes (x, index) to a
-        # two-argument lambda, so n is bound here, not as a default)
-        starts = F.sequence(F.lit(1), F.greatest(F.length(name) - n + 1, F.lit(0)))
-        return F.transform(starts, lambda i: F.substring(name, i, n))
-
-    subs = F.flatten(F.array(*[windows(n) for n in lengths]))
-    exploded = files.select("*", F.explode(F.array_distinct(subs)).alias("_sub"))
+def _matches(files: DataFrame, routes: DataFrame, name_col: str) -> DataFrame:
+    """Every (file, route) whose pattern the file's name contains."""
+    lengths = routes.select(F.array_sort(F.collect_set(F.length("file_pattern")))).scalar()
+    sized = files.select("*", F.explode(lengths).alias("_n"))
+    places = F.sequence(F.lit(1), F.greatest(F.length(name_col) - F.col("_n") + 1, F.lit(0)))
+    subs = F.transform(places, lambda i: F.substring(F.col(name_col), i, F.col("_n")))
+    exploded = sized.select("*", F.explode(F.array_distinct(subs)).alias("_sub")).drop("_n")
     return exploded.join(routes, exploded["_sub"] == routes["file_pattern"]).drop("_sub")
 
 
@@ -65,23 +49,19 @@ def route_files(files: DataFrame, config: DataFrame, name_col: str = "file_name"
     routes = active.where(F.length("file_pattern") > 0)
     fallback = (active.where(F.col("file_pattern") == "")
                 .orderBy("table_name").limit(1))
-    if routes.count() <= MAX_BROADCAST_ROUTES:
-        hits = _matches_broadcast(files, routes, name_col)
-    else:
-        hits = _matches_equi(files, routes, name_col)
+    hits = _matches(files, routes, name_col)
     w = Window.partitionBy(id_col).orderBy(F.length("file_pattern").desc(),
                                            F.col("table_name").asc())
     best = (hits.withColumn("_rank", F.row_number().over(w)).where("_rank = 1")
                 .select(id_col, "file_pattern", "table_name", "sensitive_cols"))
     routed = files.join(best, id_col, "left")
-    if fallback.count() > 0:
-        unrouted = F.col("table_name").isNull()
-        routed = routed.withColumns({
-            "file_pattern": F.when(unrouted, F.lit("")).otherwise(F.col("file_pattern")),
-            "sensitive_cols": F.when(unrouted, fallback.select("sensitive_cols").scalar())
-                               .otherwise(F.col("sensitive_cols")),
-            "table_name": F.coalesce("table_name", fallback.select("table_name").scalar()),
-        })
+    unrouted = F.col("table_name").isNull()
+    any_name = lambda c: fallback.select(c).scalar()  # noqa: E731  -- NULL without an empty pattern
+    routed = routed.withColumns({
+        "file_pattern": F.when(unrouted & any_name("table_name").isNotNull(), F.lit("")).otherwise(F.col("file_pattern")),
+        "sensitive_cols": F.when(unrouted, any_name("sensitive_cols")).otherwise(F.col("sensitive_cols")),
+        "table_name": F.coalesce("table_name", any_name("table_name")),
+    })
     return routed.withColumn(
         "sensitive_list",
         F.when(F.col("table_name").isNotNull(), split_list("sensitive_cols")))

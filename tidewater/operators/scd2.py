@@ -12,9 +12,10 @@ The reference reads ``dim_customer``/``dim_vehicle`` with a surrogate key and
   snapshots keeps its current version;
 * intervals are half-open ``[EffectiveFrom, EffectiveTo)``; the open one is
   current;
-* surrogate key = business key * 100000 + days since 1970-01-01 of
-  EffectiveFrom: stable across rebuilds, computed row by row (no global
-  ranking, which would funnel the table through one task).
+* surrogate key = 60 bits of the md5 of business key and EffectiveFrom:
+  stable across rebuilds, for keys of any type and dates of any century,
+  computed row by row (no global ranking, which would funnel the table
+  through one task).
 """
 
 from __future__ import annotations
@@ -26,18 +27,9 @@ from pyspark.sql import functions as F
 
 from .dedup import latest_per_key
 
-EPOCH = "1970-01-01"
-KEY_STRIDE = 100000
-
-
 def surrogate_key(business_key: str, effective_from: str) -> Column:
-    return (F.col(business_key).cast("bigint") * KEY_STRIDE
-            + F.datediff(F.col(effective_from), F.lit(EPOCH).cast("date")))
-
-
-def hash_key(*cols: str) -> Column:
-    """Alternative surrogate for non-numeric business keys (64-bit xxhash)."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    text = F.concat_ws("|", F.col(business_key).cast("string"), F.col(effective_from).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def _one_per_snapshot(rows: DataFrame, key: str, snapshot: str,
@@ -81,77 +73,69 @@ def _close(versions: DataFrame, key: str, key_name: str) -> DataFrame:
 
 
 def apply_snapshot(dim: DataFrame, rows: DataFrame, key: str, attrs: Sequence[str],
-                   snapshot: str, key_name: str, order: Sequence[Column] = ()) -> DataFrame:
+                   snapshot: str, key_name: str, order: Sequence[Column] = (),
+                   history: DataFrame | None = None) -> DataFrame:
     """M4: merge one new snapshot into an existing dimension.
 
-    Full outer join of the *current* versions with the snapshot on the key,
-    then per key: new -> insert; changed -> close + insert; same or
-    vanished -> keep.  Closed history passes through untouched.  Equal to a
-    rebuild over all snapshots when snapshots arrive in date order.
+    One full outer join of the dimension with the snapshot, on the key and on
+    being current: closed history passes through, a new key is inserted, a
+    changed one closed and inserted, the same or a vanished one kept, and a
+    repeated day replaced.  Equal to a rebuild when snapshots arrive in date
+    order.  Write the result before the next merge, as any table.
+
+    A snapshot older than a key's current version cannot be merged, since the
+    dimension does not know what later snapshots saw: that is an error,
+    unless ``history`` (all snapshots so far) is given.  Then the keys of the
+    new snapshot are rebuilt from history and rows, in any order of arrival.
     """
     cols = [key_name, key, *attrs, "EffectiveFrom", "EffectiveTo", "IsCurrent"]
-    hist = dim.where(~F.col("IsCurrent")).select(*cols)
-    cur = dim.where(F.col("IsCurrent")).select(*cols)
+    if history is not None:
+        keys = rows.where(F.col(key).isNotNull()).select(key).distinct()
+        known = history.join(keys, key, "left_semi")
+        again = build(known.unionByName(rows, allowMissingColumns=True), key, attrs, snapshot, key_name, order)
+        return dim.join(keys, key, "left_anti").select(*cols).unionByName(again.select(*cols))
     new = (_one_per_snapshot(rows, key, snapshot, order)
-           .select(key, *[F.col(a).alias(f"_n_{a}") for a in attrs],
-                   F.col(snapshot).alias("_n_from")))
-    j = cur.join(new, key, "full_outer")
-    has_cur, has_new = F.col(key_name).isNotNull(), F.col("_n_from").isNotNull()
+           .select(F.col(key).alias("_n_key"), *[F.col(a).alias(f"_n_{a}") for a in attrs],
+                   F.col(snapshot).alias("_n_from"), F.lit(True).alias("_n_current")))
+    old = dim.select(*cols)
+    j = old.join(new, (old[key] == new["_n_key"]) & (old["IsCurrent"] == new["_n_current"]), "full_outer")
+    has_old, has_new = F.col(key_name).isNotNull(), F.col("_n_from").isNotNull()
     same = F.lit(True)
     for a in attrs:
         same = same & F.col(a).eqNullSafe(F.col(f"_n_{a}"))
-    kept = F.struct(F.col(key_name).alias(key_name), *[F.col(a).alias(a) for a in attrs],
-                    F.col("EffectiveFrom").alias("EffectiveFrom"),
-                    F.col("EffectiveTo").alias("EffectiveTo"),
-                    F.col("IsCurrent").alias("IsCurrent"))
-    closed = F.struct(F.col(key_name).alias(key_name), *[F.col(a).alias(a) for a in attrs],
-                      F.col("EffectiveFrom").alias("EffectiveFrom"),
-                      F.col("_n_from").alias("EffectiveTo"),
-                      F.lit(False).alias("IsCurrent"))
-    inserted = F.struct(surrogate_key(key, "_n_from").alias(key_name),
-                        *[F.col(f"_n_{a}").alias(a) for a in attrs],
-                        F.col("_n_from").alias("EffectiveFrom"),
-                        F.lit(None).cast("date").alias("EffectiveTo"),
-                        F.lit(True).alias("IsCurrent"))
-    out = F.when(has_cur & has_new & ~same, F.array(closed, inserted)) \
-           .when(has_cur, F.array(kept)) \
-           .otherwise(F.array(inserted))
-    merged = j.select(key, F.inline(out)).select(*cols)
-    return hist.unionByName(merged)
-
-
-def _month(c: Column) -> Column:
-    return F.year(c) * 12 + F.month(c)
+
+    def version(key_col: Column, k: Column, values: Sequence[Column], start: Column, end: Column, current: Column):
+        return F.struct(key_col.alias(key_name), k.alias(key), *[v.alias(a) for v, a in zip(values, attrs)],
+                        start.alias("EffectiveFrom"), end.alias("EffectiveTo"), current.alias("IsCurrent"))
+
+    mine = [F.col(a) for a in attrs]
+    kept = version(F.col(key_name), F.col(key), mine, F.col("EffectiveFrom"), F.col("EffectiveTo"), F.col("IsCurrent"))
+    closed = version(F.col(key_name), F.col(key), mine, F.col("EffectiveFrom"), F.col("_n_from"), F.lit(False))
+    fresh = version(surrogate_key("_n_key", "_n_from"), F.col("_n_key"), [F.col(f"_n_{a}") for a in attrs],
+                    F.col("_n_from"), F.lit(None).cast("date"), F.lit(True))
+    late = F.raise_error(F.concat(F.lit("snapshot older than the current version of "), F.col(key).cast("string")))
+    out = (F.when(has_old & has_new & (F.col("_n_from") < F.col("EffectiveFrom")), late)
+           .when(has_old & has_new & ~same & (F.col("_n_from") == F.col("EffectiveFrom")), F.array(fresh))
+           .when(has_old & has_new & ~same, F.array(closed, fresh))
+           .when(has_old, F.array(kept)).otherwise(F.array(fresh)))
+    return j.select(F.inline(out)).select(*cols)
 
 
 def as_of_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-               at: str, how: str = "left") -> DataFrame:
-    """M3: attach the dimension version valid at ``facts[at]``.
-
-    A range join done as an equi-join on (key, month): every version is
-    replicated into each calendar month its interval ``[EffectiveFrom,
-    EffectiveTo)`` touches, each fact joins the versions of its key and
-    month, and the interval test keeps the one valid version.  A fact meets
-    only the one or two versions overlapping its month -- never all
-    versions of its key -- and a hot key is spread over its months (AQE's
-    skew split does the rest).
-
-    Open intervals end at ``cap``, the last month any version boundary
-    touches (a scalar over the dimension, not a scan of the facts); a fact
-    after it is looked up in the cap month, where only open versions
-    remain, and the interval test on the real date decides.
-    """
-    bounds = F.greatest(_month(F.col("EffectiveFrom")), _month(F.col("EffectiveTo")))
-    cap = dim.select(F.max(bounds)).scalar()
-    start = _month(F.col("EffectiveFrom"))
-    end = F.coalesce(_month(F.date_sub(F.col("EffectiveTo"), 1)), cap)
-    d = (dim.withColumn("_m", F.explode(F.sequence(start, F.greatest(start, end))))
-            .alias("_d"))
-    f = facts.withColumn("_m", F.least(_month(F.col(at)), cap)).alias("_f")
-    cond = [
-        F.col(f"_f.{fact_key}") == F.col(f"_d.{dim_key}"),
-        F.col("_f._m") == F.col("_d._m"),
-        F.col("_d.EffectiveFrom") <= F.col(f"_f.{at}"),
-        F.col("_d.EffectiveTo").isNull() | (F.col(f"_f.{at}") < F.col("_d.EffectiveTo")),
-    ]
-    return f.join(d, cond, how)
+               at: str) -> DataFrame:
+    """M3: ``facts`` (alias ``_f``) with ``_d``, the dimension version valid at
+    ``facts[at]``, NULL if there is none.
+
+    The dimension becomes one row per key with its versions as an array
+    (bounded by the number of snapshots) and is joined once on the key: one
+    row per fact, no copies of versions, and a hot fact key is split by
+    adaptive execution like in any join.  An array expression picks the
+    version whose half-open interval holds the date."""
+    versions = dim.groupBy(F.col(dim_key).alias("_d_key")).agg(
+        F.collect_list(F.struct(*dim.columns)).alias("_versions"))
+    f = facts.alias("_f")
+    j = f.join(versions, F.col(f"_f.{fact_key}") == F.col("_d_key"), "left")
+    when = F.col(f"_f.{at}")
+    valid = F.filter("_versions", lambda v: (v["EffectiveFrom"] <= when)
+                     & (v["EffectiveTo"].isNull() | (when < v["EffectiveTo"])))
+    return j.withColumn("_d", F.try_element_at(valid, F.lit(1))).drop("_d_key", "_versions")

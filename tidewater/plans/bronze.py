@@ -1,29 +1,37 @@
 """Bronze: route landed deliveries to tables, read, protect, stamp, append.
 
-A *delivery* is what lands under the landing folder: a file, or a folder of
-part files (what Spark and most exporters write).  Its name drives routing
-(contains-pattern match), its extension picks the reader, and a
-``yyyy-MM-dd`` inside it is the snapshot date (else the run date).
-
-Per run: one distributed listing, one routing join, then one read + one
-write per *table* (all its deliveries at once), never one job per file.
-Only the routing result -- file paths, not data -- reaches the driver.
+A *delivery* is what lands directly under the landing folder: a file, or a
+folder of part files (what Spark and most exporters write).  Its name drives
+routing (contains-pattern match), its extension picks the reader, and a
+``yyyy-MM-dd`` inside it is the snapshot date (else the run date, which is
+required then).
+
+Per run: one distributed listing and one routing join; only one row per
+delivery reaches the driver.  Deliveries of a table that agree in format,
+columns and sensitive list are read and written together; each keeps its own
+route's sensitive list.  Columns are found by name (``quality.harmonize``):
+reordered and renamed ones land where they belong, unknown ones are kept, and
+history evolves with them.  Values that fail the declared type are NULL in the
+table and reported in ``quarantine/<table>``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ..functions.protect import protect_columns
 from ..functions.text import country_name
-from ..operators.provenance import append_partitioned, snapshot_from_name, stamp
+from ..operators.provenance import META_COLS, append_partitioned, snapshot_from_name, stamp
+from ..operators.quality import harmonize
 from ..operators.routing import route_files
-from ..sources.files import READERS
+from ..sources.files import READERS, csv_header, source_path
 
 CONFIG_SCHEMA = "file_pattern string, table_name string, sensitive_cols string, active_flag string"
 
@@ -34,6 +42,7 @@ CONFIG_ROWS = [
     ("policies_master", "policies_master", "", "Y"),
     ("policy_claims", "policy_claims", "", "Y"),
     ("policy_payments", "policy_payments", "", "Y"),
+    ("vehicle_master", "vehicle_master", "", "Y"),
 ]
 
 # Declared bronze schemas (D9): ids typed, everything else landed as text
@@ -51,6 +60,16 @@ TABLE_SCHEMAS = {
     "policy_payments": (
         "TransactionID bigint, CustomerID bigint, ScheduledDate string, PaidDate string, "
         "Amount_INR string"),
+    "vehicle_master": "PolicyNumber bigint, VehicleMake string",
+}
+
+# Fixed alias map: column names of country feeds -> the common names
+COLUMN_ALIASES = {
+    "policy_number": "PolicyNumber", "customer_id": "CustomerID",
+    "policy_type": "PolicyType", "payment_frequency": "PaymentFrequency",
+    "annual_premium": "AnnualPremium_INR", "coverage_amount": "CoverageAmount_INR",
+    "start_date": "PolicyStartDate", "first_name": "FirstName", "last_name": "LastName",
+    "mail": "Email", "e_mail": "Email", "phone_number": "Phone",
 }
 
 
@@ -59,13 +78,22 @@ def config_frame(spark: SparkSession, rows: Sequence[tuple] = tuple(CONFIG_ROWS)
     return spark.createDataFrame(list(rows), CONFIG_SCHEMA)
 
 
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
+def _delivery_of(path: Column, landing: str) -> Column:
+    """First path segment below the landing folder (its full path, so that a
+    folder of the same name elsewhere in the path does not matter)."""
+    base = re.sub(_SCHEME, "", landing).rstrip("/") + "/"
+    plain = F.regexp_replace(path, _SCHEME, "")
+    return F.split(F.substring(plain, len(base) + 1, 1 << 30), "/")[0]
+
+
 def landed(spark: SparkSession, landing: str) -> DataFrame:
     """Every landed file with its delivery name and format."""
-    base = re.escape(landing.rstrip("/").rsplit("/", 1)[-1])
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(landing).select("path"))
-    rel = F.regexp_extract("path", f"/{base}/(.*)$", 1)
-    delivery = F.regexp_extract(rel, r"^([^/]+)", 1)
+    delivery = _delivery_of(F.col("path"), landing)
     return files.select(
         "path", delivery.alias("delivery"),
         F.lower(F.regexp_extract(delivery, r"\.([A-Za-z0-9]+)$", 1)).alias("format"))
@@ -73,44 +101,50 @@ def landed(spark: SparkSession, landing: str) -> DataFrame:
 
 def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFrame,
            key: str, country: str, run_date: str | None = None,
-           schemas: dict[str, str] | None = None, mode: str = "ECB") -> DataFrame:
+           schemas: dict[str, str] | None = None, mode: str = "ECB",
+           aliases: Mapping[str, str] = COLUMN_ALIASES) -> DataFrame:
     """Route, read, protect, stamp and append every landed delivery.
 
-    Returns the routing report (one row per file; ``table_name`` NULL for
-    files no active pattern matches -- they are reported, not fatal)."""
+    Returns the routing report, one row per file with ``status``: files that
+    no active pattern matches are ``unrouted``, those of a format without a
+    reader ``unknown format``; neither stops the others (D11)."""
     schemas = schemas or TABLE_SCHEMAS
-    routed = route_files(landed(spark, landing), config, name_col="delivery")
-    plan = routed.where(F.col("table_name").isNotNull()).select(
-        "path", "format", "table_name", "sensitive_list").collect()
-    by_table: dict[str, dict[str, list[str]]] = {}
-    sensitive: dict[str, list[str]] = {}
-    for r in plan:
-        by_table.setdefault(r["table_name"], {}).setdefault(r["format"], []).append(r["path"])
-        sensitive[r["table_name"]] = list(r["sensitive_list"] or [])
-    base = re.escape(landing.rstrip("/").rsplit("/", 1)[-1])
-    for table, formats in sorted(by_table.items()):
-        frames = []
-        for fmt, paths in sorted(formats.items()):
-            if fmt not in READERS:
-                raise ValueError(f"Unknown file type: {paths[0]}")
-            df = READERS[fmt](spark, paths, schemas.get(table))
-            src = F.col("_source_path") if "_source_path" in df.columns \
-                else F.col("_metadata.file_path")
-            frames.append(df.withColumn("_path", src))
-        df = frames[0]
-        for f in frames[1:]:
-            df = df.unionByName(f, allowMissingColumns=True)
-        delivery = F.regexp_extract(F.regexp_extract("_path", f"/{base}/(.*)$", 1), r"^([^/]+)", 1)
-        df = df.withColumn("_delivery", delivery)
-        df = protect_columns(df, sensitive.get(table, []), key, mode)
+    files = landed(spark, landing)
+    routed = route_files(files.select("delivery", "format").distinct(), config,
+                         name_col="delivery", id_col="delivery")
+    plan = (routed.where(F.col("table_name").isNotNull() & F.col("format").isin(*READERS))
+            .select("delivery", "format", "table_name", "sensitive_list").collect())
+
+    def columns(r) -> tuple[str, ...]:
+        return csv_header(spark, f"{landing}/{r['delivery']}") if r["format"] == "csv" else ()
+
+    with ThreadPoolExecutor(max_workers=8) as pool:      # one line of each CSV delivery
+        headers = list(pool.map(columns, plan))
+    groups: dict[tuple, list[str]] = {}
+    for r, header in zip(plan, headers):
+        group = (r["table_name"], r["format"], tuple(sorted(r["sensitive_list"] or [])), header)
+        groups.setdefault(group, []).append(f"{landing}/{r['delivery']}")
+    for (table, fmt, sensitive, header), paths in sorted(groups.items()):
+        df = READERS[fmt](spark, sorted(paths), header) if fmt == "csv" else READERS[fmt](spark, sorted(paths))
+        # file paths of rows are URI-encoded
+        path = F.url_decode(F.replace(source_path(df), F.lit("+"), F.lit("%2B"))) if fmt != "xlsx" else source_path(df)
+        df = df.withColumn("_delivery", _delivery_of(path, landing)).drop("_source_path")
+        declared = schemas.get(table)
+        target = {f.name: f.dataType.simpleString() for f in _parse_datatype_string(declared)} if declared else {}
+        df = harmonize(df, aliases, target, keep_unknown=True)
+        df = protect_columns(df, sensitive, key, mode)
         df = stamp(df, country_name(F.lit(country)),
                    snapshot_from_name("_delivery", run_date), F.col("_delivery"))
-        append_partitioned(df.drop("_path", "_delivery", "_source_path"),
-                           f"{bronze_root}/{table}")
-    return routed
+        rejected = df.select(*META_COLS, F.explode("_rejected").alias("r")).select(
+            "r.column", F.when(~F.col("r.column").isin(*sensitive), F.col("r.value")).alias("value"), *META_COLS)
+        append_partitioned(df.drop("_delivery", "_rejected"), f"{bronze_root}/{table}")
+        append_partitioned(rejected, f"{bronze_root}/quarantine/{table}")
+    status = F.when(F.col("table_name").isNull(), "unrouted").when(
+        ~F.col("format").isin(*READERS), "unknown format").otherwise("ingested")
+    return files.select("path", "delivery").join(routed, "delivery").withColumn("status", status)
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 5000) -> None:
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
     """Land rows as multi-line JSON: each file holds one array of at most
     ``rows_per_file`` records (bounded, so a reader task stays small)."""
     from ..session import ship_package

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import protect, text
 from ..functions.parse import parse_date, parse_int, rejected
 from ..operators import incremental, provenance, quality, routing, scd2
-from ..operators.partitioning import spread
 from ..session import scratch_path
 from ..sources import views as _views
 from ..sources import workbooks
@@ -433,17 +432,19 @@ def _harmonize(w: Warehouse) -> DataFrame:
         quality.harmonize(snake, POLICY_ALIASES, POLICY_COMMON)]))
 
 
-@register("mask_pii_text", r"""
+# the phone shapes of ``text.PHONE_PATTERN``, written out for the check
+PHONE_SQL = (r"((\+|\b00)\d{1,3}[ .-]?(\(\d{1,5}\)|\d{1,5})([ .-]?\d{2,6}){1,4}\b"
+             r"|\(\d{2,5}\)[ .-]?\d{2,6}([ .-]?\d{2,6}){0,3}\b|\b\d{3}[ .-]\d{3}[ .-]\d{4}\b)")
+
+
+@register("mask_pii_text", rf"""
 SELECT doc_id,
-       len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS n_emails,
-       len(regexp_extract_all(text, '\+?[0-9][0-9() .-]{7,}[0-9]')) AS n_phones,
-       regexp_replace(
-         regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<EMAIL>', 'g'),
-         '\+?[0-9][0-9() .-]{7,}[0-9]', '<PHONE>', 'g') AS masked_text
-FROM documents""")
+       len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}')) AS n_emails,
+       len(regexp_extract_all(m, '{PHONE_SQL}')) AS n_phones, regexp_replace(m, '{PHONE_SQL}', '<PHONE>', 'g') AS masked_text
+FROM (SELECT *, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '<EMAIL>', 'g') AS m FROM documents)""")
 def _mask_pii(w: Warehouse) -> DataFrame:
     """Q7: count and mask e-mails and phone numbers in free text (whole texts)."""
-    d = spread(w.t.documents.select("doc_id", "text"))
+    d = w.t.documents.select("doc_id", "text")
     return d.select("doc_id", text.count_emails("text").alias("n_emails"),
                     text.count_phones("text").alias("n_phones"),
                     text.mask_pii("text").alias("masked_text"))
@@ -475,33 +476,31 @@ def _encrypt_gcm(w: Warehouse) -> DataFrame:
 
 @register("encrypted_key_join", """
 SELECT a.Email, COUNT(*) AS matches
-FROM bronze_customers a JOIN bronze_customers b
-  ON a.Email = b.Email AND a.SnapshotDate = '2024-01-01' AND b.SnapshotDate = '2024-03-01'
-GROUP BY a.Email""")
+FROM bronze_customers a JOIN bronze_customers b ON a.Email = b.Email GROUP BY a.Email""")
 def _encrypted_join(w: Warehouse) -> DataFrame:
     """ECB is deterministic, so equi-joins on ciphertext give the
-    plaintext answer.  First vs third snapshot, joined on encrypted e-mail.
+    plaintext answer.  All rows joined with all rows on encrypted e-mail.
 
     The join runs on per-ciphertext counts (one row per value and side), so
     an e-mail repeated on both sides multiplies counts instead of emitting
     every pair."""
-    b = w.bronze_customers.select(
-        "SnapshotDate", protect.encrypt("Email", DEMO_KEY).alias("EmailEnc"))
+    side = lambda name: (w.bronze_customers
+                         .select(protect.encrypt("Email", DEMO_KEY).alias("EmailEnc"))
+                         .groupBy("EmailEnc").agg(F.count(F.lit(1)).alias(name)))
+    return side("_a").join(side("_c"), "EmailEnc").select(
+        protect.decrypt("EmailEnc", DEMO_KEY).alias("Email"), (F.col("_a") * F.col("_c")).alias("matches"))
 
-    def side(snapshot: str, name: str) -> DataFrame:
-        return (b.where(F.col("SnapshotDate") == snapshot).groupBy("EmailEnc")
-                .agg(F.count(F.lit(1)).alias(name)))
 
-    j = side("2024-01-01", "_a").join(side("2024-03-01", "_c"), "EmailEnc")
-    return j.select(protect.decrypt("EmailEnc", DEMO_KEY).alias("Email"),
-                    (F.col("_a") * F.col("_c")).alias("matches"))
+def _pad(byte: int) -> str:
+    return "".join(f"\\x{(b ^ byte):02X}" for b in DEMO_KEY.encode().ljust(64, b"\0"))
 
 
 @register("keyed_token_groups", f"""
-SELECT sha256('{DEMO_KEY}' || Email) AS EmailToken, COUNT(*) AS rows_per_token
+SELECT sha256('{_pad(0x5C)}'::BLOB || unhex(sha256('{_pad(0x36)}'::BLOB || encode(Email)))) AS EmailToken,
+       COUNT(*) AS rows_per_token
 FROM bronze_customers GROUP BY Email""")
 def _token_groups(w: Warehouse) -> DataFrame:
-    """D3: keyed sha-256 token as the joinable stand-in for a GCM column."""
+    """D3: keyed HMAC token as the joinable stand-in for a GCM column."""
     return (w.bronze_customers.select(protect.token("Email", DEMO_KEY).alias("EmailToken"))
             .groupBy("EmailToken").agg(F.count(F.lit(1)).alias("rows_per_token")))
 
@@ -530,17 +529,78 @@ def _dim_scd2(w: Warehouse) -> DataFrame:
 @register("dim_customer_increment", "SELECT * FROM dim_customer_scd2")
 def _dim_increment(w: Warehouse) -> DataFrame:
     """M4: build from the first snapshot, then merge the later ones one by
-    one; must equal the full rebuild."""
+    one, each into the written dimension of the day before; must equal the
+    full rebuild."""
+    return _merged_dim(w, sorted(SNAPSHOT_DATES), late=False)
+
+
+def _merged_dim(w: Warehouse, dates: list[str], late: bool) -> DataFrame:
     rows = _customer_snapshots(w)
-    dates = sorted(SNAPSHOT_DATES)
-    dim = _build_customer_dim(rows.where(F.col("SnapshotDate") == F.lit(dates[0]).cast("date")))
-    for d in dates[1:]:
-        dim = scd2.apply_snapshot(dim, rows.where(F.col("SnapshotDate") == F.lit(d).cast("date")),
-                                  "CustomerID", CUSTOMER_ATTRS, "SnapshotDate", "CustomerKey",
-                                  order=[F.col("FileName").desc()])
+    root = scratch_path(w.spark, "dim-increment")
+    day = lambda d: rows.where(F.col("SnapshotDate") == F.lit(d).cast("date"))
+    dim = _build_customer_dim(day(dates[0]))
+    for i, d in enumerate(dates[1:]):
+        dim.write.parquet(f"{root}/{i}")
+        seen = rows.where(F.col("SnapshotDate").cast("string").isin(dates[:i + 1]))
+        dim = scd2.apply_snapshot(w.spark.read.parquet(f"{root}/{i}"), day(d), "CustomerID", CUSTOMER_ATTRS,
+                                  "SnapshotDate", "CustomerKey", order=[F.col("FileName").desc()],
+                                  history=seen if late else None)
     return dim.select(*SCD2_COLUMNS)
 
 
+@register("dim_customer_increment_out_of_order", "SELECT * FROM dim_customer_scd2")
+def _dim_late(w: Warehouse) -> DataFrame:
+    """M4 with late snapshots: the third arrives first, the first last."""
+    return _merged_dim(w, [SNAPSHOT_DATES[2], SNAPSHOT_DATES[1], SNAPSHOT_DATES[0]], late=True)
+
+
+@register("dim_customer_keys", "SELECT CustomerKey, CustomerID, EffectiveFrom FROM dim_customer_scd2")
+def _dim_keys(w: Warehouse) -> DataFrame:
+    """M2: the surrogate keys."""
+    return _build_customer_dim(_customer_snapshots(w)).select("CustomerKey", "CustomerID", "EffectiveFrom")
+
+
+@register("dim_vehicle_scd2", "SELECT * FROM dim_vehicle_scd2")
+def _dim_vehicle_scd2(w: Warehouse) -> DataFrame:
+    """M1 for vehicles, from their own feed."""
+    rows = _views.bronze_vehicles(w.t).withColumn("SnapshotDate", parse_date("SnapshotDate"))
+    return scd2.build(rows, "PolicyNumber", ("VehicleMake",), "SnapshotDate", "VehicleKey",
+                      order=[F.col("FileName").desc()]).select(
+        "VehicleKey", "PolicyNumber", "VehicleMake", "EffectiveFrom", "EffectiveTo", "IsCurrent")
+
+
+# Fixed shift of the fixture's claim and payment dates (1995-2001) so that
+# they fall before, between and after the dimension's snapshots (2024)
+LOOKUP_SHIFT_DAYS = 8400
+
+
+@register("fact_claims_point_in_time", f"""
+SELECT c.ClaimID, c.CustomerID, c.ClaimDate + {LOOKUP_SHIFT_DAYS} AS LookupDate, d.CustomerKey, d.City, d.IsCurrent
+FROM claims c LEFT JOIN dim_customer_scd2 d
+  ON d.CustomerID = c.CustomerID AND d.EffectiveFrom <= c.ClaimDate + {LOOKUP_SHIFT_DAYS}
+ AND coalesce(c.ClaimDate + {LOOKUP_SHIFT_DAYS} < d.EffectiveTo, true)""")
+def _claims_point_in_time(w: Warehouse) -> DataFrame:
+    """M3: each claim with the customer version valid at its date."""
+    return _at_date(w, w.claims, "ClaimID", "ClaimDate")
+
+
+@register("fact_payments_point_in_time", f"""
+SELECT p.TransactionID, p.CustomerID, p.PaidDate + {LOOKUP_SHIFT_DAYS} AS LookupDate, d.CustomerKey, d.City, d.IsCurrent
+FROM payments p LEFT JOIN dim_customer_scd2 d
+  ON d.CustomerID = p.CustomerID AND d.EffectiveFrom <= p.PaidDate + {LOOKUP_SHIFT_DAYS}
+ AND coalesce(p.PaidDate + {LOOKUP_SHIFT_DAYS} < d.EffectiveTo, true)""")
+def _payments_point_in_time(w: Warehouse) -> DataFrame:
+    """M3: each payment with the customer version valid when paid."""
+    return _at_date(w, w.payments, "TransactionID", "PaidDate")
+
+
+def _at_date(w: Warehouse, rows: DataFrame, id_col: str, date_col: str) -> DataFrame:
+    dim = _build_customer_dim(_customer_snapshots(w))
+    facts = rows.select(id_col, "CustomerID", F.date_add(date_col, LOOKUP_SHIFT_DAYS).alias("LookupDate"))
+    return scd2.as_of_join(facts, dim, "CustomerID", "CustomerID", "LookupDate").select(
+        id_col, "CustomerID", "LookupDate", "_d.CustomerKey", "_d.City", "_d.IsCurrent")
+
+
 @register("fact_events_point_in_time", """
 SELECT e.event_id, e.user_id AS CustomerID, CAST(e.ts AS DATE) + 30 AS LookupDate,
        d.CustomerKey, d.City, d.IsCurrent
@@ -573,30 +633,95 @@ def _land(df: DataFrame, snapshot: str) -> DataFrame:
     return df.where(F.col("SnapshotDate") == snapshot).drop(*provenance.META_COLS)
 
 
-def _history(spark, path: str) -> DataFrame:
-    h = provenance.read_history(spark, path)
-    return h.withColumn("SnapshotDate", F.col("SnapshotDate").cast("string"))
+_history = provenance.read_history
 
 
 @register("bronze_ingest", """
-SELECT * FROM bronze_customers""")
+SELECT * REPLACE (CASE WHEN SnapshotDate = '2024-01-01'
+       THEN 'insurance_customer_' || CASE CustomerID % 2 WHEN 0 THEN 'b' ELSE 'a' END || '_2024-01-01.csv'
+       ELSE FileName END AS FileName)
+FROM bronze_customers
+UNION ALL
+SELECT * REPLACE ('UnitedKingdom' AS _src_country) FROM bronze_customers WHERE SnapshotDate = '2024-03-01'""")
 def _bronze_ingest(w: Warehouse) -> DataFrame:
-    """I7 end to end (A1, A5, A8, I1-I6, C1-C2, C6, B1): the three customer
-    extracts land as CSV deliveries; the job routes, reads with the declared
-    schema, encrypts the configured PII, stamps provenance and appends by
-    snapshot.  Read back and decrypted, bronze must equal what landed."""
+    """I7 end to end (A1, A5, A8, I1-I6, C1-C2, C6, B1, D13): customer extracts
+    of two countries land as CSV deliveries, two of them on one day, and come
+    in by separate runs, one of which is run again; the job routes, reads,
+    encrypts the configured PII, stamps provenance and appends by delivery.
+    Read back and decrypted, bronze must hold every landed row once."""
     spark = w.spark
     root = scratch_path(spark, "bronze-ingest")
-    for d in SNAPSHOT_DATES:
-        (_land(w.bronze_customers, d).write.option("header", True)
-         .csv(f"{root}/landing/insurance_customer_{d}.csv"))
-    bronze.ingest(spark, f"{root}/landing", f"{root}/bronze", bronze.config_frame(spark),
-                  DEMO_KEY, "india")
+    d1, d2, d3 = SNAPSHOT_DATES
+    rows = lambda d: _land(w.bronze_customers, d)
+    deliveries = [
+        ("india-1a", "a_" + d1, rows(d1).where("CustomerID % 2 <> 0"), "india"),
+        ("india-1b", "b_" + d1, rows(d1).where("CustomerID % 2 = 0"), "india"),
+        ("india-2", d2, rows(d2), "India"),
+        ("india-3", d3, rows(d3), "INDIA"),
+        ("uk-3", d3, rows(d3), "unitedkingdom"),
+    ]
+    for folder, name, df, _ in deliveries:
+        df.write.option("header", True).csv(f"{root}/{folder}/landing/insurance_customer_{name}.csv")
+    for folder, _, _, country in [*deliveries, deliveries[0]]:
+        bronze.ingest(spark, f"{root}/{folder}/landing", f"{root}/bronze", bronze.config_frame(spark),
+                      DEMO_KEY, country)
     hist = _history(spark, f"{root}/bronze/insurance_customer")
     plain = protect.unprotect_columns(hist, CUSTOMER_PII, DEMO_KEY, strict=True)
     return plain.select(*CUSTOMER_FIXTURE_COLS)
 
 
+# Fixed routing rows for the conforming check: two routes to one table, each
+# with its own sensitive list
+TWO_ROUTES = [("cust_feed_a", "insurance_customer", "FirstName,LastName,Email,Phone", "Y"),
+              ("cust_feed_b", "insurance_customer", "Email", "Y")]
+
+
+@register("bronze_ingest_conform", """
+WITH f AS (SELECT *, CASE SnapshotDate WHEN '2024-01-01' THEN 'cust_feed_a_2024-01-01.csv'
+                  WHEN '2024-02-01' THEN 'cust_feed_b_2024-02-01.csv' ELSE 'cust_feed_a_2024-03-01.XLSX' END AS d
+           FROM bronze_customers)
+SELECT CASE WHEN SnapshotDate = '2024-01-01' AND CustomerID % 50 = 0 THEN NULL ELSE CustomerID END AS CustomerID,
+       FirstName, Email, Phone, City,
+       CASE WHEN SnapshotDate = '2024-02-01' THEN 'T' || CustomerID % 3 END AS LoyaltyTier,
+       SnapshotDate <> '2024-02-01' AS FirstNameProtected, true AS EmailProtected,
+       CASE WHEN SnapshotDate = '2024-01-01' AND CustomerID % 50 = 0 THEN 'X' || CustomerID END AS RejectedID,
+       SnapshotDate, d AS FileName
+FROM f""")
+def _ingest_conform(w: Warehouse) -> DataFrame:
+    """One table from a CSV with reordered and renamed
+    columns and broken ids, a CSV with a new column and a shorter sensitive
+    list, and upper-case .XLSX workbooks, together with a file of an unknown
+    format that only shows in the report."""
+    spark = w.spark
+    root = scratch_path(spark, "ingest-conform")
+    land = f"{root}/landing"
+    d1, d2, d3 = SNAPSHOT_DATES
+    first = _land(w.bronze_customers, d1)
+    broken = F.when(F.col("CustomerID") % 50 == 0, F.concat(F.lit("X"), "CustomerID")).otherwise(
+        F.concat("CustomerID", F.lit(".0")))
+    (first.select("Phone", F.col("Email").alias("mail"), broken.alias("customer_id"), F.col("LastName").alias("last_name"),
+                  "City", F.col("FirstName").alias("FIRSTNAME"), "State", "DOB", "Country", "Age")
+     .write.option("header", True).csv(f"{land}/cust_feed_a_{d1}.csv"))
+    (_land(w.bronze_customers, d2).withColumn("LoyaltyTier", F.concat(F.lit("T"), F.col("CustomerID") % 3))
+     .write.option("header", True).csv(f"{land}/cust_feed_b_{d2}.csv"))
+    workbooks.write_xlsx(_land(w.bronze_customers, d3), f"{land}/cust_feed_a_{d3}.XLSX")
+    first.select("FirstName").write.text(f"{land}/cust_feed_a_{d1}.txt")
+    report = bronze.ingest(spark, land, f"{root}/bronze", bronze.config_frame(spark, TWO_ROUTES), DEMO_KEY, "india")
+    odd = report.where("status = 'unknown format'").select(F.count(F.lit(1))).scalar()
+    h = _history(spark, f"{root}/bronze/insurance_customer")
+    shown = lambda c: F.coalesce(protect.decrypt(c, DEMO_KEY), F.col(c))
+    hidden = lambda c: protect.decrypt(c, DEMO_KEY).isNotNull()
+    out = h.select(
+        "CustomerID", shown("FirstName").alias("FirstName"), shown("Email").alias("Email"), shown("Phone").alias("Phone"),
+        "City", "LoyaltyTier", hidden("FirstName").alias("FirstNameProtected"), hidden("Email").alias("EmailProtected"),
+        "SnapshotDate", "FileName").where(odd > 0)
+    # the raw ids in quarantine are those of the rows that have none
+    bad = _history(spark, f"{root}/bronze/quarantine/insurance_customer").where(F.col("column") == "CustomerID")
+    ids = bad.select(F.col("value").alias("RejectedID"), F.substring("value", 2, 30).alias("_id"))
+    mail = F.regexp_extract("Email", r"\.(\d+)@", 1)
+    return (out.withColumn("_id", F.when(F.col("CustomerID").isNull(), mail)).join(ids, "_id", "left").drop("_id"))
+
+
 @register("scan_mixed_formats", """
 SELECT * REPLACE (CASE SnapshotDate
                     WHEN '2024-01-01' THEN 'policies_master_2024-01-01.parquet'
@@ -717,15 +842,13 @@ hits AS (
   FROM files f JOIN cfg c ON c.active_flag = 'Y' AND contains(f.file_name, c.file_pattern))
 SELECT f.path, h.table_name FROM files f LEFT JOIN hits h ON h.path = f.path AND h.rk = 1""")
 def _route_equi(w: Warehouse) -> DataFrame:
-    """J8 for configs too large to broadcast: substring equi-join, same answer."""
-    cfg = bronze.config_frame(w.spark, ROUTING_CHECK_ROWS)
-    old = routing.MAX_BROADCAST_ROUTES
-    routing.MAX_BROADCAST_ROUTES = -1
-    try:
-        r = routing.route_files(_pages_files(w), cfg)
-    finally:
-        routing.MAX_BROADCAST_ROUTES = old
-    return r.select("path", "table_name")
+    """J8 with a large config (a row per document that matches nothing): the
+    same plan, the same answer."""
+    many = w.t.documents.select(F.concat(F.lit("no_such_feed_"), "doc_id").alias("file_pattern"),
+                                F.lit("nothing").alias("table_name"), F.lit("").alias("sensitive_cols"),
+                                F.lit("Y").alias("active_flag"))
+    cfg = bronze.config_frame(w.spark, ROUTING_CHECK_ROWS).unionByName(many)
+    return routing.route_files(_pages_files(w), cfg).select("path", "table_name")
 
 
 # ================================================================= streaming
@@ -743,7 +866,7 @@ def _land_events_by_day(w: Warehouse, landing: str) -> None:
 
 
 @register("stream_ingest_archive", """
-SELECT event_id, ts, user_id, event_type, value, props, 'Unitedkingdom' AS _src_country,
+SELECT event_id, ts, user_id, event_type, value, props, 'UnitedKingdom' AS _src_country,
        strftime(ts, '%Y-%m-%d') AS SnapshotDate
 FROM events""")
 def _stream_ingest(w: Warehouse) -> DataFrame:
@@ -763,48 +886,53 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
 
 
 @register("stream_latest_per_key", """
-SELECT * EXCLUDE (FileName) FROM silver_policies""")
+SELECT * FROM silver_policies""")
 def _stream_latest(w: Warehouse) -> DataFrame:
-    """ST2: the three policy extracts arrive one per micro-batch; the
-    streaming state keeps the latest row per policy; after the casts and
-    fills the result equals the batch silver job."""
+    """ST2: the three policy extracts arrive in as many runs of the stream, the
+    last one twice on its day under two names; the streaming state keeps the
+    latest row per policy, ties by file name; after the casts and fills the
+    result equals the batch silver job in every column."""
     spark = w.spark
     root = scratch_path(spark, "stream-latest")
-    for d in SNAPSHOT_DATES:
-        (_land(w.bronze_policies, d).write.option("header", True)
-         .csv(f"{root}/landing/policies_master_{d}.csv"))
 
     def enrich(src: DataFrame) -> DataFrame:
         return src.withColumns({
             "_src_country": F.lit("India"),
             "SnapshotDate": provenance.snapshot_from_name(F.col("_metadata.file_path")),
+            "FileName": F.regexp_extract("_metadata.file_path", r"(policies_[^/]+\.csv)/", 1),
         })
 
-    stream_jobs.latest_state_stream(
-        spark, f"{root}/landing", f"{root}/changelog", f"{root}/checkpoint",
-        bronze.TABLE_SCHEMAS["policies_master"], "PolicyNumber",
-        [parse_date("SnapshotDate")], max_files=1, enrich=enrich)
+    last = SNAPSHOT_DATES[-1]
+    for d in SNAPSHOT_DATES:
+        rows = _land(w.bronze_policies, d)
+        rows.write.option("header", True).csv(f"{root}/landing/policies_master_{d}.csv")
+        if d == last:       # the same day under a name that sorts before: never wins
+            (rows.withColumn("AgentName", F.lit("earlier file")).write.option("header", True)
+             .csv(f"{root}/landing/policies_first_{d}.csv"))
+        stream_jobs.latest_state_stream(
+            spark, f"{root}/landing", f"{root}/changelog", f"{root}/checkpoint",
+            bronze.TABLE_SCHEMAS["policies_master"], "PolicyNumber",
+            [parse_date("SnapshotDate"), F.col("FileName")], enrich=enrich)
     latest = stream_jobs.read_latest(spark, f"{root}/changelog", "PolicyNumber")
     typed = silver.fill_policy_defaults(silver.type_policies(latest))
-    return gold.money_as_double(typed).select(*[c for c in POLICY_FIXTURE_COLS if c != "FileName"])
+    return gold.money_as_double(typed).select(*POLICY_FIXTURE_COLS)
 
 
 @register("stream_windowed_totals", """
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type,
        COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, value FROM events)
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 GROUP BY window_start, event_type""")
 def _stream_windows(w: Warehouse) -> DataFrame:
     """ST3: hourly event counts and value totals per type, watermark 10
-    minutes, append mode: every window the watermark has closed."""
+    minutes, every window published, open ones too: the batch answer."""
     spark = w.spark
     root = scratch_path(spark, "stream-windows")
     _land_events_by_day(w, f"{root}/landing")
     stream_jobs.windowed_totals_stream(
         spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint",
         EVENT_SCHEMA + ", day string", "ts", "event_type", "value")
-    return spark.read.parquet(f"{root}/sink")
+    return stream_jobs.read_windows(spark, f"{root}/sink", "event_type")
 
 
 # ============================================================ more sources
@@ -894,17 +1022,23 @@ def _layer_run(w: Warehouse) -> layers.Gold:
     spark = w.spark
     root = scratch_path(spark, "layers")
     land = f"{root}/landing"
+    claims = _views.redelivered(_views.keyed_claims(w.t), "ClaimID", "SettledAmount_INR")
+    payments = _views.redelivered(_views.keyed_payments(w.t), "TransactionID", "Amount_INR")
     for d in SNAPSHOT_DATES:
         (_land(w.bronze_customers, d).write.option("header", True)
          .csv(f"{land}/insurance_customer_{d}.csv"))
         (_land(w.bronze_policies, d).write.option("header", True)
          .csv(f"{land}/policies_master_{d}.csv"))
-    last = SNAPSHOT_DATES[-1]
-    _views.bronze_claims(w.t).write.option("header", True).csv(f"{land}/policy_claims_{last}.csv")
-    _views.bronze_payments(w.t).write.option("header", True).csv(f"{land}/policy_payments_{last}.csv")
+        (_land(_views.bronze_vehicles(w.t), d).write.option("header", True)
+         .csv(f"{land}/vehicle_master_{d}.csv"))
+        for feed, rows in (("policy_claims", claims), ("policy_payments", payments)):
+            (rows.where(F.col("SnapshotDate") == d).drop("SnapshotDate").write.option("header", True)
+             .csv(f"{land}/{feed}_{d}.csv"))
     bronze.ingest(spark, land, f"{root}/bronze", bronze.config_frame(spark), DEMO_KEY, "india")
     layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", DEMO_KEY)
-    run = layers.run_gold(spark, f"{root}/silver", f"{root}/gold", w.dim_vehicle)
+    layers.run_silver(spark, f"{root}/bronze", f"{root}/silver-as-written", DEMO_KEY, as_written=True)
+    run = layers.run_gold(spark, f"{root}/silver", f"{root}/gold")
+    run.root = root
     w.__dict__["_layer_run"] = run
     return run
 
@@ -940,12 +1074,74 @@ def _layers_k4(w: Warehouse) -> DataFrame:
 SELECT COUNT(p.TransactionID) AS TotalPayments,
        CAST(SUM(p.Amount_INR) AS DOUBLE) AS TotalCollected,
        CAST(SUM(p.Amount_INR) AS DOUBLE) / NULLIF(COUNT(p.Amount_INR), 0) AS AvgPayment
-FROM payments p JOIN dim_customer_scd2 dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent""")
+FROM layer_payments p JOIN dim_customer_scd2 dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent""")
 def _layers_k12(w: Warehouse) -> DataFrame:
     """K12 on the layer run's payment fact."""
     return kpis.payment_collection(_layer_run(w).fact_payments)
 
 
+@register("layers_kpi_claims_summary", """
+SELECT COUNT(ClaimID) AS TotalClaims, CAST(SUM(SettledAmount_INR) AS DOUBLE) AS SettledAmount FROM layer_fact_claims""")
+def _layers_k3(w: Warehouse) -> DataFrame:
+    """K3 on the layer run's claim fact: three overlapping deliveries do not
+    inflate it (D15)."""
+    return kpis.claims_summary(_layer_run(w).fact_claims).drop("ClaimedAmount")
+
+
+@register("layers_claims_as_written", """
+SELECT CAST(SUM(1 + CAST(ClaimID % 3 = 0 AS INT) + CAST(ClaimID % 7 = 0 AS INT)) AS BIGINT) AS DeliveredRows,
+       COUNT(*) AS Claims,
+       CAST(SUM(SettledAmount_INR * (1 + 2 * CAST(ClaimID % 3 = 0 AS INT) + CAST(ClaimID % 7 = 0 AS INT))) AS DOUBLE)
+         AS SettledAmount
+FROM keyed_claims""")
+def _layers_as_written(w: Warehouse) -> DataFrame:
+    """L3 as written: every delivered row with an id stays."""
+    df = w.spark.read.parquet(f"{_layer_run(w).root}/silver-as-written/claims")
+    return df.agg(F.count(F.lit(1)).alias("DeliveredRows"), F.countDistinct("ClaimID").alias("Claims"),
+                  F.sum("SettledAmount_INR").cast("double").alias("SettledAmount"))
+
+
+@register("audit_silver_rows", """
+WITH c AS (SELECT count(*) AS n, count(*) FILTER (ClaimID % 3 = 0) AS a, count(*) FILTER (ClaimID % 7 = 0) AS b,
+                  count(*) FILTER (ClaimID % 11 = 0) AS q FROM keyed_claims),
+     p AS (SELECT count(*) AS n, count(*) FILTER (TransactionID % 3 = 0) AS a,
+                  count(*) FILTER (TransactionID % 7 = 0) AS b, count(*) FILTER (TransactionID % 11 = 0) AS q FROM keyed_payments)
+SELECT 'customers' AS table_name, count(*) AS rows_in, count(*) AS rows_out, 0 AS rows_quarantined, 0 AS rows_superseded FROM bronze_customers
+UNION ALL SELECT 'policies', count(*), count(DISTINCT PolicyNumber), 0, count(*) - count(DISTINCT PolicyNumber) FROM bronze_policies
+UNION ALL SELECT 'vehicles', count(*), count(*), 0, 0 FROM bronze_vehicles
+UNION ALL SELECT 'claims', n + a + b + q, n, q, a + b FROM c
+UNION ALL SELECT 'payments', n + a + b + q, n, q, a + b FROM p""")
+def _audit_silver(w: Warehouse) -> DataFrame:
+    """Per silver table rows in = rows out + quarantined + superseded."""
+    root = _layer_run(w).root
+    return layers.audit_silver(w.spark, f"{root}/bronze", f"{root}/silver")
+
+
+@register("kpi_tables_by_name", """
+SELECT PolicyType, COUNT(*) AS PolicyCount, CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
+FROM fact_policy GROUP BY PolicyType""")
+def _kpi_tables(w: Warehouse) -> DataFrame:
+    """The KPIs created, and created again, as catalog tables; one read
+    back by name."""
+    g = w.gold
+    tables = layers.kpi_tables(g.fact_policy, g.fact_claims, g.fact_payments, g.dim_customer, g.dim_vehicle,
+                               w.policies_with_agent)
+    root = scratch_path(w.spark, "kpi-tables")
+    some = {k: tables[k] for k in ("kpi_premium_by_policy_type", "kpi_claims_summary")}
+    for _ in range(2):
+        layers.publish_kpis(w.spark, some, "kpi", root)
+    return w.spark.table("kpi.kpi_premium_by_policy_type")
+
+
+@register("parse_hire_date", """
+SELECT event_id, upper(strftime(ts, '%d-%b-%y')) AS HireText, CAST(ts AS DATE) AS HireDate FROM events""")
+def _hire_date(w: Warehouse) -> DataFrame:
+    """Dates written like 21-JUN-07."""
+    text_form = F.upper(F.date_format("ts", "dd-MMM-yy"))
+    return w.t.events.select("event_id", text_form.alias("HireText"),
+                             parse_date(F.initcap(F.lower(text_form)), "dd-MMM-yy").alias("HireDate"))
+
+
 # ====================================================== incremental KPIs
 
 
@@ -962,14 +1158,14 @@ def _k12_incremental(w: Warehouse) -> DataFrame:
     the KPI is read from the merged state."""
     spark = w.spark
     path = scratch_path(spark, "kpi-state") + "/payment_collection"
-    fp = w.gold.fact_payments.withColumn(
-        "_year", F.coalesce(F.year("PaidDate"), F.lit(0)))
-    years = sorted(r[0] for r in fp.select("_year").distinct().collect())  # a few years
-    for y in years + years[:1]:
-        delta = fp.where(F.col("_year") == y).drop("_year")
-        incremental.fold(incremental.partial_state(
-            delta.withColumn("_has_id", F.col("TransactionID").isNotNull().cast("int")),
-            [], ["Amount_INR", "_has_id"], F.lit(y)), path)
+    rows = w.gold.fact_payments.select("Amount_INR", F.col("TransactionID").isNotNull().cast("int").alias("_has_id"),
+                                       F.coalesce(F.year("PaidDate"), F.lit(0)).alias("_year"))
+    # one aggregate keyed by delivery, one partitioned write for all that came
+    state = incremental.partial_state(rows, [], ["Amount_INR", "_has_id"], "_year")
+    incremental.fold(state, path)
+    # the unpaid ones are delivered again: their state is replaced
+    again = rows.where(F.col("_year") == 0)
+    incremental.fold(incremental.partial_state(again, [], ["Amount_INR", "_has_id"], "_year"), path)
     t = incremental.read_totals(spark, path, [], ["Amount_INR", "_has_id"])
     return t.select(F.col("sum__has_id").cast("bigint").alias("TotalPayments"),
                     F.col("sum_Amount_INR").cast("double").alias("TotalCollected"),

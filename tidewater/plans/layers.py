@@ -4,7 +4,7 @@ What a daily run of the reference does, as three calls over folders:
 
     bronze.ingest(spark, landing, f"{root}/bronze", config, key, country)
     run_silver(spark, f"{root}/bronze", f"{root}/silver", key)
-    run_gold(spark, f"{root}/silver", f"{root}/gold", dim_vehicle)
+    run_gold(spark, f"{root}/silver", f"{root}/gold")
 
 Each step reads the previous layer's files and overwrites its own, so a
 failed step is simply re-run; nothing is held on the driver.
@@ -29,39 +29,78 @@ CUSTOMER_ATTRS = ("City", "State", "Country")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 -- resolves the folder
-        return True
-    except Exception:  # noqa: BLE001 -- missing folder: table never landed
-        return False
+    """Is there anything at ``path``?  Errors other than that are raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _customers(key: str, mode: str):
+    def job(bronze: DataFrame) -> DataFrame:
+        plain = unprotect_columns(bronze, CUSTOMER_PII, key, mode, strict=True)
+        return protect_columns(silver.clean_customers(plain), CUSTOMER_PII, key, mode).withColumn(
+            "SnapshotDate", parse_date("SnapshotDate"))
+    return job
+
+
+#: silver table -> (bronze table, business key, job as written).  Customers
+#: and vehicles keep every snapshot: they are the input of the SCD2 builds.
+SILVER_TABLES = {
+    "customers": ("insurance_customer", "CustomerID"),
+    "policies": ("policies_master", "PolicyNumber"),
+    "claims": ("policy_claims", "ClaimID"),
+    "payments": ("policy_payments", "TransactionID"),
+    "vehicles": ("vehicle_master", "PolicyNumber"),
+}
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, key: str,
-               mode: str = "ECB") -> dict[str, str]:
+               mode: str = "ECB", as_written: bool = False) -> dict[str, str]:
     """L1-L4 over the bronze history.  Customers keep every snapshot (the
     SCD2 input) and are standardised on plain text, then protected again
-    (D1); policies keep their latest snapshot (W1) with defaults filled."""
-    written = {}
+    (D1); policies, claims and payments keep the latest delivery of each key
+    (W1, D15; with ``as_written`` claims and payments keep all).  Rows without
+    a key go to ``quarantine/<table>`` (D5)."""
     jobs = {
-        "customers": ("insurance_customer", lambda b: protect_columns(
-            silver.clean_customers(unprotect_columns(b, CUSTOMER_PII, key, mode, strict=True)),
-            CUSTOMER_PII, key, mode).withColumn("SnapshotDate", parse_date("SnapshotDate"))),
-        "policies": ("policies_master", silver.clean_policies),
-        "claims": ("policy_claims", silver.clean_claims),
-        "payments": ("policy_payments", silver.clean_payments),
+        "customers": _customers(key, mode),
+        "policies": silver.clean_policies,
+        "claims": silver.clean_claims if as_written else silver.latest_claims,
+        "payments": silver.clean_payments if as_written else silver.latest_payments,
+        "vehicles": lambda b: b.withColumn("SnapshotDate", parse_date("SnapshotDate")),
     }
-    for table, (source, job) in jobs.items():
+    written = {}
+    for table, (source, id_col) in SILVER_TABLES.items():
         src = f"{bronze_root}/{source}"
         if not _exists(spark, src):
             continue
-        bronze = read_history(spark, src).withColumn(
-            "SnapshotDate", F.col("SnapshotDate").cast("string"))
+        bronze = read_history(spark, src)
         out = f"{silver_root}/{table}"
-        job(bronze).write.mode("overwrite").parquet(out)
+        jobs[table](bronze.where(F.col(id_col).isNotNull())).write.mode("overwrite").parquet(out)
+        (bronze.where(F.col(id_col).isNull()).withColumn("reason", F.lit(f"no {id_col}"))
+         .write.mode("overwrite").parquet(f"{silver_root}/quarantine/{table}"))
         written[table] = out
     return written
 
 
+def audit_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> DataFrame:
+    """Q5 over written layers: per table the rows that came in, went out, were
+    quarantined and were superseded by a later delivery of their key."""
+    out = None
+    for table, (source, id_col) in SILVER_TABLES.items():
+        if not _exists(spark, f"{silver_root}/{table}"):
+            continue
+        history = read_history(spark, f"{bronze_root}/{source}")
+        keeps_all = table in ("customers", "vehicles")
+        repeats = F.lit(0).cast("bigint") if keeps_all else F.sum(F.col("n") - 1)
+        keyed = history.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        row = keyed.agg(F.lit(table).alias("table_name"), F.coalesce(repeats, F.lit(0)).alias("rows_superseded"))
+        count = lambda df: df.select(F.count(F.lit(1))).scalar()
+        row = row.withColumns({
+            "rows_in": count(history), "rows_out": count(spark.read.parquet(f"{silver_root}/{table}")),
+            "rows_quarantined": count(spark.read.parquet(f"{silver_root}/quarantine/{table}"))})
+        out = row if out is None else out.unionByName(row)
+    return out.select("table_name", "rows_in", "rows_out", "rows_quarantined", "rows_superseded")
+
+
 @dataclass
 class Gold:
     dim_customer: DataFrame
@@ -71,14 +110,15 @@ class Gold:
     fact_payments: DataFrame
 
 
-def run_gold(spark: SparkSession, silver_root: str, gold_root: str,
-             dim_vehicle: DataFrame) -> Gold:
-    """M1 customer dimension from the silver snapshots, then F1-F3 on the
-    written dimensions; every table written under ``gold_root``."""
+def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> Gold:
+    """M1 customer and vehicle dimensions from the silver snapshots, then
+    F1-F3 on the written dimensions; every table written under ``gold_root``."""
     customers = spark.read.parquet(f"{silver_root}/customers")
     dim = scd2.build(customers, "CustomerID", CUSTOMER_ATTRS, "SnapshotDate", "CustomerKey",
                      order=[F.col("FileName").desc()])
     dim.write.mode("overwrite").parquet(f"{gold_root}/dim_customer")
+    dim_vehicle = scd2.build(spark.read.parquet(f"{silver_root}/vehicles"), "PolicyNumber", ("VehicleMake",),
+                             "SnapshotDate", "VehicleKey", order=[F.col("FileName").desc()])
     dim_vehicle.write.mode("overwrite").parquet(f"{gold_root}/dim_vehicle")
     dc = spark.read.parquet(f"{gold_root}/dim_customer")
     dv = spark.read.parquet(f"{gold_root}/dim_vehicle")
@@ -118,6 +158,15 @@ def kpi_tables(fact_policy: DataFrame, fact_claims: DataFrame, fact_payments: Da
     }
 
 
+def publish_kpis(spark: SparkSession, tables: dict[str, DataFrame], database: str, out_root: str) -> list[str]:
+    """Every KPI as a catalog table of ``database``, created or replaced."""
+    from ..operators.catalog_tables import create_or_replace_table, ensure_database
+    ensure_database(spark, database, f"{out_root}/{database}.db")
+    for name, df in sorted(tables.items()):
+        create_or_replace_table(spark, df, database, name, f"{out_root}/{name}")
+    return sorted(tables)
+
+
 def run_kpis(tables: dict[str, DataFrame], out_root: str, max_parallel: int = 4) -> dict[str, str]:
     """Write every KPI table (overwrite) under ``out_root``.
 

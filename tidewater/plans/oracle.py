@@ -55,22 +55,26 @@ VIEWS = {
          p.p_brand AS VehicleMake, true AS IsCurrent
   FROM orders o LEFT JOIN part p ON p.p_partkey = o.o_orderkey % (SELECT count(*) FROM part)
   WHERE o.o_orderkey % 4 <> 0""",
+    # the facts, worked out from the rule "one row per source row whose
+    # customer has a current version, with the current vehicle if any"
+    "current_customer": """
+  SELECT CustomerID AS cid, max(CustomerKey) AS ckey FROM dim_customer WHERE IsCurrent GROUP BY 1""",
+    "current_vehicle": """
+  SELECT PolicyNumber AS pno, max(VehicleKey) AS vkey FROM dim_vehicle WHERE IsCurrent GROUP BY 1""",
     "fact_policy": """
-  SELECT dc.CustomerKey, dv.VehicleKey, sp.PolicyNumber, sp.PolicyType,
-         sp.AnnualPremium_INR, sp.CoverageAmount_INR, sp.PolicyStartDate, sp.PolicyEndDate
-  FROM policies sp
-  JOIN dim_customer dc ON sp.CustomerID = dc.CustomerID AND dc.IsCurrent = true
-  LEFT JOIN dim_vehicle dv ON sp.PolicyNumber = dv.PolicyNumber AND dv.IsCurrent = true""",
+  SELECT (SELECT ckey FROM current_customer WHERE cid = p.CustomerID) AS CustomerKey,
+         (SELECT vkey FROM current_vehicle WHERE pno = p.PolicyNumber) AS VehicleKey,
+         p.PolicyNumber, p.PolicyType, p.AnnualPremium_INR, p.CoverageAmount_INR, p.PolicyStartDate, p.PolicyEndDate
+  FROM policies p WHERE EXISTS (SELECT 1 FROM current_customer WHERE cid = p.CustomerID)""",
     "fact_claims": """
-  SELECT c.ClaimID, dc.CustomerKey, dv.VehicleKey, c.ClaimDate,
-         c.ClaimAmount_INR, c.SettledAmount_INR
-  FROM claims c
-  JOIN dim_customer dc ON c.CustomerID = dc.CustomerID AND dc.IsCurrent = true
-  LEFT JOIN dim_vehicle dv ON c.PolicyNumber = dv.PolicyNumber AND dv.IsCurrent = true""",
+  SELECT x.ClaimID, (SELECT ckey FROM current_customer WHERE cid = x.CustomerID) AS CustomerKey,
+         (SELECT vkey FROM current_vehicle WHERE pno = x.PolicyNumber) AS VehicleKey,
+         x.ClaimDate, x.ClaimAmount_INR, x.SettledAmount_INR
+  FROM claims x WHERE EXISTS (SELECT 1 FROM current_customer WHERE cid = x.CustomerID)""",
     "fact_payments": """
-  SELECT p.TransactionID, dc.CustomerKey, p.Amount_INR, p.PaidDate
-  FROM payments p
-  JOIN dim_customer dc ON p.CustomerID = dc.CustomerID AND dc.IsCurrent = true""",
+  SELECT x.TransactionID, (SELECT ckey FROM current_customer WHERE cid = x.CustomerID) AS CustomerKey,
+         x.Amount_INR, x.PaidDate
+  FROM payments x WHERE EXISTS (SELECT 1 FROM current_customer WHERE cid = x.CustomerID)""",
     "bronze_policies": """
   SELECT PolicyNumber, CustomerID, PolicyType, PaymentFrequency, AgentID, AgentName,
          CAST(CoverageAmount_INR AS VARCHAR) AS CoverageAmount_INR,
@@ -131,7 +135,7 @@ VIEWS = {
     # SCD2 over the customer snapshots: a new version whenever a tracked
     # attribute differs from the key's previous snapshot (NULL-safe).
     "dim_customer_scd2": """
-  SELECT CustomerID * 100000 + (EffectiveFrom - DATE '1970-01-01') AS CustomerKey,
+  SELECT CAST('0x' || substr(md5(CustomerID || '|' || EffectiveFrom), 1, 15) AS BIGINT) AS CustomerKey,
          CustomerID, City, State, Country, EffectiveFrom,
          LEAD(EffectiveFrom) OVER (PARTITION BY CustomerID ORDER BY EffectiveFrom) AS EffectiveTo,
          LEAD(EffectiveFrom) OVER (PARTITION BY CustomerID ORDER BY EffectiveFrom) IS NULL AS IsCurrent
@@ -145,17 +149,37 @@ VIEWS = {
           FROM bronze_customers WHERE CustomerID IS NOT NULL)
     WINDOW w AS (PARTITION BY CustomerID ORDER BY SnapshotDate)
   ) WHERE changed""",
-    # facts of the layer run: silver policies / claims on the SCD2 dimension
+    "bronze_vehicles": """
+  SELECT PolicyNumber, VehicleMake, DATE '2024-01-01' AS SnapshotDate FROM dim_vehicle
+  UNION ALL SELECT PolicyNumber, 'REPLACED', DATE '2024-02-01' FROM dim_vehicle WHERE PolicyNumber % 6 = 0
+  UNION ALL SELECT PolicyNumber, VehicleMake, DATE '2024-03-01' FROM dim_vehicle WHERE PolicyNumber % 2 = 1""",
+    "dim_vehicle_scd2": """
+  SELECT CAST('0x' || substr(md5(PolicyNumber || '|' || EffectiveFrom), 1, 15) AS BIGINT) AS VehicleKey,
+         PolicyNumber, VehicleMake, EffectiveFrom, EffectiveTo, EffectiveTo IS NULL AS IsCurrent
+  FROM (SELECT PolicyNumber, VehicleMake, SnapshotDate AS EffectiveFrom,
+               LEAD(SnapshotDate) OVER (PARTITION BY PolicyNumber ORDER BY SnapshotDate) AS EffectiveTo
+        FROM (SELECT *, LAG(VehicleMake) OVER w AS before, LAG(SnapshotDate) OVER w IS NULL AS first FROM bronze_vehicles
+              WINDOW w AS (PARTITION BY PolicyNumber ORDER BY SnapshotDate))
+        WHERE first OR before IS DISTINCT FROM VehicleMake)""",
+    # ids of the layer run: claims and payments get one of their own
+    "keyed_claims": """
+  SELECT * REPLACE (CAST('0x' || substr(md5(concat_ws('|', ClaimID, ClaimDate, ClaimAmount_INR)), 1, 15) AS BIGINT) AS ClaimID)
+  FROM claims""",
+    "keyed_payments": """
+  SELECT * REPLACE (CAST('0x' || substr(md5(concat_ws('|', TransactionID, PaidDate, Amount_INR)), 1, 15) AS BIGINT) AS TransactionID)
+  FROM payments""",
+    # of the overlapping deliveries the latest counts: as first delivered
+    # where the 3rd has the row, else doubled where the 2nd has it
+    "layer_payments": """
+  SELECT * REPLACE (Amount_INR * CASE WHEN TransactionID % 7 <> 0 AND TransactionID % 3 = 0 THEN 2 ELSE 1 END AS Amount_INR)
+  FROM keyed_payments""",
     "layer_fact_policy": """
-  SELECT dc.CustomerKey, dv.VehicleKey, sp.PolicyNumber, sp.PolicyType, sp.AnnualPremium_INR
-  FROM silver_policies sp
-  JOIN dim_customer_scd2 dc ON sp.CustomerID = dc.CustomerID AND dc.IsCurrent
-  LEFT JOIN dim_vehicle dv ON sp.PolicyNumber = dv.PolicyNumber AND dv.IsCurrent""",
+  SELECT dc.CustomerKey, sp.PolicyNumber, sp.PolicyType, sp.AnnualPremium_INR
+  FROM silver_policies sp, dim_customer_scd2 dc WHERE dc.CustomerID = sp.CustomerID AND dc.EffectiveTo IS NULL""",
     "layer_fact_claims": """
-  SELECT c.ClaimID, dc.CustomerKey, dv.VehicleKey, c.SettledAmount_INR
-  FROM claims c
-  JOIN dim_customer_scd2 dc ON c.CustomerID = dc.CustomerID AND dc.IsCurrent
-  LEFT JOIN dim_vehicle dv ON c.PolicyNumber = dv.PolicyNumber AND dv.IsCurrent""",
+  SELECT k.ClaimID, dc.CustomerKey,
+         k.SettledAmount_INR * CASE WHEN ClaimID % 7 <> 0 AND ClaimID % 3 = 0 THEN 2 ELSE 1 END AS SettledAmount_INR
+  FROM keyed_claims k, dim_customer_scd2 dc WHERE dc.CustomerID = k.CustomerID AND dc.EffectiveTo IS NULL""",
 }
 
 _VIEW_ORDER = list(VIEWS)

@@ -5,8 +5,12 @@ from the reference, all deliberate (SURVEY 1.6):
 
 * D1: standardising happens on plain text; protection comes after.
 * D4: the NULL fill is applied to the real columns, after the casts.
-* D5: the dedup winner is deterministic; NULL-key rows go to quarantine.
+* D5: the dedup winner is deterministic; NULL-key rows go to quarantine
+  (``layers.run_silver`` writes them).
 * D7: money is decimal(18,2).
+* D15: claims and payments too keep the latest delivery of each key
+  (``latest_claims``, ``latest_payments``); ``clean_claims`` and
+  ``clean_payments`` alone keep every delivered row, as written.
 * D8: unparsable values become NULL (see ``quality.quarantine``).
 """
 
@@ -41,6 +45,23 @@ def latest_policies(bronze: DataFrame) -> DataFrame:
         [parse_date("SnapshotDate").desc_nulls_last(), F.col("FileName").desc_nulls_last()])
 
 
+def latest_delivery(bronze: DataFrame, key: str) -> DataFrame:
+    """The newest delivered row of every key, as for policies."""
+    return latest_per_key(
+        bronze.where(F.col(key).isNotNull()), [key],
+        [parse_date("SnapshotDate").desc_nulls_last(), F.col("FileName").desc_nulls_last()])
+
+
+def latest_claims(bronze: DataFrame) -> DataFrame:
+    """L3 on a history of overlapping deliveries."""
+    return clean_claims(latest_delivery(bronze, "ClaimID"))
+
+
+def latest_payments(bronze: DataFrame) -> DataFrame:
+    """L4 on a history of overlapping deliveries."""
+    return clean_payments(latest_delivery(bronze, "TransactionID"))
+
+
 def type_policies(df: DataFrame) -> DataFrame:
     """Casts of the policy columns (dates and money)."""
     return df.withColumns({

@@ -14,6 +14,9 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# What an AES call with a literal key looks like in a plan's text
+SECRETS = r"aes_(en|de)crypt\([^)]*\)|hmac[^)]*\)"
+
 # Runtime SQL settings the jobs are designed around.  They are all
 # session-level (settable on a running session) and safe on a cluster.
 RUNTIME_CONF = {
@@ -26,6 +29,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # the facts share a partitioning on purpose: a hot key's partition is
+    # still split, at the price of a further exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # streaming state (the latest row of every key in ST2) lives off-heap in
     # RocksDB, checkpointed with the query, instead of in executor memory
     "spark.sql.streaming.stateStore.providerClass":
@@ -34,29 +40,35 @@ RUNTIME_CONF = {
 
 
 def cluster_conf(input_bytes: int, total_cores: int,
-                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                 target_partition_bytes: int = 256 << 20,
+                 shuffled_share: float = 0.2) -> dict[str, str]:
     """Settings sized to the data, for a cluster run (pass as ``extra``).
 
     * scan splits of ~256 MB keep a task's input well inside executor
       memory and give ``input_bytes / 256 MB`` scan tasks (100 TB -> ~400k);
-    * the first shuffle gets as many partitions as the input has splits
-      (at least 3 waves over the cores), so a partition holds ~256 MB before
-      compression and spills only on real skew; AQE then coalesces small
-      ones back to the advisory size and splits skewed ones (> 5x median
-      and > 1 GB) for joins;
+    * the shuffle is sized from what is shuffled (``shuffled_share`` of the
+      input: columns are pruned and aggregates combined before it), four
+      splits to a partition and at least three waves over the cores: 100 TB
+      give ~20k partitions.  One per split would make blocks of under a
+      kilobyte and a map-status table that no driver holds;
+    * AQE coalesces small partitions and splits skewed ones (> 5x median and
+      > 1 GB) for joins, also where that costs a further exchange;
     * the broadcast threshold stays small and fixed: a dimension is
       broadcast only when AQE *measures* it under 64 MB at run time.
     """
-    splits = max(1, input_bytes // target_partition_bytes)
-    shuffle = max(3 * total_cores, splits)
+    shuffled = int(input_bytes * shuffled_share)
+    shuffle = max(3 * total_cores, shuffled // (4 * target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(16 << 20),
+        # keys are literals of plans: keep them out of plans, logs and events
+        "spark.sql.redaction.string.regex": SECRETS,
     }
 
 

@@ -1,10 +1,11 @@
-"""File sources: CSV, multi-line JSON, parquet, dispatched by extension.
-
-Readers take a *list* of paths so one Spark job reads every file of a table
-(the reference read only the first file of a folder, D10).  Schemas are
-declared per table (D9): inference costs an extra pass over the data and can
-silently change a column's type (a phone ``020111`` inferred as int loses
-its leading zero).  Inference stays available as an opt-in.
+"""File sources: CSV, multi-line JSON, parquet, workbooks, dispatched by
+extension (A1-A8).
+
+Readers take a *list* of deliveries (files or folders of part files) and give
+every column that the files have, found by name and as text or as stored; the
+declared types are applied afterwards (``quality.harmonize``), so a feed with
+reordered, renamed or new columns lands in the right ones, and a phone
+``020111`` is never read as a number.
 """
 
 from __future__ import annotations
@@ -13,105 +14,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from ..functions.text import file_extension
 
-CSV_SUFFIXES = ("csv",)
-JSON_SUFFIXES = ("json",)
-PARQUET_SUFFIXES = ("parquet",)
-WORKBOOK_SUFFIXES = ("xlsx",)
+from .workbooks import read_xlsx
 
 
-def _schema(reader, schema: StructType | str | None, infer: bool):
-    if schema is not None:
-        return reader.schema(schema)
-    if infer:
-        return reader.option("inferSchema", True)
-    return reader
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of a CSV delivery (Spark reads the first line only)."""
+    return tuple(spark.read.option("header", True).csv(path).columns)
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str] | str,
-             schema: StructType | str | None = None, infer: bool = False) -> DataFrame:
-    """A1: CSV with a header row."""
-    r = _schema(spark.read.option("header", True), schema, infer)
-    return r.csv(list(paths) if not isinstance(paths, str) else paths)
+def read_csv(spark: SparkSession, paths: Sequence[str], header: Sequence[str] | None = None) -> DataFrame:
+    """A1: CSV deliveries of one header, as text.  A part file whose header
+    differs from its delivery's is an error, not shifted columns."""
+    names = header or csv_header(spark, paths[0])
+    return (spark.read.option("header", True).option("enforceSchema", False)
+            .schema(", ".join(f"`{n}` string" for n in names)).csv(list(paths)))
 
 
-def read_json(spark: SparkSession, paths: Sequence[str] | str,
-              schema: StructType | str | None = None) -> DataFrame:
+def read_json(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """A3: each file is one JSON document -- an array of records or one
     record.  Multi-line files are not splittable: one task per file, so
     landing writers should bound file sizes."""
-    r = spark.read.option("multiLine", True)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(list(paths) if not isinstance(paths, str) else paths)
+    return (spark.read.option("multiLine", True).option("primitivesAsString", True)
+            .option("recursiveFileLookup", True).json(list(paths)))
 
 
-def read_parquet(spark: SparkSession, paths: Sequence[str] | str,
-                 schema: StructType | str | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """A4 (+ B1 read side): parquet; ``mergeSchema`` unions evolved schemas."""
-    r = spark.read.option("mergeSchema", True)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(*([paths] if isinstance(paths, str) else list(paths)))
-
-
-def read_workbooks(spark: SparkSession, paths: Sequence[str] | str,
-                   schema: StructType | str | None = None) -> DataFrame:
-    from .workbooks import read_xlsx
-    return read_xlsx(spark, paths, schema)
-
-
-READERS = {
-    **{s: read_csv for s in CSV_SUFFIXES},
-    **{s: read_json for s in JSON_SUFFIXES},
-    **{s: read_parquet for s in PARQUET_SUFFIXES},
-    **{s: read_workbooks for s in WORKBOOK_SUFFIXES},
-}
-
-
-def suffix_of(path: str) -> str:
-    name = path.rstrip("/").rsplit("/", 1)[-1].lower()
-    return name.rsplit(".", 1)[-1] if "." in name else ""
-
-
-def read_file(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """A5: pick the reader by lower-cased extension; unknown -> ValueError."""
-    suffix = suffix_of(path)
-    if suffix not in READERS:
-        raise ValueError(f"Unknown file type: {path}")
-    return READERS[suffix](spark, [path], schema)
-
-
-def read_mixed(spark: SparkSession, paths: Sequence[str],
-               schema: StructType | str | None = None,
-               with_path: bool = True) -> DataFrame:
-    """A5 over many files: one read per format, then UNION ALL by name
-    (missing columns -> NULL).  ``_source_path`` carries each row's file."""
-    by_suffix: dict[str, list[str]] = {}
-    for p in paths:
-        s = suffix_of(p)
-        if s not in READERS:
-            raise ValueError(f"Unknown file type: {p}")
-        by_suffix.setdefault(s, []).append(p)
-    out = None
-    for s in sorted(by_suffix):
-        df = READERS[s](spark, by_suffix[s], schema)
-        if with_path:
-            df = df.withColumn("_source_path", F.col("_metadata.file_path"))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if out is None:
-        raise ValueError("no files to read")
-    return out
-
-
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root`` (path, size, modification time).
-
-    ``binaryFile`` only reads file contents when the ``content`` column is
-    selected, so this is a distributed listing, not a read."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .load(root).select("path", "length", "modificationTime")
-            .withColumn("extension", file_extension("path")))
+    return spark.read.option("mergeSchema", True).parquet(*paths)
+
+
+READERS = {"csv": read_csv, "json": read_json, "parquet": read_parquet, "xlsx": read_xlsx}
+
+
+def source_path(df: DataFrame):
+    """Column with each row's file."""
+    return F.col("_source_path") if "_source_path" in df.columns else F.col("_metadata.file_path")

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.partitioning import spread
 from .tables import Tables
 
 MONEY = "decimal(18,2)"
@@ -178,8 +177,7 @@ def bronze_policies(t: Tables) -> DataFrame:
     1st: every policy.  2nd: policy number divisible by 3, premium doubled.
     3rd: divisible by 7, PolicyType and premium missing.
     """
-    # the snapshot expansion and text casts are per-row CPU work
-    p = spread(policies(t), source=t.orders)
+    p = policies(t)
     as_text = lambda c: F.col(c).cast("string")
     base = p.select(
         "PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency",
@@ -215,7 +213,7 @@ def bronze_customers(t: Tables) -> DataFrame:
     1st: all customers.  2nd: all, City 'MOVED' for every fifth customer.
     3rd: even customer ids, unchanged since the 2nd.
     """
-    g = spread(customer_geo(t), source=t.customer)
+    g = customer_geo(t)
     key = F.col("c_custkey")
     dob = F.date_add(F.lit("1950-01-01").cast("date"),
                      ((key * 37) % 18000).cast("int")).cast("string")
@@ -248,6 +246,63 @@ def bronze_customers(t: Tables) -> DataFrame:
                       "City", "State", "Country", "_src_country", "SnapshotDate", "FileName")
 
 
+def bronze_vehicles(t: Tables) -> DataFrame:
+    """Three vehicle extracts.  1st: the vehicle of every insured policy.
+    2nd: make 'REPLACED' for policy numbers divisible by 6.  3rd: odd numbers,
+    unchanged since the 1st."""
+    v = dim_vehicle(t).select("PolicyNumber", F.col("VehicleMake").alias("_make"))
+    key = F.col("PolicyNumber")
+
+    def version(snapshot: str, make: Column) -> Column:
+        return F.struct(make.alias("VehicleMake"), F.lit(snapshot).alias("SnapshotDate"))
+
+    versions = [
+        version(SNAPSHOT_DATES[0], F.col("_make")),
+        F.when(key % 6 == 0, version(SNAPSHOT_DATES[1], F.lit("REPLACED"))),
+        F.when(key % 2 == 1, version(SNAPSHOT_DATES[2], F.col("_make"))),
+    ]
+    out = _snapshot_rows(v, "vehicle_master", versions, ["_make"])
+    return out.select("PolicyNumber", "VehicleMake", "_src_country", "SnapshotDate", "FileName")
+
+
+def keyed_claims(t: Tables) -> DataFrame:
+    """Claims with an id that is theirs alone (several returned lines of an
+    order can share a line number): digits of a hash of the line."""
+    c = claims(t)
+    return c.withColumn("ClaimID", _own_id(c, "ClaimID", "ClaimDate", "ClaimAmount_INR"))
+
+
+def keyed_payments(t: Tables) -> DataFrame:
+    """Payments with an id that is theirs alone."""
+    p = payments(t)
+    return p.withColumn("TransactionID", _own_id(p, "TransactionID", "PaidDate", "Amount_INR"))
+
+
+def _own_id(df: DataFrame, *cols: str) -> Column:
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def redelivered(rows: DataFrame, key: str, amount: str) -> DataFrame:
+    """Three overlapping deliveries.  1st: every row.  2nd: ids divisible by
+    3, amount doubled.  3rd: ids divisible by 7, as in the 1st.  Ids divisible
+    by 11 also come without an id in the 1st."""
+    k, value = F.col(key), F.col(amount)
+
+    def version(snapshot: str, id_col: Column, v: Column) -> Column:
+        return F.struct(id_col.alias(key), v.cast("string").alias(amount), F.lit(snapshot).alias("SnapshotDate"))
+
+    versions = [
+        version(SNAPSHOT_DATES[0], k, value),
+        F.when(k % 3 == 0, version(SNAPSHOT_DATES[1], k, value * 2)),
+        F.when(k % 7 == 0, version(SNAPSHOT_DATES[2], k, value)),
+        F.when(k % 11 == 0, version(SNAPSHOT_DATES[0], F.lit(None).cast("bigint"), value)),
+    ]
+    rest = [F.col(c).cast("string").alias(c) if c.endswith("Date") or c.endswith("_INR") else F.col(c)
+            for c in rows.columns if c not in (key, amount)]
+    return rows.select(*rest, F.inline(F.array_compact(F.array(*versions))))
+
+
 def bronze_claims(t: Tables) -> DataFrame:
     """Claims as landed text (dates and amounts as strings)."""
     c = claims(t)

@@ -2,10 +2,9 @@
 
 Spark has no Excel reader and no Excel library is installed, so a folder of
 workbooks is read as ``binaryFile`` rows (one per workbook, spread over the
-cluster) and each task unpacks its workbooks with the standard library:
-an ``.xlsx`` is a zip of XML parts.  Only the first worksheet is read, the
-first row is the header, values arrive as text and are cast to the declared
-schema in Spark (``try_cast``; Excel date serials become dates).
+cluster) and each task unpacks its workbooks with the standard library: an
+``.xlsx`` is a zip of XML parts.  The first worksheet named by the workbook is
+streamed row by row; its first row is the header, values arrive as text.
 
 A workbook cannot be split, so one workbook is one task's input; Excel caps
 a sheet at about a million rows, which bounds it.  Legacy binary ``.xls``
@@ -23,10 +22,11 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType, _parse_datatype_string
 
-NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-EXCEL_EPOCH = "1899-12-30"
+# Fixed values of the format
+M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+ROWS_AT_ONCE = 5000
 
 
 def _col_index(ref: str) -> int:
@@ -38,82 +38,88 @@ def _col_index(ref: str) -> int:
 
 
 def _text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(f"{{{NS['m']}}}t"))
+    return "".join(t.text or "" for t in node.iter(f"{M}t"))
 
 
-def workbook_rows(data: bytes) -> list[list[str | None]]:
-    """All rows of the first worksheet as text cells (missing -> None)."""
+def _first_sheet(z: zipfile.ZipFile) -> str:
+    """Part name of the first sheet that the workbook lists."""
+    sheet = ET.fromstring(z.read("xl/workbook.xml")).find(f"{M}sheets/{M}sheet")
+    wanted = sheet.get(f"{R}id")
+    for rel in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")):
+        if rel.get("Id") == wanted:
+            target = rel.get("Target")
+            return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+    raise ValueError("the workbook has no sheet")
+
+
+def workbook_rows(data: bytes) -> Iterator[list[str | None]]:
+    """The rows of the first worksheet as text cells (missing -> None)."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = set(z.namelist())
         shared: list[str] = []
-        if "xl/sharedStrings.xml" in names:
-            root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in root.findall("m:si", NS)]
-        sheets = sorted(n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n))
-        sheet = ET.fromstring(z.read(sheets[0]))
-    rows = []
-    for row in sheet.iter(f"{{{NS['m']}}}row"):
-        cells: dict[int, str | None] = {}
-        for c in row.findall("m:c", NS):
-            kind = c.get("t")
-            v = c.find("m:v", NS)
-            if kind == "s":
-                val = shared[int(v.text)] if v is not None else None
-            elif kind == "inlineStr":
-                is_ = c.find("m:is", NS)
-                val = _text(is_) if is_ is not None else None
-            elif kind == "b":
-                val = None if v is None else ("true" if v.text == "1" else "false")
-            else:
-                val = v.text if v is not None else None
-            cells[_col_index(c.get("r"))] = val
-        width = max(cells) + 1 if cells else 0
-        rows.append([cells.get(i) for i in range(width)])
-    return rows
-
-
-def _as_struct(schema: StructType | str) -> StructType:
-    return schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
-
-
-def read_xlsx(spark: SparkSession, paths: Sequence[str] | str,
-              schema: StructType | str | None) -> DataFrame:
-    if schema is None:
-        raise ValueError("workbooks are read with a declared schema")
+        if "xl/sharedStrings.xml" in z.namelist():
+            for _, node in ET.iterparse(z.open("xl/sharedStrings.xml")):
+                if node.tag == f"{M}si":
+                    shared.append(_text(node))
+                    node.clear()
+        for _, row in ET.iterparse(z.open(_first_sheet(z))):
+            if row.tag != f"{M}row":
+                continue
+            cells: dict[int, str | None] = {}
+            at = -1
+            for c in row.findall(f"{M}c"):
+                at = _col_index(c.get("r")) if c.get("r") else at + 1
+                kind, v = c.get("t"), c.find(f"{M}v")
+                if kind == "inlineStr":
+                    inline = c.find(f"{M}is")
+                    value = _text(inline) if inline is not None else None
+                elif v is None:
+                    value = None
+                elif kind == "s":
+                    value = shared[int(v.text)]
+                elif kind == "b":
+                    value = "true" if v.text == "1" else "false"
+                else:
+                    value = v.text
+                cells[at] = value
+            yield [cells.get(i) for i in range(max(cells, default=-1) + 1)]
+            row.clear()
+
+
+def read_xlsx(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+    """Every column of the workbooks' headers, as text, and ``_source_path``.
+    The headers are read first; their union is the schema."""
     from ..session import ship_package
     ship_package(spark)
-    target = _as_struct(schema)
-    names = [f.name for f in target.fields]
-    text_schema = ", ".join(f"`{n}` string" for n in names) + ", _source_path string"
+    content = (spark.read.format("binaryFile")
+               .load([paths] if isinstance(paths, str) else list(paths)).select("path", "content"))
+
+    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for data in pdf["content"]:
+                first = next(workbook_rows(bytes(data)), [])
+                yield pd.DataFrame({"name": [h.strip() for h in first if h and h.strip()]})
+
+    names = sorted(r["name"] for r in content.mapInPandas(headers, "name string").distinct().collect())
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frame(held: list, pos: dict[str, int], path: str) -> pd.DataFrame:
+            out = {n: [r[pos[n]] if n in pos and pos[n] < len(r) else None for r in held] for n in names}
+            return pd.DataFrame(out | {"_source_path": [path] * len(held)})
+
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                rows = workbook_rows(bytes(content))
-                if not rows:
-                    continue
-                header = [h.strip() if h else "" for h in rows[0]]
-                pos = {h: i for i, h in enumerate(header)}
-                out = {n: [r[pos[n]] if n in pos and pos[n] < len(r) else None
-                           for r in rows[1:]] for n in names}
-                out["_source_path"] = [path] * (len(rows) - 1)
-                yield pd.DataFrame(out)
-
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
-             .load([paths] if isinstance(paths, str) else list(paths)))
-    text = files.select("path", "content").mapInPandas(parse, text_schema)
-    cols = []
-    for f in target.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, DateType):
-            # a bare number is an Excel day serial (Spark would read it as a year)
-            serial = F.date_add(F.lit(EXCEL_EPOCH).cast("date"),
-                                c.try_cast("double").cast("int"))
-            cols.append(F.when(c.rlike(r"^[0-9]+(\.[0-9]+)?$"), serial)
-                         .otherwise(F.try_to_date(c)).alias(f.name))
-        else:
-            cols.append(c.try_cast(f.dataType).alias(f.name))
-    return text.select(*cols, "_source_path")
+            for path, data in zip(pdf["path"], pdf["content"]):
+                rows = workbook_rows(bytes(data))
+                pos = {h.strip(): i for i, h in enumerate(next(rows, [])) if h}
+                held: list = []
+                for r in rows:
+                    held.append(r)
+                    if len(held) == ROWS_AT_ONCE:
+                        yield frame(held, pos, path)
+                        held = []
+                if held:
+                    yield frame(held, pos, path)
+
+    return content.mapInPandas(parse, ", ".join(f"`{n}` string" for n in [*names, "_source_path"]))
 
 
 # ---------------------------------------------------------------- writing
@@ -171,56 +177,29 @@ def workbook_bytes(pdf: pd.DataFrame) -> bytes:
     return buf.getvalue()
 
 
-def local_path(uri: str) -> str:
-    """``file:/x`` / ``file:///x`` -> ``/x``; other schemes cannot be
-    written with plain file IO and are refused."""
-    m = re.match(r"^file:(?://)?(/.*)$", uri)
-    if m:
-        return m.group(1)
-    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://", uri):
-        raise ValueError(f"write_xlsx needs a mounted folder, got {uri}")
-    return uri
-
-
 def write_xlsx(df: DataFrame, folder: str, rows_per_book: int = 50_000) -> None:
-    """Land ``df`` as workbooks, one per task and at most ``rows_per_book``
-    rows each, named by partition so a retried task rewrites its own file.
-    Tasks write with plain file IO: ``folder`` must be a shared folder
-    mounted on every worker."""
-    import os
-
-    from pyspark import TaskContext
-
+    """Land ``df`` as a folder of workbooks of at most ``rows_per_book`` rows,
+    on any file system: the text sink writes one workbook's bytes per file.
+    A zip without a comment ends with a zero byte; that one is the sink's
+    separator."""
     from ..session import ship_package
     ship_package(df.sparkSession)
     cols = df.columns
-    folder = local_path(folder)
 
-    def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
-        os.makedirs(folder, exist_ok=True)
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending: list[pd.DataFrame] = []
-        count = written = k = 0
-
-        def flush(frames: list[pd.DataFrame], k: int) -> int:
-            chunk = pd.concat(frames)[cols]
-            path = f"{folder}/part-{part:05d}-{k:04d}.xlsx"
-            with open(path + ".tmp", "wb") as fh:
-                fh.write(workbook_bytes(chunk))
-            os.replace(path + ".tmp", path)
-            return len(chunk)
-
+        count = 0
         for b in batches:  # stream: hold at most one workbook's rows
             while len(b):
                 take = b.iloc[:rows_per_book - count]
                 b = b.iloc[len(take):]
                 pending.append(take)
                 count += len(take)
-                if count >= rows_per_book:
-                    written += flush(pending, k)
-                    pending, count, k = [], 0, k + 1
+                if count == rows_per_book:
+                    yield pd.DataFrame({"book": [workbook_bytes(pd.concat(pending)[cols])[:-1]]})
+                    pending, count = [], 0
         if count:
-            written += flush(pending, k)
-        yield pd.DataFrame({"rows": [written]})
+            yield pd.DataFrame({"book": [workbook_bytes(pd.concat(pending)[cols])[:-1]]})
 
-    df.mapInPandas(land, "rows long").write.format("noop").mode("overwrite").save()
+    (df.mapInPandas(pack, "book binary").select(F.col("book").cast("string")).write
+     .option("lineSep", "\0").option("maxRecordsPerFile", 1).text(folder))

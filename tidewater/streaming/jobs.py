@@ -135,9 +135,12 @@ def windowed_totals_stream(spark: SparkSession, landing: str, sink: str, checkpo
                            fmt: str = "csv") -> None:
     """ST3: tumbling-window counts and exact sums with a watermark.
 
-    Append mode: a window is written once, when the watermark (latest event
-    time seen minus ``delay``) passes its end; events older than the
-    watermark are dropped.  State is bounded by the open windows."""
+    Update mode: every micro-batch publishes the windows that it changed,
+    open ones too, to ``sink/batch_id=N`` with partition overwrite, so a
+    replayed batch rewrites its own partition.  ``read_windows`` takes the
+    latest figures of each window: after all input they equal the batch
+    answer.  The watermark (latest event time seen minus ``delay``) drops
+    older events and bounds the state to the open windows."""
     src = file_stream(spark, landing, schema, fmt)
     # watermarks need TIMESTAMP (with zone); NTZ input is read as UTC-free
     # wall time, so go through the session zone and come back at the end
@@ -149,6 +152,18 @@ def windowed_totals_stream(spark: SparkSession, landing: str, sink: str, checkpo
     out = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                      group, "events", F.col("_total").cast("double").alias("total_value"))
-    q = (out.writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
+
+    q = (out.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(publish).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def read_windows(spark: SparkSession, sink: str, group: str) -> DataFrame:
+    """The latest published figures of every window and group."""
+    from ..operators.dedup import latest_per_key
+    return latest_per_key(spark.read.parquet(sink), ["window_start", group],
+                          [F.col("batch_id").desc()], tiebreak=False).drop("batch_id")
