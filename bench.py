@@ -41,6 +41,15 @@ HEADLINE = [
     "encrypt_roundtrip", "route_files_theta_join",
 ]
 
+# jobs that land files, run layers or streams: dearer, so timed once when the
+# session is new to them and once warm
+JOBS = [
+    "bronze_ingest", "bronze_ingest_conform", "scan_mixed_formats", "scan_workbooks",
+    "dim_customer_increment_out_of_order", "dim_vehicle_scd2", "fact_claims_point_in_time",
+    "layers_kpi_claims_summary", "audit_silver_rows", "kpi_payment_collection_incremental",
+    "stream_ingest_archive", "stream_latest_per_key", "stream_windowed_totals",
+]
+
 
 def run_noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
@@ -98,10 +107,17 @@ def main() -> None:
         if i:
             timings["loss_ratio_as_written_from_views"].append(time.perf_counter() - t0)
     med = {k: round(statistics.median(v), 4) for k, v in timings.items()}
-    total = round(sum(med.values()), 4)
+    total = round(sum(med.values()), 4)      # of the headline set, as in earlier rounds
+    first: dict[str, float] = {}
+    for n in [n for n in JOBS if n in QUERIES]:
+        for sink in (first, med):
+            Warehouse.refresh()          # nothing kept of the run before
+            t0 = time.perf_counter()
+            run_noop(QUERIES[n](spark, root))
+            sink[n] = round(time.perf_counter() - t0, 4)
     print(json.dumps({"metric": "gold_run_total", "value": total, "unit": "sec",
                       "queries": med, "sf": sf, "cpus": cpus, "runs": runs,
-                      "plan_build_from_views": build_sec}))
+                      "plan_build_from_views": build_sec, "first_run": first}))
     spark.stop()
 
 
