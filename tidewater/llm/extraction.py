@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dom import Page, parse
-from .labelled_pages import labelled_page
+from .labelled_pages import MAIN, OTHER, labelled_page
 from .tables import prepare
 from .textkit import as_batch
 
@@ -184,8 +184,8 @@ def training_set(n: int = TRAINING_PAGES) -> list[tuple[Page, np.ndarray]]:
     for seed in range(n):
         page = parse(labelled_page(seed))
         total = np.array([len(t) for t in page.text], float)
-        main = np.array([len(t) * t.startswith("") for t in page.text], float)
-        page.text = [t.replace("", "").replace("", "") for t in page.text]
+        main = np.array([len(t) * t.startswith(MAIN) for t in page.text], float)
+        page.text = [t.replace(MAIN, "").replace(OTHER, "") for t in page.text]
         for i in range(len(page.tag) - 1, 0, -1):
             total[page.parent[i]] += total[i]
             main[page.parent[i]] += main[i]

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import random
 
+# Private-use marks that carry a run's label through the parser
+MAIN, OTHER = "\ue001", "\ue000"
+
 _MENU = ["nav", "menu", "navbar", "main-nav", "breadcrumb", "topbar", "site-menu", "nav-links"]
 _SIDE = ["sidebar", "side", "widget", "related", "more-stories", "popular", "tags", "aside", "recommended"]
 _AD = ["ad", "ads", "advert", "sponsored", "promo", "banner-ad", "ad-slot"]
@@ -36,12 +39,11 @@ class _Writer:
         return " ".join(out).capitalize() + ("." if stop else "")
 
     def run(self, main: bool, text: str) -> str:
-        # private-use marks carry the label through the parser
-        return ("" if main else "") + text
+        return (MAIN if main else OTHER) + text
 
 
 def labelled_page(seed: int) -> str:
-    """A page whose text runs each begin with U+E001 (main) or U+E000."""
+    """A page whose text runs each begin with MAIN or OTHER."""
     rng = random.Random(seed)
     w = _Writer(rng)
     semantic, named = rng.random() < 0.5, rng.random() < 0.75
