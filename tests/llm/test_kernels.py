@@ -12,7 +12,7 @@ from llm_data import edited, prose, shingles_of, words_of
 
 from tidewater.llm import dom, extraction, jaccard_join, nearest, packing, passages, token_files, tokens, toxicity, warc
 from tidewater.llm.decontamination import ItemIndex
-from tidewater.llm.labelled_pages import labelled_page
+from tidewater.llm.labelled_pages import MAIN, OTHER, labelled_page
 from tidewater.llm.textkit import shingle_sets, text_slices, words
 
 TEXT = st.text(alphabet="ab é\t\nAßZ　 .,'|<>", max_size=60)
@@ -288,8 +288,8 @@ def test_page_model_on_unseen_layouts():
     wrong = runs = 0
     for seed in range(50_000, 50_100):
         page = dom.parse(labelled_page(seed))
-        truth = [t.startswith("") for t in page.text]
-        page.text = [t.replace("", "").replace("", "") for t in page.text]
+        truth = [t.startswith(MAIN) for t in page.text]
+        page.text = [t.replace(MAIN, "").replace(OTHER, "") for t in page.text]
         f = extraction.Forest([page])
         belief, _, _ = f.messages(extraction._node_potential(f.x, model[0]), model[1])
         keep = f.leaf & (belief[:, 1] >= np.log(0.5))
