@@ -377,7 +377,7 @@ def _join_large(members: DataFrame, percent: int, region_shingles: int) -> DataF
                 yield as_batch(seen, *map(list, zip(*out)))
 
     placed = written(members.select("region", "text").mapInArrow(
-        measure, "region long, a long, n long, home int, mask long, far array<double>, " + _LINKS_DDL), "placed")
+        measure, "region long, a long, n long, home int, mask long, far array<double>, " + _LINKS_DDL), "placed", batch_rows=256)
     links = placed.filter("mask <> 0").select(*_LINKS.names)
     # masks of a region tell which pivots its documents connect
     root: dict[int, list[int]] = {r: list(range(len(v[0]))) for r, v in sets.items()}
@@ -467,12 +467,14 @@ def _labelled(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     texts = d.withColumn("text_hash", F.xxhash64("text"))
     members = (texts.join(wanted, (texts["text_hash"] == wanted["one_hash"]) & texts["doc_id"].eqNullSafe(wanted["one_id"]))
                .join(weigh, "region").select("region", "a", "n", "shingles", "text"))
+    members = written(members, "members")       # a part of the texts, which both ways below read
     large = [r["region"] for r in weigh.filter(F.col("shingles") > region_shingles).select("region").toLocalIterator()]
     links = _join_regions(members.filter(F.col("shingles") <= region_shingles), percent)
     for lo in range(0, len(large), REGIONS_AT_ONCE):
         part = written(members.filter(F.col("region").isin(large[lo:lo + REGIONS_AT_ONCE]))
                        .dropDuplicates(["region", "a"]), "large-regions")
         links = links.unionByName(_join_large(part, percent, region_shingles))
+    links = written(links, "links", batch_rows=256)
     edges = links.select(F.struct(F.col("a1").alias("a"), F.col("b1").alias("b")).alias("x"),
                          F.struct(F.col("a2").alias("a"), F.col("b2").alias("b")).alias("y"))
     part = connected_components(edges, "x", "y").select("node.a", "node.b", "component")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +19,26 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: lineage ends
-    at files that every executor can read again after a loss."""
-    path = scratch_path(df.sparkSession, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at files that every executor can read again after a loss.
+
+    ``batch_rows`` limits the rows that this one job hands to Python at a
+    time, for rows that carry whole or cut-out texts: at the usual 10,000 a
+    run of long ones would not fit an executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(BATCH_ROWS)
+    if batch_rows:
+        spark.conf.set(BATCH_ROWS, batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def columns(df: DataFrame, *names: str) -> DataFrame:
