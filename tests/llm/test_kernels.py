@@ -157,6 +157,37 @@ def test_alignment_finds_the_whole_passage():
     assert got == (20, 120, 5, 105, 99)
 
 
+def test_an_exact_passage_survives_a_bad_neighbour():
+    rng = np.random.default_rng(6)
+    for before, gap, after in ((55, 20, 12), (12, 25, 58), (60, 30, 70), (52, 16, 8)):
+        own = rng.integers(1 << 40, 1 << 60, 2 * (gap + 30)).astype(np.uint64)
+        shared = rng.integers(1, 1 << 30, before + after).astype(np.uint64)
+        x = np.concatenate([own[:15], shared[:before], own[30:30 + gap], shared[before:]])
+        y = np.concatenate([own[15:30], shared[:before], own[30 + gap:30 + 2 * gap], shared[before:]])
+        at = np.array([15, 15 + before - 8, 15 + before + gap])
+        u, v = passages._aligned(x, y, at, at, 8)
+        got = [(int(u[a]), int(u[b]) + 1) for a, b in passages.stretches(u, v, 50, 0.8)]
+        whole = [(15, 15 + before)] * (before >= 50) + [(15 + before + gap, 15 + before + gap + after)] * (after >= 50)
+        if (before + after) >= 0.8 * (before + gap + after):
+            whole = [(15, 15 + before + gap + after)]
+        assert got == whole
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.booleans(), min_size=1, max_size=60))
+def test_stretches_are_good_and_cover_exact_runs(equal):
+    x = np.flatnonzero(equal)
+    if not len(x):
+        return
+    found = passages.stretches(x, x, 10, 0.8, 4)
+    for a, b in found:
+        assert x[b] - x[a] + 1 >= 10 and b - a + 1 >= 0.8 * (x[b] - x[a] + 1)
+    covered = {w for a, b in found for w in range(x[a], x[b] + 1)}
+    for i in range(len(equal) - 9):
+        if all(equal[i:i + 10]):
+            assert covered >= set(range(i, i + 10))
+
+
 def test_region_links_span_the_true_components():
     rng = random.Random(5)
     texts = []
