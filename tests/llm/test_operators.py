@@ -138,6 +138,20 @@ def test_passages_of_messy_rows(spark, messy):
     assert passages.repeats(spark.createDataFrame([], messy.schema)).count() == 0
 
 
+def test_passages_of_long_words(spark):
+    rng = random.Random(12)
+    fresh = lambda n, size: [f"{rng.getrandbits(60):x}".ljust(size, "x") for _ in range(n)]
+    rows = []
+    for i, size in enumerate((50, 200, 3000)):       # bytes of a word
+        shared = fresh(56, size)
+        rows += [(10 * i + j, " ".join(fresh(30, 9) + shared + fresh(30, 9))) for j in range(2)]
+    shared = ["漢字" * 20 + str(n) for n in range(60)]
+    rows += [(100, " ".join(shared)), (101, " ".join(shared + fresh(20, 9)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.src_doc_id, r.start, r.n_words) for r in passages.repeats(df).collect()}
+    assert got == {(1, 0, 30, 56), (11, 10, 30, 56), (21, 20, 30, 56), (101, 100, 0, 60)}
+
+
 # ------------------------------------------------------ op9, benchmark items
 
 def test_contained_items(spark, messy):
