@@ -165,14 +165,30 @@ def test_an_exact_passage_survives_a_bad_neighbour():
         x = np.concatenate([own[:15], shared[:before], own[30:30 + gap], shared[before:]])
         y = np.concatenate([own[15:30], shared[:before], own[30 + gap:30 + 2 * gap], shared[before:]])
         at = np.array([15, 15 + before - 8, 15 + before + gap])
-        u, v = passages._aligned(x, y, at, at, 8)
-        got = [(int(u[a]), int(u[b]) + 1) for a, b in passages.stretches(u, v, 50, 0.8)]
+        u, v, *core = passages._aligned(x, y, at, at, 8)
+        got = [(int(u[a]), int(u[b]) + 1) for a, b in passages.stretches(u, v, 50, 0.8, core=tuple(core))]
         whole = [(15, 15 + before)] * (before >= 50) + [(15 + before + gap, 15 + before + gap + after)] * (after >= 50)
         if (before + after) >= 0.8 * (before + gap + after):
             whole = [(15, 15 + before + gap + after)]
         assert got == whole
 
 
+def test_seeds_find_fuzzy_passages():
+    rng = np.random.default_rng(9)
+    for share, least in ((0.1, 1.0), (0.15, 0.98), (0.2, 0.93)):
+        hits = 0
+        for _ in range(300):
+            a = rng.integers(1, 1 << 60, 50).astype(np.uint64)
+            b = a.copy()
+            at = rng.choice(50, round(50 * share), replace=False)
+            b[at] = rng.integers(1, 1 << 60, len(at))
+            s = [passages.ngrams(np.concatenate([rng.integers(1, 1 << 60, 20).astype(np.uint64), h]), passages.K) for h in (a, b)]
+            s = [g[:len(g) - passages.K + 1] for g in s]
+            x, y = (set(g[passages.minimizers(g, passages.WINDOW)].tolist()) for g in s)
+            hits += len(x & y) >= 2
+        assert hits >= least * 300
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.booleans(), min_size=1, max_size=60))
 def test_stretches_are_good_and_cover_exact_runs(equal):
