@@ -138,6 +138,23 @@ def test_passages_of_messy_rows(spark, messy):
     assert passages.repeats(spark.createDataFrame([], messy.schema)).count() == 0
 
 
+def test_rare_passage_of_common_parts(spark):
+    rng = random.Random(13)
+    own = lambda n: prose(rng, n).split()
+    rows, want = [], []
+    for base, n in ((0, 52), (1000, 60)):
+        passage = own(n)
+        # every 45 words of the passage stand in other texts, before, between and after
+        for i in range(0, n - 44):
+            rows += [(base + j + i, " ".join(own(20) + passage[i:i + 45] + own(20))) for j in (0, 100, 200)]
+        rows += [(base + 50, " ".join(own(15) + passage + own(15))), (base + 150, " ".join(own(35) + passage + own(15)))]
+        want.append((base + 150, base + 50, 35, n))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.src_doc_id, r.start, r.n_words) for r in passages.repeats(df).collect()]
+    for doc, src, start, n in want:
+        assert any(g[:2] == (doc, src) and g[2] <= start and g[2] + g[3] >= start + n for g in got)
+
+
 def test_passages_of_long_words(spark):
     rng = random.Random(12)
     fresh = lambda n, size: [f"{rng.getrandbits(60):x}".ljust(size, "x") for _ in range(n)]
