@@ -327,6 +327,20 @@ def test_nearest_with_ties_and_odd_vectors(spark):
     assert nearest.search(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def test_ties_of_different_vectors_go_to_the_smaller_ids(spark):
+    rng = np.random.default_rng(8)
+    codes = rng.choice(np.arange(1, 4096), 900, replace=False)
+    ids = rng.permutation(2000)[:900]
+    x = {int(i): ((c >> np.arange(12)) & 1).astype(float) for i, c in zip(ids, codes)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "vec_id long, embedding array<double>").repartition(7)
+    got = defaultdict(list)
+    for r in nearest.search(df, block_rows=64).collect():
+        got[r.query_id].append((r["rank"], r.vec_id))
+    for q in (i for i in x if i % 20 == 0):
+        near = sorted((-float(x[q] @ v), i) for i, v in x.items() if i != q)[:20]
+        assert [i for _, i in sorted(got[q])] == [i for _, i in near]
+
+
 def test_exact_way_for_poor_buckets(spark):
     rng = np.random.default_rng(5)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 16)))]

@@ -158,17 +158,24 @@ def _rank(best: _Best, data: np.ndarray, data_cls: np.ndarray, query: np.ndarray
     for lo in range(0, len(query), step):
         q = query[lo:lo + step]
         s = q @ data.T
-        k = min(best.keep + 4, len(data))
-        at = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        rows = np.repeat(np.arange(len(q)), k)
-        cols = at.ravel()
+        k = min(best.keep, len(data))
+        least = np.partition(s, len(data) - k, axis=1)[:, len(data) - k]
+        # all that may tie with the cut, by the error of the product
+        slack = 4 * (q.shape[1] + 2) * np.finfo(float).eps * np.abs(q).sum(1) * np.abs(data).max()
+        rows, cols = np.nonzero(s >= (least - slack)[:, None])
         # one order of summation whatever the block, so that ties stay ties
-        exact = (q[rows] * data[cols]).sum(1)
-        best.add(query_cls[lo + rows], data_cls[cols], exact)
+        part = max(1, 4_000_000 // q.shape[1])
+        exact = np.concatenate([(q[rows[i:i + part]] * data[cols[i:i + part]]).sum(1) for i in range(0, len(rows), part)])
+        order = np.lexsort((data_cls[cols], -exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        good = nth < best.keep
+        best.add(query_cls[lo + rows[good]], data_cls[cols[good]], exact[good])
 
 
 def _classes(vectors: DataFrame, id_col: str, vec_col: str, every: int, top: int) -> DataFrame:
-    """One row per distinct vector: cls, vec, members (its smallest ids), asks."""
+    """One row per distinct vector: cls, vec, members (its smallest ids), asks.
+    Classes ascend with their smallest ids, so the lesser class wins a tie."""
     v = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
          .filter("id IS NOT NULL AND vec IS NOT NULL AND size(vec) > 0")
          .filter(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
@@ -178,6 +185,7 @@ def _classes(vectors: DataFrame, id_col: str, vec_col: str, every: int, top: int
     few = v.withColumn("asks", asks).withColumn("rn", F.dense_rank().over(w)).filter(F.col("rn") <= top + 1)
     return (few.groupBy("vec").agg(F.slice(F.sort_array(F.collect_set("id")), 1, top + 1).alias("members"),
                                    F.max("asks").alias("asks"))
+            .orderBy(F.col("members")[0])
             .select(F.monotonically_increasing_id().alias("cls"), "vec", "members", "asks"))
 
 
