@@ -298,6 +298,12 @@ def test_one_capture_is_found_by_its_key(spark):
     assert [(r.page_id, r.url, r.payload_bytes) for r in got] == [(47, "http://a7.example/47", len("<p>47</p>"))]
 
 
+def test_urls_with_unicode_line_ends(spark):
+    urls = [f"{head}x{c}y" for head in ("http://a.example/", "a.example/") for c in "\u2028\u2029\x85\x0b\x0c\x1c"]
+    pages = spark.createDataFrame([(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    assert {r.page_id: r.url for r in warc.round_trip(pages).collect()} == dict(enumerate(urls))
+
+
 # --------------------------------------------------------------- op4, vectors
 
 def test_nearest_with_ties_and_odd_vectors(spark):

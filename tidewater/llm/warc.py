@@ -337,7 +337,7 @@ def lookup(keys: DataFrame, archive: str, path: str) -> DataFrame:
                 for r in batch.column(0)[i].as_py():
                     keys_here = set(r["keys"])
                     rows = []
-                    for text in read_range(content, r["offset"], r["length"]).decode().splitlines():
+                    for text in read_range(content, r["offset"], r["length"]).decode().split("\n")[:-1]:
                         key, _, body = text.split(" ", 2)
                         if key in keys_here:
                             c = json.loads(body)
