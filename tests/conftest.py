@@ -8,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tidewater.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -10,7 +10,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tidewater.sources.tables import TABLE_NAMES
 
-from conftest import SMALL
+from shared import SMALL
 
 ORACLE = oracle_sql()
 

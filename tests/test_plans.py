@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import queries
 
-from conftest import SMALL
+from shared import SMALL
 
 # queries whose builders only plan (no landing writes or streams)
 WRITING = ("kpi_tables_by_name", "dim_customer_increment", "dim_customer_increment_out_of_order")
