@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, jaccard_join, nearest, packing, passages, quality, token_files, toxicity, warc
+from . import (decontamination, extraction, jaccard_join, merkle, nearest, packing, passages, quality, token_files, toxicity,
+               warc)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +79,12 @@ def op10_quality(spark: SparkSession, root: str) -> DataFrame:
     return quality.classify(read(spark, root, "documents"), read(spark, root, "labels"))
 
 
+@query
+def op13_merkle(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's leaf, proof and verification in the Merkle manifest."""
+    return merkle.audit(read(spark, root, "documents"))
+
+
 #: Words and 5-word shingles as the operators define them, in DuckDB SQL.
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')")
@@ -123,3 +130,52 @@ WITH RECURSIVE dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
            UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.to_id)
 SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.to_id) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes in DuckDB SQL, bit by bit."""
+    bits = (f"flatten(list_transform(range(0, octet_length(encode({text}))), lambda p: "
+            f"[CAST('0x' || substr(hex(encode({text})), 2 * p + 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))")
+    return (f"xor(list_reduce(list_prepend(4294967295, {bits}), lambda c, e: "
+            f"xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))), 4294967295)")
+
+
+def _record(*fields: str) -> str:
+    """SHA-256 of a record: null fields as -, others as bytes:value."""
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode(CAST({f} AS VARCHAR))) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
+
+
+ORACLE["op13_merkle"] = f"""
+WITH RECURSIVE d AS (SELECT *, CASE WHEN {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 7 = 0
+                              THEN n_chars + 1 ELSE n_chars END AS told FROM documents),
+     b AS (SELECT doc_id, lang, {_record("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+                  {_record("doc_id", "source", "lang", "told", "text")} AS checked FROM d),
+     o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                  count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM b),
+     t AS (SELECT g, 0 AS lvl, i, leaf AS h, n FROM o
+           UNION ALL
+           SELECT g, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+           FROM t WHERE n > 1 GROUP BY g, lvl, i // 2, n),
+     s AS (SELECT g, lvl AS levels, h AS subroot FROM t WHERE n = 1),
+     u AS (SELECT 0 AS lvl, g AS i, subroot AS h, (SELECT count(*) FROM s) AS n FROM s
+           UNION ALL
+           SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY lvl, i // 2, n),
+     steps AS (SELECT o.g, o.i, t.lvl AS ord, CASE WHEN t.i < (o.i >> t.lvl) THEN -1 ELSE 1 END AS side, t.h
+               FROM o JOIN t ON t.g = o.g AND t.i = xor(o.i >> t.lvl, 1)
+               UNION ALL
+               SELECT o.g, o.i, s.levels + u.lvl, CASE WHEN u.i < (o.g >> u.lvl) THEN -1 ELSE 1 END, u.h
+               FROM o JOIN s ON s.g = o.g JOIN u ON u.i = xor(o.g >> u.lvl, 1)),
+     alone AS (SELECT o.g, o.i, l.lvl AS ord FROM o JOIN (SELECT DISTINCT g, lvl, n FROM t) l
+                 ON l.g = o.g AND l.n > 1 AND xor(o.i >> l.lvl, 1) >= l.n
+               UNION ALL
+               SELECT o.g, o.i, s.levels + l.lvl FROM o JOIN s ON s.g = o.g JOIN (SELECT DISTINCT lvl, n FROM u) l
+                 ON l.n > 1 AND xor(o.g >> l.lvl, 1) >= l.n),
+     p AS (SELECT g, i, list({{'side': side, 'h': h}} ORDER BY ord) AS path, string_agg(h, '' ORDER BY ord) AS digests
+           FROM (SELECT * FROM steps UNION ALL SELECT g, i, ord, 0, '' FROM alone) GROUP BY g, i)
+SELECT o.doc_id, o.leaf, s.subroot, r.h AS root, sha256(coalesce(p.digests, '')) AS proof_sha256, f.folded_root,
+       f.folded_root = r.h AS verified
+FROM o JOIN s ON s.g = o.g JOIN (SELECT h FROM u WHERE n = 1) r ON true LEFT JOIN p ON p.g = o.g AND p.i = o.i,
+     LATERAL (SELECT (list_reduce(list_prepend({{'side': 0, 'h': o.checked}}, coalesce(p.path, [])), lambda a, x:
+                {{'side': 0, 'h': sha256(CASE x.side WHEN -1 THEN x.h || a.h WHEN 1 THEN a.h || x.h ELSE a.h END)}})).h
+              AS folded_root) f"""
