@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (decontamination, extraction, jaccard_join, merkle, nearest, packing, passages, quality, token_files, toxicity,
-               warc)
+from . import (decontamination, extraction, jaccard_join, merkle, nearest, packing, passages, quality, rank_bpe,
+               resampling, token_files, toxicity, warc)
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +80,22 @@ def op10_quality(spark: SparkSession, root: str) -> DataFrame:
     return quality.classify(read(spark, root, "documents"), read(spark, root, "labels"))
 
 
+@query
+def op11_resampling(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's weight, score and rank in a draw that looks like the benchmark."""
+    drawn = resampling.resample(read(spark, root, "documents"), read(spark, root, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_bpe(spark: SparkSession, root: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    ids, decoded = F.col("ids"), F.col("decoded")
+    return rank_bpe.round_trip(read(spark, root, "documents")).select(
+        "doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids, ","), 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"))
+
+
 @query
 def op13_merkle(spark: SparkSession, root: str) -> DataFrame:
     """Every document's leaf, proof and verification in the Merkle manifest."""
@@ -179,3 +196,29 @@ FROM o JOIN s ON s.g = o.g JOIN (SELECT h FROM u WHERE n = 1) r ON true LEFT JOI
      LATERAL (SELECT (list_reduce(list_prepend({{'side': 0, 'h': o.checked}}, coalesce(p.path, [])), lambda a, x:
                 {{'side': 0, 'h': sha256(CASE x.side WHEN -1 THEN x.h || a.h WHEN 1 THEN a.h || x.h ELSE a.h END)}})).h
               AS folded_root) f"""
+
+
+_RUNS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+         "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+ORACLE["op11_resampling"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_RUNS} AS w FROM documents),
+     dw AS (SELECT r, unnest(w) AS word FROM d),
+     tw AS (SELECT unnest({_RUNS}) AS word FROM benchmark),
+     v AS (SELECT word, {_crc32("word")} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM tw)),
+     s AS (SELECT bucket, count(*) AS n FROM dw JOIN v USING (word) GROUP BY 1),
+     t AS (SELECT bucket, count(*) AS n FROM tw JOIN v USING (word) GROUP BY 1),
+     a AS (SELECT CAST((SELECT coalesce(sum(n), 0) FROM s) AS DOUBLE) AS s, CAST((SELECT coalesce(sum(n), 0) FROM t) AS DOUBLE) AS t),
+     g AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (a.s + 10000) / ((s.n + 1)::DOUBLE * (a.t + 10000)))) AS gain
+           FROM s LEFT JOIN t USING (bucket), a),
+     m AS (SELECT r, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+           FROM dw JOIN v USING (word) JOIN g USING (bucket) GROUP BY r),
+     e AS (SELECT d.doc_id, len(w) AS n_features, coalesce(m.weight, 0) AS weight,
+                  CAST('0x' || substr(sha256('2024:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+           FROM d LEFT JOIN m USING (r)),
+     f AS (SELECT doc_id, n_features, weight,
+                  CAST(weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM e),
+     k AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS place,
+                  count(*) OVER (PARTITION BY n_features >= 20) AS n FROM f)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= (10 * n) // 100 THEN place END AS rank FROM k"""
