@@ -15,8 +15,9 @@ space, and the most frequent pairs of them with their buckets, so that most
 features are looked up by number; all other words and runs go through CRC-32
 directly, continued from their first word's state.  Both ways give the same
 number and feed the same exact totals, so the head's size changes the time
-only.  The head is bounded by ``head_words`` words of at most ``HEAD_BYTES``
-bytes and ``head_pairs`` pairs, whatever the corpus.
+only.  The head holds the words of the highest counts, down to a power of two,
+at most ``head_words`` of at most ``HEAD_BYTES`` bytes, and at most
+``head_pairs`` pairs, whatever the corpus.
 
 The draw needs no global sort: scores are whole numbers, so a count by score
 gives the last score that is drawn and the ranks before every score; ranks
@@ -152,9 +153,22 @@ def _counted(counts: dict, keys: list, n: np.ndarray) -> None:
         counts[k] = counts.get(k, 0) + c
 
 
+def _head(counts: DataFrame, size: int) -> DataFrame:
+    """The rows of a written table with ``n`` of at least T, for the least
+    power of two T that leaves at most ``size`` rows.  One count for each
+    power decides it, so no more than the head itself reaches the driver."""
+    power = F.floor(F.log2("n")).cast("int")
+    by = {r.power: r.rows for r in counts.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("rows")).collect()}
+    least, held = 63, 0
+    while least and held + by.get(least - 1, 0) <= size:
+        least -= 1
+        held += by.get(least, 0)
+    return counts.filter(F.col("n") >= (1 << least)).orderBy(F.desc("n"), counts.columns[0])
+
+
 def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
-    """The ``size`` most frequent words of at most ``HEAD_BYTES`` bytes,
-    counted over all texts; ties go to the smaller word."""
+    """The most frequent words of at most ``HEAD_BYTES`` bytes, counted over
+    all texts: at most ``size``, see ``_head``."""
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,13 +184,12 @@ def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
                     counts = {}
         yield as_batch(schema, list(counts), list(counts.values()))
 
-    rows = (docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "word").limit(size).collect())
-    return [bytes(r.word) for r in rows]
+    counts = written(docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    return [bytes(r.word) for r in _head(counts, size).collect()]
 
 
 def frequent_pairs(docs: DataFrame, words: list[bytes], size: int) -> list[tuple[bytes, bytes]]:
-    """The ``size`` most frequent pairs of neighbouring head words."""
+    """The most frequent pairs of neighbouring head words, at most ``size``."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
     schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
 
@@ -203,9 +216,8 @@ def frequent_pairs(docs: DataFrame, words: list[bytes], size: int) -> list[tuple
         n = np.bincount(where, weights=np.concatenate([c for _, c in held]), minlength=len(pair))
         return as_batch(schema, pair, n.astype(np.int64))
 
-    rows = (docs.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "pair").limit(size).collect())
-    return [(words[r.pair // len(words)], words[r.pair % len(words)]) for r in rows]
+    counts = written(docs.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    return [(words[r.pair // len(words)], words[r.pair % len(words)]) for r in _head(counts, size).collect()]
 
 
 def bucket_totals(docs: DataFrame, vocabulary, buckets: int, max_run: int) -> np.ndarray:
