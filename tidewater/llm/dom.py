@@ -1,7 +1,8 @@
 """A page as a tree of block elements and text runs.
 
 Inline elements do not make nodes: their text joins the run of the block
-around them.  ``parse`` follows the HTML rules that matter for that: void
+around them, formulas included.  Elements that show no text (scripts, images,
+buttons) add nothing to a run and do not end it.  ``parse`` follows the HTML rules that matter for that: void
 elements, elements whose content is not markup, implied end tags, stray and
 missing end tags.
 """
@@ -15,10 +16,12 @@ from dataclasses import dataclass, field
 # Fixed values of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("script style head title noscript template svg math iframe object audio video canvas "
+UNSEEN = set("script style head title noscript template svg annotation annotation-xml iframe object audio video canvas "
              "select button textarea datalist noembed noframes xmp".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s "
-             "samp small span strike strong sub sup time tt u var wbr input meta link".split())
+             "samp small span strike strong sub sup time tt u var wbr input meta link "
+             "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder "
+             "mover munderover mmultiscripts mprescripts mtable mtr mtd maction menclose semantics".split())
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
              "header hr main menu nav ol p pre section table ul".split())
 #: start tag -> (tags that it ends, tags that such a search does not leave)
@@ -27,7 +30,7 @@ IMPLIED = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-ENDS_P_AT = {"table", "td", "th", "button", "caption", "object"}      # a p outside these stays open
+ENDS_P_AT = set("table td th button caption object foreignobject noscript template canvas audio video".split())   # a p outside stays open
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -84,7 +87,7 @@ def parse(source: str) -> Page:
     def pop() -> None:
         nonlocal links, hidden
         tag, _ = stack[-1]
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSEEN and not hidden:
             flush()
         if tag == "a":
             links -= 1
@@ -155,7 +158,6 @@ def parse(source: str) -> Page:
             if tag == "a":
                 links += 1
         elif tag in UNSEEN or hidden:
-            flush()
             node = stack_node()
         else:
             flush()
