@@ -39,11 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import columns, prepare
-from .textkit import as_batch, rows_of
+from .textkit import as_batch, bytes_of, rows_of
 from .tokens import default_path
 
 SHORT = 64                  # bytes of the longest word that is merged by scans
-CHUNK = 1 << 15             # words merged at once
+CHUNK = 1 << 13             # words merged at once
 REMEMBERED = 600_000        # pieces that a worker remembers, and their bytes
 REMEMBERED_BYTES = 24 << 20
 SLICE_BYTES = 4 << 20
@@ -122,12 +122,12 @@ class Vocabulary:
 def merge_short(v: Vocabulary, rows: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merge words that are the rows of a byte matrix: (parts, how many)."""
     n, width = rows.shape
-    columns_ = np.arange(width)
+    place = np.arange(width, dtype=np.int32)
     parts = v.byte[rows]
     ranks = np.full((n, width), NONE, np.int32)
     if width > 1:
         ranks[:, :-1] = v.first[rows[:, :-1], rows[:, 1:]]
-    ranks[columns_ >= lens[:, None] - 1] = NONE
+    ranks[place >= lens[:, None] - 1] = NONE
     count = lens.copy()
     out = np.empty((n, width), np.int32)
     live = np.arange(n)
@@ -141,22 +141,17 @@ def merge_short(v: Vocabulary, rows: np.ndarray, lens: np.ndarray) -> tuple[np.n
             live, parts, ranks, low, rank = live[keep], parts[keep], ranks[keep], low[keep], rank[keep]
             if not len(live):
                 break
-        row = np.arange(len(live))
         # delete the boundary: what follows moves up by one
-        after = columns_ > low[:, None]
-        source = np.minimum(columns_ + after, width - 1)
-        parts = np.take_along_axis(parts, source, 1)
-        ranks = np.where(columns_ >= low[:, None], np.take_along_axis(ranks, np.minimum(columns_ + 1, width - 1)[None], 1), ranks)
+        parts[:, :-1] = np.where((place > low[:, None])[:, :-1], parts[:, 1:], parts[:, :-1])
+        ranks[:, :-1] = np.where((place >= low[:, None])[:, :-1], ranks[:, 1:], ranks[:, :-1])
         ranks[:, -1] = NONE
-        parts[row, low] = v.made[rank]
+        parts[np.arange(len(live)), low] = v.made[rank]
         count[live] -= 1
-        left = np.flatnonzero(low > 0)
-        right = np.flatnonzero(low < count[live] - 1)
-        at = np.concatenate([low[left] - 1, low[right]])
-        who = np.concatenate([left, right])
+        last = count[live] - 1
+        left, right, end = np.flatnonzero(low > 0), np.flatnonzero(low < last), np.flatnonzero(low >= last)
+        who, at = np.concatenate([left, right]), np.concatenate([low[left] - 1, low[right]])
         ranks[who, at] = v.ranks(parts[who, at], parts[who, at + 1])
-        stop = np.flatnonzero(low >= count[live] - 1)
-        ranks[stop, low[stop]] = NONE
+        ranks[end, low[end]] = NONE
     return out, count
 
 
@@ -270,7 +265,7 @@ class Encoder:
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [
             None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = bytes_of(coded.dictionary)
         if len(self.known) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.forget()
         fresh = [p for p in distinct if p not in self.known]

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import columns, prepare, written
-from .textkit import as_batch, rows_of
+from .textkit import as_batch, bytes_of, rows_of
 
 BUCKETS = 10_000
 MAX_RUN = 1
@@ -110,7 +110,7 @@ class Vocabulary:
                   else np.full(n, head)).astype(np.int64)
         tail = np.flatnonzero(number == head)
         coded = words.take(pa.array(tail)).dictionary_encode()
-        rest = coded.dictionary.to_pylist()
+        rest = bytes_of(coded.dictionary)
         number[tail] = head + coded.indices.to_numpy()
         crc = np.concatenate([self.crc, np.array([zlib.crc32(w) for w in rest], np.int64)])
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -140,7 +140,7 @@ class Vocabulary:
             need = np.ones(len(distinct), bool) if length < max_run else bucket[where] < 0
             got = np.zeros(len(distinct), np.int64)
             todo = np.flatnonzero(need)
-            lasts = words.take(pa.array(at[where[todo]] + length - 1)).to_pylist()
+            lasts = bytes_of(words.take(pa.array(at[where[todo]] + length - 1)))
             got[todo] = [zlib.crc32(w, s) for w, s in zip(lasts, run_state[first[where[todo]]].tolist())]
             bucket = np.where(bucket < 0, got[run] % self.buckets, bucket)
             yield bucket, text[at]
@@ -178,7 +178,7 @@ def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
                 coded = find_words(data, offs)[0].dictionary_encode()
                 n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
                 short = np.flatnonzero(pc.binary_length(coded.dictionary).to_numpy() <= HEAD_BYTES)
-                _counted(counts, coded.dictionary.take(pa.array(short)).to_pylist(), n[short])
+                _counted(counts, bytes_of(coded.dictionary.take(pa.array(short))), n[short])
                 if len(counts) > HELD:
                     yield as_batch(schema, list(counts), list(counts.values()))
                     counts = {}

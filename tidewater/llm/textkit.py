@@ -148,3 +148,14 @@ def concat_ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     at = np.cumsum(lens) - lens
     return np.arange(total) - np.repeat(at, lens) + np.repeat(np.asarray(starts, np.int64), lens)
+
+
+def bytes_of(arr: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of an array without nulls, several times as fast as ``to_pylist``."""
+    if not len(arr):
+        return []
+    offs = np.frombuffer(arr.buffers()[1], np.int64)[arr.offset:arr.offset + len(arr) + 1]
+    lo = int(offs[0])
+    raw = arr.buffers()[2].slice(lo, int(offs[-1]) - lo).to_pybytes() if offs[-1] > lo else b""
+    ends = (offs - lo).tolist()
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]

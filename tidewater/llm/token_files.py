@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .tables import prepare
+from .tables import prepare, written
 from .textfile import files, write_frames
 from .textkit import as_batch, concat_ranges
 from .tokens import default_path, encoded
@@ -259,19 +259,13 @@ def read(spark, path: str) -> DataFrame:
                     yield as_batch(_DOCS, [name] * len(crc), f.doc_ids, before + ends - f.lengths, f.lengths, crc)
                     before += f.n_ids
 
-    def totals(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("file", pa.string()), ("ids", pa.int64())])
-        for batch in it:
-            for row in range(batch.num_rows):
-                n = sum(f.n_ids for f in frames_of(batch.column(1)[row].as_buffer()))
-                yield as_batch(schema, [batch.column(0)[row].as_py()], [n])
-
     content = files(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    docs = content.mapInArrow(run, "file string, doc_id long, before long, n_tokens long, ids_crc32 long")
+    # a row for each document, written, so that the files are read once
+    docs = written(content.mapInArrow(run, "file string, doc_id long, before long, n_tokens long, ids_crc32 long"), "token-docs")
     # one row for each file of some 4 million ids
     number = [F.regexp_extract("file", p, 1).cast("long") for p in (r"^part-(\d+)", r"-c(\d+)")]
     before = Window.orderBy(*number).rowsBetween(Window.unboundedPreceding, -1)
-    base = (content.mapInArrow(totals, "file string, ids long")
+    base = (docs.groupBy("file").agg(F.sum("n_tokens").alias("ids"))
             .select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base")))
     return docs.join(base, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"),
                                           "n_tokens", "ids_crc32")

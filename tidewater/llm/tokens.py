@@ -4,19 +4,23 @@ Byte-level BPE splits a text before every white-space run that follows a
 non-space character, and before a mark that follows a letter, whatever comes
 around them, so such pieces can be encoded on their own.  Most pieces repeat: each batch is cut into pieces, the
 distinct ones are found by Arrow's dictionary encoding, new ones are encoded
-once, and the ids of the whole texts are gathered with numpy.
+once, and the ids of the whole texts are gathered with numpy.  A new piece that
+is one word in any case goes straight to the library's merges, the others
+through its whole encoder.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-from .textkit import concat_ranges, rows_of
+from .textkit import bytes_of, concat_ranges, rows_of
 
 #: Distinct pieces remembered by a worker; beyond it the memory starts anew.
 REMEMBERED = 600_000
@@ -29,6 +33,7 @@ _MARK[[*b".,;:!?)*#%&$"]] = True
 _LATIN = np.zeros(256, bool)          # last bytes of the letters after lead byte C3
 _LATIN[0x80:0xC0] = True
 _LATIN[[0x97, 0xB7]] = False          # the signs x and division
+_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")     # letters of any version of Unicode
 
 
 def default_path() -> str:
@@ -41,6 +46,9 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # the characters that stand for bytes in the vocabulary, by the library's own mapping
+        visible = [b for b in range(256) if b < 0x7F and b > 0x20 or 0xA0 < b != 0xAD]
+        self.letters = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in visible)}
         self.forget()
 
     def forget(self) -> None:
@@ -50,16 +58,23 @@ class Encoder:
         self.start = np.zeros(1 << 16, np.int64)     # first id of each known piece, and the end
 
     def _learn(self, pieces: list[bytes]) -> None:
-        """Encode new pieces in one call; each is split and merged on its own."""
-        e = self.tokenizer.encode([p.decode("utf-8", "replace") for p in pieces], is_pretokenized=True,
-                                  add_special_tokens=False)
+        """Encode new pieces; each is split and merged on its own."""
+        words = [_WORD.match(p) is not None for p in pieces]
+        rest = [p.decode("utf-8", "replace") for p, w in zip(pieces, words) if not w]
+        e = self.tokenizer.encode(rest, is_pretokenized=True, add_special_tokens=False)
+        many = np.bincount(np.array(e.word_ids, np.int64), minlength=len(rest)) if rest else []
+        ends = np.cumsum(many, dtype=np.int64).tolist()
+        others = map(e.ids.__getitem__, map(slice, [0, *ends], ends))
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        ids = [[t.id for t in merge(p.decode("latin-1").translate(letters))] if w else next(others)
+               for p, w in zip(pieces, words)]
         n = len(self.known)
-        ends = self.start[n] + np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(pieces)))
+        ends = self.start[n] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
         while n + len(pieces) >= len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
         while ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.start[n]:ends[-1]] = e.ids
+        self.flat[self.start[n]:ends[-1]] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32)
         self.start[n + 1:n + 1 + len(pieces)] = ends
         self.bytes += sum(map(len, pieces))
         self.known.update(zip(pieces, range(n, n + len(pieces))))
@@ -83,7 +98,7 @@ class Encoder:
             pa.large_binary(), len(at),
             [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = bytes_of(coded.dictionary)
         if len(self.known) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.forget()
         fresh = [p for p in distinct if p not in self.known]
