@@ -229,9 +229,9 @@ def test_silver_run_quarantines_and_takes_the_latest(spark, tmp):
     _land(land, "policy_claims_2024-02-01.csv", "ClaimID,CustomerID,SettledAmount_INR\n1,1,20\nX,1,9\n")
     bronze.ingest(spark, land, f"{tmp}/bronze", bronze.config_frame(spark), "0123456789abcdef", "india")
     assert set(layers.run_silver(spark, f"{tmp}/bronze", f"{tmp}/silver", "0123456789abcdef")) == {"claims"}
-    got = {r["ClaimID"]: float(r["SettledAmount_INR"]) for r in spark.read.parquet(f"{tmp}/silver/claims").collect()}
+    got = {r["ClaimID"]: float(r["SettledAmount_INR"]) for r in layers.read_silver(spark, f"{tmp}/silver", "claims").collect()}
     assert got == {1: 20.0, 2: 5.0}
-    assert spark.read.parquet(f"{tmp}/silver/quarantine/claims").count() == 2
+    assert layers.read_silver(spark, f"{tmp}/silver", "quarantine/claims").count() == 2
     assert tuple(layers.audit_silver(spark, f"{tmp}/bronze", f"{tmp}/silver").first()) == ("claims", 5, 2, 2, 1)
     # a table that cannot be read is an error, not a table that never landed
     _land(f"{tmp}/bronze/policies_master", "part-0.parquet", "no parquet")

@@ -32,6 +32,11 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _fs(spark, path)
+    return fs.exists(target)
+
+
 class BucketState:
     def __init__(self, spark: SparkSession, path: str, schema: str, buckets: int = BUCKETS):
         self.spark, self.path, self.schema, self.buckets = spark, path.rstrip("/"), schema, buckets
@@ -84,11 +89,15 @@ class BucketState:
         """What a run wrote."""
         return self._load([f"{self.folder(run)}/bucket={b}" for b in self.touched(run)])
 
-    def write(self, rows: DataFrame, run: int) -> None:
-        """The rows (with ``bucket``) as the version of a run.  Keys are unique
-        in a state, so a hash bucket holds its share and no more."""
+    def write(self, rows: DataFrame, run: int, *spread: Column) -> None:
+        """The rows (with ``bucket``) as the version of a run.  Where keys are
+        unique, a hash bucket holds its share and no more; where one key may
+        hold many rows, ``spread`` deals a bucket's rows to several tasks and
+        files (readers split files as usual)."""
         names = [f.strip().split(" ")[0] for f in _fields(self.schema)]
-        (rows.select(*names, "bucket").repartition("bucket").write.mode("overwrite")
+        kept = rows.select(*names, "bucket", *[c.alias(f"_spread{i}") for i, c in enumerate(spread)])
+        extra = [f"_spread{i}" for i in range(len(spread))]
+        (kept.repartition("bucket", *extra).drop(*extra).write.mode("overwrite")
          .partitionBy("bucket").parquet(self.folder(run)))
 
     def compact(self, run: int) -> None:

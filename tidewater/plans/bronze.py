@@ -28,6 +28,8 @@ from pyspark.sql.types import _parse_datatype_string
 
 from ..functions.protect import protect_columns
 from ..functions.text import country_name
+from ..operators.bucket_state import path_exists
+from ..operators.observed import Counted
 from ..operators.provenance import META_COLS, append_partitioned, snapshot_from_name, stamp
 from ..operators.quality import harmonize
 from ..operators.routing import route_files
@@ -124,7 +126,9 @@ def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFram
     for r, header in zip(plan, headers):
         group = (r["table_name"], r["format"], tuple(sorted(r["sensitive_list"] or [])), header)
         groups.setdefault(group, []).append(f"{landing}/{r['delivery']}")
-    for (table, fmt, sensitive, header), paths in sorted(groups.items()):
+
+    def append(group: tuple) -> None:
+        (table, fmt, sensitive, header), paths = group
         df = READERS[fmt](spark, sorted(paths), header) if fmt == "csv" else READERS[fmt](spark, sorted(paths))
         # file paths of rows are URI-encoded
         path = F.url_decode(F.replace(source_path(df), F.lit("+"), F.lit("%2B"))) if fmt != "xlsx" else source_path(df)
@@ -135,10 +139,22 @@ def ingest(spark: SparkSession, landing: str, bronze_root: str, config: DataFram
         df = protect_columns(df, sensitive, key, mode)
         df = stamp(df, country_name(F.lit(country)),
                    snapshot_from_name("_delivery", run_date), F.col("_delivery"))
-        rejected = df.select(*META_COLS, F.explode("_rejected").alias("r")).select(
-            "r.column", F.when(~F.col("r.column").isin(*sensitive), F.col("r.value")).alias("value"), *META_COLS)
-        append_partitioned(df.drop("_delivery", "_rejected"), f"{bronze_root}/{table}")
-        append_partitioned(rejected, f"{bronze_root}/quarantine/{table}")
+        # the write counts what it rejects; only a delivery with such values is read again
+        counted = Counted()
+        seen = counted.watch(df, "in", {"rejected": F.count(F.when(F.size("_rejected") > 0, F.lit(1)))})
+        append_partitioned(seen.drop("_delivery", "_rejected"), f"{bronze_root}/{table}")
+        quarantine = f"{bronze_root}/quarantine/{table}"
+        if counted.values()["in"]["rejected"] or path_exists(spark, quarantine):
+            rejected = df.select(*META_COLS, F.explode("_rejected").alias("r")).select(
+                "r.column", F.when(~F.col("r.column").isin(*sensitive), F.col("r.value")).alias("value"), *META_COLS)
+            append_partitioned(rejected, quarantine)
+
+    # tables side by side; the groups of one table after another
+    tables: dict[str, list[tuple]] = {}
+    for group in sorted(groups.items()):
+        tables.setdefault(group[0][0], []).append(group)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda of_table: [append(g) for g in of_table], tables.values()))
     status = F.when(F.col("table_name").isNull(), "unrouted").when(
         ~F.col("format").isin(*READERS), "unknown format").otherwise("ingested")
     return files.select("path", "delivery").join(routed, "delivery").withColumn("status", status)

@@ -7,6 +7,7 @@ driver's tables.  Output columns are aliased identically in both forms.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -444,10 +445,8 @@ SELECT doc_id,
 FROM (SELECT *, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '<EMAIL>', 'g') AS m FROM documents)""")
 def _mask_pii(w: Warehouse) -> DataFrame:
     """Q7: count and mask e-mails and phone numbers in free text (whole texts)."""
-    d = w.t.documents.select("doc_id", "text")
-    return d.select("doc_id", text.count_emails("text").alias("n_emails"),
-                    text.count_phones("text").alias("n_phones"),
-                    text.mask_pii("text").alias("masked_text"))
+    d = text.with_masked(w.t.documents.select("doc_id", "text"), "text")
+    return d.select("doc_id", "n_emails", "n_phones", "masked_text")
 
 
 # ================================================================ protection
@@ -1024,18 +1023,17 @@ def _layer_run(w: Warehouse) -> layers.Gold:
     land = f"{root}/landing"
     claims = _views.redelivered(_views.keyed_claims(w.t), "ClaimID", "SettledAmount_INR")
     payments = _views.redelivered(_views.keyed_payments(w.t), "TransactionID", "Amount_INR")
+    feeds = {}
     for d in SNAPSHOT_DATES:
-        (_land(w.bronze_customers, d).write.option("header", True)
-         .csv(f"{land}/insurance_customer_{d}.csv"))
-        (_land(w.bronze_policies, d).write.option("header", True)
-         .csv(f"{land}/policies_master_{d}.csv"))
-        (_land(_views.bronze_vehicles(w.t), d).write.option("header", True)
-         .csv(f"{land}/vehicle_master_{d}.csv"))
+        feeds[f"insurance_customer_{d}"] = _land(w.bronze_customers, d)
+        feeds[f"policies_master_{d}"] = _land(w.bronze_policies, d)
+        feeds[f"vehicle_master_{d}"] = _land(_views.bronze_vehicles(w.t), d)
         for feed, rows in (("policy_claims", claims), ("policy_payments", payments)):
-            (rows.where(F.col("SnapshotDate") == d).drop("SnapshotDate").write.option("header", True)
-             .csv(f"{land}/{feed}_{d}.csv"))
+            feeds[f"{feed}_{d}"] = rows.where(F.col("SnapshotDate") == d).drop("SnapshotDate")
+    with ThreadPoolExecutor(max_workers=4) as pool:                  # independent jobs
+        list(pool.map(lambda f: f[1].write.option("header", True).csv(f"{land}/{f[0]}.csv"), feeds.items()))
     bronze.ingest(spark, land, f"{root}/bronze", bronze.config_frame(spark), DEMO_KEY, "india")
-    layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", DEMO_KEY)
+    layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", DEMO_KEY, audit=f"{root}/audit", run="day")
     layers.run_silver(spark, f"{root}/bronze", f"{root}/silver-as-written", DEMO_KEY, as_written=True)
     run = layers.run_gold(spark, f"{root}/silver", f"{root}/gold")
     run.root = root
@@ -1096,12 +1094,12 @@ SELECT CAST(SUM(1 + CAST(ClaimID % 3 = 0 AS INT) + CAST(ClaimID % 7 = 0 AS INT))
 FROM keyed_claims""")
 def _layers_as_written(w: Warehouse) -> DataFrame:
     """L3 as written: every delivered row with an id stays."""
-    df = w.spark.read.parquet(f"{_layer_run(w).root}/silver-as-written/claims")
+    df = layers.read_silver(w.spark, f"{_layer_run(w).root}/silver-as-written", "claims")
     return df.agg(F.count(F.lit(1)).alias("DeliveredRows"), F.countDistinct("ClaimID").alias("Claims"),
                   F.sum("SettledAmount_INR").cast("double").alias("SettledAmount"))
 
 
-@register("audit_silver_rows", """
+ORACLE_AUDIT_SILVER = """
 WITH c AS (SELECT count(*) AS n, count(*) FILTER (ClaimID % 3 = 0) AS a, count(*) FILTER (ClaimID % 7 = 0) AS b,
                   count(*) FILTER (ClaimID % 11 = 0) AS q FROM keyed_claims),
      p AS (SELECT count(*) AS n, count(*) FILTER (TransactionID % 3 = 0) AS a,
@@ -1110,13 +1108,23 @@ SELECT 'customers' AS table_name, count(*) AS rows_in, count(*) AS rows_out, 0 A
 UNION ALL SELECT 'policies', count(*), count(DISTINCT PolicyNumber), 0, count(*) - count(DISTINCT PolicyNumber) FROM bronze_policies
 UNION ALL SELECT 'vehicles', count(*), count(*), 0, 0 FROM bronze_vehicles
 UNION ALL SELECT 'claims', n + a + b + q, n, q, a + b FROM c
-UNION ALL SELECT 'payments', n + a + b + q, n, q, a + b FROM p""")
+UNION ALL SELECT 'payments', n + a + b + q, n, q, a + b FROM p"""
+
+
+@register("audit_silver_rows", ORACLE_AUDIT_SILVER)
 def _audit_silver(w: Warehouse) -> DataFrame:
     """Per silver table rows in = rows out + quarantined + superseded."""
     root = _layer_run(w).root
     return layers.audit_silver(w.spark, f"{root}/bronze", f"{root}/silver")
 
 
+@register("audit_observed", ORACLE_AUDIT_SILVER)
+def _audit_observed(w: Warehouse) -> DataFrame:
+    """Q5: the same from the counts that the silver writes took."""
+    root = _layer_run(w).root
+    return layers.audit_observed(w.spark, f"{root}/audit", "day")
+
+
 @register("kpi_tables_by_name", """
 SELECT PolicyType, COUNT(*) AS PolicyCount, CAST(SUM(AnnualPremium_INR) AS DOUBLE) AS TotalPremium
 FROM fact_policy GROUP BY PolicyType""")

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import inference, quality, sketches
+from ..operators.bucket_state import BucketState
 from ..operators.distinct_state import DistinctState
 from ..operators.pair_state import PairState
+from ..operators.scd2_buckets import BucketDimension, rekey
 from ..session import scratch_path
 from ..sources import views
+from ..sources.files import read_csv
 from ..sources.views import SNAPSHOT_DATES
-from . import gold, kpi_state
-from .catalog import register
+from . import gold, kpi_state, layers
+from .catalog import SCD2_COLUMNS, _customer_snapshots, register
 from .warehouse import Warehouse
 
 FIRST, SECOND, THIRD = SNAPSHOT_DATES
@@ -107,3 +111,113 @@ def _policies_state(w: Warehouse) -> DataFrame:
     all_types = state.counts(F.lit(None).cast("string")).select(
         F.col("grp").alias("PolicyType"), F.col("keys").alias("Policies"), F.lit(True).alias("AllTypes"))
     return by_type.unionByName(all_types)
+
+
+# ================================================== profile, types, dimension
+
+PROFILED = ("PolicyNumber", "CustomerID", "PolicyType", "PaymentFrequency", "AgentID", "AgentName", "CoverageAmount_INR",
+            "AnnualPremium_INR", "PolicyStartDate", "PolicyEndDate", "_src_country", "SnapshotDate", "FileName")
+MONEY_COLUMNS = ("CoverageAmount_INR", "AnnualPremium_INR")
+
+
+@register("dq_profile_sketched", f"""
+WITH bp AS (SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in PROFILED)} FROM bronze_policies),
+     l AS (SELECT * FROM bp UNPIVOT INCLUDE NULLS (value FOR column_name IN ({', '.join(PROFILED)})))
+SELECT column_name, COUNT(*) AS row_count, COUNT(*) - COUNT(value) AS null_count, TRUE AS distinct_within,
+       CASE WHEN column_name IN {MONEY_COLUMNS} THEN TRUE END AS quantiles_within, TRUE AS frequent_found
+FROM l GROUP BY column_name""")
+def _profile_sketched(w: Warehouse) -> DataFrame:
+    """Q1 from sketch states of three deliveries, one folded twice; estimates
+    are held against exact counts here and must keep the stated errors."""
+    path = scratch_path(w.spark, "profile")
+    rows = w.bronze_policies.select(*PROFILED)
+    state = sketches.profile_state(rows, "SnapshotDate", numeric=MONEY_COLUMNS)
+    sketches.fold(state, path)
+    sketches.fold(state.where(F.col("_delivery") == SECOND), path)
+    got = sketches.merged(w.spark, path)
+    exact = quality.profile(rows).select("column_name", F.col("distinct_count").alias("exact"))
+    # ranks of the estimated quantiles, and the values that really are frequent, per column
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in PROFILED])
+    long = rows.select(F.inline(cells)).where("value IS NOT NULL")
+    number = F.col("value").try_cast("double")
+    asked = got.select("column_name", "quantiles").where("quantiles IS NOT NULL")
+    ranks = long.join(asked, "column_name").groupBy("column_name").agg(F.array(*[
+        F.avg((number <= F.get("quantiles", F.lit(i))).cast("double")) for i in range(3)]).alias("ranks"))
+    often = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+             .join(got.select("column_name", "row_count"), "column_name").where(F.col("n") >= F.col("row_count") * sketches.FREQUENT)
+             .groupBy("column_name").agg(F.collect_set("value").alias("often")))
+    near = lambda i, q: F.abs(F.get("ranks", F.lit(i)) - q) <= sketches.RANK_ERROR
+    items = F.transform("frequent", lambda x: x["item"])
+    return (got.join(exact, "column_name").join(ranks, "column_name", "left").join(often, "column_name", "left")
+            .select("column_name", "row_count", "null_count",
+                    (F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * sketches.DISTINCT_ERROR + 1)
+                    .alias("distinct_within"),
+                    F.when(F.col("quantiles").isNotNull(), near(0, 0.05) & near(1, 0.5) & near(2, 0.95)).alias("quantiles_within"),
+                    (F.size(F.array_except(F.coalesce("often", F.array().cast("array<string>")), items)) == 0)
+                    .alias("frequent_found")))
+
+
+@register("scan_csv_inferred", """
+SELECT PolicyNumber, CustomerID, CAST(AnnualPremium_INR AS DOUBLE) AS AnnualPremium_INR, CAST(PolicyStartDate AS TIMESTAMP) AS Start,
+       PolicyEndDate, CAST(PolicyNumber AS VARCHAR) AS Code, PolicyNumber % 2 = 0 AS Flag, NULL AS Region FROM policies
+UNION ALL
+SELECT PolicyNumber, CustomerID, CAST(PolicyNumber AS DOUBLE), CAST(PolicyStartDate AS TIMESTAMP) + INTERVAL 90 MINUTE,
+       PolicyEndDate, 'P-' || PolicyNumber, PolicyNumber % 2 = 1, PaymentFrequency FROM policies""")
+def _scan_inferred(w: Warehouse) -> DataFrame:
+    """A1: two CSV deliveries whose texts disagree on types: whole and
+    fractional amounts, dates and times, numbers and codes, a new column."""
+    root = scratch_path(w.spark, "inferred")
+    p = w.policies
+    one = p.select("PolicyNumber", "CustomerID", F.col("AnnualPremium_INR").alias("Premium"), F.col("PolicyStartDate").alias("Start"),
+                   "PolicyEndDate", F.col("PolicyNumber").alias("Code"), (F.col("PolicyNumber") % 2 == 0).alias("Flag"))
+    later = F.expr("CAST(PolicyStartDate AS TIMESTAMP) + INTERVAL '90' MINUTE")
+    two = p.select("PolicyNumber", "CustomerID", F.col("PolicyNumber").alias("Premium"),
+                   F.date_format(later, "yyyy-MM-dd HH:mm:ss").alias("Start"), "PolicyEndDate",
+                   F.concat(F.lit("P-"), F.col("PolicyNumber").cast("string")).alias("Code"),
+                   (F.col("PolicyNumber") % 2 == 1).alias("Flag"), F.col("PaymentFrequency").alias("Region"))
+    for name, df in (("one", one), ("two", two)):
+        df.write.option("header", True).csv(f"{root}/{name}.csv")
+    read = {name: read_csv(w.spark, [f"{root}/{name}.csv"]) for name in ("one", "two")}
+    inference.scan_inferred(w.spark, {"one": read["one"]}, f"{root}/facts")
+    out = inference.scan_inferred(w.spark, read, f"{root}/facts")
+    return out.select("PolicyNumber", "CustomerID", F.col("Premium").cast("double").alias("AnnualPremium_INR"),
+                      F.col("Start").cast("timestamp_ntz").alias("Start"), "PolicyEndDate", "Code", "Flag", "Region")
+
+
+def _merged_customers(w: Warehouse) -> tuple[BucketDimension, list[DataFrame]]:
+    """The customer dimension after three snapshots, one merged twice, and the
+    change feeds of the runs."""
+    dim = BucketDimension(w.spark, scratch_path(w.spark, "dim-buckets"), "CustomerID", layers.CUSTOMER_ATTRS, "CustomerKey",
+                          buckets=8)
+    rows = _customer_snapshots(w)
+    feeds = []
+    for run, day in enumerate((FIRST, SECOND, SECOND, THIRD), 1):
+        dim.merge(run, rows.where(F.col("SnapshotDate") == F.lit(day).cast("date")), "SnapshotDate", [F.col("FileName").desc()])
+        feeds.append(dim.changes.read_run(run))
+    return dim, feeds
+
+
+@register("dim_customer_bucket_merge", "SELECT * FROM dim_customer_scd2")
+def _dim_buckets(w: Warehouse) -> DataFrame:
+    """M4 by touched buckets: equals the rebuild."""
+    return _merged_customers(w)[0].read().select(*SCD2_COLUMNS)
+
+
+@register("fact_policy_rekeyed", """
+SELECT p.PolicyNumber, p.CustomerID, d.CustomerKey, CAST(p.AnnualPremium_INR AS DOUBLE) AS AnnualPremium_INR
+FROM policies p JOIN dim_customer_scd2 d ON d.CustomerID = p.CustomerID AND d.IsCurrent""")
+def _fact_rekeyed(w: Warehouse) -> DataFrame:
+    """F1 kept: policies keyed once, then re-keyed by the change feeds of the
+    dimension's merges only."""
+    dim, feeds = _merged_customers(w)
+    facts = BucketState(w.spark, scratch_path(w.spark, "fact-buckets"),
+                        "PolicyNumber bigint, CustomerID bigint, CustomerKey bigint, AnnualPremium_INR decimal(18,2)", 8)
+    policies = w.policies.select("PolicyNumber", "CustomerID", F.lit(None).cast("bigint").alias("CustomerKey"),
+                                 F.col("AnnualPremium_INR"))
+    spread = [F.pmod(F.xxhash64("PolicyNumber"), F.lit(4))]
+    # the first feed holds every customer: it keys the facts that come with it
+    first = policies.join(feeds[0].select("CustomerID", "new_key"), "CustomerID").withColumn("CustomerKey", F.col("new_key"))
+    rekey(facts, feeds[0].limit(0), 1, "CustomerID", "CustomerKey", new_facts=first.drop("new_key"), spread=spread)
+    for run, feed in enumerate(feeds[1:], 2):
+        rekey(facts, feed, run, "CustomerID", "CustomerKey", spread=spread)
+    return facts.read().select("PolicyNumber", "CustomerID", "CustomerKey", F.col("AnnualPremium_INR").cast("double"))

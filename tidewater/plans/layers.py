@@ -6,8 +6,11 @@ What a daily run of the reference does, as three calls over folders:
     run_silver(spark, f"{root}/bronze", f"{root}/silver", key)
     run_gold(spark, f"{root}/silver", f"{root}/gold")
 
-Each step reads the previous layer's files and overwrites its own, so a
-failed step is simply re-run; nothing is held on the driver.
+Each step reads the previous layer's files and writes the next version of its
+own (``operators.versioned``): a failed step is simply re-run, and readers keep
+the version they have.  Rows are counted by the jobs that write them
+(``operators.observed``).  Independent tables run side by side.  Nothing is
+held on the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import parse_date
 from ..functions.protect import protect_columns, unprotect_columns
-from ..operators import scd2
+from ..operators import observed, scd2, versioned
 from ..operators.provenance import read_history
 from . import gold, kpis, silver
 
@@ -54,12 +57,15 @@ SILVER_TABLES = {
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, key: str,
-               mode: str = "ECB", as_written: bool = False) -> dict[str, str]:
+               mode: str = "ECB", as_written: bool = False, audit: str | None = None, run: str = "",
+               max_parallel: int = 4) -> dict[str, str]:
     """L1-L4 over the bronze history.  Customers keep every snapshot (the
     SCD2 input) and are standardised on plain text, then protected again
     (D1); policies, claims and payments keep the latest delivery of each key
     (W1, D15; with ``as_written`` claims and payments keep all).  Rows without
-    a key go to ``quarantine/<table>`` (D5)."""
+    a key go to ``quarantine/<table>`` (D5).  With ``audit`` the counts of the
+    writes are kept there under ``run``.  Returns the written version of each
+    table."""
     jobs = {
         "customers": _customers(key, mode),
         "policies": silver.clean_policies,
@@ -67,18 +73,44 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, key: str
         "payments": silver.clean_payments if as_written else silver.latest_payments,
         "vehicles": lambda b: b.withColumn("SnapshotDate", parse_date("SnapshotDate")),
     }
-    written = {}
-    for table, (source, id_col) in SILVER_TABLES.items():
+
+    def one(table: str) -> tuple[str, str] | None:
+        source, id_col = SILVER_TABLES[table]
         src = f"{bronze_root}/{source}"
         if not _exists(spark, src):
-            continue
+            return None
         bronze = read_history(spark, src)
-        out = f"{silver_root}/{table}"
-        jobs[table](bronze.where(F.col(id_col).isNotNull())).write.mode("overwrite").parquet(out)
-        (bronze.where(F.col(id_col).isNull()).withColumn("reason", F.lit(f"no {id_col}"))
-         .write.mode("overwrite").parquet(f"{silver_root}/quarantine/{table}"))
-        written[table] = out
-    return written
+        counted = observed.Counted()
+        unkeyed = F.col(id_col).isNull()
+        seen = counted.watch(bronze, "in", {"quarantined": F.count(F.when(unkeyed, F.lit(1)))})
+        out = counted.watch(jobs[table](seen.where(~unkeyed)), "out")
+        folder = versioned.replace(out, f"{silver_root}/{table}")
+        n = counted.values()
+        # files without such a row are skipped by their statistics
+        versioned.replace(bronze.where(unkeyed).withColumn("reason", F.lit(f"no {id_col}")),
+                          f"{silver_root}/quarantine/{table}")
+        if audit:
+            observed.record(spark, audit, run, "silver", table, {
+                "rows_in": n["in"]["rows"], "rows_quarantined": n["in"]["quarantined"], "rows_out": n["out"]["rows"]})
+        return table, folder
+
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:      # independent jobs
+        return dict(done for done in pool.map(one, SILVER_TABLES) if done)
+
+
+def read_silver(spark: SparkSession, silver_root: str, table: str) -> DataFrame:
+    """The current version of a silver table (or ``quarantine/<table>``)."""
+    return versioned.current(spark, f"{silver_root}/{table}")
+
+
+def audit_observed(spark: SparkSession, audit: str, run: str) -> DataFrame:
+    """Q5 from the counts that a run's writes took: the same rows as
+    ``audit_silver``, without a scan of any layer."""
+    t = (observed.recorded(spark, audit).where((F.col("run") == run) & (F.col("layer") == "silver"))
+         .groupBy("table_name").pivot("metric", ["rows_in", "rows_out", "rows_quarantined"]).agg(F.first("value")))
+    n = {c: F.col(c).cast("bigint") for c in ("rows_in", "rows_out", "rows_quarantined")}
+    return t.select("table_name", *[v.alias(c) for c, v in n.items()],
+                    (n["rows_in"] - n["rows_out"] - n["rows_quarantined"]).alias("rows_superseded"))
 
 
 def audit_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> DataFrame:
@@ -95,8 +127,8 @@ def audit_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> Dat
         row = keyed.agg(F.lit(table).alias("table_name"), F.coalesce(repeats, F.lit(0)).alias("rows_superseded"))
         count = lambda df: df.select(F.count(F.lit(1))).scalar()
         row = row.withColumns({
-            "rows_in": count(history), "rows_out": count(spark.read.parquet(f"{silver_root}/{table}")),
-            "rows_quarantined": count(spark.read.parquet(f"{silver_root}/quarantine/{table}"))})
+            "rows_in": count(history), "rows_out": count(read_silver(spark, silver_root, table)),
+            "rows_quarantined": count(read_silver(spark, silver_root, f"quarantine/{table}"))})
         out = row if out is None else out.unionByName(row)
     return out.select("table_name", "rows_in", "rows_out", "rows_quarantined", "rows_superseded")
 
@@ -113,25 +145,26 @@ class Gold:
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> Gold:
     """M1 customer and vehicle dimensions from the silver snapshots, then
     F1-F3 on the written dimensions; every table written under ``gold_root``."""
-    customers = spark.read.parquet(f"{silver_root}/customers")
-    dim = scd2.build(customers, "CustomerID", CUSTOMER_ATTRS, "SnapshotDate", "CustomerKey",
-                     order=[F.col("FileName").desc()])
-    dim.write.mode("overwrite").parquet(f"{gold_root}/dim_customer")
-    dim_vehicle = scd2.build(spark.read.parquet(f"{silver_root}/vehicles"), "PolicyNumber", ("VehicleMake",),
-                             "SnapshotDate", "VehicleKey", order=[F.col("FileName").desc()])
-    dim_vehicle.write.mode("overwrite").parquet(f"{gold_root}/dim_vehicle")
-    dc = spark.read.parquet(f"{gold_root}/dim_customer")
-    dv = spark.read.parquet(f"{gold_root}/dim_vehicle")
-    facts = {
-        "fact_policy": gold.fact_policy(spark.read.parquet(f"{silver_root}/policies"), dc, dv),
-        "fact_claims": gold.fact_claims(spark.read.parquet(f"{silver_root}/claims"), dc, dv),
-        "fact_payments": gold.fact_payments(spark.read.parquet(f"{silver_root}/payments"), dc),
+    snapshots = {
+        "dim_customer": ("customers", "CustomerID", CUSTOMER_ATTRS, "CustomerKey"),
+        "dim_vehicle": ("vehicles", "PolicyNumber", ("VehicleMake",), "VehicleKey"),
     }
-    with ThreadPoolExecutor(max_workers=len(facts)) as pool:  # independent jobs
-        list(pool.map(lambda item: item[1].write.mode("overwrite")
-                      .parquet(f"{gold_root}/{item[0]}"), facts.items()))
-    read = lambda n: spark.read.parquet(f"{gold_root}/{n}")
-    return Gold(dc, dv, read("fact_policy"), read("fact_claims"), read("fact_payments"))
+    dims = {name: scd2.build(read_silver(spark, silver_root, table), key, attrs, "SnapshotDate", key_name,
+                             order=[F.col("FileName").desc()])
+            for name, (table, key, attrs, key_name) in snapshots.items()}
+
+    def write(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:  # independent jobs
+            folders = list(pool.map(lambda item: versioned.replace(item[1], f"{gold_root}/{item[0]}"), tables.items()))
+        return {name: spark.read.parquet(folder) for name, folder in zip(tables, folders)}
+
+    dc, dv = write(dims).values()
+    facts = write({
+        "fact_policy": gold.fact_policy(read_silver(spark, silver_root, "policies"), dc, dv),
+        "fact_claims": gold.fact_claims(read_silver(spark, silver_root, "claims"), dc, dv),
+        "fact_payments": gold.fact_payments(read_silver(spark, silver_root, "payments"), dc),
+    })
+    return Gold(dc, dv, **facts)
 
 
 def kpi_tables(fact_policy: DataFrame, fact_claims: DataFrame, fact_payments: DataFrame,
