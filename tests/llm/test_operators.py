@@ -424,3 +424,65 @@ def test_extraction(spark):
     assert by[1] == f"A head\n{p[0]}\n{p[1]} & more"
     assert by[2] == "" and by[3] == "" and by[5] == "\n".join(p * 300)
     assert extraction.extract(df.limit(0), training_pages=50).count() == 0
+
+
+# -------------------------------------------- op1, ties, cuts and collisions
+
+def _near_copies(rng, n):
+    base = prose(rng, 150)
+    rows = [(i, edited(rng, base, 0.04)) for i in range(n)]
+    rows += [(1000 + i, prose(rng, 60) + " " + edited(rng, " ".join(base.split()[40:110]), 0.1)) for i in range(10)]
+    return rows + [(2000, prose(rng, 200)), (2001, base), (2002, base)]
+
+
+def test_passages_do_not_depend_on_partitions(spark):
+    rows = _near_copies(random.Random(12), 25)
+    got = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (3, 7, 50):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+            got.append(sorted(map(tuple, passages.repeats(df).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got[0] == got[1] == got[2] and {r[0] for r in got[0]} >= {*range(1, 25), *range(1000, 1010), 2001, 2002}
+
+
+def test_unequal_texts_of_one_hash_are_kept_apart(spark):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 60 + i)) for i in range(30)] + [(40, ""), (41, None), (42, "a"), (43, "b"), (44, "a")]
+    rows += [(50 + i, rows[i][1]) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    weak = lambda c: F.pmod(F.xxhash64(c), F.lit(5)).cast("long")
+    left = {r.doc_id: r.text for r in passages.without_repeats(df, hash_of=weak).collect()}
+    assert left == dict(rows[:35])
+    want = sorted(map(tuple, passages.repeats(df).collect()))
+    assert sorted(map(tuple, passages.repeats(df, hash_of=weak).collect())) == want and len(want) == 3
+    named = passages._named(df, "text", "cls", weak).groupBy("cls").agg(F.count_distinct(F.coalesce("text", F.lit(""))).alias("n"))
+    assert named.filter("n > 1").count() == 0
+
+
+def test_cutting_ranges(spark):
+    rows = [("aé漢b c", [(0, 1), (3, 3)]), ("abc", None), ("abc def", [(0, 7)]), ("abcdef", [(1, 3), (2, 1), (4, 1)]), (None, None)]
+    df = spark.createDataFrame(rows, "t string, p array<struct<at: long, n: long>>")
+    got = [r[0] for r in df.select(passages._cut(F.coalesce("t", F.lit("")), F.col("p"))).collect()]
+    assert got == ["éb c", None, "", "af", None]
+
+
+@pytest.mark.parametrize("share,least", [(0.1, 0.97), (0.15, 0.95), (0.2, 0.75)])
+def test_recall_of_fuzzy_passages(spark, share, least):
+    """Through the query: passages of 60 words with scattered changes, each shared by two documents."""
+    rng = random.Random(int(share * 100))
+    rows, n = [], 60
+    for i in range(n):
+        passage = prose(rng, 60).split()
+        other = list(passage)
+        for j in rng.sample(range(60), round(60 * share)):
+            other[j] = "X" + prose(rng, 1)
+        rows += [(i, prose(rng, 80) + " " + " ".join(passage) + " " + prose(rng, 50)),
+                 (1000 + i, prose(rng, 40) + " " + " ".join(other) + " " + prose(rng, 90))]
+    found = {r.doc_id for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert found <= {1000 + i for i in range(n)} and len(found) >= least * n

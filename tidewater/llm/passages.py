@@ -5,9 +5,12 @@
    successive ones, so texts that share window + k - 1 words share a seed.
    A chain of one match is left: short seeds meet by chance.
 2. Seeds meet by sort order: each occurrence is matched with the first
-   document that has the seed and with the one before it.  That is at most
-   two matches for an occurrence, however many documents share the seed, and
-   the sort cuts a very common seed over several tasks.
+   document that has the seed, and later with the one before it, but only
+   where no passage with a first document covers it: a near copy of a group
+   then has few partners.  That is at most two matches for an occurrence,
+   however many documents share the seed; the sort cuts a very common seed
+   over several tasks, and the rows at the cuts are matched afterwards, so the
+   matches do not depend on the partitions.
    Exact repeats need more, as every seed of a passage may be common while the
    passage is rare: thinned grams of min_words - 16 words, of which every
    repeat of min_words words has one, meet in the same way, and where one has
@@ -23,13 +26,16 @@
    ends.  The chain is reported if it has at least ``min_words`` words with
    at least ``identity`` of them equal, else every such stretch of it.
 
-Texts are identified by hash and length; equal texts are one class, whose
-first document stands for it.  The earliest document (by id) keeps a passage.
+Equal texts are one class, named by a 64-bit hash; unequal texts of one hash
+are told apart by a 128-bit one and named anew.  A class's first document
+stands for it.  The earliest document (by id) keeps a passage.
 
 Defined cases: null, empty and shorter texts have no passages; of equal texts
 of ``min_words`` words or more, all but the first are one passage each; null
 ids come last in order; repeated rows count as one document with one id;
-repetition inside one document is not reported.
+repetition inside one document is not reported; long texts are worked on whole,
+in word hashes and cut-outs; an empty table has no passages.  Further columns
+may have any names.
 """
 
 from __future__ import annotations
@@ -38,7 +44,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import prepare, written
@@ -52,6 +59,7 @@ GAP = 40                  # words between two matches of a chain, at most
 GAP_COST = 0.1            # per word of gap in either text
 MARGIN_BYTES = 1024       # text fetched beyond a chain on either side at first
 CUT_BYTES = 1 << 21       # of cut-out texts handed to Python at once, but for longer ones
+WORD_BYTES = 1 << 20      # of cut-out texts whose words are found at once
 CROWD = 500_000
 LONG_WINDOW = 17          # successive long grams, of which one is a seed
 STRONG = 1 << 62          # marks a place that was matched by a long gram
@@ -61,6 +69,8 @@ _SEEDS = pa.schema([("s", pa.int64()), ("ord", pa.int64()), ("cls", pa.int64()),
 _MATCHES = pa.schema([("s", pa.int64()), ("ord", pa.int64()), ("x", pa.int64()), ("px", pa.int64()),
                       ("y", pa.int64()), ("py", pa.int64())])
 _LAST = (1 << 63) - 1
+FIRST = -(1 << 63)        # kinds of matches, in the place of an order
+BEFORE = FIRST + 1
 
 
 def minimizers(h: np.ndarray, window: int) -> np.ndarray:
@@ -151,9 +161,10 @@ def _matches(open_over: int | None = None):
 
 
 def _matched(it: Iterator[pa.RecordBatch], open_over: int | None) -> Iterator[pa.RecordBatch]:
-    """From seeds sorted by (s, ord, cls, at): matches (null, null, x, px, y,
+    """From seeds sorted by (s, ord, cls, at): matches (null, kind, x, px, y,
     py).  Seeds that may go on in other partitions are passed on, with their
-    hash and order, to be matched afterwards."""
+    hash and order, to be matched afterwards, beside their matches with the
+    one before."""
     held: list[tuple] = []
     first = None
 
@@ -163,25 +174,35 @@ def _matched(it: Iterator[pa.RecordBatch], open_over: int | None) -> Iterator[pa
         new[1:] = s[1:] != s[:-1]
         start = np.flatnonzero(new)
         head = np.repeat(start, np.diff(np.append(start, len(s))))
+        before = np.arange(len(s)) - 1
+        none = lambda n: pa.nulls(n, pa.int64())
         if edge:
-            none = pa.nulls(len(s), pa.int64())
-            yield as_batch(_MATCHES, s, o, c, at, none, none)
+            # one seed; its first occurrence may be elsewhere, and what stands
+            # before the first row here: y marks the first and the last row
+            ends = np.zeros(len(s), np.int64)
+            ends[0] |= 1
+            ends[-1] |= 2
+            yield as_batch(_MATCHES, s, o, c, at, ends, none(len(s)))
+            rows = c != c[before]
+            rows[0] = False
+            if rows.any():
+                # the first occurrence's class is settled with the seed's head
+                yield as_batch(_MATCHES, s[rows], np.full(int(rows.sum()), BEFORE), c[rows], at[rows], c[before[rows]],
+                               at[before[rows]])
             return
-        before = np.arange(len(s)) - 1
         to_first = c != c[head]
         if open_over is not None:
             times = np.diff(np.append(start, len(s)))
             many = np.repeat(times > open_over, times)
             if many.any():
-                none = pa.nulls(int(many.sum()), pa.int64())
-                yield as_batch(_MATCHES, s[many], o[many], c[many], at[many], none, none)
+                yield as_batch(_MATCHES, s[many], o[many], c[many], at[many], none(int(many.sum())), none(int(many.sum())))
             to_first &= ~many
         # the one before, where it is another text than both
         to_before = to_first & (c != c[before]) & (c[before] != c[head])
-        for rows, other in ((to_first, head), (to_before, before)):
+        for rows, other, kind in ((to_first, head, FIRST), (to_before, before, BEFORE)):
             if rows.any():
-                none = pa.nulls(int(rows.sum()), pa.int64())
-                yield as_batch(_MATCHES, none, none, c[rows], at[rows], c[other[rows]], at[other[rows]])
+                n = int(rows.sum())
+                yield as_batch(_MATCHES, none(n), np.full(n, kind), c[rows], at[rows], c[other[rows]], at[other[rows]])
 
     def flush(edge: bool) -> Iterator[pa.RecordBatch]:
         yield from settle([np.concatenate(x) for x in zip(*held)], edge)
@@ -483,15 +504,25 @@ _SPANS_DDL = ("x long, y long, x_word long, x_words long, x_byte long, x_bytes l
 
 
 def _align(k: int, min_words: int, identity: float):
-    def side(raw: bytes, lo: int, whole: bool, at: np.ndarray) -> tuple:
-        """Word hashes and byte ranges of a cut-out, and the matches' places."""
-        data = np.frombuffer(raw, np.uint8)
-        h, begin, end, _ = words(data, np.array([0, len(data)]))
-        # a word at a cut may have been cut
-        a = int(lo > 0 and len(h) > 0 and begin[0] == 0)
-        b = len(h) - int(not whole and len(h) > a and end[-1] == len(data))
-        h, begin, end = h[a:b], begin[a:b], end[a:b]
-        return h, begin + lo, end + lo, np.searchsorted(begin + lo, at & ((1 << 32) - 1))
+    def sides(column: pa.Array):
+        """Word hashes and byte ranges of the cut-outs of a batch, in one go;
+        then of one of them, and the places of its matches."""
+        raw = column.cast(pa.large_binary())
+        offs = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2], np.uint8)[offs[0]:offs[-1]] if offs[-1] else np.zeros(0, np.uint8)
+        offs = offs - offs[0]
+        hashes, begins, ends, bounds = words(data, offs)
+        offs, bounds = offs.tolist(), bounds.tolist()
+
+        def side(r: int, lo: int, whole: bool, at: np.ndarray) -> tuple:
+            i, j, size = bounds[r], bounds[r + 1], offs[r + 1] - offs[r]
+            # a word at a cut may have been cut
+            i += int(lo > 0 and j > i and begins[i] == offs[r])
+            j -= int(not whole and j > i and ends[j - 1] == offs[r] + size)
+            begin = begins[i:j] + (lo - offs[r])
+            return hashes[i:j], begin, ends[i:j] + (lo - offs[r]), np.searchsorted(begin, at & ((1 << 32) - 1))
+
+        return side
 
     def open_end(hx: np.ndarray, hy: np.ndarray, i: int, j: int, x_whole: bool, y_whole: bool) -> bool:
         """Do the cut-outs end before the extension from i, j does?"""
@@ -504,11 +535,21 @@ def _align(k: int, min_words: int, identity: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             out = []
-            for r in range(batch.num_rows):
-                name, x, y, lx, ly, x_whole, y_whole = (batch.column(i)[r].as_py() for i in range(7))
-                ax, ay = (np.asarray(batch.column(i)[r].values.to_numpy()) for i in (7, 8))
-                hx, bx, ex, px = side(batch.column(9)[r].as_py(), lx, x_whole, ax)
-                hy, by, ey, py = side(batch.column(10)[r].as_py(), ly, y_whole, ay)
+            if not batch.num_rows:
+                continue
+            plain = list(zip(*(batch.column(i).to_pylist() for i in range(7))))
+            at_x, at_y = (batch.column(i).flatten().to_numpy() for i in (7, 8))
+            cuts = np.concatenate([[0], np.cumsum(batch.column(7).value_lengths().to_numpy())]).tolist()
+            size = np.cumsum(sum(pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (9, 10)))
+            upto = 0
+            for r, (name, x, y, lx, ly, x_whole, y_whole) in enumerate(plain):
+                if r == upto:                        # the next rows of at most WORD_BYTES
+                    lo = r
+                    upto = max(r + 1, int(np.searchsorted(size, (size[r - 1] if r else 0) + WORD_BYTES, side="right")))
+                    side_x, side_y = (sides(batch.column(i).slice(lo, upto - lo)) for i in (9, 10))
+                ax, ay = at_x[cuts[r]:cuts[r + 1]], at_y[cuts[r]:cuts[r + 1]]
+                hx, bx, ex, px = side_x(r - lo, lx, x_whole, ax)
+                hy, by, ey, py = side_y(r - lo, ly, y_whole, ay)
                 if (open_end(hx, hy, int(px[-1]) + k, int(py[-1]) + k, x_whole, y_whole)
                         or open_end(hx[::-1], hy[::-1], len(hx) - int(px[0]), len(hy) - int(py[0]), lx == 0, ly == 0)):
                     out.append((None,) * 11 + (name,))
@@ -526,9 +567,27 @@ def _align(k: int, min_words: int, identity: float):
 
 # ------------------------------------------------------------------ the search
 
+def _named(df: DataFrame, text_col: str, name: str = "cls", hash_of=F.xxhash64) -> DataFrame:
+    """``df`` with the class of its text: a 64-bit hash.  Of unequal texts of
+    one hash, found by their 128-bit hashes, one keeps it and the others are
+    named by a hash of the longer one; there are next to none at any size."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    both = df.select(hash_of(text).alias("__h"), F.md5(text.cast("binary")).alias("__m"))
+    clash = written(both.groupBy("__h").agg(F.min("__m").alias("__one"), F.max("__m").alias("__other"))
+                    .filter("__one <> __other").select("__h", "__one"), "clashes")
+    if clash.isEmpty():
+        return df.withColumn(name, hash_of(text))
+    keyed = df.withColumns({"__h2": hash_of(text), "__m": F.md5(text.cast("binary"))})
+    keyed = keyed.join(clash, keyed["__h2"] == clash["__h"], "left")
+    other = F.col("__one").isNotNull() & (F.col("__one") != F.col("__m"))
+    return keyed.withColumn(name, F.when(other, F.xxhash64("__m", F.lit("again"))).otherwise(F.col("__h2"))).drop(
+        "__h", "__h2", "__m", "__one")
+
+
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("cls"))
+    """doc_id, text, cls of documents with ``__cls``."""
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col("__cls").alias("cls"))
 
 
 def _classes(d: DataFrame) -> DataFrame:
@@ -547,22 +606,42 @@ def _classes(d: DataFrame) -> DataFrame:
 _SEEDS_DDL = "s long, ord long, cls long, at long"
 
 
-def _met(seeds: DataFrame, name: str, open_over: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(x, px, y, py) of seeds that met, and (s, ord, x, px) of those that
-    were passed on."""
+def _met(seeds: DataFrame, name: str, open_over: int | None = None) -> DataFrame:
+    """(s, ord, x, px, y, py) of seeds that met or were passed on."""
     keys = ["s", "ord", "cls", "at"]
-    met = written(seeds.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                  .mapInArrow(_matches(open_over), "s long, ord long, x long, px long, y long, py long"), name)
-    return met.filter("s IS NULL").select("x", "px", "y", "py"), met.filter("s IS NOT NULL").select("s", "ord", "x", "px")
+    return written(seeds.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                   .mapInArrow(_matches(open_over), "s long, ord long, x long, px long, y long, py long"), name)
+
+
+_MATCH = ["x", "px", "y", "py"]
 
 
-def _first_met(matches: DataFrame, open_: DataFrame) -> DataFrame:
-    """With the matches of seeds at partition boundaries, a few for each
-    partition, with their first occurrence."""
-    heads = open_.groupBy("s").agg(F.min(F.struct("ord", "x", "px")).alias("head"))
-    late = (open_.select("s", "x", "px").join(heads, "s").filter(F.col("x") != F.col("head.x"))
+def _passed_on(met: DataFrame) -> DataFrame:
+    return met.filter(F.col("s").isNotNull() & (F.col("ord") > BEFORE))
+
+
+def _firsts(met: DataFrame) -> DataFrame:
+    """Matches with the first occurrence, also of seeds that were passed on."""
+    rest = _passed_on(met).select("s", "ord", "x", "px")
+    heads = rest.groupBy("s").agg(F.min(F.struct("ord", "x", "px")).alias("head"))
+    late = (rest.join(heads, "s").filter(F.col("x") != F.col("head.x"))
             .select("x", "px", F.col("head.x").alias("y"), F.col("head.px").alias("py")))
-    return matches.unionByName(late)
+    return met.filter(F.col("s").isNull() & (F.col("ord") == FIRST)).select(*_MATCH).unionByName(late)
+
+
+def _befores(met: DataFrame) -> DataFrame:
+    """Matches with the occurrence before, where it is of another text than
+    the first.  At the cuts of the sort it is the last row of the piece
+    before; a piece is a partition's, or ``CROWD`` rows."""
+    rest = _passed_on(met)
+    heads = rest.groupBy("s").agg(F.min(F.struct("ord", "x", "px")).alias("head")).select("s", F.col("head.x").alias("hx"))
+    w = Window.partitionBy("s").orderBy("ord", "x", "px", F.desc("y"))
+    ends = rest.filter("y > 0").select("s", "x", "px", F.col("y").alias("end"), F.lag("x").over(w).alias("y"),
+                                       F.lag("px").over(w).alias("py"))
+    over_cuts = ends.filter("(end & 1) = 1 AND y IS NOT NULL AND x <> y").select("s", *_MATCH)
+    inside = met.filter(F.col("s").isNotNull() & (F.col("ord") == BEFORE)).select("s", *_MATCH)
+    late = (over_cuts.unionByName(inside).join(heads, "s").filter("x <> hx AND y <> hx").select(*_MATCH))
+    return met.filter(F.col("s").isNull() & (F.col("ord") == BEFORE)).select(*_MATCH).unionByName(late)
 
 
 def _spans(d: DataFrame, classes: DataFrame, *, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS,
@@ -571,31 +650,51 @@ def _spans(d: DataFrame, classes: DataFrame, *, k: int = K, window: int = WINDOW
     hashes, y the one of the earlier document), the words and bytes that it
     covers in each, and the share of equal words."""
     rows = d.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "cls", "text")
-    matches = _first_met(*_met(rows.mapInArrow(_seeds(k, window), _SEEDS_DDL), "matches"))
+    met = _met(rows.mapInArrow(_seeds(k, window), _SEEDS_DDL), "matches")
     # exact repeats: long grams, and whole windows where those are common
     around = max(1, min(LONG_WINDOW, min_words // 3))
-    sure, common = _met(rows.mapInArrow(_seeds(min_words - around + 1, around, True), _SEEDS_DDL), "long-matches", 2)
-    places = common.groupBy("x").agg(F.collect_set(F.shiftright("px", 32)).alias("places"))
+    sure = _met(rows.mapInArrow(_seeds(min_words - around + 1, around, True), _SEEDS_DDL), "long-matches", 2)
+    places = _passed_on(sure).groupBy("x").agg(F.collect_set(F.shiftright("px", 32)).alias("places"))
     one = classes.groupBy("cls").agg(F.min("doc_id").alias("one")).withColumnRenamed("cls", "name")
     crowded = (places.join(one, places["x"] == one["name"])
                .join(d, (F.col("name") == d["cls"]) & F.col("one").eqNullSafe(d["doc_id"]))
                .select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "cls", "places", "text"))
-    exact = _first_met(*_met(crowded.mapInArrow(_windows(min_words, around), _SEEDS_DDL), "windows"))
-    matches = matches.unionByName(sure.unionByName(exact).withColumn("px", F.col("px").bitwiseOR(F.lit(STRONG))))
-    chains = written(matches.groupBy("x", "y").agg(F.collect_set(F.struct("px", "py")).alias("at"))
-                     .mapInArrow(_chains(k, min_words), _CHAINS_DDL)
-                     .withColumn("chain", F.monotonically_increasing_id()), "chains")
-    # where an extension outruns the cut-outs, longer ones are taken
-    out, todo, margin = None, chains, MARGIN_BYTES
-    while True:
-        part = written(_cut_out(d, classes, todo, margin).mapInArrow(_align(k, min_words, identity), _SPANS_DDL),
-                       "passages", batch_rows=max(1, min(256, CUT_BYTES // margin)))
-        good = part.filter("chain IS NULL").drop("chain")
-        out = good if out is None else out.unionByName(good)
-        again = part.filter("chain IS NOT NULL").select("chain")
-        if again.isEmpty():
-            return out
-        todo, margin = chains.join(again, "chain"), 8 * margin
+    exact = _met(crowded.mapInArrow(_windows(min_words, around), _SEEDS_DDL), "windows")
+    strong = (sure.filter(F.col("s").isNull() & (F.col("ord") == FIRST)).select(*_MATCH).unionByName(_firsts(exact))
+              .withColumn("px", F.col("px").bitwiseOR(F.lit(STRONG))))
+
+    def found(matches: DataFrame) -> DataFrame:
+        chains = written(matches.groupBy("x", "y").agg(F.collect_set(F.struct("px", "py")).alias("at"))
+                         .mapInArrow(_chains(k, min_words), _CHAINS_DDL)
+                         .withColumn("chain", F.monotonically_increasing_id()), "chains")
+        # where an extension outruns the cut-outs, longer ones are taken
+        out, todo, margin = None, chains, MARGIN_BYTES
+        while True:
+            part = written(_cut_out(d, classes, todo, margin).mapInArrow(_align(k, min_words, identity), _SPANS_DDL),
+                           "passages", batch_rows=max(1, min(256, CUT_BYTES // margin)))
+            good = part.filter("chain IS NULL").drop("chain")
+            out = good if out is None else out.unionByName(good)
+            again = part.filter("chain IS NOT NULL").select("chain")
+            if again.isEmpty():
+                return out
+            todo, margin = chains.join(again, "chain"), 8 * margin
+
+    first = found(_firsts(met).unionByName(strong))
+    return first.unionByName(found(_uncovered(_befores(met), first, classes, k)))
+
+
+def _uncovered(matches: DataFrame, spans: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """The matches whose words in x are in no passage that x has from an
+    earlier text."""
+    least = classes.groupBy("cls").agg(F.min("doc_id").alias("least"))
+    covered = (spans.select("x", "y", "x_word", "x_words")
+               .join(least.select(F.col("cls").alias("x"), F.col("least").alias("x_id")), "x")
+               .join(least.select(F.col("cls").alias("y"), F.col("least").alias("y_id")), "y").filter(_later())
+               .groupBy(F.col("x").alias("cx")).agg(F.collect_set(F.struct("x_word", "x_words")).alias("covered")))
+    at = F.shiftright("px", 32)
+    inside = F.exists("covered", lambda c: (c["x_word"] <= at) & (at + k <= c["x_word"] + c["x_words"]))
+    return (matches.join(covered, matches["x"] == covered["cx"], "left")
+            .filter(F.col("covered").isNull() | ~inside).select(*_MATCH))
 
 
 def _cut_out(d: DataFrame, classes: DataFrame, chains: DataFrame, margin: int) -> DataFrame:
@@ -620,13 +719,13 @@ def _cut_out(d: DataFrame, classes: DataFrame, chains: DataFrame, margin: int) -
 
 
 def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-            **options) -> DataFrame:
+            hash_of=F.xxhash64, **options) -> DataFrame:
     """doc_id, src_doc_id, start, n_words, src_start, src_words, identity: the
     passages (in words) that a document has from an earlier one.  A text that
     several documents have is reported for its first document; each further
     one is a copy of that as a whole."""
     prepare(docs)
-    d = _identified(docs, id_col, text_col)
+    d = _identified(_named(docs, text_col, "__cls", hash_of), id_col, text_col)
     texts = _classes(d)
     found = _spans(d, texts, min_words=min_words, **options)
     least = texts.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("n_words").alias("n"))
@@ -652,12 +751,13 @@ def _later() -> Column:
 
 
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                    **options) -> DataFrame:
+                    hash_of=F.xxhash64, **options) -> DataFrame:
     """``docs`` with every passage left in its earliest document only.  A
     document of which nothing but white space is left goes, and so do equal
     texts of ``min_words`` words or more after the first."""
     prepare(docs)
-    d = _identified(docs, id_col, text_col)
+    named = _named(docs, text_col, "__cls", hash_of)
+    d = _identified(named, id_col, text_col)
     texts = _classes(d)
     found = _spans(d, texts, min_words=min_words, **options)
     least = texts.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("n_words").alias("n"),
@@ -670,10 +770,10 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                           .otherwise(F.struct(F.col("y_byte").alias("at"), F.col("y_bytes").alias("n"))).alias("p"))
             .groupBy("cls").agg(F.sort_array(F.collect_set("p")).alias("passages")))
     plan = (least.join(drop, "cls", "left").filter((F.col("docs") > 1) | F.col("passages").isNotNull())
-            .select(F.col("cls").alias("__cls"), F.col("least").alias("__least"), F.col("n").alias("__n"),
+            .select(F.col("cls").alias("__of"), F.col("least").alias("__least"), F.col("n").alias("__n"),
                     F.col("passages").alias("__passages")))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("__text", text).join(plan, F.xxhash64(text) == plan["__cls"], "left")
+    keyed = named.withColumn("__text", text).join(plan, F.col("__cls") == F.col("__of"), "left")
     copy = (F.col("__n") >= min_words) & ~F.col(id_col).eqNullSafe(F.col("__least"))
     kept = keyed.filter(~F.coalesce(copy, F.lit(False))).withColumn("__new", _cut(F.col("__text"), F.col("__passages")))
     whole = F.col("__passages").isNull()
@@ -686,18 +786,18 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _cut(text: Column, passages: Column) -> Column:
-    """The text without the byte ranges of ``passages`` (sorted by start)."""
-
-    @F.udf("string")
-    def run(t, ranges):
-        if not ranges:
-            return t
-        raw, out, at = t.encode(), [], 0
-        for r in ranges:
-            if r["at"] > at:
-                out.append(raw[at:r["at"]])
-            at = max(at, r["at"] + r["n"])
-        out.append(raw[at:])
-        return b"".join(out).decode("utf-8", "replace")
-
-    return run(text, passages)
+    """The text without the byte ranges of ``passages`` (sorted by start);
+    null, and no work, where there are none."""
+    raw = text.cast("binary")
+    nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<binary>").alias("parts"))
+
+    def keep(done: Column, p: Column) -> Column:
+        before = F.substring(raw, (done["at"] + 1).cast("int"), F.greatest(p["at"] - done["at"], F.lit(0)).cast("int"))
+        return F.struct(F.greatest(done["at"], p["at"] + p["n"]).alias("at"), F.concat(done["parts"], F.array(before)).alias("parts"))
+
+    def whole(done: Column) -> Column:
+        rest = F.substring(raw, (done["at"] + 1).cast("int"), F.length(raw))
+        joined = F.aggregate(F.concat(done["parts"], F.array(rest)), F.lit("").cast("binary"), lambda a, b: F.concat(a, b))
+        return joined.cast("string")
+
+    return F.when(passages.isNotNull(), F.aggregate(passages, nothing, keep, whole))
