@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import inference, quality, sketches
+from ..operators import inference, names, quality, sketches
 from ..operators.bucket_state import BucketState
 from ..operators.distinct_state import DistinctState
 from ..operators.pair_state import PairState
@@ -221,3 +221,31 @@ def _fact_rekeyed(w: Warehouse) -> DataFrame:
     for run, feed in enumerate(feeds[1:], 2):
         rekey(facts, feed, run, "CustomerID", "CustomerKey", spread=spread)
     return facts.read().select("PolicyNumber", "CustomerID", "CustomerKey", F.col("AnnualPremium_INR").cast("double"))
+
+
+# ============================================================ names in texts
+
+@register("mask_names_text", """
+WITH names AS (SELECT DISTINCT lower(unnest([FirstName, LastName, FirstName || ' ' || LastName])) AS name FROM bronze_customers),
+     words AS (SELECT PolicyNumber, note, lower(note) AS low FROM call_notes),
+     -- every name against every note; a position counts where no letter or digit touches it
+     hits AS (SELECT PolicyNumber, low, name FROM words JOIN names ON contains(low, name)),
+     spans AS (SELECT PolicyNumber, p AS a, p + length(name) AS b
+               FROM (SELECT PolicyNumber, low, name, unnest(range(1, length(low) - length(name) + 2)) AS p FROM hits)
+               WHERE substr(low, p, length(name)) = name AND NOT regexp_full_match(substr(' ' || low, p, 1), '[a-z0-9]')
+                 AND NOT regexp_full_match(substr(low || ' ', p + length(name), 1), '[a-z0-9]')),
+     kept AS (SELECT * FROM spans s WHERE NOT EXISTS (SELECT 1 FROM spans o WHERE o.PolicyNumber = s.PolicyNumber
+                AND o.a <= s.a AND o.b >= s.b AND (o.a < s.a OR o.b > s.b))),
+     parts AS (SELECT PolicyNumber, a, b, lag(b, 1, 1) OVER (PARTITION BY PolicyNumber ORDER BY a) AS before FROM kept),
+     masked AS (SELECT PolicyNumber, count(*) AS n, string_agg(substr(note, before::BIGINT, (a - before)::BIGINT) || '<NAME>', '' ORDER BY a)
+                       || substr(any_value(note), max(b)::BIGINT) AS t
+                FROM parts JOIN words USING (PolicyNumber) GROUP BY PolicyNumber)
+SELECT w.PolicyNumber, CAST(coalesce(m.n, 0) AS INTEGER) AS n_names, coalesce(m.t, w.note) AS masked_text
+FROM words w LEFT JOIN masked m USING (PolicyNumber)""")
+def _mask_names(w: Warehouse) -> DataFrame:
+    """Q7: the customers' first, last and full names masked in call notes,
+    names in blocks of a few KB."""
+    people = names.name_list(w.bronze_customers, "FirstName", "LastName")
+    notes = views.call_notes(w.t)
+    size = 64 << 10
+    return names.mask_names(notes, "note", people, block_bytes=size).drop("note")

@@ -75,6 +75,11 @@ VIEWS = {
   SELECT x.TransactionID, (SELECT ckey FROM current_customer WHERE cid = x.CustomerID) AS CustomerKey,
          x.Amount_INR, x.PaidDate
   FROM payments x WHERE EXISTS (SELECT 1 FROM current_customer WHERE cid = x.CustomerID)""",
+    "call_notes": """
+  SELECT PolicyNumber, 'Spoke to ' || c_name || ' ' || f || ' on policy ' || PolicyNumber || '. ' || upper(f) || '''s car, not '
+         || f || 'x nor x' || f || '; cc ' || lower(c_name) || ',' || o || '/' || f || ' é' || o AS note
+  FROM (SELECT PolicyNumber, c_name, 'Family' || (CustomerID % 100) AS f, 'Family' || (PolicyNumber % 130) AS o
+        FROM policies JOIN customer ON c_custkey = CustomerID)""",
     "bronze_policies": """
   SELECT PolicyNumber, CustomerID, PolicyType, PaymentFrequency, AgentID, AgentName,
          CAST(CoverageAmount_INR AS VARCHAR) AS CoverageAmount_INR,

@@ -319,3 +319,16 @@ def bronze_payments(t: Tables) -> DataFrame:
         "TransactionID", "CustomerID",
         *[F.col(x).cast("string").alias(x) for x in
           ("ScheduledDate", "PaidDate", "Amount_INR")])
+
+
+def call_notes(t: Tables) -> DataFrame:
+    """A free-text note per policy, with its customer's names in several
+    spellings, and words that only look like names."""
+    p, c = policies_core(t).select("PolicyNumber", "CustomerID"), t.customer.select("c_custkey", "c_name")
+    last = F.concat(F.lit("Family"), (F.col("CustomerID") % 100).cast("string"))
+    other = F.concat(F.lit("Family"), (F.col("PolicyNumber") % 130).cast("string"))
+    number = F.col("PolicyNumber").cast("string")
+    note = F.concat(F.lit("Spoke to "), "c_name", F.lit(" "), last, F.lit(" on policy "), number, F.lit(". "), F.upper(last),
+                    F.lit("'s car, not "), last, F.lit("x nor x"), last, F.lit("; cc "), F.lower("c_name"), F.lit(","), other,
+                    F.lit("/"), last, F.lit(" é"), other)
+    return p.join(c, p["CustomerID"] == c["c_custkey"]).select("PolicyNumber", note.alias("note"))
