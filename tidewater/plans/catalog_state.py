@@ -13,8 +13,10 @@ from ..operators.scd2_buckets import BucketDimension, rekey
 from ..session import scratch_path
 from ..sources import views
 from ..sources.files import read_csv
+from ..sources.json_split import read_json_split
 from ..sources.views import SNAPSHOT_DATES
 from . import gold, kpi_state, layers
+from .bronze import write_json_arrays
 from .catalog import SCD2_COLUMNS, _customer_snapshots, register
 from .warehouse import Warehouse
 
@@ -249,3 +251,28 @@ def _mask_names(w: Warehouse) -> DataFrame:
     notes = views.call_notes(w.t)
     size = 64 << 10
     return names.mask_names(notes, "note", people, block_bytes=size).drop("note")
+
+
+# ============================================================ large JSON files
+
+@register("scan_json_split", """
+SELECT event_id, ts, user_id, event_type, value, props, '{"a": "}\\"{' || event_id AS tricky FROM events""")
+def _scan_json_split(w: Warehouse) -> DataFrame:
+    """A3: all events landed as one multi-line JSON file, an array of records
+    with braces, quotes and escapes in their strings, read by many tasks."""
+    path = scratch_path(w.spark, "json")
+    events = w.t.events.withColumn("tricky", F.concat(F.lit('{"a": "}\\"{'), F.col("event_id").cast("string")))
+    write_json_arrays(events.coalesce(1), path, rows_per_file=1 << 30)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = w.spark.conf.get(key)
+    w.spark.conf.set(key, "256k")              # test files are small: several splits all the same
+    try:
+        out = read_json_split(w.spark, [path], events.schema)
+        return w.spark.read.schema(out.schema).parquet(_kept(out, f"{path}-read"))
+    finally:
+        w.spark.conf.set(key, before)
+
+
+def _kept(df: DataFrame, path: str) -> str:
+    df.write.parquet(path)
+    return path
