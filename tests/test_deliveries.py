@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions import text
-from tidewater.operators import inference, observed, scd2, sketches, versioned
+from tidewater.operators import inference, observed, scd2, sketches, variants, versioned
 from tidewater.operators.bucket_state import BucketState
 from tidewater.operators.scd2_buckets import BucketDimension, rekey
 from tidewater.sources.files import read_csv
@@ -189,3 +189,21 @@ def test_csv_columns_read_once_more_as_types(spark, tmp):
     df = inference.scan_inferred(spark, {"x": read_csv(spark, [f"{tmp}/x.csv"])}, f"{tmp}/facts")
     assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [("a", "bigint"), ("b", "string")]
     assert tuple(df.first()) == (1, "007")
+
+
+# ------------------------------------------------------------ changing records
+
+def test_shapes_of_changing_records(spark, tmp):
+    land = lambda day, *v: variants.append_records(
+        spark.createDataFrame([(x,) for x in v], "value string"), f"{tmp}/v", "India", day, f"f_{day}.json")
+    land("2024-01-01", '{"a": 1, "b": "x"}', '{"a": 2}')
+    land("2024-02-01", '{"a": {"c": [1, {"d": true}]}}', "no json", None, "7")
+    land("2024-02-01", '{"a": {"c": [1, {"d": true}]}}', "no json", None)
+    rows = variants.read_records(spark, f"{tmp}/v")
+    assert rows.count() == 5
+    shape = {r.SnapshotDate: r.shape for r in variants.shapes(rows, "SnapshotDate").collect()}
+    assert shape["2024-01-01"] == "OBJECT<a: BIGINT, b: STRING>" and "c: ARRAY<VARIANT>" in shape["2024-02-01"]
+    assert "a: VARIANT" in variants.shapes(rows).first().shape
+    got = variants.fields(rows, {"n": ("$.a", "bigint"), "d": ("$.a.c[1].d", "boolean")}, "unparsed").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(None, 1, None), (None, 2, None), (None, None, True), ("no json", None, None), (None, None, None)], key=str)

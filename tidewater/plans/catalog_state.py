@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import inference, names, quality, sketches
+from ..operators import inference, names, quality, sketches, variants
 from ..operators.bucket_state import BucketState
 from ..operators.distinct_state import DistinctState
 from ..operators.pair_state import PairState
@@ -261,13 +261,14 @@ def _scan_json_split(w: Warehouse) -> DataFrame:
     """A3: all events landed as one multi-line JSON file, an array of records
     with braces, quotes and escapes in their strings, read by many tasks."""
     path = scratch_path(w.spark, "json")
-    events = w.t.events.withColumn("tricky", F.concat(F.lit('{"a": "}\\"{'), F.col("event_id").cast("string")))
+    events = w.t.events.withColumns({"tricky": F.concat(F.lit('{"a": "}\\"{'), F.col("event_id").cast("string")),
+                                     "ts": F.col("ts").cast("string")})
     write_json_arrays(events.coalesce(1), path, rows_per_file=1 << 30)
     key = "spark.sql.files.maxPartitionBytes"
     before = w.spark.conf.get(key)
     w.spark.conf.set(key, "256k")              # test files are small: several splits all the same
     try:
-        out = read_json_split(w.spark, [path], events.schema)
+        out = read_json_split(w.spark, [path], events.schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
         return w.spark.read.schema(out.schema).parquet(_kept(out, f"{path}-read"))
     finally:
         w.spark.conf.set(key, before)
@@ -276,3 +277,31 @@ def _scan_json_split(w: Warehouse) -> DataFrame:
 def _kept(df: DataFrame, path: str) -> str:
     df.write.parquet(path)
     return path
+
+
+# ============================================================ changing records
+
+@register("bronze_append_variant", """
+SELECT event_id, DATE '2024-01-01' AS day, value AS amount, NULL AS kind, NULL AS first_tag, FALSE AS nested FROM events
+UNION ALL
+SELECT event_id, DATE '2024-02-01', value, event_type, 'u' || user_id, TRUE FROM events
+UNION ALL SELECT NULL, DATE '2024-03-01', NULL, NULL, NULL, NULL""")
+def _append_variant(w: Warehouse) -> DataFrame:
+    """A field that is a number in one delivery and an object in the
+    next, a new nested array, and a record that is no JSON: appended (one
+    delivery twice), kept and queried by path."""
+    path = scratch_path(w.spark, "variant")
+    e = w.t.events
+    text = lambda *c: F.to_json(F.struct(*c)).alias("value")
+    one = e.select(text("event_id", F.col("value").alias("detail")))
+    two = e.select(text("event_id", F.struct(F.col("event_type").alias("kind"), F.col("value").alias("amount"), F.array(
+        F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("tags")).alias("detail")))
+    bad = w.spark.range(1).select(F.lit('{"event_id": 1, "detail"').alias("value"))
+    for day, rows in ((FIRST, one), (SECOND, two), (SECOND, two), (THIRD, bad)):
+        variants.append_records(rows, path, "India", day, F.lit(f"events_{day}.json"))
+    rows = variants.read_records(w.spark, path)
+    got = variants.fields(rows, {
+        "event_id": ("$.event_id", "bigint"), "plain": ("$.detail", "double"), "amount": ("$.detail.amount", "double"),
+        "kind": ("$.detail.kind", "string"), "first_tag": ("$.detail.tags[0]", "string")}, "SnapshotDate", "unparsed")
+    return got.select("event_id", F.col("SnapshotDate").cast("date").alias("day"), F.coalesce("amount", "plain").alias("amount"),
+                      "kind", "first_tag", F.when(F.col("unparsed").isNull(), F.col("kind").isNotNull()).alias("nested"))
