@@ -168,9 +168,15 @@ def write(pages: DataFrame, path: str, *, min_bytes: int = 0) -> None:
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("same", F.sha2("payload", 256))
-    first = p.groupBy("same").agg(F.min("page_id").alias("first"))     # combined before the shuffle
-    first = first.withColumnRenamed("same", "of")
-    joined = p.join(first, p["same"] == first["of"]).select("page_id", "url", "payload", "first")
+    # copies meet as narrow rows; payloads join by page and hash, so the pages
+    # of a payload that many share stay spread
+    ids = p.select("page_id", "same").distinct()
+    first = (ids.groupBy("same").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("pages"))
+             .filter("pages > 1 AND first IS NOT NULL").select(F.col("same").alias("of"), "first"))
+    later = (ids.join(first, ids["same"] == first["of"]).filter(~F.col("page_id").eqNullSafe(F.col("first")))
+             .select(F.col("page_id").alias("copy"), "of", "first"))
+    joined = (p.join(later, (p["same"] == later["of"]) & p["page_id"].eqNullSafe(later["copy"]), "left")
+              .select("page_id", "url", "payload", "first"))
     schema = pa.schema([("chunk", pa.binary())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +184,7 @@ def write(pages: DataFrame, path: str, *, min_bytes: int = 0) -> None:
         size = 0
         for batch in it:
             for page_id, url, payload, first_id in zip(*(c.to_pylist() for c in batch.columns)):
-                revisit = first_id is not None and page_id != first_id and len(payload) >= min_bytes
+                revisit = first_id is not None and len(payload) >= min_bytes
                 held.append(members(record(page_id, url, payload, first_id, revisit)))
                 size += len(held[-1])
                 if size >= CHUNK_BYTES:
@@ -196,6 +202,26 @@ def _named(spark: SparkSession, path: str) -> DataFrame:
     return files(spark, path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
 
+#: Files that a look-up opens by name; where it needs more, it reads the folder.
+FILES_BY_NAME = 1000
+
+
+def _with_content(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` (file, reads) with the files' contents.  Only files that a row
+    names are opened, as long as their names are few enough to be listed."""
+    spark = rows.sparkSession
+    rows = written(rows, "warc-reads")
+    names = [r.file for r in rows.select("file").distinct().limit(FILES_BY_NAME + 1).collect()]
+    if not names:
+        content = spark.createDataFrame([], "file string, content binary")
+    elif len(names) <= FILES_BY_NAME:
+        content = (spark.read.format("binaryFile").load([f"{path}/{n}" for n in names])
+                   .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content"))
+    else:
+        content = _named(spark, path)
+    return rows.join(content, "file").select("reads", "content")
+
+
 def index(spark: SparkSession, archive: str, path: str) -> None:
     """Write both levels of the index of the files in ``archive``: blocks to
     ``path``/blocks and the directory to ``path``/directory."""
@@ -345,7 +371,7 @@ def lookup(keys: DataFrame, archive: str, path: str) -> DataFrame:
                     if rows:
                         yield as_batch(found, *map(list, zip(*rows)))
 
-    return (per_file.join(_named(spark, f"{path}/blocks"), "file").select("reads", "content")
+    return (_with_content(per_file, f"{path}/blocks")
             .mapInArrow(captures, "key string, filename string, offset long, length long"))
 
 
@@ -378,7 +404,7 @@ def fetch(captures: DataFrame, archive: str) -> DataFrame:
                                  _page_id(head.get("WARC-Refers-To"))))
                 yield as_batch(_PAGES, *map(list, zip(*rows)))
 
-    return (per_file.join(_named(spark, archive), "file").select("reads", "content")
+    return (_with_content(per_file, archive)
             .mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, "
                              "record_type string, refers_to long"))
 
