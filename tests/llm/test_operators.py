@@ -66,6 +66,18 @@ def test_jaccard_components(spark, messy, region_shingles):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(true_components(DOCS))
 
 
+def test_clusters_of_a_region():
+    """Union-find against relabelling; links span the clusters."""
+    rng = random.Random(6)
+    region = jaccard_join.Region([np.array([i], np.uint64) for i in range(400)], 80)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(350)]
+    for i, j in pairs:
+        region.join(i, np.array([j]))
+    want = union_find([(i, i) for i in range(400)] + pairs)
+    assert region.clusters().tolist() == [want[i] for i in range(400)] == [region.find(i) for i in range(400)]
+    assert len(region.links) == 400 - len(set(want.values()))
+
+
 def test_one_large_component_with_outliers(spark):
     rng = random.Random(9)
     base = prose(rng, 120)
@@ -286,7 +298,10 @@ def test_warc_round_trip(spark, monkeypatch):
     assert warc.round_trip(spark.createDataFrame([], pages.schema)).count() == 0
 
 
-def test_one_capture_is_found_by_its_key(spark):
+def test_one_capture_is_found_by_its_key(spark, monkeypatch):
+    """And of the archive and the blocks only the files that hold it are opened."""
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(warc, "FILE_CHUNKS", 2)
     pages = spark.createDataFrame([(i, f"http://a{i % 40}.example/{i}", f"<p>{i}</p>") for i in range(3000)],
                                   "page_id long, url string, html string")
     base = scratch_path(spark, "test-warc")
@@ -294,7 +309,13 @@ def test_one_capture_is_found_by_its_key(spark):
     warc.index(spark, f"{base}/a", f"{base}/i")
     assert spark.read.parquet(f"{base}/i/directory").count() >= 3
     keys = warc.keys_of(spark.createDataFrame([("http://a7.example/47",), ("http://none.example/",)], "url string"))
-    got = warc.fetch(warc.lookup(keys, f"{base}/a", f"{base}/i"), f"{base}/a").collect()
+    captures = warc.lookup(keys, f"{base}/a", f"{base}/i")
+    found = warc.fetch(captures, f"{base}/a")
+    all_files = [r.path for r in warc.files(spark, f"{base}/a").select("path").collect()]
+    opened = [f for f in found.inputFiles() if "/a/" in f]
+    assert len(opened) == 1 and len(all_files) > 3
+    assert len([f for f in captures.inputFiles() if "/i/blocks/" in f]) == 1
+    got = found.collect()
     assert [(r.page_id, r.url, r.payload_bytes) for r in got] == [(47, "http://a7.example/47", len("<p>47</p>"))]
 
 

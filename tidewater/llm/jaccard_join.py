@@ -110,18 +110,35 @@ class Region:
     def join(self, i: int, others: np.ndarray) -> None:
         """Record the links of i to ``others`` that connect something new."""
         for j in others.tolist():
-            a, b = self.root[i], self.root[j]
+            a, b = self.find(i), self.find(j)
             if a != b:
-                self.root[self.root == max(a, b)] = min(a, b)
+                self.root[max(a, b)] = min(a, b)
                 self.links.append((i, j))
 
+    def find(self, i: int) -> int:
+        """The least set that is known to be in i's cluster."""
+        root = self.root
+        while root[i] != i:
+            root[i] = root[root[i]]                     # the path gets shorter as it is walked
+            i = int(root[i])
+        return i
+
+    def clusters(self, sets: np.ndarray | None = None) -> np.ndarray:
+        """``find`` of many sets (all, if none are given)."""
+        at = self.root if sets is None else self.root[sets]
+        while True:
+            up = self.root[at]
+            if (up == at).all():
+                return at
+            at = up
+
     def candidates(self, i: int, distances: list[np.ndarray], among: np.ndarray) -> np.ndarray:
         """The sets of ``among`` in other clusters that may be partners of i."""
         t = self.token[self.at[i]:self.at[i + 1]]
         n = len(t)
         rare = t[np.argsort(self.many[t], kind="stable")][:n - int(need(np.int64(n), self.percent)) + 1]
         c = np.unique(self.holders[concat_ranges(self.first[rare], self.many[rare])])
-        c = c[among[c] & (self.root[c] != self.root[i]) & (100 * np.minimum(self.size[c], n)
+        c = c[among[c] & (self.clusters(c) != self.find(i)) & (100 * np.minimum(self.size[c], n)
                                                           >= self.percent * np.maximum(self.size[c], n))]
         r = 1 - self.percent / 100 + 1e-9
         for d in distances:
@@ -143,8 +160,9 @@ class Region:
             self.join(i, np.flatnonzero(self.linked(i, common)))
             distances.append(1 - common / (self.size + self.size[i] - common))
         everything = np.ones(m, bool)
-        main = np.bincount(self.root).argmax()
-        for i in np.flatnonzero(self.root != main).tolist():
+        root = self.clusters()
+        main = np.bincount(root).argmax()
+        for i in np.flatnonzero(root != main).tolist():
             self.verify(i, self.candidates(i, distances, everything))
         return self.links
 
@@ -175,15 +193,14 @@ def _sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tokens(percent: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent: set[tuple[int, int]] = set()
         for batch in it:
             for _, _, data, offs in rows_of(batch):
                 sets = shingle_sets(data, offs)
-                a, _ = digest(sets)
                 hs, owners = [], []
-                for s, c in zip(sets, a.tolist()):
-                    if len(s) and c not in sent:
-                        sent.add(c)
+                for s, (c, rest) in zip(sets, zip(*(x.tolist() for x in digest(sets)))):
+                    if len(s) and (c, rest) not in sent:
+                        sent.add((c, rest))
                         n = len(s)
                         hs.append(s[:n - int(need(np.int64(n), percent)) + int(extra(np.int64(n)))])
                         owners.append(np.full(len(hs[-1]), c))
@@ -472,7 +489,7 @@ def _labelled(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     links = _join_regions(members.filter(F.col("shingles") <= region_shingles), percent)
     for lo in range(0, len(large), REGIONS_AT_ONCE):
         part = written(members.filter(F.col("region").isin(large[lo:lo + REGIONS_AT_ONCE]))
-                       .dropDuplicates(["region", "a"]), "large-regions")
+                       .dropDuplicates(["region", "a", "n", "text"]), "large-regions")
         links = links.unionByName(_join_large(part, percent, region_shingles))
     links = written(links, "links", batch_rows=256)
     edges = links.select(F.struct(F.col("a1").alias("a"), F.col("b1").alias("b")).alias("x"),
