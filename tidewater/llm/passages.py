@@ -356,9 +356,32 @@ def _chains(k: int, min_words: int):
 
 # ------------------------------------------------------------------ alignment
 
+_NOWHERE = np.zeros(0, np.int64)
+
+
+def _blocks(hx: np.ndarray, hy: np.ndarray, ax: np.ndarray, ay: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(x, y, words) of the equal runs that a chain's matches make up: those
+    on one diagonal between which all words are equal are one run."""
+    cuts = np.flatnonzero(np.diff(ax) != np.diff(ay)) + 1
+    out = []
+    for g in np.split(np.arange(len(ax)), cuts):
+        x, y = int(ax[g[0]]), int(ay[g[0]])
+        n = int(ax[g[-1]]) + k - x
+        differ = np.concatenate([[0], np.cumsum(hx[x:x + n] != hy[y:y + n])])
+        at = ax[g] - x
+        # words between a match's end and the next match that differ
+        new = np.flatnonzero(differ[at[1:]] > differ[np.minimum(at[:-1] + k, at[1:])]) + 1
+        first = np.concatenate([[0], new])
+        last = np.concatenate([new - 1, [len(g) - 1]])
+        out += [(x + a, y + a, b + k - a) for a, b in zip(at[first].tolist(), at[last].tolist())]
+    return out
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in a and in b of a longest common subsequence."""
     m = min(len(a), len(b))
+    if not m:
+        return _NOWHERE, _NOWHERE
     differ = np.flatnonzero(a[:m] != b[:m])
     head = int(differ[0]) if len(differ) else m      # equal ends always belong to one
     ra, rb = a[head:][::-1], b[head:][::-1]
@@ -415,11 +438,11 @@ def _aligned(hx: np.ndarray, hy: np.ndarray, ax: np.ndarray, ay: np.ndarray, k:
     left = np.flatnonzero(equal[:_before_drop(equal)])[::-1] + 1
     first = len(left) - _reach(equal)[1]
     xs, ys = [a - left], [b - left]
-    for a, b in zip(ax.tolist(), ay.tolist()):
-        step = max(i - a, j - b, 0)                  # this match may overlap the last one
-        if step >= k:
+    for a, b, n in _blocks(hx, hy, ax, ay, k):
+        step = max(i - a, j - b, 0)                  # this run may overlap the last one
+        if step >= n:
             continue
-        a, b, n = a + step, b + step, k - step
+        a, b, n = a + step, b + step, n - step
         u, v = _common(hx[i:a], hy[j:b])
         xs += [i + u, np.arange(a, a + n)]
         ys += [j + v, np.arange(b, b + n)]
@@ -664,8 +687,10 @@ def _spans(d: DataFrame, classes: DataFrame, *, k: int = K, window: int = WINDOW
               .withColumn("px", F.col("px").bitwiseOR(F.lit(STRONG))))
 
     def found(matches: DataFrame) -> DataFrame:
-        chains = written(matches.groupBy("x", "y").agg(F.collect_set(F.struct("px", "py")).alias("at"))
-                         .mapInArrow(_chains(k, min_words), _CHAINS_DDL)
+        # one match of a short seed alone is no chain
+        pairs = matches.groupBy("x", "y").agg(F.collect_set(F.struct("px", "py")).alias("at")).filter(
+            (F.size("at") > 1) | (F.element_at("at", 1)["px"] >= STRONG))
+        chains = written(pairs.mapInArrow(_chains(k, min_words), _CHAINS_DDL)
                          .withColumn("chain", F.monotonically_increasing_id()), "chains")
         # where an extension outruns the cut-outs, longer ones are taken
         out, todo, margin = None, chains, MARGIN_BYTES
