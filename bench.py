@@ -23,7 +23,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tidewater.plans import kpis, layers  # noqa: E402
+from tidewater.plans import catalog_state, kpis, layers  # noqa: E402, F401
 from tidewater.plans.catalog import QUERIES  # noqa: E402
 from tidewater.plans.warehouse import Warehouse  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
@@ -46,6 +46,8 @@ HEADLINE = [
 JOBS = [
     "bronze_ingest", "scan_workbooks", "fact_claims_point_in_time",
     "layers_kpi_claims_summary", "stream_latest_per_key", "stream_windowed_totals",
+    "kpi_loss_ratio_incremental", "kpi_customer_distribution_incremental", "dq_profile_sketched",
+    "dim_customer_bucket_merge", "scan_csv_inferred", "scan_json_split", "mask_names_text",
 ]
 
 
