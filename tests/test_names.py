@@ -52,3 +52,20 @@ def test_no_names_and_no_texts(spark):
     df = spark.createDataFrame([("a", )], "t string")
     assert tuple(names.mask_names(df, "t", none).first()) == ("a", "a", 0)
     assert names.mask_names(df.limit(0), "t", spark.createDataFrame([("a",)], "name string")).count() == 0
+
+
+def test_texts_are_scanned_once_whatever_the_names(spark):
+    """Many times the bitmap's bytes in names: one scan of the texts."""
+    scans = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            scans.add(b.num_rows)
+            yield b
+
+    people = spark.range(3000).selectExpr("'Name' || id AS f", "'Family' || id % 9 AS l")
+    df = spark.createDataFrame([(i, f"to name{7 * i} family{i % 9}, name{i}x") for i in range(40)], "id long, t string").repartition(3)
+    got = names.mask_names(df.mapInArrow(counted, df.schema), "t", names.name_list(people, "f", "l"), block_bytes=64)
+    rows = got.collect()
+    assert all(r.n_names == (2 if 7 * r.id % 9 != r.id % 9 else 1) for r in rows) and len(rows) == 40
+    assert scans.value <= 2 * 40                       # the scan, and the texts themselves

@@ -245,12 +245,9 @@ WITH names AS (SELECT DISTINCT lower(unnest([FirstName, LastName, FirstName || '
 SELECT w.PolicyNumber, CAST(coalesce(m.n, 0) AS INTEGER) AS n_names, coalesce(m.t, w.note) AS masked_text
 FROM words w LEFT JOIN masked m USING (PolicyNumber)""")
 def _mask_names(w: Warehouse) -> DataFrame:
-    """Q7: the customers' first, last and full names masked in call notes,
-    names in blocks of a few KB."""
+    """Q7: the customers' first, last and full names masked in call notes."""
     people = names.name_list(w.bronze_customers, "FirstName", "LastName")
-    notes = views.call_notes(w.t)
-    size = 64 << 10
-    return names.mask_names(notes, "note", people, block_bytes=size).drop("note")
+    return names.mask_names(views.call_notes(w.t), "note", people).drop("note")
 
 
 # ============================================================ large JSON files
