@@ -63,3 +63,37 @@ def test_one_file_is_read_by_many_tasks(spark, tmp):
         assert df.agg({"a": "sum"}).first()[0] == sum(range(20_000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_writer_holds_a_batch_and_files_are_whole_arrays(spark, tmp):
+    """Every file is one array of the given number of records; the lines come
+    record by record, not as one value of a whole file."""
+    from tidewater.plans.bronze import write_json_arrays
+    df = spark.range(0, 25, 1, 2).selectExpr("id", "'a\n]' || id AS t")
+    write_json_arrays(df, f"{tmp}/j", rows_per_file=5)
+    files = spark.read.text(f"{tmp}/j", wholetext=True).collect()
+    assert sorted(len(json.loads(f.value)) for f in files) == [2, 3, 5, 5, 5, 5]
+    lines = spark.read.text(f"{tmp}/j")
+    assert lines.count() == 25 + 6 and lines.selectExpr("max(length(value))").first()[0] < 40
+    got = sorted((r["id"], r["t"]) for f in files for r in json.loads(f.value))
+    assert got == [(i, f"a\n]{i}") for i in range(25)]
+
+
+def test_mixed_json_deliveries_are_read_in_splits(spark, tmp):
+    """The delivery reader: several tasks a file, numbers as they are written,
+    records' files, one that does not parse as nulls."""
+    from tidewater.sources import files
+    landed(tmp, "a.json", "[" + ",\n".join('{"id": %d, "n": 1.50, "o": {"x": 12345678901234567890.10}}' % i for i in range(4000)) + "]")
+    landed(tmp, "b.json", '{"id": 7, "t": "é"} {"id": 8, "n": }')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = files.read_json(spark, [f"{tmp}/a.json", f"{tmp}/b.json"])
+        assert df.where("id IS NOT NULL").select("id").rdd.getNumPartitions() >= 3
+        rows = [r.asDict(True) for r in df.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    a = [r for r in rows if r["_source_path"].endswith("a.json")]
+    assert sorted(int(r["id"]) for r in a) == list(range(4000))
+    assert {(r["n"], r["o"]["x"]) for r in a} == {("1.50", "12345678901234567890.10")}
+    b = [r for r in rows if r["_source_path"].endswith("b.json")]
+    assert len(b) == 2 and any(r["id"] == "7" and r["t"] == "é" for r in b)
