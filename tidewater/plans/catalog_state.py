@@ -255,12 +255,13 @@ def _mask_names(w: Warehouse) -> DataFrame:
 @register("scan_json_split", """
 SELECT event_id, ts, user_id, event_type, value, props, '{"a": "}\\"{' || event_id AS tricky FROM events""")
 def _scan_json_split(w: Warehouse) -> DataFrame:
-    """A3: all events landed as one multi-line JSON file, an array of records
-    with braces, quotes and escapes in their strings, read by many tasks."""
+    """A3: all events landed as large multi-line JSON files, one for each task
+    that writes, arrays of records with braces, quotes and escapes in their
+    strings, each read by many tasks."""
     path = scratch_path(w.spark, "json")
     events = w.t.events.withColumns({"tricky": F.concat(F.lit('{"a": "}\\"{'), F.col("event_id").cast("string")),
                                      "ts": F.col("ts").cast("string")})
-    write_json_arrays(events.coalesce(1), path, rows_per_file=1 << 30)
+    write_json_arrays(events, path, rows_per_file=1 << 30)
     key = "spark.sql.files.maxPartitionBytes"
     before = w.spark.conf.get(key)
     w.spark.conf.set(key, "256k")              # test files are small: several splits all the same
