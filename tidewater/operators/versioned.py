@@ -31,7 +31,7 @@ def replace(df: DataFrame, path: str) -> str:
     version before is not disturbed.  One writer at a time."""
     done = versions(df.sparkSession, path)
     folder = f"{path}/version={done[-1] + 1 if done else 1}"
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     return folder
 
 
