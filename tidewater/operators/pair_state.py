@@ -58,26 +58,27 @@ class PairState:
         grp.  ``run`` numbers ascend; a completed run is not repeated."""
         if self.runs.committed(run):
             return
-        changes = {}
+        signed = {}
         for side, rows in (("left", left), ("right", right)):
             if rows is not None:
                 self._replace(side, rows, run)
-            changes[side] = self._changes(side, run if rows is not None else None)
+            signed[side] = self._signed(side, run if rows is not None else None)
         # the changed keys' buckets, on both sides
-        both = changes["left"].unionByName(changes["right"])
+        both = signed["left"].unionByName(signed["right"])
         touched = buckets_in(both.select(self.sums["left"].bucket_of("k").alias("bucket")))
         merged = {}
         for side in ("left", "right"):
             state = self.sums[side]
             old = state.read(touched, before=run).select("k", "grp", "s", "n", *_zero("ds", "dn"))
-            new = changes[side].select("k", "grp", *_zero("s", "n"), "ds", "dn")
-            sums = old.unionByName(new).groupBy("k", "grp").agg(
+            new = self._changes(signed[side]).select("k", "grp", *_zero("s", "n"), "ds", "dn")
+            moved = state.deal(old.unionByName(new).withColumn("bucket", state.bucket_of("k")), "k")
+            sums = moved.groupBy("bucket", "part", "k", "grp").agg(
                 *[F.sum(c).cast(SUM if c in ("s", "ds") else COUNT).alias(c) for c in ("s", "n", "ds", "dn")])
             after = sums.select("k", "grp", (F.col("s") + F.col("ds")).cast(SUM).alias("s"),
-                                (F.col("n") + F.col("dn")).cast(COUNT).alias("n"), state.bucket_of("k").alias("bucket"),
+                                (F.col("n") + F.col("dn")).cast(COUNT).alias("n"), "bucket",
                                 F.col("s").alias("s0"), F.col("n").alias("n0"))
             # the totals come from what was written: computed once, and in agreement with it
-            state.write(after, run)
+            state.write(after, run, dealt=True)
             merged[side] = state.read_run(run)
         l, r = merged["left"], merged["right"].select(
             "k", *[F.col(c).alias(f"r_{c}") for c in ("s", "n", "s0", "n0")])
@@ -110,27 +111,33 @@ class PairState:
                      F.col("amount").cast(AMOUNT).alias("amount")).alias("row")).withColumn("bucket", state.bucket_of("id"))
         touched = buckets_in(given)
         old = state.read(touched, before=run).select("id", "version", F.col("now").alias("row"), "bucket")
-        # one row an id before the shuffle: the latest that came, and the one that stands
-        tag = lambda df, new: df.select("bucket", "id", F.lit(new).alias("new"), F.struct("version", "row").alias("v"))
-        one = (tag(old, False).unionByName(tag(given, True)).groupBy("bucket", "id")
+        # one row an id before it moves: the latest that came, and the one that stands
+        tag = lambda df, new: df.select("bucket", "id", F.lit(new).alias("new"), "v")
+        v = F.struct("version", "row").alias("v")
+        came = given.groupBy("bucket", "id").agg(F.max(v).alias("v"))
+        both = tag(old.select("bucket", "id", v), False).unionByName(tag(came, True))
+        one = (state.deal(both, "id").groupBy("bucket", "part", "id")
                .agg(F.max(F.when(~F.col("new"), F.col("v"))).alias("old"), F.max(F.when(F.col("new"), F.col("v"))).alias("new")))
         takes = F.col("new").isNotNull() & (F.col("old").isNull() | (
             F.coalesce(F.col("new.version") >= F.col("old.version"), F.col("old.version").isNull())))
         pick = F.when(takes, F.col("new")).otherwise(F.col("old"))
         state.write(one.select("bucket", "id", pick["version"].alias("version"), pick["row"].alias("now"),
                                F.col("old.row").alias("was"),
-                               (takes & ~F.col("new.row").eqNullSafe(F.col("old.row"))).alias("changed")), run)
+                               (takes & ~F.col("new.row").eqNullSafe(F.col("old.row"))).alias("changed")), run, dealt=True)
 
-    def _changes(self, side: str, run: int | None) -> DataFrame:
-        """k, grp, ds, dn: the signed changes of a run, a row per key and group."""
+    def _signed(self, side: str, run: int | None) -> DataFrame:
+        """k, grp, amount, sign: the rows that a run took back and put in."""
         if run is None:
-            return self.spark.createDataFrame([], f"k string, grp string, ds {SUM}, dn {COUNT}")
+            return self.spark.createDataFrame([], f"k string, grp string, amount {AMOUNT}, sign int")
         changed = self.rows[side].read_run(run).where("changed")
         signed = changed.select(F.inline(F.array(F.struct(F.lit(-1).alias("sign"), F.col("was").alias("r")),
                                                  F.struct(F.lit(1).alias("sign"), F.col("now").alias("r")))))
-        return (signed.where(F.col("r").isNotNull())
-                .groupBy("r.k", "r.grp").agg(F.sum(F.col("r.amount") * F.col("sign")).cast(SUM).alias("ds"),
-                                             F.sum("sign").cast(COUNT).alias("dn")).fillna(0, ["ds"]))
+        return signed.where(F.col("r").isNotNull()).select("r.k", "r.grp", "r.amount", "sign")
+
+    def _changes(self, signed: DataFrame) -> DataFrame:
+        """k, grp, ds, dn: the signed changes of a run, a row per key and group."""
+        return (signed.groupBy("k", "grp").agg(F.sum(F.col("amount") * F.col("sign")).cast(SUM).alias("ds"),
+                                               F.sum("sign").cast(COUNT).alias("dn")).fillna(0, ["ds"]))
 
     def totals(self) -> DataFrame:
         """grp, left_over_pairs, right_over_pairs, pairs, keys (with a row on

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import inference, names, quality, sketches, variants
@@ -30,12 +30,21 @@ def _day(df: DataFrame, day: str) -> DataFrame:
 def _deliveries(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     """(claims, policies): the three overlapping deliveries, as landed, with
     the keys of the current dimension rows."""
-    customer = gold.current(w.gold.dim_customer, "CustomerID", "CustomerKey")
-    vehicle = gold.current(w.gold.dim_vehicle, "PolicyNumber", "VehicleKey", "VehicleMake")
+    customer = gold.current(w.dim_customer, "CustomerID", "CustomerKey")
+    vehicle = gold.current(w.dim_vehicle, "PolicyNumber", "VehicleKey", "VehicleMake")
     claims = views.redelivered(views.keyed_claims(w.t), "ClaimID", "SettledAmount_INR")
     keyed = lambda df: df.join(vehicle, "PolicyNumber", "left").join(customer, "CustomerID")
-    return (keyed(claims.where("ClaimID IS NOT NULL")),
-            keyed(w.bronze_policies.select("PolicyNumber", "CustomerID", "PolicyType", "AnnualPremium_INR", "SnapshotDate")))
+    by_day = lambda name, df: _by_day(w.spark, keyed(df).drop("CustomerID"), name)
+    return (by_day("claims", claims.where("ClaimID IS NOT NULL").select(
+                "ClaimID", "PolicyNumber", "CustomerID", "SettledAmount_INR", "SnapshotDate")),
+            by_day("policies", w.bronze_policies.select("PolicyNumber", "CustomerID", "PolicyType", "AnnualPremium_INR", "SnapshotDate")))
+
+
+def _by_day(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The deliveries, keyed once and kept by day: each fold reads its own."""
+    path = scratch_path(spark, name)
+    df.write.partitionBy("SnapshotDate").option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _folded(w: Warehouse, fold, name: str) -> PairState:
