@@ -363,3 +363,31 @@ def test_machine_learns_pairs():
 def test_crc_of_unsigned_little_endian():
     ids = np.array([1, 50256], np.uint32)
     assert zlib.crc32(ids.astype("<u4").tobytes()) == zlib.crc32(b"\x01\0\0\0\x50\xc4\0\0")
+
+
+@pytest.mark.parametrize("common,crowded", [(2, 1 << 20), (5, 1 << 20), (1 << 30, 1 << 20), (1 << 30, 24)])
+def test_seeds_meet_whatever_is_common(monkeypatch, common, crowded):
+    """Matches with the first holder are the same however seeds are dealt out."""
+    monkeypatch.setattr(passages, "COMMON", common)
+    monkeypatch.setattr(passages, "CROWDED", crowded)
+    monkeypatch.setattr(passages, "DEALT", 100)
+    rng = np.random.default_rng(3)
+    rows = np.stack([rng.integers(0, 40, 600), rng.integers(0, 90, 600), np.zeros(600, np.int64), np.arange(600)], 1)
+    rows[:, 2] = rows[:, 1] + 1000                   # a text of each document
+    parts = np.split(rows, [150, 290, 291, 500])
+    sown = [b for p in (parts[:2], parts[2:]) for b in
+            passages._dealt(lambda part: iter([(passages.SHORT, *part.T)]), 7)(iter(p))]
+    table = pa.Table.from_batches(sown).sort_by("bucket")
+    met = pa.Table.from_batches(list(passages._settled(7, None)(iter(table.to_batches(max_chunksize=3)))))
+    got = {tuple(r[c] for c in ("x", "px", "y", "py")) for r in met.to_pylist() if r["ord"] == passages.FIRST}
+    raw = [r for r in met.to_pylist() if r["s"] is not None]
+    assert all(r["y"] == passages.MARK for r in raw) and bool(raw) == (common < 6 or crowded < 30)
+    late = np.array(sorted((r["s"], r["ord"], r["x"], r["px"]) for r in raw), np.int64).reshape(-1, 4)
+    for s in np.unique(late[:, 0]):
+        of = late[late[:, 0] == s]
+        got |= {(c, at, int(of[0, 2]), int(of[0, 3])) for _, _, c, at in of.tolist() if c != of[0, 2]}
+    want = set()
+    for s in np.unique(rows[:, 0]):
+        of = sorted(map(tuple, rows[rows[:, 0] == s][:, 1:].tolist()))
+        want |= {(c, at, of[0][1], of[0][2]) for _, c, at in of if c != of[0][1]}
+    assert got == want

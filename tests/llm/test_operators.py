@@ -507,3 +507,18 @@ def test_recall_of_fuzzy_passages(spark, share, least):
                  (1000 + i, prose(rng, 40) + " " + " ".join(other) + " " + prose(rng, 90))]
     found = {r.doc_id for r in passages.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
     assert found <= {1000 + i for i in range(n)} and len(found) >= least * n
+
+
+def test_passages_of_runs_that_come_again_and_again(spark):
+    """Two words in turn, 400 of them, after and before other words: every document's run is covered, by a few
+    passages, not by one for each place of the run."""
+    run = " ".join(["der", "und"] * 200)
+    df = spark.createDataFrame([(i, " ".join([f"vor{i}a{j}" for j in range(i)] + [run] + [f"nach{i}a{j}" for j in range(5)]))
+                                for i in range(6)], "doc_id long, text string")
+    got = passages.repeats(df).collect()
+    for i in range(1, 6):
+        own = [r for r in got if r.doc_id == i]
+        covered = set().union(*(range(r.start, r.start + r.n_words) for r in own))
+        assert set(range(i, i + 400)) <= covered and len(own) <= 20, (i, len(own))
+    left = {r.doc_id: r.text.split() for r in passages.without_repeats(df).collect()}
+    assert len(left[0]) == 405 and all("und" not in left[i] for i in range(1, 6))

@@ -4,13 +4,14 @@
    repeats), thinned to the minimum of every ``window``
    successive ones, so texts that share window + k - 1 words share a seed.
    A chain of one match is left: short seeds meet by chance.
-2. Seeds meet by sort order: each occurrence is matched with the first
-   document that has the seed, and later with the one before it, but only
-   where no passage with a first document covers it: a near copy of a group
-   then has few partners.  That is at most two matches for an occurrence,
-   however many documents share the seed; the sort cuts a very common seed
-   over several tasks, and the rows at the cuts are matched afterwards, so the
-   matches do not depend on the partitions.
+2. Seeds meet in buckets of their hashes, dealt out as arrays: each occurrence
+   is matched with the first document that has the seed, and later with the
+   one before it, but only where no passage with a first document covers it: a
+   near copy of a group then has few partners.  That is at most two matches
+   for an occurrence, however many documents share the seed.  A seed that is
+   very common in some task's texts, or that alone would crowd a task, meets
+   by sort order, which cuts it over several tasks; the rows at the cuts are matched afterwards, so the matches do not
+   depend on the partitions.
    Exact repeats need more, as every seed of a passage may be common while the
    passage is rare: thinned grams of min_words - 16 words, of which every
    repeat of min_words words has one, meet in the same way, and where one has
@@ -20,7 +21,9 @@
 3. The matches of a pair of texts are chained: the best chain of matches that
    ascend in both texts, each gaining its words and paying for the gap, found
    with a Fenwick tree of best predecessors over the second text's positions;
-   chains are cut at wide gaps and taken until none is left.
+   chains are cut at wide gaps and taken until none is left.  Of a run whose
+   words come again and again, a few places are chained at first; the others
+   are, where no passage that these lead to covers them.
 4. Both texts are cut out around each chain and aligned: equal runs between
    matches, longest common subsequences in the gaps, x-drop extension at the
    ends.  The chain is reported if it has at least ``min_words`` words with
@@ -49,7 +52,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import prepare, written
-from .textkit import as_batch, ngrams, rows_of, words
+from .textkit import as_batch, concat_ranges, ngrams, rows_of, words
 
 K = 5
 WINDOW = 4
@@ -64,29 +67,58 @@ CROWD = 500_000
 LONG_WINDOW = 17          # successive long grams, of which one is a seed
 STRONG = 1 << 62          # marks a place that was matched by a long gram
 SOLID = 8                 # successive equal words that are never trimmed from a passage
+DEALT = 1 << 17           # seeds of a kind that a task deals out to buckets at once
+COMMON = 2048             # of them, from how many of one seed on it is matched by ranges
+CROWDED = 1 << 20         # rows of a bucket that are held before its most frequent seeds are passed on
+PIECE = 1 << 16           # rows of common seeds in one piece
+BUCKETS = 4               # per shuffle partition
+SENT = 50_000             # chains whose places are sent to all executors at once, at most
+CHAIN_ROWS = 1000         # texts whose matches are chained at once
+BATCH_ROWS = 64           # texts, or pieces of a bucket, that a task is given at once
+SHORT, LONG, TEXTS = 0, 1, 4   # kinds of rows that are dealt out; SPREAD + kind: common seeds
+SPREAD = 2
+MARK = -1                 # in the place of a seed's place: it is common elsewhere
 
-_SEEDS = pa.schema([("s", pa.int64()), ("ord", pa.int64()), ("cls", pa.int64()), ("at", pa.int64())])
 _MATCHES = pa.schema([("s", pa.int64()), ("ord", pa.int64()), ("x", pa.int64()), ("px", pa.int64()),
                       ("y", pa.int64()), ("py", pa.int64())])
+_MET = pa.schema([("kind", pa.int32()), *_MATCHES])
+_MET_DDL = "kind int, s long, ord long, x long, px long, y long, py long"
+_BLOBS = pa.schema([("bucket", pa.int32()), ("rows", pa.binary())])
 _LAST = (1 << 63) - 1
 FIRST = -(1 << 63)        # kinds of matches, in the place of an order
 BEFORE = FIRST + 1
 
 
+def _leftmost(h: np.ndarray, window: int) -> np.ndarray:
+    """Place of the leftmost minimum of the ``window`` hashes from each on."""
+    best, width = np.arange(len(h)), 1
+    while width < window:
+        step = min(width, window - width)
+        n = len(h) - step
+        less = h[step:] < h[:n]
+        h, best = np.where(less, h[step:], h[:n]), np.where(less, best[step:], best[:n])
+        width += step
+    return best
+
+
 def minimizers(h: np.ndarray, window: int) -> np.ndarray:
     """Positions of the leftmost minimum of every ``window`` successive hashes
     (of all, if there are fewer)."""
-    n = len(h)
-    if n <= window:
-        return np.array([int(h.argmin())]) if n else np.zeros(0, np.int64)
-    best = np.arange(n - window + 1)
-    low = h[:n - window + 1].copy()
-    for j in range(1, window):
-        x = h[j:n - window + 1 + j]
-        less = x < low
-        low[less] = x[less]
-        best[less] = np.flatnonzero(less) + j
-    return np.unique(best)
+    return _thinned(h, np.zeros(1, np.int64), np.array([len(h)]), window)
+
+
+def _thinned(h: np.ndarray, first: np.ndarray, end: np.ndarray, window: int) -> np.ndarray:
+    """``minimizers`` of many texts, whose hashes are those from ``first`` to
+    before ``end``."""
+    n = end - first
+    long = n > window
+    out = []
+    if long.any():
+        best = _leftmost(h, window)[concat_ranges(first[long], n[long] - window + 1)]
+        out.append(best[np.append(True, best[1:] != best[:-1])])
+    few = np.flatnonzero((n > 0) & ~long)
+    out.append(np.array([a + int(h[a:b].argmin()) for a, b in zip(first[few].tolist(), end[few].tolist())], np.int64))
+    return np.sort(np.concatenate(out))
 
 
 def _told_apart(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -102,25 +134,25 @@ def _told_apart(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return h + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _seeds(k: int, window: int, long: bool = False):
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            ords, classes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for lo, hi, data, offs in rows_of(batch):
-                h, begin, _, bounds = words(data, offs)
-                grams = _long_grams(h, bounds, k) if long else ngrams(_told_apart(h, bounds), k)
-                s, o, c, at = [], [], [], []
-                for i in range(hi - lo):
-                    a, b = int(bounds[i]), int(bounds[i + 1])
-                    if b - a >= k:
-                        g = grams[a:b - k + 1]
-                        m = minimizers(g, window)
-                        s.append(g[m])
-                        o.append(np.full(len(m), ords[lo + i]))
-                        c.append(np.full(len(m), classes[lo + i]))
-                        at.append((m << 32) | (begin[a + m] - offs[i]))
-                if s:
-                    yield as_batch(_SEEDS, np.concatenate(s).view(np.int64), *(np.concatenate(x) for x in (o, c, at)))
+def _seeds(k: int, window: int, n: int, around: int):
+    """From rows (doc_id, ord, cls, text): rows of each text with its number of
+    words, its seeds of ``k`` words and its long ones of ``n`` words."""
+    def run(batch: pa.RecordBatch) -> Iterator[tuple]:
+        ids = batch.column(0)
+        known, ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+        ords, classes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        for lo, hi, data, offs in rows_of(batch):
+            h, begin, _, bounds = words(data, offs)
+            first, end = bounds[:-1], bounds[1:]
+            yield TEXTS, known[lo:hi], ids[lo:hi], classes[lo:hi], end - first
+            if not len(h):
+                continue
+            for kind, grams, size, step in ((SHORT, ngrams(_told_apart(h, bounds), k), k, window),
+                                            (LONG, _long_grams(h, bounds, n), n, around)):
+                m = _thinned(grams, first, end - size + 1, step)
+                of = np.searchsorted(end, m, side="right")
+                yield (kind, grams[m].view(np.int64), ords[lo + of], classes[lo + of],
+                       ((m - first[of]) << 32) | (begin[m] - offs[of]))
     return run
 
 
@@ -138,23 +170,177 @@ def _long_grams(h: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
 def _windows(n: int, around: int):
     """Seeds of all ``n``-word windows that begin at a given word or up to
     ``around`` - 1 words before it; from rows (ord, cls, places, text)."""
+    def run(batch: pa.RecordBatch) -> Iterator[tuple]:
+        ords, classes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for lo, hi, data, offs in rows_of(batch):
+            h, begin, _, bounds = words(data, offs)
+            if not len(h):
+                continue
+            grams = _long_grams(h, bounds, n)
+            for i in range(hi - lo):
+                a, b = int(bounds[i]), int(bounds[i + 1])
+                at = np.asarray(batch.column(2)[lo + i].values.to_numpy())
+                m = np.unique((at[:, None] - np.arange(around)).ravel())
+                m = m[(m >= 0) & (m <= b - a - n)]
+                if len(m):
+                    yield (SHORT, grams[a + m].view(np.int64), np.full(len(m), ords[lo + i]),
+                           np.full(len(m), classes[lo + i]), (m << 32) | (begin[a + m] - offs[i]))
+    return run
+
+
+def _dealt(seeds, buckets: int):
+    """From texts: pieces (bucket, rows) of their seeds, each bucket of which
+    holds all that are equal; of a seed that is common among those at hand
+    only a mark, and its rows in pieces spread over all buckets."""
+    def pieces(bucket: np.ndarray, rows: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+        raw = [None, pa.py_buffer((cuts * 32).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))]
+        return as_batch(_BLOBS, bucket, pa.Array.from_buffers(pa.binary(), len(cuts) - 1, raw))
+
+    def spread(kind: int, rows: np.ndarray, turn: int) -> pa.RecordBatch:
+        cuts = np.append(np.arange(0, len(rows), PIECE), len(rows))
+        return pieces(kind * buckets + (turn + np.arange(len(cuts) - 1)) % buckets, rows, cuts)
+
+    def deal(kind: int, rows: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+        if kind == TEXTS:
+            yield spread(kind, rows, turn)
+            return
+        # minimizers are small hashes: their leading bits say little
+        key = rows[:, 0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        rows, common = _frequent(rows[np.argsort(key)], COMMON)
+        if len(common):
+            yield spread(SPREAD + kind, common, turn)
+        key = rows[:, 0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        yield pieces(kind * buckets + bucket[first].astype(np.int64), rows, np.append(first, len(rows)))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        sizes: dict[int, int] = {}
+        turn = 0
+        for batch in it:
+            for kind, *cols in seeds(batch):
+                held.setdefault(kind, []).append(np.stack(cols, 1, dtype=np.int64))
+                sizes[kind] = sizes.get(kind, 0) + len(cols[0])
+                if sizes[kind] >= DEALT:
+                    turn += 1
+                    yield from deal(kind, np.concatenate(held.pop(kind)), turn)
+                    sizes[kind] = 0
+        for kind, rows in held.items():
+            if sizes[kind]:
+                yield from deal(kind, np.concatenate(rows), int(rows[0][0, 2]) if len(rows[0]) else turn)
+    return run
+
+
+def _frequent(rows: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by seed, with a mark in place of those that come ``least``
+    times, and these."""
+    start = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+    times = np.diff(np.append(start, len(rows)))
+    common = times >= least
+    out = np.repeat(common, times)
+    gone = rows[out]
+    out[start[common]] = False
+    rows[start[common], 3] = MARK
+    return rows[~out], gone[gone[:, 3] != MARK]
+
+
+def _settled(buckets: int, open_over: int | None):
+    """From pieces sorted by bucket: ``_MET`` rows.  Seeds that are common in
+    some task's texts are passed on as they are, with ``MARK`` in y."""
+    def whole(bucket: int, held: list) -> Iterator[pa.RecordBatch]:
+        kind = bucket // buckets
+        rows = np.concatenate([np.frombuffer(x, np.int64) for x in held]).reshape(-1, 4)
+        none = lambda n: pa.nulls(n, pa.int64())
+        if kind == TEXTS:
+            n = len(rows)
+            yield as_batch(_MET, np.full(n, kind), none(n), none(n), rows[:, 2], rows[:, 3],
+                           pa.array(rows[:, 1], mask=rows[:, 0] == 0), none(n))
+            return
+        if kind < SPREAD:
+            rows = rows[np.argsort(rows[:, 0])]
+            same = rows[1:, 0] == rows[:-1, 0]
+            rows = rows[np.append(False, same) | np.append(same, False)]
+            if not len(rows):
+                return
+            s, o, c, at = (np.ascontiguousarray(x) for x in rows.T)
+            order = np.lexsort((at, c, o, s))
+            s, o, c, at = s[order], o[order], c[order], at[order]
+            start = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+            marked = np.repeat(np.logical_or.reduceat(at == MARK, start), np.diff(np.append(start, len(s))))
+            cols = [x[~marked] for x in (s, o, c, at)]
+            if len(cols[0]):
+                for part in _settle(cols, False, open_over if kind == LONG else None):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, kind, np.int32)), *part.columns],
+                                                     schema=_MET)
+            marked &= at != MARK
+            rows = np.stack([s[marked], o[marked], c[marked], at[marked]], 1)
+        if len(rows):
+            n = len(rows)
+            yield as_batch(_MET, np.full(n, kind % SPREAD), *(rows[:, i] for i in range(4)), np.full(n, MARK), none(n))
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        now, size, most = None, 0, CROWDED
         for batch in it:
-            ords, classes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for lo, hi, data, offs in rows_of(batch):
-                h, begin, _, bounds = words(data, offs)
-                grams = _long_grams(h, bounds, n)
-                for i in range(hi - lo):
-                    a, b = int(bounds[i]), int(bounds[i + 1])
-                    at = np.asarray(batch.column(2)[lo + i].values.to_numpy())
-                    m = np.unique((at[:, None] - np.arange(around)).ravel())
-                    m = m[(m >= 0) & (m <= b - a - n)]
-                    if len(m):
-                        yield as_batch(_SEEDS, grams[a + m].view(np.int64), np.full(len(m), ords[lo + i]),
-                                       np.full(len(m), classes[lo + i]), (m << 32) | (begin[a + m] - offs[i]))
+            for i, bucket in enumerate(batch.column(0).to_pylist()):
+                if held and (bucket != now or now // buckets not in (SHORT, LONG) and size >= CROWDED):
+                    yield from whole(now, held)
+                    held, size, most = [], 0, CROWDED
+                now = bucket
+                held.append(batch.column(1)[i].as_buffer())
+                size += len(held[-1]) // 32
+                if size >= most and now // buckets in (SHORT, LONG):
+                    rows = np.concatenate([np.frombuffer(x, np.int64) for x in held]).reshape(-1, 4)
+                    held.clear()
+                    rows, out = _frequent(rows[np.argsort(rows[:, 0])], CROWDED // 8)
+                    if len(out):
+                        yield from whole(now + SPREAD * buckets, [out.tobytes()])
+                    held, size = [rows.tobytes()], len(rows)
+                    most = max(CROWDED, 2 * size)
+        if held:
+            yield from whole(now, held)
     return run
 
 
+def _settle(cols: list[np.ndarray], edge: bool, open_over: int | None) -> Iterator[pa.RecordBatch]:
+    """Matches of sorted seeds; ``edge``: one seed that may go on elsewhere."""
+    s, o, c, at = cols
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    start = np.flatnonzero(new)
+    head = np.repeat(start, np.diff(np.append(start, len(s))))
+    before = np.arange(len(s)) - 1
+    none = lambda n: pa.nulls(n, pa.int64())
+    if edge:
+        # one seed; its first occurrence may be elsewhere, and what stands
+        # before the first row here: y marks the first and the last row
+        ends = np.zeros(len(s), np.int64)
+        ends[0] |= 1
+        ends[-1] |= 2
+        yield as_batch(_MATCHES, s, o, c, at, ends, none(len(s)))
+        rows = c != c[before]
+        rows[0] = False
+        if rows.any():
+            # the first occurrence's class is settled with the seed's head
+            yield as_batch(_MATCHES, s[rows], np.full(int(rows.sum()), BEFORE), c[rows], at[rows], c[before[rows]],
+                           at[before[rows]])
+        return
+    to_first = c != c[head]
+    if open_over is not None:
+        times = np.diff(np.append(start, len(s)))
+        many = np.repeat(times > open_over, times)
+        if many.any():
+            yield as_batch(_MATCHES, s[many], o[many], c[many], at[many], none(int(many.sum())), none(int(many.sum())))
+        to_first &= ~many
+    # the one before, where it is another text than both
+    to_before = to_first & (c != c[before]) & (c[before] != c[head])
+    for rows, other, kind in ((to_first, head, FIRST), (to_before, before, BEFORE)):
+        if rows.any():
+            n = int(rows.sum())
+            yield as_batch(_MATCHES, none(n), np.full(n, kind), c[rows], at[rows], c[other[rows]], at[other[rows]])
+
+
 def _matches(open_over: int | None = None):
     """``_matched``; seeds of over ``open_over`` occurrences are passed on too."""
     return lambda it: _matched(it, open_over)
@@ -168,44 +354,8 @@ def _matched(it: Iterator[pa.RecordBatch], open_over: int | None) -> Iterator[pa
     held: list[tuple] = []
     first = None
 
-    def settle(cols: list[np.ndarray], edge: bool) -> Iterator[pa.RecordBatch]:
-        s, o, c, at = cols
-        new = np.ones(len(s), bool)
-        new[1:] = s[1:] != s[:-1]
-        start = np.flatnonzero(new)
-        head = np.repeat(start, np.diff(np.append(start, len(s))))
-        before = np.arange(len(s)) - 1
-        none = lambda n: pa.nulls(n, pa.int64())
-        if edge:
-            # one seed; its first occurrence may be elsewhere, and what stands
-            # before the first row here: y marks the first and the last row
-            ends = np.zeros(len(s), np.int64)
-            ends[0] |= 1
-            ends[-1] |= 2
-            yield as_batch(_MATCHES, s, o, c, at, ends, none(len(s)))
-            rows = c != c[before]
-            rows[0] = False
-            if rows.any():
-                # the first occurrence's class is settled with the seed's head
-                yield as_batch(_MATCHES, s[rows], np.full(int(rows.sum()), BEFORE), c[rows], at[rows], c[before[rows]],
-                               at[before[rows]])
-            return
-        to_first = c != c[head]
-        if open_over is not None:
-            times = np.diff(np.append(start, len(s)))
-            many = np.repeat(times > open_over, times)
-            if many.any():
-                yield as_batch(_MATCHES, s[many], o[many], c[many], at[many], none(int(many.sum())), none(int(many.sum())))
-            to_first &= ~many
-        # the one before, where it is another text than both
-        to_before = to_first & (c != c[before]) & (c[before] != c[head])
-        for rows, other, kind in ((to_first, head, FIRST), (to_before, before, BEFORE)):
-            if rows.any():
-                n = int(rows.sum())
-                yield as_batch(_MATCHES, none(n), np.full(n, kind), c[rows], at[rows], c[other[rows]], at[other[rows]])
-
     def flush(edge: bool) -> Iterator[pa.RecordBatch]:
-        yield from settle([np.concatenate(x) for x in zip(*held)], edge)
+        yield from _settle([np.concatenate(x) for x in zip(*held)], edge, open_over)
         held.clear()
 
     for batch in it:
@@ -227,9 +377,9 @@ def _matched(it: Iterator[pa.RecordBatch], open_over: int | None) -> Iterator[pa
                     held.clear()
                 lead = int(np.searchsorted(head[0], first, side="right")) if head[0][0] == first else 0
                 if lead:
-                    yield from settle([c[:lead] for c in head], True)
+                    yield from _settle([c[:lead] for c in head], True, open_over)
                 if lead < len(head[0]):
-                    yield from settle([c[lead:] for c in head], False)
+                    yield from _settle([c[lead:] for c in head], False, open_over)
         held.append(tuple(c[cut:] for c in cols))
         if sum(len(h[0]) for h in held) > CROWD:     # a very common seed goes out as it comes
             first = held[0][0][0]
@@ -325,30 +475,47 @@ def _own(x: np.ndarray, y: np.ndarray, strong: np.ndarray, parts: list[np.ndarra
     return out
 
 
-def _chains(k: int, min_words: int):
+def _chains(k: int, min_words: int, put_off: bool):
+    """From all matches of a text: its chains.  Where many places of it match
+    few of another's, as in runs of a few words that come again and again, one
+    of each ``min_words`` words is chained first.  All go out again without
+    ends: ``put_off`` until it is known which words passages cover."""
+    low = (1 << 32) - 1
+
+    def of_pair(x: int, y: int, a: np.ndarray, b: np.ndarray, strong: np.ndarray) -> Iterator[tuple]:
+        if put_off and len(a) >= 32 and len(a) >= 4 * len(np.unique(b)):
+            order = np.lexsort((a, b))               # a few places in the other text
+            word, to = a[order] >> 32, b[order]
+            start = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+            part = (word - np.repeat(word[start], np.diff(np.append(start, len(to))))) // min_words
+            keep = np.zeros(len(a), bool)
+            keep[order[np.append(True, (to[1:] != to[:-1]) | (part[1:] != part[:-1]))]] = True
+            yield x, y, None, None, None, None, a | np.where(strong, STRONG, 0), b
+            a, b, strong = a[keep], b[keep], strong[keep]
+        parts = [p for p in chain(a >> 32, b >> 32, float(k)) if len(p) > 1 or strong[p].any()]
+        for part in parts + _own(a >> 32, b >> 32, strong, parts, min_words):
+            ca, cb = a[part], b[part]
+            yield x, y, ca[0] & low, ca[-1] & low, cb[0] & low, cb[-1] & low, ca, cb
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = (1 << 32) - 1
         for batch in it:
-            lists = batch.column(2)
-            offs = np.asarray(lists.offsets, np.int64)
-            pairs = lists.flatten()
-            offs = offs - offs[0]
-            px, py = (pairs.field(i).to_numpy() for i in range(2))
-            xs, ys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            out = []
-            for i in range(len(offs) - 1):
-                a, b = px[offs[i]:offs[i + 1]], py[offs[i]:offs[i + 1]]
-                strong = a >= STRONG
-                a = a & (STRONG - 1)
-                order = np.lexsort((~strong, b, a))
-                a, b, strong = a[order], b[order], strong[order]
-                new = np.ones(len(a), bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                a, b, strong = a[new], b[new], strong[new]
-                parts = [p for p in chain(a >> 32, b >> 32, float(k)) if len(p) > 1 or strong[p].any()]
-                for part in parts + _own(a >> 32, b >> 32, strong, parts, min_words):
-                    ca, cb = a[part], b[part]
-                    out.append((xs[i], ys[i], ca[0] & low, ca[-1] & low, cb[0] & low, cb[-1] & low, ca, cb))
+            xs, lists = batch.column(0).to_pylist(), batch.column(1)
+            y, a, b = (lists.flatten().field(i).to_numpy() for i in range(3))
+            row = np.repeat(np.arange(len(xs)), lists.value_lengths().to_numpy())
+            strong = a >= STRONG
+            a = a & (STRONG - 1)
+            order = np.lexsort((~strong, b, a, y, row))
+            row, y, a, b, strong = (c[order] for c in (row, y, a, b, strong))
+            pair = np.append(True, (row[1:] != row[:-1]) | (y[1:] != y[:-1]))
+            new = pair | np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            row, y, a, b, strong, pair = (c[new] for c in (row, y, a, b, strong, pair))
+            start = np.flatnonzero(pair)
+            times = np.diff(np.append(start, len(a)))
+            # one match of a short seed alone is no chain
+            good = np.flatnonzero((times > 1) | np.logical_or.reduceat(strong, start)) if len(a) else start
+            out: list[tuple] = []
+            for lo, n in zip(start[good].tolist(), times[good].tolist()):
+                out += of_pair(xs[row[lo]], int(y[lo]), a[lo:lo + n], b[lo:lo + n], strong[lo:lo + n])
             if out:
                 yield as_batch(_CHAINS, *map(list, zip(*out)))
     return run
@@ -613,27 +780,28 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col("__cls").alias("cls"))
 
 
-def _classes(d: DataFrame) -> DataFrame:
-    """cls, least, n_words, n_bytes of every distinct text, and whether it has copies."""
-    schema = pa.schema([("doc_id", pa.int64()), ("cls", pa.int64()), ("n_words", pa.int64())])
-
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for lo, hi, data, offs in rows_of(batch):
-                yield as_batch(schema, batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                               np.diff(words(data, offs)[3]))
-
-    return written(d.select("doc_id", "cls", "text").mapInArrow(count, "doc_id long, cls long, n_words long"), "texts")
-
-
-_SEEDS_DDL = "s long, ord long, cls long, at long"
-
-
-def _met(seeds: DataFrame, name: str, open_over: int | None = None) -> DataFrame:
-    """(s, ord, x, px, y, py) of seeds that met or were passed on."""
-    keys = ["s", "ord", "cls", "at"]
-    return written(seeds.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                   .mapInArrow(_matches(open_over), "s long, ord long, x long, px long, y long, py long"), name)
+def _met(rows: DataFrame, seeds, name: str, kinds: tuple[int, ...], open_over: int | None = None
+         ) -> tuple[DataFrame, dict[int, DataFrame]]:
+    """All ``_MET`` rows, and by kind (s, ord, x, px, y, py) of the seeds that
+    met or were passed on.  Equal seeds meet in a bucket, and those that are
+    common by sort order, cut over several tasks."""
+    buckets = BUCKETS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = written(rows.mapInArrow(_dealt(seeds, buckets), "bucket int, rows binary")
+                  .repartition("bucket").sortWithinPartitions("bucket")
+                  .mapInArrow(_settled(buckets, open_over), _MET_DDL), name, batch_rows=BATCH_ROWS)
+    out = {}
+    for kind in kinds:
+        own = met.filter(F.col("kind") == kind).drop("kind")
+        common = own.filter((F.col("y") == MARK) & F.col("s").isNotNull()).select(
+            "s", "ord", F.col("x").alias("cls"), F.col("px").alias("at"))
+        out[kind] = own.filter("s IS NULL OR y IS NULL")
+        if not common.isEmpty():
+            keys = ["s", "ord", "cls", "at"]
+            out[kind] = out[kind].unionByName(written(
+                common.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                .mapInArrow(_matches(open_over if kind == LONG else None),
+                            "s long, ord long, x long, px long, y long, py long"), f"{name}-common"))
+    return met, out
 
 
 _MATCH = ["x", "px", "y", "py"]
@@ -667,63 +835,78 @@ def _befores(met: DataFrame) -> DataFrame:
     return met.filter(F.col("s").isNull() & (F.col("ord") == BEFORE)).select(*_MATCH).unionByName(late)
 
 
-def _spans(d: DataFrame, classes: DataFrame, *, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS,
-           identity: float = IDENTITY) -> DataFrame:
+def _spans(d: DataFrame, *, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS,
+           identity: float = IDENTITY) -> tuple[DataFrame, DataFrame]:
     """One row per passage that two distinct texts share: x and y (the texts'
     hashes, y the one of the earlier document), the words and bytes that it
-    covers in each, and the share of equal words."""
-    rows = d.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "cls", "text")
-    met = _met(rows.mapInArrow(_seeds(k, window), _SEEDS_DDL), "matches")
+    covers in each, and the share of equal words.  Then doc_id, cls, n_words
+    of every document."""
+    order = F.coalesce("doc_id", F.lit(_LAST)).alias("ord")
     # exact repeats: long grams, and whole windows where those are common
     around = max(1, min(LONG_WINDOW, min_words // 3))
-    sure = _met(rows.mapInArrow(_seeds(min_words - around + 1, around, True), _SEEDS_DDL), "long-matches", 2)
-    places = _passed_on(sure).groupBy("x").agg(F.collect_set(F.shiftright("px", 32)).alias("places"))
+    sown, met = _met(d.select("doc_id", order, "cls", "text"), _seeds(k, window, min_words - around + 1, around),
+                     "matches", (SHORT, LONG), 2)
+    classes = written(sown.filter(F.col("kind") == TEXTS).select(
+        F.col("y").alias("doc_id"), F.col("x").alias("cls"), F.col("px").alias("n_words")), "texts")
+    places = _passed_on(met[LONG]).groupBy("x").agg(F.collect_set(F.shiftright("px", 32)).alias("places"))
     one = classes.groupBy("cls").agg(F.min("doc_id").alias("one")).withColumnRenamed("cls", "name")
     crowded = (places.join(one, places["x"] == one["name"])
                .join(d, (F.col("name") == d["cls"]) & F.col("one").eqNullSafe(d["doc_id"]))
-               .select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "cls", "places", "text"))
-    exact = _met(crowded.mapInArrow(_windows(min_words, around), _SEEDS_DDL), "windows")
-    strong = (sure.filter(F.col("s").isNull() & (F.col("ord") == FIRST)).select(*_MATCH).unionByName(_firsts(exact))
+               .select(order, "cls", "places", "text"))
+    exact = _met(crowded, _windows(min_words, around), "windows", (SHORT,))[1][SHORT]
+    strong = (met[LONG].filter(F.col("s").isNull() & (F.col("ord") == FIRST)).select(*_MATCH).unionByName(_firsts(exact))
               .withColumn("px", F.col("px").bitwiseOR(F.lit(STRONG))))
 
-    def found(matches: DataFrame) -> DataFrame:
-        # one match of a short seed alone is no chain
-        pairs = matches.groupBy("x", "y").agg(F.collect_set(F.struct("px", "py")).alias("at")).filter(
-            (F.size("at") > 1) | (F.element_at("at", 1)["px"] >= STRONG))
-        chains = written(pairs.mapInArrow(_chains(k, min_words), _CHAINS_DDL)
-                         .withColumn("chain", F.monotonically_increasing_id()), "chains")
+    def found(matches: DataFrame, put_off: bool) -> tuple[DataFrame, DataFrame]:
+        by_text = matches.groupBy("x").agg(F.collect_set(F.struct("y", "px", "py")).alias("at"))
+        made = written(by_text.mapInArrow(_chains(k, min_words, put_off), _CHAINS_DDL)
+                       .withColumn("chain", F.monotonically_increasing_id()), "chains", batch_rows=CHAIN_ROWS)
+        chains = made.filter("bx IS NOT NULL")
+        later = made.filter("bx IS NULL").select("x", "y", "ax", "ay")
         # where an extension outruns the cut-outs, longer ones are taken
-        out, todo, margin = None, chains, MARGIN_BYTES
+        out, todo, margin, few = None, chains, MARGIN_BYTES, SENT + 1
         while True:
-            part = written(_cut_out(d, classes, todo, margin).mapInArrow(_align(k, min_words, identity), _SPANS_DDL),
+            part = written(_cut_out(d, classes, todo, margin, few <= SENT).mapInArrow(_align(k, min_words, identity), _SPANS_DDL),
                            "passages", batch_rows=max(1, min(256, CUT_BYTES // margin)))
             good = part.filter("chain IS NULL").drop("chain")
             out = good if out is None else out.unionByName(good)
             again = part.filter("chain IS NOT NULL").select("chain")
-            if again.isEmpty():
-                return out
-            todo, margin = chains.join(again, "chain"), 8 * margin
+            few = again.count()
+            if not few:
+                return out, later
+            todo, margin = chains.join(again, "chain"), 64 * margin
 
-    first = found(_firsts(met).unionByName(strong))
-    return first.unionByName(found(_uncovered(_befores(met), first, classes, k)))
+    first, later = found(_firsts(met[SHORT]).unionByName(strong), True)
+    rest = _uncovered(_befores(met[SHORT]), later, first, classes, k, min_words)
+    return first.unionByName(found(rest, False)[0]), classes
 
 
-def _uncovered(matches: DataFrame, spans: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """The matches whose words in x are in no passage that x has from an
-    earlier text."""
+def _uncovered(matches: DataFrame, later: DataFrame, spans: DataFrame, classes: DataFrame, k: int, min_words: int
+               ) -> DataFrame:
+    """The matches, and those in the lists of ``later``, whose words in x are
+    in no passage that x has from an earlier text."""
     least = classes.groupBy("cls").agg(F.min("doc_id").alias("least"))
     covered = (spans.select("x", "y", "x_word", "x_words")
                .join(least.select(F.col("cls").alias("x"), F.col("least").alias("x_id")), "x")
                .join(least.select(F.col("cls").alias("y"), F.col("least").alias("y_id")), "y").filter(_later())
                .groupBy(F.col("x").alias("cx")).agg(F.collect_set(F.struct("x_word", "x_words")).alias("covered")))
-    at = F.shiftright("px", 32)
-    inside = F.exists("covered", lambda c: (c["x_word"] <= at) & (at + k <= c["x_word"] + c["x_words"]))
-    return (matches.join(covered, matches["x"] == covered["cx"], "left")
-            .filter(F.col("covered").isNull() | ~inside).select(*_MATCH))
+
+    def free(px: Column) -> Column:
+        at = F.shiftright(px.bitwiseAND(F.lit(STRONG - 1)), 32)
+        n = F.when(px >= STRONG, min_words).otherwise(k)
+        inside = F.exists("covered", lambda c: (c["x_word"] <= at) & (at + n <= c["x_word"] + c["x_words"]))
+        return F.col("covered").isNull() | ~inside
+
+    lists = later.join(covered, later["x"] == covered["cx"], "left").select(
+        "x", "y", F.filter(F.arrays_zip("ax", "ay"), lambda p: free(p["ax"])).alias("left"))
+    return (matches.join(covered, matches["x"] == covered["cx"], "left").filter(free(F.col("px"))).select(*_MATCH)
+            .unionByName(lists.filter(F.size("left") > 0).select("x", "y", F.explode("left").alias("p"))
+                         .select("x", F.col("p.ax").alias("px"), "y", F.col("p.ay").alias("py"))))
 
 
-def _cut_out(d: DataFrame, classes: DataFrame, chains: DataFrame, margin: int) -> DataFrame:
-    """Both cut-outs of a chain, from one pass over the texts."""
+def _cut_out(d: DataFrame, classes: DataFrame, chains: DataFrame, margin: int, few: bool) -> DataFrame:
+    """Both cut-outs of a chain, from one pass over the texts; to those the
+    places of ``few`` chains are sent, else both are shuffled."""
     lo, hi = F.greatest(F.col("b") - margin, F.lit(0)), F.col("e") + margin
     wanted = chains.select("chain", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("x").alias("of"), F.col("bx").alias("b"), F.col("ex").alias("e")),
@@ -732,6 +915,7 @@ def _cut_out(d: DataFrame, classes: DataFrame, chains: DataFrame, margin: int) -
     # the text of a class is that of its first document
     one = classes.groupBy("cls").agg(F.min("doc_id").alias("one")).withColumnRenamed("cls", "name")
     wanted = wanted.join(one, wanted["of"] == one["name"])
+    wanted = F.broadcast(wanted) if few else wanted
     texts = d.select("doc_id", "cls", F.col("text").cast("binary").alias("raw"))
     cut = (wanted.join(texts, (wanted["of"] == texts["cls"]) & wanted["one"].eqNullSafe(texts["doc_id"]))
            .select("chain", "side", "lo", (F.col("hi") >= F.length("raw")).alias("whole"),
@@ -751,8 +935,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     one is a copy of that as a whole."""
     prepare(docs)
     d = _identified(_named(docs, text_col, "__cls", hash_of), id_col, text_col)
-    texts = _classes(d)
-    found = _spans(d, texts, min_words=min_words, **options)
+    found, texts = _spans(d, min_words=min_words, **options)
     least = texts.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("n_words").alias("n"))
     first = found.join(least.select(F.col("cls").alias("x"), F.col("least").alias("x_id")), "x").join(
         least.select(F.col("cls").alias("y"), F.col("least").alias("y_id")), "y")
@@ -783,8 +966,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     prepare(docs)
     named = _named(docs, text_col, "__cls", hash_of)
     d = _identified(named, id_col, text_col)
-    texts = _classes(d)
-    found = _spans(d, texts, min_words=min_words, **options)
+    found, texts = _spans(d, min_words=min_words, **options)
     least = texts.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min("n_words").alias("n"),
                                      F.count("*").alias("docs"))
     placed = found.join(least.select(F.col("cls").alias("x"), F.col("least").alias("x_id")), "x").join(
