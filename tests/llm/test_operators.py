@@ -319,6 +319,24 @@ def test_one_capture_is_found_by_its_key(spark, monkeypatch):
     assert [(r.page_id, r.url, r.payload_bytes) for r in got] == [(47, "http://a7.example/47", len("<p>47</p>"))]
 
 
+def test_archives_read_whole_are_sent_few_ranges(spark, monkeypatch):
+    """What is sent to the files does not grow with their records; a capture that is asked for twice comes twice."""
+    assert warc.ranges([(8, 2), (0, 5), (5, 3), (20, 4), (20, 4)]) == [(0, 10), (20, 4), (20, 4)]
+    pages = spark.createDataFrame([(i, f"http://a{i % 7}.example/{i}", f"<p>{i}</p>") for i in range(300)],
+                                  "page_id long, url string, html string").repartition(2)
+    base = scratch_path(spark, "test-warc")
+    warc.write(pages, f"{base}/a")
+    warc.index(spark, f"{base}/a", f"{base}/i")
+    captures = warc.lookup(warc.keys_of(pages), f"{base}/a", f"{base}/i")
+    sent = []
+    joined = warc._with_content
+    monkeypatch.setattr(warc, "_with_content", lambda rows, path: sent.append(rows.collect()) or joined(rows, path))
+    assert sorted(r.page_id for r in warc.fetch(captures, f"{base}/a").collect()) == list(range(300))
+    assert sent and all(len(r.reads) == 1 for r in sent[-1])
+    twice = warc.fetch(captures.filter("offset = 0").unionByName(captures.filter("offset = 0")), f"{base}/a").collect()
+    assert len(twice) == 2 * len({r.page_id for r in twice}) > 0
+
+
 def test_urls_with_unicode_line_ends(spark):
     urls = [f"{head}x{c}y" for head in ("http://a.example/", "a.example/") for c in "\u2028\u2029\x85\x0b\x0c\x1c"]
     pages = spark.createDataFrame([(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")

@@ -31,7 +31,7 @@ import hashlib
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -160,6 +160,18 @@ def read_range(content, offset: int, length: int) -> bytes:
     return b"".join(out)
 
 
+def ranges(reads: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Byte ranges (offset, length) of reads, in order; those that follow one
+    another without a gap are one range, and one that comes twice is two."""
+    out: list[tuple[int, int]] = []
+    for offset, length in sorted(reads):
+        if out and sum(out[-1]) == offset:
+            out[-1] = (out[-1][0], out[-1][1] + length)
+        else:
+            out.append((offset, length))
+    return out
+
+
 # ------------------------------------------------------------------- writing
 
 def write(pages: DataFrame, path: str, *, min_bytes: int = 0) -> None:
@@ -386,14 +398,26 @@ def fetch(captures: DataFrame, archive: str) -> DataFrame:
     spark = prepare(captures)
     per_file = (captures.groupBy("filename").agg(F.collect_list(F.struct("offset", "length")).alias("reads"))
                 .withColumnRenamed("filename", "file"))
+    reads = pa.schema([("file", pa.string()), ("reads", pa.list_(pa.struct([("offset", pa.int64()), ("length", pa.int64())])))])
+
+    def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            yield as_batch(reads, batch.column(0), [
+                [{"offset": a, "length": n} for a, n in ranges((r["offset"], r["length"]) for r in rows.as_py())]
+                for rows in batch.column(1)])
+
+    # records that follow one another are one range: rows so short that they
+    # are sent to the files, whose contents are not shuffled
+    per_file = per_file.mapInArrow(merge, "file string, reads array<struct<offset: bigint, length: bigint>>")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for i in range(batch.num_rows):
-                content = batch.column(1)[i].as_buffer()
+                content = memoryview(batch.column(1)[i].as_buffer())
                 rows = []
-                for r in sorted((x["offset"], x["length"]) for x in batch.column(0)[i].as_py()):
-                    head, block = parse_record(read_range(content, *r))
+                for raw in (raw for r in batch.column(0)[i].as_py()
+                            for _, _, raw in records_of(content[r["offset"]:r["offset"] + r["length"]])):
+                    head, block = parse_record(raw)
                     http, _, payload = block.partition(b"\r\n\r\n")
                     size = int(re.search(rb"Content-Length: (\d+)", http).group(1))
                     stated = head["WARC-Payload-Digest"].removeprefix("sha1:")
