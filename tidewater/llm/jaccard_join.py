@@ -23,11 +23,19 @@ component, while texts that merely share a passage do not.
 Level 2.  A component of at most ``region_shingles`` is joined in one task:
 some of its documents are pivots, whose distances to all link most of it; the
 documents outside the main cluster are then compared with all those that
-windows on pivot distances, sizes and rare shingles leave.  A larger component
-is first cut by the same means across tasks: distances to pivots
-(broadcast, bounded), home region of the nearest pivot, direct links; the
-documents that the pivots do not connect with the main cluster are copied to
-every region that their window touches, block by block.
+windows on pivot distances, sizes and rare shingles leave.
+
+In a large corpus the regions of common shingles run together: texts tied by
+chance make one component that grows faster than the corpus.  A component
+larger than that is therefore sieved by all shingles of its sets.  A set with
+more than |x| - ceil(t |x|) shingles that no other set of the component holds
+has no partner.  Of the rest, in the order from rare to common, partners share
+one of the first |x| - ceil(t |x|) + 1, so ties by these alone cut it into
+components anew.  One that is still too large is joined by the same means
+across tasks: distances to pivots (broadcast, bounded), home region of the
+nearest pivot, direct links; the documents that the pivots do not connect with
+the main cluster are copied to every region that their window touches, block
+by block.
 
 Only links that connect something new are written (a spanning forest), never
 all pairs of a group.  Equal sets are one class throughout.
@@ -47,6 +55,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .keyfilter import maybe_in
 from .tables import prepare, written
 from .textkit import as_batch, concat_ranges, mix64, rows_of, shingle_sets
 
@@ -178,6 +187,7 @@ class Region:
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 _TOKENS = pa.schema([("h", pa.int64()), ("a", pa.int64())])
+_ALL_TOKENS = pa.schema([("region", pa.int64()), ("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 _TIES = pa.schema([("h", pa.int64()), ("a", pa.int64()), ("center", pa.int64())])
 _LINKS = pa.schema([(x, pa.int64()) for x in ("a1", "b1", "a2", "b2")])
 _LINKS_DDL = "a1 long, b1 long, a2 long, b2 long"
@@ -350,6 +360,48 @@ def _join_regions(members: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, _LINKS_DDL))
 
 
+def _all_tokens(members: DataFrame) -> DataFrame:
+    """(region, h, a, b, n) of every shingle h of every set of the members."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            regions = batch.column(0).to_numpy()
+            for lo, hi, data, offs in rows_of(batch):
+                sets = shingle_sets(data, offs)
+                n = np.array([len(s) for s in sets], np.int64)
+                if n.any():
+                    a, b = digest(sets)
+                    yield as_batch(_ALL_TOKENS, np.repeat(regions[lo:hi], n), np.concatenate(sets).view(np.int64),
+                                   *(np.repeat(x, n) for x in (a, b, n)))
+
+    return members.select("region", "text").mapInArrow(run, "region long, h long, a long, b long, n long")
+
+
+def _sieved(members: DataFrame, percent: int) -> DataFrame:
+    """The members that may have partners, by smaller candidate components."""
+    need_n = F.ceil(F.col("n") * percent / 100)
+    whose = F.struct("a", "b")
+    by_shingle = (F.min(whose).alias("one"), F.max(whose).alias("other"), F.max("n").alias("n"))
+    lonely = (_all_tokens(members).groupBy("region", "h").agg(*by_shingle).filter("one = other")
+              .groupBy("region", "one", "n").agg(F.count("*").alias("own"))
+              .filter(F.col("own") > F.col("n") - need_n).select("region", "one.a", "one.b"))
+    left = written(members.join(lonely, ["region", "a", "b"], "left_anti"), "sieved")
+    tokens = _all_tokens(left)
+    common = (tokens.groupBy("region", "h").agg(*by_shingle, F.count("*").alias("holders"))
+              .filter("one <> other").select("region", "h", "holders"))
+    # all but the need - 1 most common shingles; a repeated row repeats its ranks
+    most_common = Window.partitionBy("region", "a", "b").orderBy(F.desc("holders"), "h")
+    rare = written(tokens.join(common, ["region", "h"]).withColumn("rank", F.dense_rank().over(most_common))
+                   .filter(F.col("rank") >= need_n).select("region", "h", "a").distinct(), "rare-shingles")
+    center = rare.groupBy("region", "h").agg(F.min("a").alias("center"))
+    part = connected_components(rare.join(center, ["region", "h"]).select("a", "center"), "a", "center")
+    found = left.drop("region", "shingles").join(part, left["a"] == part["node"])
+    weigh = part.join(left.select("a", "b", "n").distinct(), part["node"] == F.col("a")).groupBy("component").agg(
+        F.sum("n").alias("shingles"))
+    return (found.join(weigh, "component")
+            .select(F.col("component").alias("region"), "a", "b", "n", "shingles", "text"))
+
+
 def _join_large(members: DataFrame, percent: int, region_shingles: int) -> DataFrame:
     """Links of components of any size: members are (region, a, n, text)."""
     spark = members.sparkSession
@@ -478,17 +530,26 @@ def _labelled(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     kinds = (sets.filter("n > 0").groupBy("n", "a", "b")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one")))
     regions = written(_components(d, sets, percent), "regions")
-    wanted = (kinds.join(regions, "a").select("region", "a", "n", F.col("one.doc_id").alias("one_id"),
+    wanted = (kinds.join(regions, "a").select("region", "a", "b", "n", F.col("one.doc_id").alias("one_id"),
                                               F.col("one.text_hash").alias("one_hash")))
     weigh = wanted.groupBy("region").agg(F.sum("n").alias("shingles"))
-    texts = d.withColumn("text_hash", F.xxhash64("text"))
+    wanted = written(wanted.join(weigh, "region"), "wanted")
+    may_want = maybe_in(wanted, "one_hash", "one_id")
+    texts = d.withColumn("text_hash", F.xxhash64("text")).filter(may_want(F.col("text_hash"), F.col("doc_id")))
     members = (texts.join(wanted, (texts["text_hash"] == wanted["one_hash"]) & texts["doc_id"].eqNullSafe(wanted["one_id"]))
-               .join(weigh, "region").select("region", "a", "n", "shingles", "text"))
-    members = written(members, "members")       # a part of the texts, which both ways below read
-    large = [r["region"] for r in weigh.filter(F.col("shingles") > region_shingles).select("region").toLocalIterator()]
-    links = _join_regions(members.filter(F.col("shingles") <= region_shingles), percent)
+               .select("region", "a", "b", "n", "shingles", "text"))
+    members = written(members, "members", batch_rows=1024)       # a part of the texts, which both ways below read
+    fits = F.col("shingles") <= region_shingles
+    small = members.filter(fits)
+    if not wanted.filter(~fits).isEmpty():
+        sieved = written(_sieved(members.filter(~fits), percent), "sieved-members")
+        small = small.unionByName(sieved.filter(fits))
+        large = [r["region"] for r in sieved.filter(~fits).select("region").distinct().toLocalIterator()]
+    else:
+        large = []
+    links = _join_regions(small, percent)
     for lo in range(0, len(large), REGIONS_AT_ONCE):
-        part = written(members.filter(F.col("region").isin(large[lo:lo + REGIONS_AT_ONCE]))
+        part = written(sieved.filter(F.col("region").isin(large[lo:lo + REGIONS_AT_ONCE]))
                        .dropDuplicates(["region", "a", "n", "text"]), "large-regions")
         links = links.unionByName(_join_large(part, percent, region_shingles))
     links = written(links, "links", batch_rows=256)
