@@ -30,6 +30,19 @@ def test_texts_tied_by_chance_are_not_copied_to_every_region(spark, monkeypatch)
     assert sum(joined) <= 45
 
 
+def test_only_marked_texts_are_shuffled_to_leave_one(spark):
+    """Texts that stay are read through; the join moves those that may go."""
+    rng = random.Random(13)
+    rows = [(i, prose(rng, 30)) for i in range(300)] + [(900 + i, "the same text in two rows or more") for i in range(3)]
+    rows += [rows[0], rows[0], (None, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = jaccard_join.keep_one(docs)
+    assert Counter(map(tuple, kept.collect())) == Counter(rows[:301])
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    straight = plan.split("\n:- ")[1]
+    assert plan.startswith("Union") and "Join" not in straight and "passes" in straight
+
+
 def test_key_filter_never_stops_a_key(spark, monkeypatch):
     keys = spark.range(2000).select((F.col("id") * 7).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("j"))
     others = spark.range(20_000).select((F.col("id") + 1_000_000).alias("k"), F.col("id").alias("j"))

@@ -572,13 +572,19 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     the row repeats).  Documents without shingles all stay, and so do those of
     a component that has null ids only; other null ids yield to an id."""
     c = _labelled(docs, id_col=id_col, text_col=text_col, **options)
-    first = (c.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy(F.col("doc_id").alias("__keep"), F.col("text_hash").alias("__hash"))
-             .agg((F.count(F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), 1)) > 1).alias("__again")))
-    first = written(first, "kept")
-    kept = docs.join(first, docs[id_col].cast("long").eqNullSafe(first["__keep"])
-                     & F.xxhash64(docs[text_col]).eqNullSafe(first["__hash"]))
-    if first.filter("__again").isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.filter("__again").dropDuplicates([id_col, text_col])
-    return kept.filter("NOT __again").unionByName(once).select(*docs.columns)
+    # the rows that go or come again: most texts are not among them and stay where they are
+    marked = (c.groupBy("doc_id", "text_hash")
+              .agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__stays"),
+                   (F.count(F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), 1)) > 1).alias("__again"))
+              .filter("NOT __stays OR __again").withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"}))
+    marked = written(marked, "marked")
+    row_id, row_hash = docs[id_col].cast("long"), F.xxhash64(docs[text_col])
+    may_be_marked = maybe_in(marked, "__id", "__hash")(row_id, row_hash)
+    looked_up = docs.filter(may_be_marked).join(
+        marked, row_id.eqNullSafe(marked["__id"]) & row_hash.eqNullSafe(marked["__hash"]), "left")
+    kept = docs.filter(~may_be_marked).unionByName(
+        looked_up.filter("__stays IS NULL").select(*docs.columns))
+    if marked.filter("__stays").isEmpty():
+        return kept
+    once = looked_up.filter("__stays").dropDuplicates([id_col, text_col])
+    return kept.unionByName(once.select(*docs.columns))
